@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.functions.names import columns as named
@@ -43,11 +43,14 @@ def check_primary_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counted.filter((F.col("dup_count") > 1) | a_null)
 
 
+def _all_known(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [c.isNotNull() for c in named(cols)])
+
+
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keys that occur more than once. A key with a NULL in it is never a duplicate."""
     return (
-        df.select(*named(cols))
-        .dropna(subset=list(cols))
+        df.filter(_all_known(cols))
         .groupBy(*named(cols))
         .agg(F.count(F.lit(1)).alias("dup_count"))
         .filter(F.col("dup_count") > 1)
@@ -60,8 +63,8 @@ def _orphan_keys(
     """Distinct child keys without a parent, with their rows; columns ``k0, k1, …, n``."""
     keys = [f"k{i}" for i in range(len(child_cols))]
     used = (
-        child.select(*[F.col(quoted(c)).alias(k) for c, k in zip(child_cols, keys)])
-        .dropna()
+        child.filter(_all_known(child_cols))
+        .select(*[F.col(quoted(c)).alias(k) for c, k in zip(child_cols, keys)])
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
     )

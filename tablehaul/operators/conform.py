@@ -22,7 +22,7 @@ from tablehaul.functions.types import (
     spec_metadata,
     target_type,
 )
-from tablehaul.shared import shared_root
+from tablehaul.shared import stage as staged
 
 REJECT_REASON = "reject_reason"
 REPORT_SCHEMA = "column_name string, rule string, violations bigint"
@@ -182,12 +182,11 @@ def split_valid(
     """``(good, quarantine)``: every input row is in exactly one of the two.
 
     Both are filters over the same input. ``stage`` writes the marked rows to the shared
-    checkpoint folder first, for inputs that must not be read twice, such as a live database.
+    folder first, for inputs that must not be read twice, such as a live database.
     """
     marked = with_reject_reason(df, columns, length_unit)
     if stage:
-        shared_root(df.sparkSession)
-        marked = marked.checkpoint()
+        marked = staged(marked, "marked")
     return split_marked(marked, columns)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.functions.names import quoted
-from tablehaul.shared import shared_root
+from tablehaul.shared import stage
 
 MAX_EDGES = 4095
 ROWS_PER_BUCKET = 1_000_000
@@ -112,12 +112,11 @@ def key_buckets(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET)
 def number_in_order(df: DataFrame, order_by: Sequence[Column], name: str, start: int) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, … in the given order, without gaps.
 
-    Rows are sorted into range partitions and checkpointed, so that a lost executor cannot change
-    what has been numbered. A row's number is then its place in its partition plus the rows of
-    the partitions before. Rows that tie are told apart by the partition they came from: a third
-    of all rows may share one value and still spread over many tasks.
+    Rows are sorted into range partitions and staged with their place, so that a lost executor
+    cannot change what has been numbered. A row's number is its place in its partition plus
+    the rows of the partitions before. Rows that tie are told apart by the partition they came
+    from: a third of all rows may share one value and still spread over many tasks.
     """
-    shared_root(df.sparkSession)
     place = "__place"
     origin = "__origin"
     arranged = (
@@ -125,9 +124,9 @@ def number_in_order(df: DataFrame, order_by: Sequence[Column], name: str, start:
         .repartitionByRange(*order_by, F.col(origin))
         .sortWithinPartitions(*order_by, F.col(origin))
         .drop(origin)
-        .checkpoint()
+        .withColumn(place, F.monotonically_increasing_id())
     )
-    placed = arranged.withColumn(place, F.monotonically_increasing_id())
+    placed = stage(arranged, "numbered")
     part = F.shiftright(F.col(place), 33).cast("int")
     within = F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
     sizes = dict(placed.groupBy(part.alias("part")).count().collect())

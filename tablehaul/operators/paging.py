@@ -16,7 +16,7 @@ from tablehaul.operators.ordering import (
     key_buckets,
     sortable,
 )
-from tablehaul.shared import shared_root
+from tablehaul.shared import stage
 
 MAX_TAG_PAGES = MAX_EDGES
 
@@ -60,16 +60,15 @@ def page_bounds(
 
     No key is split between pages, so a page can hold a little more or less when keys repeat.
     Rows with a NULL key count towards page 0. Pages are dealt to ``min(shards, pages)``
-    contiguous shards. The result is checkpointed: reading it again does not scan ``df``.
+    contiguous shards. The result is staged: reading it again does not scan ``df``.
     """
     if page_size < 1 or shards < 1:
         raise ValueError("page_size and shards must be at least 1")
-    shared_root(df.sparkSession)
-    pages = (
+    pages = stage(
         _key_pages(df, key, page_size, rows_per_bucket)
         .groupBy("page")
-        .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("c").alias("n_rows"))
-        .checkpoint()
+        .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("c").alias("n_rows")),
+        "pages",
     )
     n_pages, last = pages.agg(F.count(F.lit(1)), F.max("page")).first()
     if n_pages and last + 1 != n_pages:

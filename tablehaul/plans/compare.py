@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ REPORT_COLUMNS = (
     "target_table_name", "target_rows", "is_success", "compare_time",
 )
 
+PLANNING_THREADS = 8
+
 _log = logging.getLogger(__name__)
 
 
@@ -46,7 +50,9 @@ def row_counts(tables: TableSet) -> DataFrame:
     if not names:
         return tables.spark.createDataFrame([], schema)
     try:
-        rows = reduce(DataFrame.unionByName, [counted(n) for n in names]).collect()
+        with ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
+            planned = list(pool.map(inheritable_thread_target(tables.spark)(counted), names))
+        rows = reduce(DataFrame.unionByName, planned).collect()
     except Exception:
         rows = [counted_alone(n) for n in names]
     return tables.spark.createDataFrame([tuple(r) for r in rows], schema)

@@ -27,7 +27,7 @@ from tablehaul.operators.sinks import clustered, write_existing
 from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
 from tablehaul.operators.views import register_views
 from tablehaul.plans.summary import migration_summary
-from tablehaul.shared import shared_root
+from tablehaul.shared import stage
 from tablehaul.sources.tables import TableSet
 
 TASK_SCHEMA = (
@@ -43,26 +43,30 @@ def table_list(lines: Iterable[str]) -> list[str]:
     return [line.split(",")[0].strip() for line in lines if line.strip()]
 
 
-def _copy(source: TableSet, target: TableSet, table: str, conf: JobConf, data_only: bool):
+def _copy(
+    source: TableSet, target: TableSet, table: str, conf: JobConf, data_only: bool
+) -> tuple[int, int]:
     """Copy one table; ``(source_rows, target_rows)``.
 
-    Source rows and rejected rows are counted in the job that writes the table. A second job runs
-    only if there were rejected rows.
+    Rejected rows are counted in the job that writes the table, and a second job keeps them only
+    if there were any. Where nothing can be rejected and the source's size costs no scan, the
+    copy is a plain read and write.
     """
-    specs = source.columns(table)
     scan = source.scan(table, conf)
+    specs = source.columns(table, scan)
     marked = with_reject_reason(scan, specs, conf.length_unit)
-    if conf.stage_live_reads and not source.reads_repeat() and has_rules(
-        scan, specs, conf.length_unit
-    ):
-        shared_root(source.spark)
-        marked = marked.checkpoint()
+    rules = has_rules(scan, specs, conf.length_unit)
+    if rules and conf.stage_live_reads and not source.reads_repeat():
+        marked = stage(marked, "live")
+    observing = rules or not source.reads_repeat()
     seen = Observation()
-    observed = marked.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(REJECT_REASON) != "").alias("rejected"),
-    )
+    observed = marked
+    if observing:
+        observed = marked.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(REJECT_REASON) != "").alias("rejected"),
+        )
     good, _ = split_marked(observed, specs)
     if table in conf.cluster_by:
         good = clustered(good, conf.cluster_by[table])
@@ -70,10 +74,10 @@ def _copy(source: TableSet, target: TableSet, table: str, conf: JobConf, data_on
         write_existing(good, target, table, conf=conf)
     else:
         target.replace(table, good, conf)
-    rows, rejected = seen.get["rows"], seen.get["rejected"]
-    written = target.count_frame(table).first()[0]
-    if written + rejected != rows and source.reads_repeat():
-        # A repeated task counts its rows again; the table itself is the judge.
+    written = target.count_frame(target.resolve(table)).first()[0]
+    rows, rejected = (seen.get["rows"], seen.get["rejected"]) if observing else (None, 0)
+    if source.reads_repeat() and rows != written + rejected:
+        # Not observed, or observed twice by a repeated task: the source itself is the judge.
         rows = source.count_frame(table).first()[0]
     if rejected:
         target.keep_rejected(table, split_marked(marked, specs)[1])

@@ -1,28 +1,38 @@
-"""Folders that every executor can reach."""
+"""Folders that every executor can reach, and tables written to them."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured is None:
-        configured = context.getCheckpointDir()
+    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="tablehaul-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path under the shared root that no other run uses."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path that no other run uses, below a folder of this application's own."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/tablehaul-{application}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder and read from there.
+
+    What follows no longer depends on how ``df`` was computed: a lost executor cannot change
+    it, and nothing upstream runs again. Unlike a checkpoint the rows are computed once
+    and a later read takes only the columns it needs.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from itertools import count
+from itertools import chain, count, islice, repeat
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +55,8 @@ def _fitted(df: DataFrame, dialect: DelimitedText) -> DelimitedText:
             found = found | F.coalesce(test(cell), F.lit(False))
         return F.coalesce(F.bool_or(found), F.lit(False))
 
-    while True:
-        markers = [next(candidates) for _ in range(_MARKERS_PER_PASS)]
+    for wanted in chain([1], repeat(_MARKERS_PER_PASS)):
+        markers = list(islice(candidates, wanted))
         seen = df.agg(
             anywhere(lambda c: F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r"))),
             *[anywhere(lambda c, m=m: c == F.lit(m)) for m in markers],
@@ -64,6 +64,7 @@ def _fitted(df: DataFrame, dialect: DelimitedText) -> DelimitedText:
         for marker, used in zip(markers, seen[1:]):
             if not used:
                 return replace(dialect, null_marker=marker, multiline=bool(seen[0]))
+    raise AssertionError("unreachable: a finite table cannot hold every marker")
 
 
 def write_delimited(

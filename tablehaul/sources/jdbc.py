@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tablehaul.conf import JobConf
 from tablehaul.functions.types import ColumnSpec
 from tablehaul.operators.paging import shard_bounds
-from tablehaul.sources.tables import TableSet, is_engine_table
+from tablehaul.sources.tables import TableSet
 
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -161,6 +161,7 @@ class JdbcTables(TableSet):
         self._properties = dict(properties)
         self.dialect = dialect
         self.conf = conf
+        self._names: list[str] | None = None
 
     def __repr__(self) -> str:
         return f"JdbcTables({self.name!r})"
@@ -178,9 +179,10 @@ class JdbcTables(TableSet):
         """Rows of a query that the database runs."""
         return self.spark.read.format("jdbc").options(**self.read_options(), query=sql).load()
 
-    def table_names(self) -> list[str]:
-        names = [r[0] for r in self.query(self.dialect.tables_sql).collect()]
-        return sorted(n for n in names if not is_engine_table(n))
+    def all_names(self) -> list[str]:
+        if self._names is None:
+            self._names = sorted(r[0] for r in self.query(self.dialect.tables_sql).collect())
+        return self._names
 
     def view_definitions(self) -> dict[str, str]:
         return {r[0]: r[1] for r in self.query(self.dialect.views_sql).collect()}
@@ -188,9 +190,9 @@ class JdbcTables(TableSet):
     def view_names(self) -> list[str]:
         return sorted(self.view_definitions())
 
-    def columns(self, table: str) -> list[ColumnSpec]:
+    def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
         if not self.dialect.columns_sql:
-            return super().columns(table)
+            return super().columns(table, df)
         sql = self.dialect.columns_sql.format(table=sql_text(self.resolve(table)))
         records = self.query(sql).orderBy("ordinal_position").collect()
         return [column_record(r.asDict()) for r in records]
@@ -249,12 +251,13 @@ class JdbcTables(TableSet):
             return self._read_equal_ranges(table, key, parts)
         return self._frame(table)
 
-    def count_frame(self, table: str) -> DataFrame:
-        name = self.dialect.name(self.resolve(table))
+    def count_frame(self, name: str) -> DataFrame:
+        name = self.dialect.name(name)
         return self.query(f"SELECT COUNT(*) AS {self.dialect.name('rows')} FROM {name}")
 
     def replace(self, table: str, df: DataFrame, conf: JobConf = JobConf()) -> None:
         write_jdbc(df, self, table, conf.batchsize, conf.write_parallelism)
+        self._names = None
 
     def keep_rejected(self, table: str, df: DataFrame) -> None:
         write_jdbc(df, self, table + "__rejected", self.conf.batchsize, 1)
@@ -319,12 +322,12 @@ def read_partitioned(
 def write_jdbc(df: DataFrame, target: JdbcTables, table: str, batch: int, parallelism: int) -> None:
     """Replace a table's rows over ``parallelism`` connections, ``batch`` rows per round trip.
 
-    Each connection commits by itself. A failed load leaves the table part-filled and is to be
+    Spark merges partitions down to that number and shuffles nothing. Each connection commits by
+    itself. A failed load leaves the table part-filled and is to be
     repeated; it starts by emptying the table.
     """
-    spread = df.repartition(parallelism) if parallelism > 1 else df.coalesce(1)
     (
-        spread.write.format("jdbc")
+        df.write.format("jdbc")
         .options(**target.write_options(batch, parallelism))
         .option("dbtable", target.dialect.name(table))
         .mode("overwrite")

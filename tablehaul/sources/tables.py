@@ -8,14 +8,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablehaul.conf import JobConf
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.functions.types import ColumnSpec, spec_of_field
 
-# Tables the tools themselves leave in a target.
-ENGINE_TABLES = ("data_compare", "my_mig_task_info", "hg_t_audit_log")
+# Names of the tables that runs leave in a target, and of a server's own log.
+REPORT_TABLE = "data_compare"
+TASK_TABLE = "my_mig_task_info"
+ENGINE_TABLES = (REPORT_TABLE, TASK_TABLE, "hg_t_audit_log")
 
 
 class TableSet(ABC):
@@ -27,8 +30,12 @@ class TableSet(ABC):
         self._views: dict[str, str] = {}
 
     @abstractmethod
+    def all_names(self) -> list[str]:
+        """The base tables, sorted by name, with those that runs leave behind."""
+
     def table_names(self) -> list[str]:
-        """The base tables, sorted by name, without those of the engine."""
+        """The base tables, sorted by name, without those that runs leave behind."""
+        return [n for n in self.all_names() if n.lower() not in ENGINE_TABLES]
 
     @abstractmethod
     def _frame(self, name: str) -> DataFrame:
@@ -39,7 +46,7 @@ class TableSet(ABC):
 
     def resolve(self, table: str) -> str:
         """The spelling this set uses for a table."""
-        for name in self.table_names():
+        for name in self.all_names():
             if name.lower() == table.lower():
                 return name
         raise ValueError(f"{self.name} has no table {table!r}")
@@ -47,9 +54,9 @@ class TableSet(ABC):
     def read(self, table: str) -> DataFrame:
         return self._frame(self.resolve(table))
 
-    def columns(self, table: str) -> list[ColumnSpec]:
-        """The catalog's records of the table's columns, in order."""
-        return [spec_of_field(f) for f in self.read(table).schema.fields]
+    def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
+        """The catalog's records of the table's columns, in order; ``df`` is the table if at hand."""
+        return [spec_of_field(f) for f in (df or self.read(table)).schema.fields]
 
     def scan(self, table: str, conf: JobConf) -> DataFrame:
         """The whole table for copying, read in parallel."""
@@ -59,9 +66,9 @@ class TableSet(ABC):
         """Whether a second read of a table is sure to see the same rows."""
         return True
 
-    def count_frame(self, table: str) -> DataFrame:
-        """One row ``(rows)``: the size of the table."""
-        return self.read(table).agg(F.count(F.lit(1)).alias("rows"))
+    def count_frame(self, name: str) -> DataFrame:
+        """One row ``(rows)``: the size of the table with exactly this name."""
+        return self._frame(name).agg(F.count(F.lit(1)).alias("rows"))
 
     def view_definitions(self) -> dict[str, str]:
         return dict(self._views)
@@ -91,10 +98,6 @@ class TableSet(ABC):
         return self.spark.table(quoted(name))
 
 
-def is_engine_table(name: str) -> bool:
-    return name.lower() in ENGINE_TABLES
-
-
 class FrameTables(TableSet):
     """Tables given as DataFrames."""
 
@@ -111,14 +114,14 @@ class FrameTables(TableSet):
         self._views.update(views or {})
         self._specs = {k.lower(): list(v) for k, v in (specs or {}).items()}
 
-    def table_names(self) -> list[str]:
-        return sorted(n for n in self._frames if not is_engine_table(n))
+    def all_names(self) -> list[str]:
+        return sorted(self._frames)
 
     def _frame(self, name: str) -> DataFrame:
         return self._frames[name]
 
-    def columns(self, table: str) -> list[ColumnSpec]:
-        return self._specs.get(table.lower()) or super().columns(table)
+    def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
+        return self._specs.get(table.lower()) or super().columns(table, df)
 
 
 class ParquetTables(TableSet):
@@ -153,12 +156,12 @@ class ParquetTables(TableSet):
     def exists(self) -> bool:
         return self._files().exists(self._path(self.path))
 
-    def table_names(self) -> list[str]:
+    def all_names(self) -> list[str]:
         if not self.exists():
             return []
         entries = [s.getPath().getName() for s in self._files().listStatus(self._path(self.path))]
         names = [e[: -len(self.SUFFIX)] for e in entries if e.endswith(self.SUFFIX)]
-        return sorted(n for n in names if n[0] not in "_." and not is_engine_table(n))
+        return sorted(n for n in names if n[0] not in "_.")
 
     def _table_path(self, table: str) -> str:
         return f"{self.path}/{table}{self.SUFFIX}"
@@ -166,8 +169,13 @@ class ParquetTables(TableSet):
     def _frame(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._table_path(name))
 
-    def columns(self, table: str) -> list[ColumnSpec]:
-        return self._specs.get(table.lower()) or super().columns(table)
+    def count_frame(self, name: str) -> DataFrame:
+        # Without columns the row counts of the file footers suffice, and no schema is looked up.
+        no_columns = self.spark.read.schema(T.StructType([])).parquet(self._table_path(name))
+        return no_columns.agg(F.count(F.lit(1)).alias("rows"))
+
+    def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
+        return self._specs.get(table.lower()) or super().columns(table, df)
 
     def replace(self, table: str, df: DataFrame, conf: JobConf = JobConf()) -> None:
         try:
@@ -216,14 +224,13 @@ class CatalogTables(TableSet):
         return self.spark.catalog.databaseExists(self.name)
 
     def _listed(self, views: bool) -> list[str]:
-        found = [
+        return sorted(
             t.name
             for t in self.spark.catalog.listTables(self.name)
             if not t.isTemporary and (t.tableType == "VIEW") == views
-        ]
-        return sorted(n for n in found if not is_engine_table(n))
+        )
 
-    def table_names(self) -> list[str]:
+    def all_names(self) -> list[str]:
         if not self.exists():
             return []
         return [n for n in self._listed(views=False) if not n.endswith(self.rejected_suffix)]
