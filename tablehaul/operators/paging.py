@@ -103,6 +103,8 @@ def tag_pages(
     Up to ``max_tag_pages`` pages the page starts are a literal array and no row moves. Beyond,
     rows meet their page in an equi-join on the key, whose hot keys adaptive execution splits.
     """
+    if "page" in {c.lower() for c in df.columns}:
+        raise ValueError("the input already has a column 'page'")
     bounds = page_bounds(df, key, page_size, 1, rows_per_bucket)
     kind = df.schema[key].dataType
     if bounds.count() <= max_tag_pages:
@@ -112,11 +114,9 @@ def tag_pages(
         tagged = edge_index(df, sortable(kind, F.col(quoted(key))), edges, "page")
         return tagged.withColumn("page", F.col("page").cast("bigint"))
     by_key = _key_pages(df, key, page_size, rows_per_bucket)
-    dense = _dense_pages(by_key, bounds)
-    return (
-        df.join(dense, F.col(quoted(key)).eqNullSafe(F.col("k")), "inner")
-        .select(*[F.col(quoted(c)) for c in df.columns], "page")
-    )
+    dense = _dense_pages(by_key, bounds).withColumnRenamed("k", "__key")
+    matched = df.join(dense, F.col(quoted(key)).eqNullSafe(F.col("__key")), "inner")
+    return matched.drop("__key")
 
 
 def _dense_pages(by_key: DataFrame, bounds: DataFrame) -> DataFrame:
