@@ -22,6 +22,7 @@ from tablehaul.plans.compare import (
     compare_failures,
     compare_views,
     object_totals,
+    store_report,
 )
 from tablehaul.plans.migrate import Migration, migrate, migrate_database, table_list
 from tablehaul.plans.summary import failed_tables, migration_summary

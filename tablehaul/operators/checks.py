@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablehaul.functions.frames import small_frame
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.sources.tables import TableSet
@@ -130,7 +131,7 @@ def run_checks(
     run = inheritable_thread_target(tables.spark)(check)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, constraints))
-    return tables.spark.createDataFrame(rows, OUTCOME_SCHEMA)
+    return small_frame(tables.spark, rows, OUTCOME_SCHEMA)
 
 
 def constraints_from_catalog(

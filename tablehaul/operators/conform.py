@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.functions.binary import bits, hex_bytes
+from tablehaul.functions.frames import small_frame
 from tablehaul.functions.names import quoted
 from tablehaul.functions.types import (
     ColumnSpec,
@@ -138,7 +139,7 @@ def fit_report(
     """How many values break each rule of each column, counted in one scan."""
     rules = _all_violations(df, columns, length_unit)
     if not rules:
-        return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
+        return small_frame(df.sparkSession, [], REPORT_SCHEMA)
     counts = df.agg(*[F.count_if(test).alias(f"r{i}") for i, (_, _, test) in enumerate(rules)])
     lines = F.array(
         *[

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablehaul.functions.frames import small_frame
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.operators.ordering import number_in_order
@@ -74,4 +75,4 @@ def sequence_starts(target: TableSet, auto_columns: Sequence[AutoColumn]) -> Dat
             rows.append((auto.table, auto.column, auto.sequence_name, found, "Y"))
         except Exception:
             rows.append((auto.table, auto.column, auto.sequence_name, None, "N"))
-    return target.spark.createDataFrame(rows, OUTCOME_SCHEMA)
+    return small_frame(target.spark, rows, OUTCOME_SCHEMA)

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from tablehaul.functions.frames import small_frame
 from tablehaul.sources.tables import TableSet
 
 OUTCOME_SCHEMA = "view_name string, is_success string, error string"
@@ -75,4 +76,4 @@ def register_views(target: TableSet, views: Mapping[str, str]) -> DataFrame:
     rows = [
         (name, "N", errors[name]) if name in waiting else (name, "Y", None) for name in views
     ]
-    return target.spark.createDataFrame(rows, OUTCOME_SCHEMA)
+    return small_frame(target.spark, rows, OUTCOME_SCHEMA)

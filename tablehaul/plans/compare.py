@@ -10,7 +10,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehaul.sources.tables import TableSet
+from tablehaul.functions.frames import small_frame
+from tablehaul.sources.tables import REPORT_TABLE, TableSet
 
 NO_TABLE = "TABLE NOT EXIST"
 NO_VIEW = "NOT EXISTS VIEW"
@@ -48,14 +49,14 @@ def row_counts(tables: TableSet) -> DataFrame:
             return name, MISSING_ROWS
 
     if not names:
-        return tables.spark.createDataFrame([], schema)
+        return small_frame(tables.spark, [], schema)
     try:
         with ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
             planned = list(pool.map(inheritable_thread_target(tables.spark)(counted), names))
         rows = reduce(DataFrame.unionByName, planned).collect()
     except Exception:
         rows = [counted_alone(n) for n in names]
-    return tables.spark.createDataFrame([tuple(r) for r in rows], schema)
+    return small_frame(tables.spark, rows, schema)
 
 
 def _require(source: TableSet, target: TableSet) -> None:
@@ -101,7 +102,7 @@ def compare_counts(source: TableSet, target: TableSet) -> DataFrame:
 
 def _view_frame(tables: TableSet) -> DataFrame:
     names = [(n.upper(),) for n in tables.view_names()]
-    return tables.spark.createDataFrame(names, "name string")
+    return small_frame(tables.spark, names, "name string")
 
 
 def compare_views(source: TableSet, target: TableSet) -> DataFrame:
@@ -134,6 +135,11 @@ def compare_failures(report: DataFrame) -> DataFrame:
     )
 
 
+def store_report(report: DataFrame, target: TableSet) -> None:
+    """Keep the report in the target, in a table that is not listed among its own."""
+    target.replace(REPORT_TABLE, report)
+
+
 def shown(report: DataFrame) -> DataFrame:
     """The report as it is printed: times without the year."""
     return report.drop("source_db_name").withColumn(
@@ -146,7 +152,8 @@ def object_totals(report: DataFrame, target: TableSet) -> DataFrame:
 
     The target's total includes objects that the source does not have.
     """
-    totals = target.spark.createDataFrame(
+    totals = small_frame(
+        target.spark,
         [(TABLE, len(target.table_names())), (VIEW, len(target.view_names()))],
         "db_type string, target_total bigint",
     )

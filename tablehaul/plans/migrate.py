@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablehaul.conf import JobConf
+from tablehaul.functions.frames import small_frame
 from tablehaul.operators.checks import FOREIGN, Constraint, run_checks
 from tablehaul.operators.conform import (
     REJECT_REASON,
@@ -28,7 +29,7 @@ from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
 from tablehaul.operators.views import register_views
 from tablehaul.plans.summary import migration_summary
 from tablehaul.shared import stage
-from tablehaul.sources.tables import TableSet
+from tablehaul.sources.tables import TASK_TABLE, TableSet
 
 TASK_SCHEMA = (
     "table_name string, task_start_time timestamp, task_end_time timestamp, thread int, "
@@ -96,9 +97,10 @@ def migrate(
     ``tables`` are lines of a table list; without it every base table is copied. ``data_only``
     keeps the target's own columns and needs its tables to be there. Tables are copied by
     ``table_parallelism`` threads, each submitting its jobs to a scheduler pool of its own; the
-    rows stay on the executors. A table that fails is recorded and the others go on.
+    rows stay on the executors. A table that fails is recorded and the others go on. The records
+    are kept in the target as well, in a table that is not listed among its own.
     """
-    names = source.table_names() if tables is None else table_list(tables)
+    names = source.table_names() if tables is None else _spelled(source, table_list(tables))
     spark = source.spark
     numbers = itertools.count()
     worker = threading.local()
@@ -107,22 +109,31 @@ def migrate(
         if not hasattr(worker, "number"):
             worker.number = next(numbers)
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tables-{worker.number}")
-        begun = datetime.datetime.now()
+        begun = datetime.datetime.now(datetime.UTC)
         rows = written = None
         try:
-            name = source.resolve(name)
             rows, written = _copy(source, target, name, conf, data_only)
         except Exception:
             _log.exception("table %s failed", name)
-        ended = datetime.datetime.now()
+        ended = datetime.datetime.now(datetime.UTC)
         seconds = int((ended - begun).total_seconds())
         verdict = "Y" if rows is not None and rows == written else "N"
         return name, begun, ended, worker.number, seconds, rows, written, verdict
 
+    # Large tables first: the run then does not end waiting for one that began last.
+    queue = sorted(names, key=source.size_hint, reverse=True)
     run = inheritable_thread_target(spark)(task)
     with ThreadPoolExecutor(max_workers=conf.table_parallelism) as pool:
-        records = list(pool.map(run, names))
-    return spark.createDataFrame(records, TASK_SCHEMA)
+        done = dict(zip(queue, pool.map(run, queue)))
+    tasks = small_frame(spark, [done[name] for name in names], TASK_SCHEMA)
+    target.replace(TASK_TABLE, tasks, conf)
+    return tasks
+
+
+def _spelled(source: TableSet, listed: Sequence[str]) -> list[str]:
+    """Each listed table once, as the source spells it; unknown names as they are."""
+    known = {name.lower(): name for name in source.all_names()}
+    return list({name.lower(): known.get(name.lower(), name) for name in listed}.values())
 
 
 @dataclass(frozen=True)
@@ -158,7 +169,7 @@ def migrate_database(
 
     sequences = sequence_starts(target, [a for a in auto_columns if wanted(a.table)])
     if data_only or listed is not None:
-        views = source.spark.createDataFrame([], VIEW_SCHEMA)
+        views = small_frame(source.spark, [], VIEW_SCHEMA)
     else:
         views = register_views(target, source.view_definitions())
     kept = [c for c in constraints if wanted(c.table)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablehaul.functions.frames import small_frame
 from tablehaul.operators.checks import FOREIGN
 
 KINDS = ("tables", "views", "auto columns", "indexes/constraints", "foreign keys")
@@ -27,7 +28,7 @@ def migration_summary(
     )
     won = F.count_if(F.col("is_success") == "Y")
     counted = every.groupBy("kind").agg(F.count(F.lit(1)).alias("total"), won.alias("success"))
-    kinds = tasks.sparkSession.createDataFrame([(k,) for k in KINDS], "kind string")
+    kinds = small_frame(tasks.sparkSession, [(k,) for k in KINDS], "kind string")
     none = F.lit(0).cast("bigint")
     total, success = F.coalesce("total", none), F.coalesce("success", none)
     return kinds.join(counted, "kind", "left").select(

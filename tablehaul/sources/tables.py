@@ -70,6 +70,10 @@ class TableSet(ABC):
         """One row ``(rows)``: the size of the table with exactly this name."""
         return self._frame(name).agg(F.count(F.lit(1)).alias("rows"))
 
+    def size_hint(self, table: str) -> int:
+        """Bytes of the table if they are known, to begin large tables first."""
+        return 0
+
     def view_definitions(self) -> dict[str, str]:
         return dict(self._views)
 
@@ -169,6 +173,11 @@ class ParquetTables(TableSet):
     def _frame(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._table_path(name))
 
+    def size_hint(self, table: str) -> int:
+        place = self._path(self._table_path(table))
+        files = self._files()
+        return files.getContentSummary(place).getLength() if files.exists(place) else 0
+
     def count_frame(self, name: str) -> DataFrame:
         # Without columns the row counts of the file footers suffice, and no schema is looked up.
         no_columns = self.spark.read.schema(T.StructType([])).parquet(self._table_path(name))

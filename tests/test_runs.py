@@ -18,6 +18,7 @@ from tablehaul import (
     migrate_database,
     object_totals,
     sequence_starts,
+    store_report,
     table_list,
 )
 from tablehaul.plans.compare import shown
@@ -58,11 +59,14 @@ def test_tables_are_copied_and_recorded(spark, source, target):
     assert rows(target.rejected("Words")) == [("toolong", "s:length")]
     assert target.read("empty").dtypes == [("k", "int"), ("s", "string")]
     assert target.table_names() == ["Words", "empty", "numbers"]
+    assert rows(target.read("my_mig_task_info").select("table_name", "is_success")) == rows(
+        tasks.select("table_name", "is_success")
+    )
     assert sorted(r[0] for r in failed_tables(tasks).collect()) == ["Words", "broken"]
 
 
 def test_a_second_run_changes_nothing(spark, source, target):
-    only = ["numbers", "EMPTY"]
+    only = ["numbers", "EMPTY", "Numbers"]
     first = migrate(source, target, tables=only)
     again = migrate(source, target, tables=only)
     kept = ["table_name", "source_table_rows", "target_table_rows", "is_success"]
@@ -186,6 +190,14 @@ def test_compare_verdicts(spark, source):
     assert shown(report).filter("compare_time rlike '^[0-9]{2}-[0-9]{2} [0-9:]{8}$'").count() == 6
 
 
+def test_report_is_kept_in_the_target(spark, source, target):
+    migrate(source, target, tables=["numbers"])
+    chosen = FrameTables(spark, "src", {"numbers": source.read("numbers")})
+    store_report(compare(chosen, target), target)
+    assert target.read("data_compare").select("is_success").collect() == [("Y",)]
+    assert target.table_names() == ["numbers"]
+
+
 def test_compare_needs_both_sides(spark):
     here = ParquetTables(spark, "/root/testdata/sf0.001")
     nowhere = ParquetTables(spark, "/root/testdata/none")
