@@ -14,9 +14,7 @@ class JobConf:
     keyed read. ``table_parallelism`` tables are moved at a time, each read by
     ``read_parallelism`` connections and written by ``write_parallelism``.
     ``length_unit`` says whether a VARCHAR length counts characters or bytes.
-    ``cluster_by`` maps a table to the columns its files are sorted by. ``stage_live_reads``
-    writes a live database's rows to the shared folder before they are checked, so that good and
-    rejected rows come from one read.
+    ``cluster_by`` maps a table to the columns its files are sorted by.
     """
 
     fetchsize: int = 5000
@@ -26,7 +24,6 @@ class JobConf:
     read_parallelism: int = 4
     write_parallelism: int = 4
     length_unit: str = "char"
-    stage_live_reads: bool = True
     cluster_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:

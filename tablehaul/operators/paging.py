@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,7 @@ from tablehaul.functions.names import quoted
 from tablehaul.operators.ordering import (
     MAX_EDGES,
     ROWS_PER_BUCKET,
+    Buckets,
     edge_index,
     key_buckets,
     sortable,
@@ -21,12 +23,12 @@ from tablehaul.shared import stage
 MAX_TAG_PAGES = MAX_EDGES
 
 
-def _key_pages(df: DataFrame, key: str, page_size: int, rows_per_bucket: int) -> DataFrame:
+def _key_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> DataFrame:
     """``(k, c, page)``: each distinct key, its rows, and the page its first row falls on.
 
     Rows are counted per key before anything is ordered, so a frequent key costs one row.
+    Page numbers have gaps after keys with more rows than a page.
     """
-    buckets = key_buckets(df, key, rows_per_bucket)
     kind = df.schema[key].dataType
     counted = df.select(F.col(quoted(key)).alias("k")).groupBy("k").agg(
         F.count(F.lit(1)).alias("c")
@@ -49,6 +51,34 @@ def _renumber(pages: DataFrame, rows_per_bucket: int) -> DataFrame:
     ).drop("bucket")
 
 
+@dataclass(frozen=True)
+class _Pages:
+    """Pages ``(page, lo, hi, n_rows)`` as first numbered, and how many there are."""
+
+    raw: DataFrame
+    count: int
+    has_gaps: bool
+    rows_per_bucket: int
+
+    def dense(self) -> DataFrame:
+        """The pages numbered without gaps, the first number kept as ``raw_page``."""
+        pages = self.raw.withColumn("raw_page", F.col("page"))
+        return _renumber(pages, self.rows_per_bucket) if self.has_gaps else pages
+
+
+def _pages_of(
+    df: DataFrame, key: str, page_size: int, buckets: Buckets, rows_per_bucket: int
+) -> _Pages:
+    pages = stage(
+        _key_pages(df, key, page_size, buckets)
+        .groupBy("page")
+        .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("c").alias("n_rows")),
+        "pages",
+    )
+    count, last = pages.agg(F.count(F.lit(1)), F.max("page")).first()
+    return _Pages(pages, count, count > 0 and last + 1 != count, rows_per_bucket)
+
+
 def page_bounds(
     df: DataFrame,
     key: str,
@@ -64,18 +94,11 @@ def page_bounds(
     """
     if page_size < 1 or shards < 1:
         raise ValueError("page_size and shards must be at least 1")
-    pages = stage(
-        _key_pages(df, key, page_size, rows_per_bucket)
-        .groupBy("page")
-        .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("c").alias("n_rows")),
-        "pages",
-    )
-    n_pages, last = pages.agg(F.count(F.lit(1)), F.max("page")).first()
-    if n_pages and last + 1 != n_pages:
-        pages = _renumber(pages, rows_per_bucket)
-    used = max(1, min(shards, n_pages))
-    shard = F.floor(F.col("page") * F.lit(used) / F.lit(max(1, n_pages))).cast("int")
-    return pages.select(
+    buckets = key_buckets(df, key, rows_per_bucket)
+    pages = _pages_of(df, key, page_size, buckets, rows_per_bucket)
+    used = max(1, min(shards, pages.count))
+    shard = F.floor(F.col("page") * F.lit(used) / F.lit(max(1, pages.count))).cast("int")
+    return pages.dense().select(
         F.col("page").cast("bigint").alias("page"), "lo", "hi", "n_rows", shard.alias("shard")
     )
 
@@ -105,26 +128,23 @@ def tag_pages(
     """
     if "page" in {c.lower() for c in df.columns}:
         raise ValueError("the input already has a column 'page'")
-    bounds = page_bounds(df, key, page_size, 1, rows_per_bucket)
+    buckets = key_buckets(df, key, rows_per_bucket)
+    pages = _pages_of(df, key, page_size, buckets, rows_per_bucket)
     kind = df.schema[key].dataType
-    if bounds.count() <= max_tag_pages:
-        starts = bounds.select(sortable(kind, F.col("lo")).alias("lo"), "page")
-        # Page 0 needs no edge; the others all start at a key, for NULL sorts first.
-        edges = [r.lo for r in starts.filter("page > 0").orderBy("page").collect()]
+    if pages.count <= max_tag_pages:
+        starts = pages.raw.select(sortable(kind, F.col("lo")).alias("lo"), "page")
+        # The first page needs no edge; the others all start at a key, for NULL sorts first.
+        edges = [r.lo for r in starts.orderBy("page").collect()][1:]
         tagged = edge_index(df, sortable(kind, F.col(quoted(key))), edges, "page")
         return tagged.withColumn("page", F.col("page").cast("bigint"))
-    by_key = _key_pages(df, key, page_size, rows_per_bucket)
-    dense = _dense_pages(by_key, bounds).withColumnRenamed("k", "__key")
-    matched = df.join(dense, F.col(quoted(key)).eqNullSafe(F.col("__key")), "inner")
-    return matched.drop("__key")
-
-
-def _dense_pages(by_key: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Keys with the final page number: pages may have been renumbered."""
-    starts = bounds.select(F.col("lo").alias("page_lo"), F.col("page").alias("dense"))
-    firsts = by_key.groupBy("page").agg(F.min("k").alias("page_lo"))
-    numbers = firsts.join(starts, firsts.page_lo.eqNullSafe(starts.page_lo)).select("page", "dense")
-    return by_key.join(numbers, "page").select("k", F.col("dense").alias("page"))
+    by_key = _key_pages(df, key, page_size, buckets).select(F.col("k").alias("__key"), "page")
+    if pages.has_gaps:
+        numbers = pages.dense().select("raw_page", F.col("page").alias("__page"))
+        by_key = by_key.join(numbers, F.col("page") == F.col("raw_page")).select(
+            "__key", F.col("__page").alias("page")
+        )
+    matched = df.join(by_key, F.col(quoted(key)).eqNullSafe(F.col("__key")), "inner")
+    return matched.drop("__key").withColumn("page", F.col("page").cast("bigint"))
 
 
 def seek_page(df: DataFrame, key: str, after: Any, limit: int) -> DataFrame:

@@ -58,7 +58,7 @@ def register_views(target: TableSet, views: Mapping[str, str]) -> DataFrame:
 
     A view may need another one, so those that fail are tried again until a round adds none.
     """
-    target.expose_tables()
+    target.expose_tables("\n".join(views.values()))
     waiting = dict(views)
     errors: dict[str, str] = {}
     while waiting:

@@ -17,12 +17,7 @@ from pyspark.sql import functions as F
 from tablehaul.conf import JobConf
 from tablehaul.functions.frames import small_frame
 from tablehaul.operators.checks import FOREIGN, Constraint, run_checks
-from tablehaul.operators.conform import (
-    REJECT_REASON,
-    has_rules,
-    split_marked,
-    with_reject_reason,
-)
+from tablehaul.operators.conform import has_rules, split_marked, with_reject_reason
 from tablehaul.operators.sequence import AutoColumn, sequence_starts
 from tablehaul.operators.sinks import clustered, write_existing
 from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
@@ -49,39 +44,33 @@ def _copy(
 ) -> tuple[int, int]:
     """Copy one table; ``(source_rows, target_rows)``.
 
-    Rejected rows are counted in the job that writes the table, and a second job keeps them only
-    if there were any. Where nothing can be rejected and the source's size costs no scan, the
-    copy is a plain read and write.
+    Rows that fit are written in one pass. The rest is looked for only if the target came out
+    smaller than the source. A live source is read once: its rows are staged if more than one
+    pass over them may follow, and are counted on the way otherwise.
     """
     scan = source.scan(table, conf)
     specs = source.columns(table, scan)
     marked = with_reject_reason(scan, specs, conf.length_unit)
-    rules = has_rules(scan, specs, conf.length_unit)
-    if rules and conf.stage_live_reads and not source.reads_repeat():
+    sorted_by = conf.cluster_by.get(table)
+    if source.reads_repeat():
+        source_rows = source.count_frame(table).first
+    elif sorted_by or has_rules(scan, specs, conf.length_unit):
         marked = stage(marked, "live")
-    observing = rules or not source.reads_repeat()
-    seen = Observation()
-    observed = marked
-    if observing:
-        observed = marked.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(REJECT_REASON) != "").alias("rejected"),
-        )
-    good, _ = split_marked(observed, specs)
-    if table in conf.cluster_by:
-        good = clustered(good, conf.cluster_by[table])
+        source_rows = marked.agg(F.count(F.lit(1))).first
+    else:
+        seen = Observation()
+        marked = marked.observe(seen, F.count(F.lit(1)).alias("rows"))
+        source_rows = lambda: list(seen.get.values())
+    good, rejected = split_marked(marked, specs)
+    if sorted_by:
+        good = clustered(good, sorted_by)
     if data_only:
         write_existing(good, target, table, conf=conf)
     else:
         target.replace(table, good, conf)
-    written = target.count_frame(target.resolve(table)).first()[0]
-    rows, rejected = (seen.get["rows"], seen.get["rejected"]) if observing else (None, 0)
-    if source.reads_repeat() and rows != written + rejected:
-        # Not observed, or observed twice by a repeated task: the source itself is the judge.
-        rows = source.count_frame(table).first()[0]
-    if rejected:
-        target.keep_rejected(table, split_marked(marked, specs)[1])
+    rows, written = source_rows()[0], target.count_frame(target.resolve(table)).first()[0]
+    if written < rows:
+        target.keep_rejected(table, rejected)
     return rows, written
 
 

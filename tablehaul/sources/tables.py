@@ -88,10 +88,11 @@ class TableSet(ABC):
         """Store rows of the table that did not fit, apart from its tables."""
         raise NotImplementedError(f"{type(self).__name__} cannot be written")
 
-    def expose_tables(self) -> None:
-        """Make the tables known by name to view texts."""
+    def expose_tables(self, text: str) -> None:
+        """Make the tables that a text mentions known to Spark by name."""
         for table in self.table_names():
-            self._frame(table).createOrReplaceTempView(quoted(table))
+            if table.lower() in text.lower():
+                self._frame(table).createOrReplaceTempView(quoted(table))
 
     def create_view(self, name: str, body: str) -> None:
         """Define a view whose text names the tables of this set."""
@@ -268,16 +269,14 @@ class CatalogTables(TableSet):
     def keep_rejected(self, table: str, df: DataFrame) -> None:
         self.replace(table + self.rejected_suffix, df)
 
-    def expose_tables(self) -> None:
+    def expose_tables(self, text: str) -> None:
         """Nothing to do: the catalog knows its tables."""
 
     def create_view(self, name: str, body: str) -> None:
-        before = self.spark.catalog.currentDatabase()
-        self.spark.catalog.setCurrentDatabase(self.name)
-        try:
-            self.spark.sql(f"CREATE OR REPLACE VIEW {self._qualified(name)} AS {body}")
-        finally:
-            self.spark.catalog.setCurrentDatabase(before)
+        # A session of its own: a temporary view of the caller could hide a table of the database.
+        session = self.spark.newSession()
+        session.catalog.setCurrentDatabase(self.name)
+        session.sql(f"CREATE OR REPLACE VIEW {self._qualified(name)} AS {body}")
 
     def read_view(self, name: str) -> DataFrame:
         return self.spark.table(self._qualified(name))

@@ -116,7 +116,7 @@ def test_ranking_a_large_input_is_not_one_task(spark, plan):
     from tablehaul.operators.paging import _key_pages
 
     df = spark.range(5000).withColumnRenamed("id", "k")
-    text = plan(_key_pages(df, "k", 100, 500))
+    text = plan(_key_pages(df, "k", 100, key_buckets(df, "k", 500)))
     assert "SinglePartition" not in text
     assert "Python" not in text
 

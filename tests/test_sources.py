@@ -185,6 +185,7 @@ def test_catalog_tables(spark, catalog):
     with pytest.raises(Exception):
         write_table(failing, catalog, "t")
     assert catalog.read("t").count() == 3 and catalog.table_names() == ["t"]
+    spark.range(99).createOrReplaceTempView("t")
     outcomes = register_views(catalog, {"v": "CREATE VIEW `v` AS select `id` from `t`"})
     assert [r.is_success for r in outcomes.collect()] == ["Y"]
     assert catalog.view_names() == ["v"] and catalog.read_view("v").count() == 3
