@@ -123,8 +123,8 @@ def run_checks(
         try:
             found = _violations(tables, constraint)
             verdict = "Y" if found == 0 else "N"
-        except Exception:
-            _log.exception("constraint %s on %s failed", constraint.name, constraint.table)
+        except Exception as error:
+            _log.error("constraint %s on %s failed: %s", constraint.name, constraint.table, error)
             found, verdict = None, "N"
         return constraint.kind, constraint.table, constraint.name, found, verdict
 

@@ -21,6 +21,7 @@ from tablehaul.shared import stage
 MAX_EDGES = 4095
 ROWS_PER_BUCKET = 1_000_000
 SAMPLE_PER_BUCKET = 16
+HOT_FACTOR = 4
 _HASH_RANGE = 1 << 30
 
 
@@ -61,52 +62,55 @@ def edge_index(df: DataFrame, key: Column, edges: Sequence, name: str) -> DataFr
 
 @dataclass(frozen=True)
 class Buckets:
-    """Ranges of a key: their lower edges, and how many rows lie before each."""
+    """Ranges of a key: their lower edges, and how many rows each holds."""
 
     edges: tuple
-    rows_before: tuple[int, ...]
+    sizes: tuple[int, ...]
+    rows_per_bucket: int
 
     def assign(self, df: DataFrame, key: Column, name: str) -> DataFrame:
         return edge_index(df, key, self.edges, name)
 
-    def rows_before_bucket(self, bucket: Column) -> Column:
-        return F.get(F.lit(list(self.rows_before)).cast("array<bigint>"), bucket)
+    def rows_before(self, bucket: Column) -> Column:
+        totals = list(accumulate(self.sizes[:-1], initial=0))
+        return F.get(F.lit(totals).cast("array<bigint>"), bucket)
+
+    @property
+    def are_even(self) -> bool:
+        """Whether each bucket's rows fit one task. They do not if few values hold many rows."""
+        share = max(self.rows_per_bucket, sum(self.sizes) // (MAX_EDGES + 1))
+        return max(self.sizes) <= HOT_FACTOR * share
 
 
 def key_buckets(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Buckets:
-    """Split the distinct values of ``key`` into ranges of about ``rows_per_bucket`` values.
+    """Split the values of ``key`` into ranges of about ``rows_per_bucket`` rows.
 
-    Edges come from a sample picked by the hash of the value. It holds the same values
-    on every run, a frequent value no more often than a rare one, and about
-    ``SAMPLE_PER_BUCKET`` values for each bucket, whatever the size of the table.
-    Only the key column is read.
+    Edges come from a sample picked by the hash of the value. It holds the same values on every
+    run, a frequent value no more often than a rare one, and at most about ``SAMPLE_PER_BUCKET``
+    values for each bucket, whatever the size of the table. A value is never split, so a
+    bucket holds few values even where it holds many rows. Only the key column is read.
     """
     kind = df.schema[key].dataType
     keys = df.select(sortable(kind, F.col(quoted(key))).alias("k"))
-    n_rows, n_values = keys.agg(
-        F.count(F.lit(1)), F.approx_count_distinct("k")
-    ).first()
-    n_buckets = min(MAX_EDGES + 1, -(-n_values // rows_per_bucket))
+    n_rows = keys.count()
+    n_buckets = min(MAX_EDGES + 1, -(-n_rows // rows_per_bucket))
     if n_buckets <= 1:
-        return Buckets((), (0,))
+        return Buckets((), (n_rows,), rows_per_bucket)
     wanted = n_buckets * SAMPLE_PER_BUCKET
-    share = min(_HASH_RANGE, int(_HASH_RANGE * wanted / n_values) + 1)
+    share = min(_HASH_RANGE, _HASH_RANGE * wanted // n_rows + 1)
     sample = (
         keys.filter(F.pmod(F.xxhash64("k"), F.lit(_HASH_RANGE)) < share)
         .filter(F.col("k").isNotNull())
         .distinct()
     )
     values = [row.k for row in sample.orderBy("k").collect()]
-    edges = tuple(
-        dict.fromkeys(values[len(values) * i // n_buckets] for i in range(1, n_buckets))
-        if values
-        else ()
-    )
+    picked = [values[len(values) * i // n_buckets] for i in range(1, n_buckets)] if values else []
+    edges = tuple(dict.fromkeys(picked))
     counts = dict(
         edge_index(keys, F.col("k"), edges, "bucket").groupBy("bucket").count().collect()
     )
-    sizes = [counts.get(i, 0) for i in range(len(edges) + 1)]
-    return Buckets(edges, tuple(accumulate(sizes[:-1], initial=0)))
+    sizes = tuple(counts.get(i, 0) for i in range(len(edges) + 1))
+    return Buckets(edges, sizes, rows_per_bucket)
 
 
 def number_in_order(df: DataFrame, order_by: Sequence[Column], name: str, start: int) -> DataFrame:

@@ -23,11 +23,19 @@ from tablehaul.shared import stage
 MAX_TAG_PAGES = MAX_EDGES
 
 
+def _row_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> DataFrame:
+    """Every row with the ``page`` that the first row of its key falls on, for even buckets."""
+    kind = df.schema[key].dataType
+    placed = buckets.assign(df, sortable(kind, F.col(quoted(key))), "__bucket")
+    ranked = F.rank().over(Window.partitionBy("__bucket").orderBy(F.col(quoted(key))))
+    first = buckets.rows_before(F.col("__bucket")) + ranked - F.lit(1)
+    return placed.withColumn("page", F.floor(first / F.lit(page_size))).drop("__bucket")
+
+
 def _key_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> DataFrame:
     """``(k, c, page)``: each distinct key, its rows, and the page its first row falls on.
 
     Rows are counted per key before anything is ordered, so a frequent key costs one row.
-    Page numbers have gaps after keys with more rows than a page.
     """
     kind = df.schema[key].dataType
     counted = df.select(F.col(quoted(key)).alias("k")).groupBy("k").agg(
@@ -37,7 +45,7 @@ def _key_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> Dat
     upto = Window.partitionBy("bucket").orderBy("k").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    first = buckets.rows_before_bucket(F.col("bucket")) + F.sum("c").over(upto) - F.col("c")
+    first = buckets.rows_before(F.col("bucket")) + F.sum("c").over(upto) - F.col("c")
     return placed.select("k", "c", F.floor(first / F.lit(page_size)).alias("page"))
 
 
@@ -47,7 +55,7 @@ def _renumber(pages: DataFrame, rows_per_bucket: int) -> DataFrame:
     placed = buckets.assign(pages, F.col("page"), "bucket")
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("page"))
     return placed.withColumn(
-        "page", buckets.rows_before_bucket(F.col("bucket")) + rank - F.lit(1)
+        "page", buckets.rows_before(F.col("bucket")) + rank - F.lit(1)
     ).drop("bucket")
 
 
@@ -66,17 +74,27 @@ class _Pages:
         return _renumber(pages, self.rows_per_bucket) if self.has_gaps else pages
 
 
-def _pages_of(
-    df: DataFrame, key: str, page_size: int, buckets: Buckets, rows_per_bucket: int
-) -> _Pages:
+def _pages_of(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> _Pages:
+    """The pages of the table, staged.
+
+    Where the buckets are even, rows go to them as they are: one shuffle of the key column. Where
+    few keys hold many rows they are counted per key first.
+    """
+    if buckets.are_even:
+        keys = df.select(F.col(quoted(key)).alias("k"))
+        paged = _row_pages(keys, "k", page_size, buckets)
+        rows = F.count(F.lit(1))
+    else:
+        paged = _key_pages(df, key, page_size, buckets)
+        rows = F.sum("c")
     pages = stage(
-        _key_pages(df, key, page_size, buckets)
-        .groupBy("page")
-        .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("c").alias("n_rows")),
+        paged.groupBy("page").agg(
+            F.min("k").alias("lo"), F.max("k").alias("hi"), rows.alias("n_rows")
+        ),
         "pages",
     )
     count, last = pages.agg(F.count(F.lit(1)), F.max("page")).first()
-    return _Pages(pages, count, count > 0 and last + 1 != count, rows_per_bucket)
+    return _Pages(pages, count, count > 0 and last + 1 != count, buckets.rows_per_bucket)
 
 
 def page_bounds(
@@ -95,7 +113,7 @@ def page_bounds(
     if page_size < 1 or shards < 1:
         raise ValueError("page_size and shards must be at least 1")
     buckets = key_buckets(df, key, rows_per_bucket)
-    pages = _pages_of(df, key, page_size, buckets, rows_per_bucket)
+    pages = _pages_of(df, key, page_size, buckets)
     used = max(1, min(shards, pages.count))
     shard = F.floor(F.col("page") * F.lit(used) / F.lit(max(1, pages.count))).cast("int")
     return pages.dense().select(
@@ -124,12 +142,13 @@ def tag_pages(
     """Every row with the ``page`` that :func:`page_bounds` puts its key on.
 
     Up to ``max_tag_pages`` pages the page starts are a literal array and no row moves. Beyond,
-    rows meet their page in an equi-join on the key, whose hot keys adaptive execution splits.
+    rows are ranked within even buckets of the key. If a few keys hold many rows, rows meet their
+    key's page in an equi-join instead, whose hot keys adaptive execution splits.
     """
     if "page" in {c.lower() for c in df.columns}:
         raise ValueError("the input already has a column 'page'")
     buckets = key_buckets(df, key, rows_per_bucket)
-    pages = _pages_of(df, key, page_size, buckets, rows_per_bucket)
+    pages = _pages_of(df, key, page_size, buckets)
     kind = df.schema[key].dataType
     if pages.count <= max_tag_pages:
         starts = pages.raw.select(sortable(kind, F.col("lo")).alias("lo"), "page")
@@ -137,14 +156,20 @@ def tag_pages(
         edges = [r.lo for r in starts.orderBy("page").collect()][1:]
         tagged = edge_index(df, sortable(kind, F.col(quoted(key))), edges, "page")
         return tagged.withColumn("page", F.col("page").cast("bigint"))
-    by_key = _key_pages(df, key, page_size, buckets).select(F.col("k").alias("__key"), "page")
-    if pages.has_gaps:
-        numbers = pages.dense().select("raw_page", F.col("page").alias("__page"))
-        by_key = by_key.join(numbers, F.col("page") == F.col("raw_page")).select(
-            "__key", F.col("__page").alias("page")
-        )
-    matched = df.join(by_key, F.col(quoted(key)).eqNullSafe(F.col("__key")), "inner")
-    return matched.drop("__key").withColumn("page", F.col("page").cast("bigint"))
+    if buckets.are_even:
+        tagged = _row_pages(df, key, page_size, buckets)
+    else:
+        by_key = _key_pages(df, key, page_size, buckets).select(F.col("k").alias("__key"), "page")
+        tagged = df.join(by_key, F.col(quoted(key)).eqNullSafe(F.col("__key"))).drop("__key")
+    tagged = tagged.withColumn("page", F.col("page").cast("bigint"))
+    if not pages.has_gaps:
+        return tagged
+    numbers = pages.dense().select("raw_page", F.col("page").alias("__page"))
+    return (
+        tagged.join(numbers, F.col("page") == F.col("raw_page"))
+        .withColumn("page", F.col("__page"))
+        .drop("raw_page", "__page")
+    )
 
 
 def seek_page(df: DataFrame, key: str, after: Any, limit: int) -> DataFrame:

@@ -44,8 +44,8 @@ def row_counts(tables: TableSet) -> DataFrame:
     def counted_alone(name: str) -> tuple:
         try:
             return tuple(counted(name).first())
-        except Exception:
-            _log.exception("counting %s.%s failed", tables.name, name)
+        except Exception as error:
+            _log.error("counting %s.%s failed: %s", tables.name, name, error)
             return name, MISSING_ROWS
 
     if not names:

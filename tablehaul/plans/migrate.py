@@ -102,8 +102,8 @@ def migrate(
         rows = written = None
         try:
             rows, written = _copy(source, target, name, conf, data_only)
-        except Exception:
-            _log.exception("table %s failed", name)
+        except Exception as error:
+            _log.error("table %s failed: %s", name, error)
         ended = datetime.datetime.now(datetime.UTC)
         seconds = int((ended - begun).total_seconds())
         verdict = "Y" if rows is not None and rows == written else "N"

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tablehaul import append_with_sequence, offset_page, page_bounds, seek_page, tag_pages
 from tablehaul.operators.ordering import edge_index, key_buckets, number_in_order
+from tablehaul.operators.paging import _key_pages, _row_pages
+from tablehaul.operators.sinks import clustered
 
 
 def _frame(spark, values, kind):
@@ -55,10 +57,11 @@ def _expected_pages(keys, page_size):
     return {key: dense[page] for key, page in raw.items()}
 
 
+@pytest.mark.parametrize("hot_share", [0, 1 / 3])
 @pytest.mark.parametrize("shape", SHAPES)
-def test_pages_partition_the_table(spark, shape):
+def test_pages_partition_the_table(spark, shape, hot_share):
     kind, make = SHAPES[shape]
-    keys = _mixed(make, 400, 1 / 3, 5, shape)
+    keys = _mixed(make, 400, hot_share, 5, shape)
     df = _frame(spark, keys, kind)
     expected = _expected_pages([bytes(k) if isinstance(k, bytearray) else k for k in keys], 30)
     bounds = page_bounds(df, "k", 30, 4, rows_per_bucket=20).orderBy("page").collect()
@@ -108,17 +111,24 @@ def test_edges_count_what_is_at_or_below(spark):
 def test_buckets_are_even_in_spite_of_outliers(spark):
     keys = [*range(2000), 10**18]
     buckets = key_buckets(_frame(spark, keys, T.LongType()), "k", rows_per_bucket=200)
-    sizes = [b - a for a, b in zip(buckets.rows_before, [*buckets.rows_before[1:], len(keys)])]
-    assert len(sizes) >= 8 and max(sizes) < 4 * 200
+    assert sum(buckets.sizes) == len(keys) and len(buckets.sizes) >= 8
+    assert max(buckets.sizes) < 4 * 200 and buckets.are_even
 
 
-def test_ranking_a_large_input_is_not_one_task(spark, plan):
-    from tablehaul.operators.paging import _key_pages
+def test_a_hot_key_makes_buckets_uneven(spark):
+    keys = [7] * 900 + list(range(1800))
+    assert not key_buckets(_frame(spark, keys, T.LongType()), "k", rows_per_bucket=200).are_even
+    few = key_buckets(_frame(spark, [1, 2, 3] * 1000, T.LongType()), "k", rows_per_bucket=200)
+    assert not few.are_even
+
 
-    df = spark.range(5000).withColumnRenamed("id", "k")
-    text = plan(_key_pages(df, "k", 100, key_buckets(df, "k", 500)))
-    assert "SinglePartition" not in text
-    assert "Python" not in text
+def test_ranking_a_large_input_is_not_one_task(spark, plan):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    buckets = key_buckets(df, "o_orderkey", 100)
+    for ranked, shuffles in ((_row_pages, 1), (_key_pages, 2)):
+        text = plan(ranked(df.select("o_orderkey"), "o_orderkey", 100, buckets))
+        assert "SinglePartition" not in text and "Python" not in text
+        assert text.count("Exchange hashpartitioning") == shuffles
 
 
 def test_numbers_are_dense_when_nearly_all_rows_tie(spark):
@@ -133,8 +143,6 @@ def test_numbers_are_dense_when_nearly_all_rows_tie(spark):
 
 def test_ties_are_spread_over_tasks(spark):
     df = spark.range(0, 4000, 1, 8).select(F.lit("same").alias("o"), "id")
-    from tablehaul.operators.sinks import clustered
-
     sizes = clustered(df, ["o"], files=8).groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) <= 1000
 
