@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablehaul.functions.frames import small_frame
@@ -27,6 +28,12 @@ PLANNING_THREADS = 8
 _log = logging.getLogger(__name__)
 
 
+def _in_threads(spark: SparkSession, function: Callable, items: Sequence) -> list:
+    """``function`` of each item. Looking up files and starting jobs is mostly waiting."""
+    with ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(function), items))
+
+
 def row_counts(tables: TableSet) -> DataFrame:
     """``(name, rows)`` of every table; ``rows`` is -1 where counting failed.
 
@@ -51,8 +58,7 @@ def row_counts(tables: TableSet) -> DataFrame:
     if not names:
         return small_frame(tables.spark, [], schema)
     try:
-        with ThreadPoolExecutor(max_workers=PLANNING_THREADS) as pool:
-            planned = list(pool.map(inheritable_thread_target(tables.spark)(counted), names))
+        planned = _in_threads(tables.spark, counted, names)
         rows = reduce(DataFrame.unionByName, planned).collect()
     except Exception:
         rows = [counted_alone(n) for n in names]
@@ -80,12 +86,11 @@ def _numbered(report: DataFrame, source: TableSet, after: int) -> DataFrame:
 def compare_counts(source: TableSet, target: TableSet) -> DataFrame:
     """A verdict for every source table: ``Y`` if the target has it with as many rows."""
     _require(source, target)
-    ours = row_counts(source).select(
+    counted = _in_threads(source.spark, row_counts, [source, target])
+    ours = counted[0].select(
         F.upper("name").alias("source_table_name"), F.col("rows").alias("source_rows")
     )
-    theirs = row_counts(target).select(
-        F.upper("name").alias("found"), F.col("rows").alias("found_rows")
-    )
+    theirs = counted[1].select(F.upper("name").alias("found"), F.col("rows").alias("found_rows"))
     is_same = F.col("found").isNotNull() & (F.col("found_rows") == F.col("source_rows"))
     is_known = F.col("source_rows") != MISSING_ROWS
     joined = ours.join(theirs, F.col("source_table_name") == F.col("found"), "left")
