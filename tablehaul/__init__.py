@@ -42,5 +42,3 @@ from tablehaul.sources.tables import (
     TableSet,
     read_table,
 )
-
-__all__ = [name for name in dir() if not name.startswith("_")]

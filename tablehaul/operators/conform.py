@@ -26,6 +26,8 @@ from tablehaul.functions.types import (
 from tablehaul.shared import stage as staged
 
 REJECT_REASON = "reject_reason"
+# Decimal digits that hold every value of a type.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 REPORT_SCHEMA = "column_name string, rule string, violations bigint"
 
 
@@ -89,6 +91,8 @@ def _violations(
         rules.append(("length", length(value.cast("string")) > F.lit(spec.max_length)))
     if source == wanted:
         return rules
+    if _always_fits(source, wanted):
+        return rules
     result = converted(spec, source)
     lost = value.isNotNull() & result.isNull()
     if isinstance(wanted, T.DecimalType):
@@ -100,19 +104,27 @@ def _violations(
             return rules
     if isinstance(wanted, T.IntegralType) and _is_fractional(source):
         lost = lost | (value.isNotNull() & (F.floor(value) != value))
-    if not _always_fits(source, wanted):
-        rules.append(("cast", lost))
+    rules.append(("cast", lost))
     return rules
 
 
 def _always_fits(source: T.DataType, wanted: T.DataType) -> bool:
     """Whether no value can be lost, so that a test would only cost time."""
-    widths = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    if type(source) in widths and type(wanted) in widths:
-        return widths.index(type(source)) <= widths.index(type(wanted))
-    if isinstance(wanted, T.StringType):
-        return True
-    return isinstance(wanted, T.DoubleType) and isinstance(source, T.NumericType)
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(source, times):
+        return isinstance(wanted, (T.TimestampType, T.TimestampNTZType, T.StringType))
+    if isinstance(source, T.IntegralType) and isinstance(wanted, T.IntegralType):
+        return _DIGITS[type(source)] <= _DIGITS[type(wanted)]
+    if isinstance(wanted, T.DecimalType):
+        whole = wanted.precision - wanted.scale
+        if isinstance(source, T.DecimalType):
+            return source.precision - source.scale < whole or (
+                source.precision - source.scale == whole and source.scale <= wanted.scale
+            )
+        return isinstance(source, T.IntegralType) and _DIGITS[type(source)] <= whole
+    if isinstance(wanted, T.DoubleType):
+        return isinstance(source, T.NumericType)
+    return isinstance(wanted, T.StringType) or isinstance(source, T.BinaryType)
 
 
 def _all_violations(
@@ -126,13 +138,6 @@ def _all_violations(
     ]
 
 
-def has_rules(
-    df: DataFrame, columns: Sequence[ColumnSpec], length_unit: str = "char"
-) -> bool:
-    """Whether any value of the input could fail to fit."""
-    return bool(_all_violations(df, columns, length_unit))
-
-
 def fit_report(
     df: DataFrame, columns: Sequence[ColumnSpec], length_unit: str = "char"
 ) -> DataFrame:

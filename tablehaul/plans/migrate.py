@@ -6,7 +6,7 @@ import datetime
 import itertools
 import logging
 import threading
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablehaul.conf import JobConf
 from tablehaul.functions.frames import small_frame
 from tablehaul.operators.checks import FOREIGN, Constraint, run_checks
-from tablehaul.operators.conform import has_rules, split_marked, with_reject_reason
+from tablehaul.operators.conform import REJECT_REASON, split_marked, with_reject_reason
 from tablehaul.operators.sequence import AutoColumn, sequence_starts
 from tablehaul.operators.sinks import clustered, write_existing
 from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
@@ -44,36 +44,55 @@ def _copy(
 ) -> tuple[int, int]:
     """Copy one table; ``(source_rows, target_rows)``.
 
-    Rows that fit are written in one pass. The rest is looked for only if the target came out
-    smaller than the source. A live source is read once: its rows are staged if more than one
-    pass over them may follow, and are counted on the way otherwise.
+    Rows that fit are written in one pass, and the rest is looked for only if there is any. A live
+    source is counted in that pass. Should it have rows that do not fit, or have to be sorted,
+    its rows are staged and all that is kept comes from that one read.
     """
     scan = source.scan(table, conf)
     specs = source.columns(table, scan)
     marked = with_reject_reason(scan, specs, conf.length_unit)
     sorted_by = conf.cluster_by.get(table)
+
+    def write(rows: DataFrame) -> None:
+        good, _ = split_marked(rows, specs)
+        if sorted_by:
+            good = clustered(good, sorted_by)
+        if data_only:
+            write_existing(good, target, table, conf=conf)
+        else:
+            target.replace(table, good, conf)
+
     if source.reads_repeat():
-        source_rows = source.count_frame(table).first
-    elif sorted_by or has_rules(scan, specs, conf.length_unit):
-        marked = stage(marked, "live")
-        source_rows = marked.agg(F.count(F.lit(1))).first
+        write(marked)
+        rows = source.count_frame(table).first()[0]
     else:
-        seen = Observation()
-        marked = marked.observe(seen, F.count(F.lit(1)).alias("rows"))
-        source_rows = lambda: list(seen.get.values())
-    good, rejected = split_marked(marked, specs)
-    if sorted_by:
-        good = clustered(good, sorted_by)
-    if data_only:
-        write_existing(good, target, table, conf=conf)
-    else:
-        target.replace(table, good, conf)
-    rows, written = source_rows()[0], target.count_frame(target.resolve(table)).first()[0]
+        rows = None if sorted_by else _write_counted(marked, write)
+        if rows is None:
+            marked = stage(marked, "live")
+            write(marked)
+            rows = marked.count()
+    written = target.count_frame(target.resolve(table)).first()[0]
     if written < rows:
-        target.keep_rejected(table, rejected)
+        target.keep_rejected(table, split_marked(marked, specs)[1])
+    else:
+        target.clear_rejected(table)
     return rows, written
 
 
+def _write_counted(marked: DataFrame, write: Callable[[DataFrame], None]) -> int | None:
+    """Write and return the number of rows seen, or None if some of them did not fit."""
+    seen = Observation()
+    reason = F.col(REJECT_REASON)
+    write(
+        marked.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(reason != "").alias("rejected"),
+        )
+    )
+    return None if seen.get["rejected"] else seen.get["rows"]
+
+
 def migrate(
     source: TableSet,
     target: TableSet,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tablehaul.conf import JobConf
 from tablehaul.functions.types import ColumnSpec
 from tablehaul.operators.paging import shard_bounds
-from tablehaul.sources.tables import TableSet
+from tablehaul.sources.tables import REJECTED_SUFFIX, TableSet
 
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -23,8 +23,9 @@ _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 class Dialect:
     """How a database quotes names, and where its catalog lists things.
 
-    ``session`` runs on every reading connection. Without ``columns_sql`` the columns are those
-    that Spark sees. ``has_ntile`` is off for servers without window functions.
+    ``session`` runs on every reading connection and ``properties`` go to the driver. Without
+    ``columns_sql`` the columns are those that Spark sees. ``has_ntile`` is off for servers
+    without window functions, ``lower_names`` on for those that fold unquoted names.
     """
 
     quote: str
@@ -34,6 +35,26 @@ class Dialect:
     columns_sql: str = ""
     session: str = ""
     has_ntile: bool = True
+    lower_names: bool = False
+    backslash_escapes: bool = False
+    properties: Mapping[str, str] = field(default_factory=dict)
+
+    def literal(self, value: Any) -> str:
+        """A value as a SQL literal."""
+        if isinstance(value, bool):
+            return "TRUE" if value else "FALSE"
+        if isinstance(value, (int, float, decimal.Decimal)):
+            return str(value)
+        if isinstance(value, (bytes, bytearray)):
+            return f"X'{bytes(value).hex()}'"
+        if isinstance(value, datetime.datetime):
+            return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+        if isinstance(value, datetime.date):
+            return f"DATE '{value.isoformat()}'"
+        text = str(value)
+        if self.backslash_escapes:
+            text = text.replace("\\", "\\\\")
+        return "'" + text.replace("'", "''") + "'"
 
     def name(self, identifier: str) -> str:
         return self.quote + identifier.replace(self.quote, self.quote * 2) + self.quote
@@ -64,6 +85,8 @@ MYSQL = Dialect(
         "FROM information_schema.columns "
         "WHERE table_schema = DATABASE() AND table_name = {table}"
     ),
+    backslash_escapes=True,
+    properties={"tinyInt1isBit": "false"},
 )
 
 MYSQL_57 = replace(MYSQL, has_ntile=False)
@@ -87,38 +110,24 @@ POSTGRESQL = Dialect(
         "AND c.table_name = {table}"
     ),
     session="SET datestyle = 'YMD'",
+    lower_names=True,
 )
 
 
-def sql_text(value: Any) -> str:
-    """A value as a SQL literal."""
-    if isinstance(value, bool):
-        return "TRUE" if value else "FALSE"
-    if isinstance(value, (int, float, decimal.Decimal)):
-        return str(value)
-    if isinstance(value, (bytes, bytearray)):
-        return f"X'{bytes(value).hex()}'"
-    if isinstance(value, datetime.datetime):
-        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
-    if isinstance(value, datetime.date):
-        return f"DATE '{value.isoformat()}'"
-    return "'" + str(value).replace("'", "''") + "'"
-
-
 def shard_predicates(key: str, starts: Sequence[Any], dialect: Dialect) -> list[str]:
     """Half-open ranges of a key that hold every row exactly once.
 
     ``starts`` are the lowest keys of the shards. The first range has no lower end and takes NULL
     keys, the last has no upper end, and equal starts make one range.
     """
-    name = dialect.name(key)
+    name, literal = dialect.name(key), dialect.literal
     edges = list(dict.fromkeys(s for s in starts[1:] if s is not None))
     if not edges:
         return ["1 = 1"]
-    ranges = [f"{name} < {sql_text(edges[0])} OR {name} IS NULL"]
+    ranges = [f"{name} < {literal(edges[0])} OR {name} IS NULL"]
     for low, high in zip(edges, edges[1:]):
-        ranges.append(f"{name} >= {sql_text(low)} AND {name} < {sql_text(high)}")
-    ranges.append(f"{name} >= {sql_text(edges[-1])}")
+        ranges.append(f"{name} >= {literal(low)} AND {name} < {literal(high)}")
+    ranges.append(f"{name} >= {literal(edges[-1])}")
     return ranges
 
 
@@ -170,7 +179,13 @@ class JdbcTables(TableSet):
         return False
 
     def read_options(self) -> dict[str, str]:
-        options = {**self._properties, "url": self.url, "fetchsize": str(self.conf.fetchsize)}
+        options = {
+            **self.dialect.properties,
+            **self._properties,
+            "url": self.url,
+            "fetchsize": str(self.conf.fetchsize),
+            "preferTimestampNTZ": "true",
+        }
         if self.dialect.session:
             options["sessionInitStatement"] = self.dialect.session
         return options
@@ -182,7 +197,12 @@ class JdbcTables(TableSet):
     def all_names(self) -> list[str]:
         if self._names is None:
             self._names = sorted(r[0] for r in self.query(self.dialect.tables_sql).collect())
-        return self._names
+        return [n for n in self._names if not n.endswith(REJECTED_SUFFIX)]
+
+    def spelled(self, table: str) -> str:
+        name = super().spelled(table)
+        is_new = name not in self.all_names()
+        return name.lower() if is_new and self.dialect.lower_names else name
 
     def view_definitions(self) -> dict[str, str]:
         return {r[0]: r[1] for r in self.query(self.dialect.views_sql).collect()}
@@ -193,7 +213,7 @@ class JdbcTables(TableSet):
     def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
         if not self.dialect.columns_sql:
             return super().columns(table, df)
-        sql = self.dialect.columns_sql.format(table=sql_text(self.resolve(table)))
+        sql = self.dialect.columns_sql.format(table=self.dialect.literal(self.resolve(table)))
         records = self.query(sql).orderBy("ordinal_position").collect()
         return [column_record(r.asDict()) for r in records]
 
@@ -223,7 +243,7 @@ class JdbcTables(TableSet):
             .options(
                 **self.read_options(),
                 dbtable=self.dialect.name(table),
-                partitionColumn=k,
+                partitionColumn=key,
                 lowerBound=str(ends.lo),
                 upperBound=str(ends.hi),
                 numPartitions=str(parts),
@@ -238,7 +258,7 @@ class JdbcTables(TableSet):
         key is cut into equal widths and any other table is read by one connection.
         """
         table = self.resolve(table)
-        keys = self.query(self.dialect.key_sql.format(table=sql_text(table))).collect()
+        keys = self.query(self.dialect.key_sql.format(table=self.dialect.literal(table))).collect()
         key = paging_key([k.asDict() for k in keys])
         parts = conf.read_parallelism
         if key is None or parts == 1:
@@ -256,11 +276,24 @@ class JdbcTables(TableSet):
         return self.query(f"SELECT COUNT(*) AS {self.dialect.name('rows')} FROM {name}")
 
     def replace(self, table: str, df: DataFrame, conf: JobConf = JobConf()) -> None:
-        write_jdbc(df, self, table, conf.batchsize, conf.write_parallelism)
+        write_jdbc(df, self, self.spelled(table), conf.batchsize, conf.write_parallelism)
         self._names = None
 
     def keep_rejected(self, table: str, df: DataFrame) -> None:
-        write_jdbc(df, self, table + "__rejected", self.conf.batchsize, 1)
+        write_jdbc(
+            df,
+            self,
+            self.spelled(table) + REJECTED_SUFFIX,
+            self.conf.batchsize,
+            self.conf.write_parallelism,
+        )
+        self._names = None
+
+    def clear_rejected(self, table: str) -> None:
+        left = self.spelled(table) + REJECTED_SUFFIX
+        self.all_names()
+        if left in (self._names or ()):
+            write_jdbc(self._frame(left).limit(0), self, left, self.conf.batchsize, 1)
 
     def create_view(self, name: str, body: str) -> None:
         raise NotImplementedError("views are registered with Spark, not sent to the database")

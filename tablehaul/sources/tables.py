@@ -18,6 +18,7 @@ from tablehaul.functions.types import ColumnSpec, spec_of_field
 # Names of the tables that runs leave in a target, and of a server's own log.
 REPORT_TABLE = "data_compare"
 TASK_TABLE = "my_mig_task_info"
+REJECTED_SUFFIX = "__rejected"
 ENGINE_TABLES = (REPORT_TABLE, TASK_TABLE, "hg_t_audit_log")
 
 
@@ -51,6 +52,13 @@ class TableSet(ABC):
                 return name
         raise ValueError(f"{self.name} has no table {table!r}")
 
+    def spelled(self, table: str) -> str:
+        """The spelling of a table that is to be written: an existing one, or the given name."""
+        try:
+            return self.resolve(table)
+        except ValueError:
+            return table
+
     def read(self, table: str) -> DataFrame:
         return self._frame(self.resolve(table))
 
@@ -88,6 +96,9 @@ class TableSet(ABC):
         """Store rows of the table that did not fit, apart from its tables."""
         raise NotImplementedError(f"{type(self).__name__} cannot be written")
 
+    def clear_rejected(self, table: str) -> None:
+        """Forget the rejected rows of an earlier load."""
+
     def expose_tables(self, text: str) -> None:
         """Make the tables that a text mentions known to Spark by name."""
         for table in self.table_names():
@@ -188,17 +199,19 @@ class ParquetTables(TableSet):
         return self._specs.get(table.lower()) or super().columns(table, df)
 
     def replace(self, table: str, df: DataFrame, conf: JobConf = JobConf()) -> None:
-        try:
-            table = self.resolve(table)
-        except ValueError:
-            pass
-        self._swap_in(df, self._table_path(table))
+        self._swap_in(df, self._table_path(self.spelled(table)))
+
+    def _rejected_path(self, table: str) -> str:
+        return f"{self.path}/_rejected/{table}{self.SUFFIX}"
 
     def keep_rejected(self, table: str, df: DataFrame) -> None:
-        self._swap_in(df, f"{self.path}/_rejected/{table}{self.SUFFIX}")
+        self._swap_in(df, self._rejected_path(table))
+
+    def clear_rejected(self, table: str) -> None:
+        self._files().delete(self._path(self._rejected_path(table)), True)
 
     def rejected(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/_rejected/{table}{self.SUFFIX}")
+        return self.spark.read.parquet(self._rejected_path(table))
 
     def _swap_in(self, df: DataFrame, place: str) -> None:
         token = uuid.uuid4().hex
@@ -226,9 +239,8 @@ class ParquetTables(TableSet):
 class CatalogTables(TableSet):
     """A database of Spark's catalog; views in it are permanent ones."""
 
-    def __init__(self, spark: SparkSession, database: str, rejected_suffix: str = "__rejected"):
+    def __init__(self, spark: SparkSession, database: str) -> None:
         super().__init__(spark, database)
-        self.rejected_suffix = rejected_suffix
 
     def exists(self) -> bool:
         return self.spark.catalog.databaseExists(self.name)
@@ -243,7 +255,7 @@ class CatalogTables(TableSet):
     def all_names(self) -> list[str]:
         if not self.exists():
             return []
-        return [n for n in self._listed(views=False) if not n.endswith(self.rejected_suffix)]
+        return [n for n in self._listed(views=False) if not n.endswith(REJECTED_SUFFIX)]
 
     def view_names(self) -> list[str]:
         return self._listed(views=True) if self.exists() else []
@@ -267,7 +279,10 @@ class CatalogTables(TableSet):
         )
 
     def keep_rejected(self, table: str, df: DataFrame) -> None:
-        self.replace(table + self.rejected_suffix, df)
+        self.replace(table + REJECTED_SUFFIX, df)
+
+    def clear_rejected(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(table + REJECTED_SUFFIX)}")
 
     def expose_tables(self, text: str) -> None:
         """Nothing to do: the catalog knows its tables."""

@@ -118,7 +118,24 @@ BAD = [
         "string", ["2021-02-01 12:12:00", "0000-00-00 00:00:00", None], {"cast": 1},
     ),
     (ColumnSpec("c", "BLOB"), "string", ["\\x00ff", "\\xzz", "plain", None], {"cast": 1}),
-    (ColumnSpec("c", "BIT", numeric_precision=1), "binary", [b"\0", b"\1", None], {"cast": 0}),
+    (ColumnSpec("c", "BIT", numeric_precision=1), "binary", [b"\0", b"\1", None], {}),
+    (ColumnSpec("c", "DATETIME"), "timestamp", [datetime.datetime(2020, 1, 1), None], {}),
+    (
+        ColumnSpec("c", "DECIMAL", numeric_precision=12, numeric_scale=2),
+        "int", [2**31 - 1, -(2**31), None], {},
+    ),
+    (
+        ColumnSpec("c", "DECIMAL", numeric_precision=11, numeric_scale=2),
+        "int", [2**31 - 1, 5, None], {"decimal": 1},
+    ),
+    (
+        ColumnSpec("c", "DECIMAL", numeric_precision=5, numeric_scale=1),
+        "decimal(5,2)", [Decimal("999.99"), None], {},
+    ),
+    (
+        ColumnSpec("c", "DECIMAL", numeric_precision=4, numeric_scale=1),
+        "decimal(5,2)", [Decimal("999.99"), Decimal("1.00"), None], {"decimal": 1},
+    ),
 ]
 
 

@@ -13,7 +13,6 @@ from tablehaul.sources.jdbc import (
     paging_key,
     shard_predicates,
     shard_start_sql,
-    sql_text,
 )
 
 
@@ -50,15 +49,20 @@ def test_equal_parts_by_the_database(spark):
 
 @pytest.mark.parametrize(
     "value",
-    [1, -2.5, Decimal("1.10"), True, "it's", "ä\"`", datetime.date(2020, 2, 29),
+    [1, -2.5, Decimal("1.10"), True, "it's", "ä\"`", "back\\slash\\", datetime.date(2020, 2, 29),
      datetime.datetime(2020, 1, 1, 1, 2, 3, 456), b"\x00\xff"],
 )
 def test_literals(spark, value):
-    assert spark.sql(f"SELECT {sql_text(value)} AS v").first().v in (
+    assert spark.sql(f"SELECT {MYSQL.literal(value)} AS v").first().v in (
         value, Decimal(str(value)) if isinstance(value, float) else value
     )
 
 
+def test_backslashes_as_the_dialect_has_them():
+    assert POSTGRESQL.literal("a\\b") == "'a\\b'"
+    assert MYSQL.literal("a\\b") == "'a\\\\b'"
+
+
 def test_names_are_quoted():
     assert MYSQL.name("a`b") == "`a``b`"
     assert POSTGRESQL.name('a"b') == '"a""b"'

@@ -104,11 +104,33 @@ def test_a_source_read_once(spark, target):
     )
     live = Live(spark, "live", {"t": changing}, specs={"t": [LONG]})
     record = migrate(live, target).first()
-    assert record.source_table_rows == 1000
+    assert record.source_table_rows == 1000 and record.is_success == "N"
     assert target.read("t").count() + target.rejected("t").count() == 1000
     assert record.target_table_rows == target.read("t").count()
 
 
+@pytest.mark.parametrize("cluster_by", [{}, {"t": ("id",)}])
+def test_a_clean_live_source(spark, target, cluster_by):
+    class Live(FrameTables):
+        def reads_repeat(self):
+            return False
+
+    live = Live(spark, "live", {"t": spark.range(0, 500, 1, 4)})
+    record = migrate(live, target, JobConf(cluster_by=cluster_by)).first()
+    assert (record.source_table_rows, record.target_table_rows) == (500, 500)
+    assert rows(target.read("t")) == [(i,) for i in range(500)]
+
+
+def test_rejects_of_an_earlier_load_are_forgotten(spark, source, target):
+    migrate(source, target, tables=["words"])
+    assert target.rejected("Words").count() == 1
+    clean = FrameTables(spark, "src", {"Words": source.read("words").limit(1)},
+                        specs={"words": [LONG]})
+    assert migrate(clean, target).first().is_success == "Y"
+    with pytest.raises(Exception):
+        target.rejected("Words")
+
+
 def test_copying_plainly_reads_and_writes(spark, source, target, plan):
     migrate(source, target, JobConf(cluster_by={"numbers": ("id",)}), tables=["numbers"])
     assert rows(target.read("numbers")) == rows(source.read("numbers"))
