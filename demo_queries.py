@@ -157,6 +157,11 @@ def offset(spark, sf_dir):
     )
 
 
+def offset_deep(spark, sf_dir):
+    events = source_of(spark, sf_dir).read("events")
+    return offset_page(events, ["ts", "event_id"], 900, 50, rows_per_bucket=100)
+
+
 def _binary_names(spark, sf_dir):
     name = F.when(F.col("c_nationkey") != 0, F.encode("c_name", "UTF-8"))
     return source_of(spark, sf_dir).read("customer").select("c_custkey", name.alias("c_name"))
@@ -492,6 +497,7 @@ QUERIES = {
     "q_page_bounds_hot": bounds_of("lineitem", "l_linenumber", 1000, 4),
     "q_seek_page": seek,
     "q_offset_page": offset,
+    "q_offset_page_deep": offset_deep,
     "q_binary_hex": binary_hex,
     "q_binary_decode": binary_decode,
     "q_bits": bits_flags,

@@ -2,9 +2,9 @@
 
 from tablehaul.conf import JobConf
 from tablehaul.functions.binary import decode_binary, decode_bits, encode_binary
+from tablehaul.functions.keys import AutoColumn, Constraint
 from tablehaul.functions.types import ColumnSpec, target_type
 from tablehaul.operators.checks import (
-    Constraint,
     check_foreign_key,
     check_primary_key,
     check_unique,
@@ -13,7 +13,7 @@ from tablehaul.operators.checks import (
 )
 from tablehaul.operators.conform import conform, fit_report, split_valid, with_defaults
 from tablehaul.operators.paging import offset_page, page_bounds, seek_page, tag_pages
-from tablehaul.operators.sequence import AutoColumn, append_with_sequence, sequence_starts
+from tablehaul.operators.sequence import append_with_sequence, sequence_starts
 from tablehaul.operators.sinks import write_clustered, write_existing, write_table
 from tablehaul.operators.views import register_views
 from tablehaul.plans.compare import (

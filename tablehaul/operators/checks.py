@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -13,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.functions.frames import small_frame
+from tablehaul.functions.keys import FOREIGN, INDEX, PRIMARY, UNIQUE, Constraint
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.sources.tables import TableSet
 
-PRIMARY, UNIQUE, INDEX, FOREIGN = "primary key", "unique", "index", "foreign key"
 OUTCOME_SCHEMA = (
     "kind string, table_name string, constraint_name string, violations bigint, is_success string"
 )
@@ -25,18 +24,6 @@ OUTCOME_SCHEMA = (
 _log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class Constraint:
-    """A key of a table. ``parent`` and ``parent_columns`` are for foreign keys."""
-
-    kind: str
-    table: str
-    name: str
-    columns: tuple[str, ...]
-    parent: str = ""
-    parent_columns: tuple[str, ...] = ()
-
-
 def check_primary_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keys that occur more than once or hold a NULL, with their number of rows."""
     a_null = reduce(lambda a, b: a | b, [c.isNull() for c in named(cols)])

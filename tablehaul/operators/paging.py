@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.operators.ordering import (
     MAX_EDGES,
@@ -108,7 +111,8 @@ def page_bounds(
 
     No key is split between pages, so a page can hold a little more or less when keys repeat.
     Rows with a NULL key count towards page 0. Pages are dealt to ``min(shards, pages)``
-    contiguous shards. The result is staged: reading it again does not scan ``df``.
+    contiguous shards. The key of ``df`` is read several times and must stay the same meanwhile;
+    the result is staged, so that reading it does not scan ``df`` again.
     """
     if page_size < 1 or shards < 1:
         raise ValueError("page_size and shards must be at least 1")
@@ -179,10 +183,31 @@ def seek_page(df: DataFrame, key: str, after: Any, limit: int) -> DataFrame:
 
 
 def offset_page(
-    df: DataFrame, order_by: Sequence[str | Column], offset: int, limit: int
+    df: DataFrame,
+    order_by: Sequence[str],
+    offset: int,
+    limit: int,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the given order.
+    """Rows ``offset`` to ``offset + limit`` of the given ascending order.
 
-    Costs ``offset + limit`` rows per task; :func:`seek_page` does not grow with depth.
+    Every task sorts as many rows as the page is deep. So for a deep page the rows are counted by
+    ranges of the first column, and only the ranges that reach into the page are sorted.
+    :func:`seek_page` needs no such count.
     """
-    return df.orderBy(*order_by).offset(offset).limit(limit)
+    if offset > rows_per_bucket:
+        df, offset = _without_ranges_outside(df, order_by[0], offset, limit, rows_per_bucket)
+    return df.orderBy(*named(order_by)).offset(offset).limit(limit)
+
+
+def _without_ranges_outside(
+    df: DataFrame, key: str, offset: int, limit: int, rows_per_bucket: int
+) -> tuple[DataFrame, int]:
+    """The rows of the ranges that a page touches, and the page's offset among them."""
+    buckets = key_buckets(df, key, rows_per_bucket)
+    before = list(accumulate(buckets.sizes, initial=0))
+    first = min(bisect_right(before, offset) - 1, len(buckets.sizes) - 1)
+    last = min(bisect_left(before, offset + limit), len(buckets.sizes))
+    placed = buckets.assign(df, sortable(df.schema[key].dataType, F.col(quoted(key))), "__bucket")
+    touched = placed.filter(F.col("__bucket").between(first, last - 1)).drop("__bucket")
+    return touched, offset - before[first]

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.functions.frames import small_frame
+from tablehaul.functions.keys import AutoColumn
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.operators.ordering import number_in_order
@@ -20,19 +20,6 @@ OUTCOME_SCHEMA = (
 )
 
 
-@dataclass(frozen=True)
-class AutoColumn:
-    """A column the source numbers itself, with the next value its catalog names."""
-
-    table: str
-    column: str
-    next_value: int | None = None
-
-    @property
-    def sequence_name(self) -> str:
-        return f"{self.table}_{self.column}_seq".upper()
-
-
 def next_value(existing: DataFrame, key: str, start: int | None = None) -> int:
     """The first free number: after the largest key in use, and not below ``start``."""
     largest = existing.agg(F.max(quoted(key)).cast("bigint")).first()[0] or 0

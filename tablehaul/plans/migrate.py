@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from tablehaul.conf import JobConf
 from tablehaul.functions.frames import small_frame
-from tablehaul.operators.checks import FOREIGN, Constraint, run_checks
+from tablehaul.functions.keys import FOREIGN, AutoColumn, Constraint
+from tablehaul.operators.checks import run_checks
 from tablehaul.operators.conform import REJECT_REASON, split_marked, with_reject_reason
-from tablehaul.operators.sequence import AutoColumn, sequence_starts
+from tablehaul.operators.sequence import sequence_starts
 from tablehaul.operators.sinks import clustered, write_existing
 from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
 from tablehaul.operators.views import register_views
@@ -161,13 +162,16 @@ def migrate_database(
     conf: JobConf = JobConf(),
     tables: Iterable[str] | None = None,
     data_only: bool = False,
-    auto_columns: Sequence[AutoColumn] = (),
-    constraints: Sequence[Constraint] = (),
+    auto_columns: Sequence[AutoColumn] | None = None,
+    constraints: Sequence[Constraint] | None = None,
 ) -> Migration:
     """Tables, then sequences, views, keys and foreign keys, and a summary.
 
-    A table list leaves out views and the keys of other tables. ``data_only`` copies rows alone.
+    Self-numbering columns and keys are those of the source's catalog unless they are given. A
+    table list leaves out views and the keys of other tables. ``data_only`` copies rows alone.
     """
+    autos = source.auto_columns() if auto_columns is None else auto_columns
+    keys = source.constraints() if constraints is None else constraints
     lines = None if tables is None else list(tables)
     tasks = migrate(source, target, conf, lines, data_only)
     listed = None if lines is None else {n.lower() for n in table_list(lines)}
@@ -175,12 +179,12 @@ def migrate_database(
     def wanted(table: str) -> bool:
         return not data_only and (listed is None or table.lower() in listed)
 
-    sequences = sequence_starts(target, [a for a in auto_columns if wanted(a.table)])
+    sequences = sequence_starts(target, [a for a in autos if wanted(a.table)])
     if data_only or listed is not None:
         views = small_frame(source.spark, [], VIEW_SCHEMA)
     else:
         views = register_views(target, source.view_definitions())
-    kept = [c for c in constraints if wanted(c.table)]
+    kept = [c for c in keys if wanted(c.table)]
     own = run_checks(target, [c for c in kept if c.kind != FOREIGN], conf.table_parallelism)
     between = run_checks(target, [c for c in kept if c.kind == FOREIGN], conf.table_parallelism)
     checks = own.unionByName(between)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.functions.frames import small_frame
-from tablehaul.operators.checks import FOREIGN
+from tablehaul.functions.keys import FOREIGN
 
 KINDS = ("tables", "views", "auto columns", "indexes/constraints", "foreign keys")
 

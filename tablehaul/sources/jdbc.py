@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablehaul.conf import JobConf
+from tablehaul.functions.keys import AutoColumn, Constraint
 from tablehaul.functions.types import ColumnSpec
+from tablehaul.operators.checks import constraints_from_catalog
 from tablehaul.operators.paging import shard_bounds
 from tablehaul.sources.tables import REJECTED_SUFFIX, TableSet
 
@@ -24,8 +26,9 @@ class Dialect:
     """How a database quotes names, and where its catalog lists things.
 
     ``session`` runs on every reading connection and ``properties`` go to the driver. Without
-    ``columns_sql`` the columns are those that Spark sees. ``has_ntile`` is off for servers
-    without window functions, ``lower_names`` on for those that fold unquoted names.
+    ``columns_sql`` the columns are those that Spark sees, and without ``indexes_sql`` no keys are
+    known. ``has_ntile`` is off for servers without window functions, ``lower_names`` on for
+    those that fold unquoted names.
     """
 
     quote: str
@@ -33,6 +36,10 @@ class Dialect:
     views_sql: str
     key_sql: str
     columns_sql: str = ""
+    indexes_sql: str = ""
+    key_usage_sql: str = ""
+    references_sql: str = ""
+    auto_columns_sql: str = ""
     session: str = ""
     has_ntile: bool = True
     lower_names: bool = False
@@ -85,6 +92,30 @@ MYSQL = Dialect(
         "FROM information_schema.columns "
         "WHERE table_schema = DATABASE() AND table_name = {table}"
     ),
+    indexes_sql=(
+        "SELECT table_name AS table_name, index_name AS index_name, non_unique AS non_unique, "
+        "column_name AS column_name, seq_in_index AS seq_in_index "
+        "FROM information_schema.statistics "
+        "WHERE table_schema = DATABASE() AND index_type NOT IN ('FULLTEXT', 'SPATIAL')"
+    ),
+    key_usage_sql=(
+        "SELECT constraint_name AS constraint_name, table_name AS table_name, "
+        "column_name AS column_name, ordinal_position AS ordinal_position, "
+        "referenced_table_name AS referenced_table_name, "
+        "referenced_column_name AS referenced_column_name "
+        "FROM information_schema.key_column_usage WHERE constraint_schema = DATABASE()"
+    ),
+    references_sql=(
+        "SELECT table_name AS table_name, constraint_name AS constraint_name "
+        "FROM information_schema.referential_constraints WHERE constraint_schema = DATABASE()"
+    ),
+    auto_columns_sql=(
+        "SELECT c.table_name AS table_name, c.column_name AS column_name, "
+        "t.auto_increment AS next_value FROM information_schema.columns c "
+        "JOIN information_schema.tables t "
+        "ON t.table_schema = c.table_schema AND t.table_name = c.table_name "
+        "WHERE c.table_schema = DATABASE() AND c.extra LIKE '%auto_increment%'"
+    ),
     backslash_escapes=True,
     properties={"tinyInt1isBit": "false"},
 )
@@ -217,6 +248,26 @@ class JdbcTables(TableSet):
         records = self.query(sql).orderBy("ordinal_position").collect()
         return [column_record(r.asDict()) for r in records]
 
+    def constraints(self) -> list[Constraint]:
+        if not self.dialect.indexes_sql:
+            return []
+        return constraints_from_catalog(
+            self.query(self.dialect.indexes_sql),
+            self.query(self.dialect.key_usage_sql),
+            self.query(self.dialect.references_sql),
+        )
+
+    def auto_columns(self) -> list[AutoColumn]:
+        if not self.dialect.auto_columns_sql:
+            return []
+        found = self.query(self.dialect.auto_columns_sql).orderBy("table_name").collect()
+        return [
+            AutoColumn(
+                r.table_name, r.column_name, None if r.next_value is None else int(r.next_value)
+            )
+            for r in found
+        ]
+
     def _frame(self, name: str) -> DataFrame:
         return (
             self.spark.read.format("jdbc")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.conf import JobConf
+from tablehaul.functions.keys import AutoColumn, Constraint
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.functions.types import ColumnSpec, spec_of_field
@@ -66,6 +67,14 @@ class TableSet(ABC):
         """The catalog's records of the table's columns, in order; ``df`` is the table if at hand."""
         return [spec_of_field(f) for f in (df or self.read(table)).schema.fields]
 
+    def constraints(self) -> list[Constraint]:
+        """The keys of the tables, as far as the catalog knows them."""
+        return []
+
+    def auto_columns(self) -> list[AutoColumn]:
+        """The columns that the source numbers itself."""
+        return []
+
     def scan(self, table: str, conf: JobConf) -> DataFrame:
         """The whole table for copying, read in parallel."""
         return self.read(table)

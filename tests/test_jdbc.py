@@ -6,7 +6,15 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tablehaul import MYSQL, POSTGRESQL, ColumnSpec, JdbcTables, JobConf, page_bounds
+from tablehaul import (
+    MYSQL,
+    POSTGRESQL,
+    AutoColumn,
+    ColumnSpec,
+    JdbcTables,
+    JobConf,
+    page_bounds,
+)
 from tablehaul.operators.paging import shard_bounds
 from tablehaul.sources.jdbc import (
     column_record,
@@ -100,6 +108,62 @@ def test_column_record():
     )
 
 
+class CatalogOnly(JdbcTables):
+    """A database whose catalog answers from given rows."""
+
+    def query(self, sql):
+        for word, frame in self.answers.items():
+            if f"information_schema.{word}" in sql:
+                return frame
+        raise AssertionError(sql)
+
+
+@pytest.fixture
+def shop(spark):
+    tables = CatalogOnly(spark, "jdbc:x:y", {}, MYSQL, "shop")
+    tables.answers = {
+        "statistics": spark.createDataFrame(
+            [("orders", "PRIMARY", 0, "id", 1), ("orders", "ix", 1, "day", 1)],
+            "table_name string, index_name string, non_unique int, column_name string, "
+            "seq_in_index int",
+        ),
+        "key_column_usage": spark.createDataFrame(
+            [("fk", "orders", "customer", 1, "customers", "id")],
+            "constraint_name string, table_name string, column_name string, "
+            "ordinal_position int, referenced_table_name string, referenced_column_name string",
+        ),
+        "referential_constraints": spark.createDataFrame(
+            [("orders", "fk")], "table_name string, constraint_name string"
+        ),
+        "columns c": spark.createDataFrame(
+            [("orders", "id", Decimal(91)), ("logs", "n", None)],
+            "table_name string, column_name string, next_value decimal(20,0)",
+        ),
+        "tables": spark.createDataFrame(
+            [("orders",), ("DATA_COMPARE",), ("orders__rejected",)], "table_name string"
+        ),
+        "views": spark.createDataFrame([("v", "select 1")], "view_name string, body string"),
+    }
+    return tables
+
+
+def test_catalog_of_a_database(shop):
+    assert [(c.kind, c.name, c.columns, c.parent) for c in shop.constraints()] == [
+        ("primary key", "PRIMARY", ("id",), ""), ("index", "ix", ("day",), ""),
+        ("foreign key", "fk", ("customer",), "customers"),
+    ]
+    assert shop.auto_columns() == [AutoColumn("logs", "n"), AutoColumn("orders", "id", 91)]
+    assert shop.table_names() == ["orders"] and shop.resolve("ORDERS") == "orders"
+    assert shop.view_definitions() == {"v": "select 1"}
+    assert shop.spelled("Orders") == "orders" and shop.spelled("New") == "New"
+
+
+def test_new_tables_of_a_folding_server(spark, shop):
+    folding = CatalogOnly(spark, "jdbc:x:y", {}, POSTGRESQL, "shop")
+    folding.answers = shop.answers
+    assert folding.spelled("New") == "new" and folding.constraints() == []
+
+
 def test_options_and_secrets(spark):
     login = {"user": "u", "password": "secret", "driver": "org.example.Driver"}
     tables = JdbcTables(spark, "jdbc:x:y", login, POSTGRESQL, "db", JobConf(fetchsize=77))

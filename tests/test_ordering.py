@@ -165,6 +165,16 @@ def test_append_keeps_keys_that_are_supplied(spark):
     assert {(r.id, r.s) for r in got.collect()} == {(40, "own"), (41, "a"), (42, "b")}
 
 
+@pytest.mark.parametrize("hot_share", [0, 1 / 3])
+def test_deep_offsets(spark, hot_share):
+    keys = _mixed(lambda i: i * 3, 500, hot_share, 20, "deep")
+    df = spark.createDataFrame(list(enumerate(keys)), "v bigint, k bigint")
+    ordered = sorted(enumerate(keys), key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    for offset, limit in ((31, 1), (100, 50), (200, 250), (519, 5), (520, 5), (900, 5), (31, 0)):
+        page = offset_page(df, ["k", "v"], offset, limit, rows_per_bucket=30)
+        assert [(r.v, r.k) for r in page.collect()] == ordered[offset : offset + limit]
+
+
 def test_seek_and_offset_are_top_k(spark, plan):
     df = spark.range(1000).select(F.col("id").alias("k"))
     for page in (seek_page(df, "k", 10, 5), offset_page(df, ["k"], 11, 5)):
