@@ -45,9 +45,10 @@ def _copy(
 ) -> tuple[int, int]:
     """Copy one table; ``(source_rows, target_rows)``.
 
-    Rows that fit are written in one pass, and the rest is looked for only if there is any. A live
-    source is counted in that pass. Should it have rows that do not fit, or have to be sorted,
-    its rows are staged and all that is kept comes from that one read.
+    Rows that fit are written in one pass, and the rest is looked for only if there is any. Source
+    rows are counted in that pass, or without one where that is cheap. If a live source has rows
+    that do not fit, or has to be sorted, its rows are staged and all that is kept comes from
+    that one read.
     """
     scan = source.scan(table, conf)
     specs = source.columns(table, scan)
@@ -63,15 +64,19 @@ def _copy(
         else:
             target.replace(table, good, conf)
 
-    if source.reads_repeat():
+    repeats = source.reads_repeat()
+    rows = None
+    if source.cheap_count or (sorted_by and repeats):
         write(marked)
         rows = source.count_frame(table).first()[0]
-    else:
-        rows = None if sorted_by else _write_counted(marked, write)
-        if rows is None:
-            marked = stage(marked, "live")
-            write(marked)
-            rows = marked.count()
+    elif not sorted_by:
+        rows, rejected = _write_counted(marked, write)
+        if rejected and not repeats:
+            rows = None
+    if rows is None:
+        marked = stage(marked, "live")
+        write(marked)
+        rows = marked.count()
     written = target.count_frame(target.resolve(table)).first()[0]
     if written < rows:
         target.keep_rejected(table, split_marked(marked, specs)[1])
@@ -80,8 +85,8 @@ def _copy(
     return rows, written
 
 
-def _write_counted(marked: DataFrame, write: Callable[[DataFrame], None]) -> int | None:
-    """Write and return the number of rows seen, or None if some of them did not fit."""
+def _write_counted(marked: DataFrame, write: Callable[[DataFrame], None]) -> tuple[int, int]:
+    """Write the rows that fit; ``(rows seen, rows that did not fit)``."""
     seen = Observation()
     reason = F.col(REJECT_REASON)
     write(
@@ -91,7 +96,7 @@ def _write_counted(marked: DataFrame, write: Callable[[DataFrame], None]) -> int
             F.count_if(reason != "").alias("rejected"),
         )
     )
-    return None if seen.get["rejected"] else seen.get["rows"]
+    return seen.get["rows"], seen.get["rejected"]
 
 
 def migrate(

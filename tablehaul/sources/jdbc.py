@@ -162,6 +162,11 @@ def shard_predicates(key: str, starts: Sequence[Any], dialect: Dialect) -> list[
     return ranges
 
 
+def reading_shards(rows: int, page_size: int, parallelism: int) -> int:
+    """How many connections read a table: no more than it has pages."""
+    return max(1, min(parallelism, -(-rows // page_size)))
+
+
 def shard_start_sql(table: str, key: str, shards: int, dialect: Dialect) -> str:
     """A query the database answers with the lowest key of each of ``shards`` equal parts.
 
@@ -303,7 +308,7 @@ class JdbcTables(TableSet):
         )
 
     def scan(self, table: str, conf: JobConf) -> DataFrame:
-        """The table in ``read_parallelism`` ranges of its paging key, or whole without one.
+        """The table in ranges of its paging key, or whole without a key or with a single page.
 
         The database is asked for ranges of equal row counts. Where it cannot tell, a whole-number
         key is cut into equal widths and any other table is read by one connection.
@@ -311,8 +316,11 @@ class JdbcTables(TableSet):
         table = self.resolve(table)
         keys = self.query(self.dialect.key_sql.format(table=self.dialect.literal(table))).collect()
         key = paging_key([k.asDict() for k in keys])
-        parts = conf.read_parallelism
-        if key is None or parts == 1:
+        if key is None or conf.read_parallelism == 1:
+            return self._frame(table)
+        rows = self.count_frame(table).first()[0]
+        parts = reading_shards(rows, conf.page_size, conf.read_parallelism)
+        if parts == 1:
             return self._frame(table)
         if self.dialect.has_ntile:
             sql = shard_start_sql(table, key, parts, self.dialect)

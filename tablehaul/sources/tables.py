@@ -24,7 +24,12 @@ ENGINE_TABLES = (REPORT_TABLE, TASK_TABLE, "hg_t_audit_log")
 
 
 class TableSet(ABC):
-    """Tables and views under one name. Names are matched without regard to case."""
+    """Tables and views under one name. Names are matched without regard to case.
+
+    ``cheap_count`` says that a table's size is known without reading its rows.
+    """
+
+    cheap_count = False
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
@@ -157,6 +162,7 @@ class ParquetTables(TableSet):
     """
 
     SUFFIX = ".parquet"
+    cheap_count = True
 
     def __init__(
         self,
@@ -248,6 +254,8 @@ class ParquetTables(TableSet):
 class CatalogTables(TableSet):
     """A database of Spark's catalog; views in it are permanent ones."""
 
+    cheap_count = True
+
     def __init__(self, spark: SparkSession, database: str) -> None:
         super().__init__(spark, database)
 

@@ -19,6 +19,7 @@ from tablehaul.operators.paging import shard_bounds
 from tablehaul.sources.jdbc import (
     column_record,
     paging_key,
+    reading_shards,
     shard_predicates,
     shard_start_sql,
 )
@@ -95,6 +96,13 @@ def test_paging_key(keys, wanted):
     assert paging_key(keys) == wanted
 
 
+@pytest.mark.parametrize(
+    "rows,shards", [(0, 1), (1, 1), (100, 1), (101, 2), (399, 4), (10**12, 4)]
+)
+def test_small_tables_use_few_connections(rows, shards):
+    assert reading_shards(rows, 100, 4) == shards
+
+
 def test_column_record():
     row = {
         "column_name": "n", "data_type": "int", "character_maximum_length": None,
