@@ -28,8 +28,7 @@ MAX_TAG_PAGES = MAX_EDGES
 
 def _row_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> DataFrame:
     """Every row with the ``page`` that the first row of its key falls on, for even buckets."""
-    kind = df.schema[key].dataType
-    placed = buckets.assign(df, sortable(kind, F.col(quoted(key))), "__bucket")
+    placed = buckets.assign(df, F.col(quoted(key)), "__bucket")
     ranked = F.rank().over(Window.partitionBy("__bucket").orderBy(F.col(quoted(key))))
     first = buckets.rows_before(F.col("__bucket")) + ranked - F.lit(1)
     return placed.withColumn("page", F.floor(first / F.lit(page_size))).drop("__bucket")
@@ -40,11 +39,10 @@ def _key_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> Dat
 
     Rows are counted per key before anything is ordered, so a frequent key costs one row.
     """
-    kind = df.schema[key].dataType
     counted = df.select(F.col(quoted(key)).alias("k")).groupBy("k").agg(
         F.count(F.lit(1)).alias("c")
     )
-    placed = buckets.assign(counted, sortable(kind, F.col("k")), "bucket")
+    placed = buckets.assign(counted, F.col("k"), "bucket")
     upto = Window.partitionBy("bucket").orderBy("k").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -158,8 +156,7 @@ def tag_pages(
         starts = pages.raw.select(sortable(kind, F.col("lo")).alias("lo"), "page")
         # The first page needs no edge; the others all start at a key, for NULL sorts first.
         edges = [r.lo for r in starts.orderBy("page").collect()][1:]
-        tagged = edge_index(df, sortable(kind, F.col(quoted(key))), edges, "page")
-        return tagged.withColumn("page", F.col("page").cast("bigint"))
+        return df.withColumn("page", edge_index(kind, F.col(quoted(key)), edges).cast("bigint"))
     if buckets.are_even:
         tagged = _row_pages(df, key, page_size, buckets)
     else:
@@ -207,7 +204,6 @@ def _without_ranges_outside(
     buckets = key_buckets(df, key, rows_per_bucket)
     before = list(accumulate(buckets.sizes, initial=0))
     first = min(bisect_right(before, offset) - 1, len(buckets.sizes) - 1)
-    last = min(bisect_left(before, offset + limit), len(buckets.sizes))
-    placed = buckets.assign(df, sortable(df.schema[key].dataType, F.col(quoted(key))), "__bucket")
-    touched = placed.filter(F.col("__bucket").between(first, last - 1)).drop("__bucket")
+    last = min(bisect_left(before, offset + limit), len(buckets.sizes)) - 1
+    touched = df.filter(buckets.between(F.col(quoted(key)), first, last))
     return touched, offset - before[first]

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul import append_with_sequence, offset_page, page_bounds, seek_page, tag_pages
-from tablehaul.operators.ordering import edge_index, key_buckets, number_in_order
+from tablehaul.operators.ordering import (
+    edge_index,
+    key_buckets,
+    number_in_order,
+    with_edge_index,
+)
 from tablehaul.operators.paging import _key_pages, _row_pages
 from tablehaul.operators.sinks import clustered
 
@@ -102,7 +107,10 @@ def test_only_null_keys(spark):
 def test_edges_count_what_is_at_or_below(spark):
     df = _frame(spark, [None, -1, 0, 4, 5, 9, 10, 99], T.LongType())
     for edges in ([], [5], [0, 5], [0, 5, 10], [0, 5, 6, 10, 50]):
-        got = edge_index(df, F.col("k"), edges, "i").collect()
+        index = edge_index(T.LongType(), F.col("k"), edges)
+        fast = with_edge_index(df, T.LongType(), F.col("k"), edges, "j")
+        got = fast.withColumn("i", index).collect()
+        assert all(r.i == r.j for r in got)
         assert all(
             r.i == (0 if r.k is None else sum(e <= r.k for e in edges)) for r in got
         )
@@ -122,6 +130,27 @@ def test_a_hot_key_makes_buckets_uneven(spark):
     assert not few.are_even
 
 
+def test_a_filter_on_pages_stays_a_small_plan(spark, plan):
+    """Pages may be filtered, whichever way they were found."""
+    keys = _frame(spark, range(3000), T.LongType())
+    for max_tag_pages in (4000, 1):
+        tagged = tag_pages(keys, "k", 10, rows_per_bucket=50, max_tag_pages=max_tag_pages)
+        found = tagged.filter("page = 7")
+        assert sorted(r.k for r in found.collect()) == list(range(70, 80))
+        assert plan(found).count("CASE WHEN") < 40
+
+
+def test_many_edges_stay_a_small_plan(spark, plan):
+    """A filter on the index is pushed below its projection; that must not multiply the search."""
+    df = spark.range(5000)
+    index = edge_index(T.LongType(), F.col("id"), list(range(1, 4096)))
+    found = df.withColumn("i", index).filter("i = 4000")
+    assert [r.id for r in found.collect()] == [4000]
+    assert plan(found).count("aggregate(") <= 2
+    with pytest.raises(ValueError):
+        edge_index(T.LongType(), F.col("id"), list(range(4096)))
+
+
 def test_ranking_a_large_input_is_not_one_task(spark, plan):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     buckets = key_buckets(df, "o_orderkey", 100)
