@@ -26,6 +26,7 @@ from tablehaul.plans.compare import (
 )
 from tablehaul.plans.migrate import Migration, migrate, migrate_database, table_list
 from tablehaul.plans.summary import failed_tables, migration_summary
+from tablehaul.shared import remove_staged
 from tablehaul.sources.delimited import DelimitedText, read_delimited, write_delimited
 from tablehaul.sources.jdbc import (
     MYSQL,

@@ -140,7 +140,10 @@ def migrate(
     with ThreadPoolExecutor(max_workers=conf.table_parallelism) as pool:
         done = dict(zip(queue, pool.map(run, queue)))
     tasks = small_frame(spark, [done[name] for name in names], TASK_SCHEMA)
-    target.replace(TASK_TABLE, tasks, conf)
+    try:
+        target.replace(TASK_TABLE, tasks, conf)
+    except Exception as error:
+        _log.error("the task table could not be kept in %s: %s", target.name, error)
     return tasks
 
 

@@ -20,10 +20,19 @@ def shared_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tablehaul-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path that no other run uses, below a folder of this application's own."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/tablehaul-{application}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what this application staged. DataFrames that read from there end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
