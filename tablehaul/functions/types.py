@@ -153,7 +153,9 @@ def spec_metadata(spec: ColumnSpec) -> dict:
     return {"column_spec": {k: v for k, v in asdict(spec).items() if v is not None}}
 
 
-_CURRENT_TIME = re.compile(r"(?i)^(current_timestamp|now|localtime|localtimestamp)(\s*\(\s*\d*\s*\))?$")
+_CURRENT_TIME = re.compile(
+    r"(?i)^(current_timestamp|now|localtime|localtimestamp)(\s*\(\s*\d*\s*\))?$"
+)
 
 
 def default_text(spec: ColumnSpec) -> tuple[str | None, bool]:

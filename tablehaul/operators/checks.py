@@ -146,9 +146,10 @@ def constraints_from_catalog(
     pairs = F.array_sort(
         F.collect_list(F.struct("ordinal_position", "column_name", "referenced_column_name"))
     )
+    names = ["table_name", "constraint_name"]
     foreign = (
         key_usage.filter(F.col("referenced_table_name").isNotNull())
-        .join(referential.select("table_name", "constraint_name"), ["table_name", "constraint_name"])
+        .join(referential.select(*names), names)
         .groupBy("table_name", "constraint_name")
         .agg(F.first("referenced_table_name").alias("parent"), pairs.alias("cols"))
         .orderBy("table_name", "constraint_name")

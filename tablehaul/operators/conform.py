@@ -89,9 +89,7 @@ def _violations(
     if spec.max_length is not None:
         length = F.char_length if length_unit == "char" else F.octet_length
         rules.append(("length", length(value.cast("string")) > F.lit(spec.max_length)))
-    if source == wanted:
-        return rules
-    if _always_fits(source, wanted):
+    if source == wanted or _always_fits(source, wanted):
         return rules
     result = converted(spec, source)
     lost = value.isNotNull() & result.isNull()

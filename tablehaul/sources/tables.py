@@ -69,7 +69,7 @@ class TableSet(ABC):
         return self._frame(self.resolve(table))
 
     def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
-        """The catalog's records of the table's columns, in order; ``df`` is the table if at hand."""
+        """The catalog's records of the columns, in order; ``df`` is the table if at hand."""
         return [spec_of_field(f) for f in (df or self.read(table)).schema.fields]
 
     def constraints(self) -> list[Constraint]:
