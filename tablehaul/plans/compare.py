@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import chain
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,6 +25,7 @@ REPORT_COLUMNS = (
 )
 
 PLANNING_THREADS = 8
+TABLES_PER_JOB = 100
 
 _log = logging.getLogger(__name__)
 
@@ -37,11 +39,9 @@ def _in_threads(spark: SparkSession, function: Callable, items: Sequence) -> lis
 def row_counts(tables: TableSet) -> DataFrame:
     """``(name, rows)`` of every table; ``rows`` is -1 where counting failed.
 
-    All counts are one job. Only if that fails are the tables counted one by one, so that a single
-    unreadable table costs its own verdict and no other.
+    Many tables are counted by one job. Only if that fails are its tables counted one by one, so
+    that an unreadable table costs its own verdict and no other.
     """
-    names = tables.table_names()
-    schema = "name string, rows bigint"
 
     def counted(name: str) -> DataFrame:
         return tables.count_frame(name).select(
@@ -55,14 +55,17 @@ def row_counts(tables: TableSet) -> DataFrame:
             _log.error("counting %s.%s failed: %s", tables.name, name, error)
             return name, MISSING_ROWS
 
-    if not names:
-        return small_frame(tables.spark, [], schema)
-    try:
-        planned = _in_threads(tables.spark, counted, names)
-        rows = reduce(DataFrame.unionByName, planned).collect()
-    except Exception:
-        rows = [counted_alone(n) for n in names]
-    return small_frame(tables.spark, rows, schema)
+    def counted_together(names: Sequence[str]) -> list[tuple]:
+        try:
+            planned = _in_threads(tables.spark, counted, names)
+            return [tuple(r) for r in reduce(DataFrame.unionByName, planned).collect()]
+        except Exception:
+            return [counted_alone(name) for name in names]
+
+    names = tables.table_names()
+    batches = [names[i : i + TABLES_PER_JOB] for i in range(0, len(names), TABLES_PER_JOB)]
+    rows = chain.from_iterable(_in_threads(tables.spark, counted_together, batches))
+    return small_frame(tables.spark, rows, "name string, rows bigint")
 
 
 def _require(source: TableSet, target: TableSet) -> None:

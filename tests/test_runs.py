@@ -21,7 +21,7 @@ from tablehaul import (
     store_report,
     table_list,
 )
-from tablehaul.plans.compare import shown
+from tablehaul.plans.compare import row_counts, shown
 from tests.conftest import rows
 
 LONG = ColumnSpec("s", "VARCHAR", 3)
@@ -212,6 +212,14 @@ def test_compare_verdicts(spark, source):
     assert shown(report).filter("compare_time rlike '^[0-9]{2}-[0-9]{2} [0-9:]{8}$'").count() == 6
 
 
+def test_tables_are_counted_in_batches(spark, source, monkeypatch):
+    monkeypatch.setattr("tablehaul.plans.compare.TABLES_PER_JOB", 3)
+    many = FrameTables(spark, "many", {f"t{i}": spark.range(i) for i in range(10)})
+    assert rows(row_counts(many)) == [(f"t{i}", i) for i in range(10)]
+    assert dict(rows(row_counts(source)))["broken"] == -1
+    assert row_counts(FrameTables(spark, "none", {})).count() == 0
+
+
 def test_report_is_kept_in_the_target(spark, source, target):
     migrate(source, target, tables=["numbers"])
     chosen = FrameTables(spark, "src", {"numbers": source.read("numbers")})
