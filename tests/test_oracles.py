@@ -7,11 +7,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_points
+from demo_oracles import ORACLES
+from demo_queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 DATA = Path("/root/testdata/sf0.001")
 NEVER = ("Python", "CartesianProduct", "NestedLoopJoin", "ExistingRDD")
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
