@@ -15,6 +15,8 @@ from tablehaul.shared import stage
 
 #: How far class covariances are drawn to the pooled one, and that to a multiple of the identity.
 TO_POOLED, TO_SPHERE = 0.3, 0.05
+#: So many words' worth of the average text is added to each text's statistics.
+AVERAGE_WORDS = 8
 _KINDS = np.zeros(256, np.int64)  # 0: other ASCII, 1 lower, 2 upper, 3 digit, 4 white, 5 stop, 6 high
 _KINDS[97:123], _KINDS[65:91], _KINDS[48:58], _KINDS[128:] = 1, 2, 3, 6
 _KINDS[[9, 10, 11, 12, 13, 32]] = 4
@@ -94,22 +96,42 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        x, y = _matrix(batch.column("x")), batch.column("y").to_numpy(zero_copy_only=False)
-        for label in (0, 1):
-            own = np.hstack([np.ones((int((y == label).sum()), 1)), x[y == label]])
-            total[label] = total.get(label, 0) + (own.T @ own).reshape(-1)
-    for label, values in total.items():
-        yield pa.record_batch(
-            [
-                pa.array(np.full(len(values), label)),
-                pa.array(np.arange(len(values))),
-                pa.array(values),
-            ],
-            names=["y", "at", "value"],
-        )
+def _standard(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Distances from the average; those of short texts, which vary by chance, are drawn in."""
+    words = np.expm1(x[:, -1:])
+    return (x - centre) / scale * (words / (words + AVERAGE_WORDS))
+
+
+def _sums(centre: np.ndarray, scale: np.ndarray):
+    """Counts, sums and products of each class, one partial sum for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x, y = _matrix(batch.column("x")), batch.column("y").to_numpy(zero_copy_only=False)
+            x = _standard(x, centre, scale) if centre is not None else x
+            for label in (0, 1):
+                own = np.hstack([np.ones((int((y == label).sum()), 1)), x[y == label]])
+                total[label] = total.get(label, 0) + (own.T @ own).reshape(-1)
+        for label, values in total.items():
+            yield pa.record_batch(
+                [
+                    pa.array(np.full(len(values), label)),
+                    pa.array(np.arange(len(values))),
+                    pa.array(values),
+                ],
+                names=["y", "at", "value"],
+            )
+
+    return run
+
+
+def _moments(known: DataFrame, centre=None, scale=None) -> np.ndarray:
+    parts = known.mapInArrow(_sums(centre, scale), "y long, at long, value double")
+    sums = np.zeros((2, (N_FEATURES + 1) ** 2))
+    for y, at, value in parts.groupBy("y", "at").agg(F.sum("value")).collect():
+        sums[y, at] = value
+    return sums.reshape(2, N_FEATURES + 1, N_FEATURES + 1)
 
 
 @dataclass(frozen=True)
@@ -123,7 +145,7 @@ class Discriminant:
     odds: float
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.centre) / self.scale
+        z = _standard(x, self.centre, self.scale)
         densities = []
         for mean, factor in zip(self.means, self.factors, strict=True):
             away = np.linalg.solve(factor, (z - mean).T)
@@ -134,27 +156,21 @@ class Discriminant:
 def fit(featured: DataFrame, labels: DataFrame) -> Discriminant | None:
     """Fits both classes to all rows of ``(id, x)`` that ``(id, y)`` labels 0 or 1.
 
-    Sums and products are added up in the tasks; the driver gets one small matrix for each
+    Averages first, then the classes. Sums are added up in the tasks; the driver gets one small matrix for each
     class. None if a class has fewer than two rows.
     """
     known = featured.join(labels.where("y in (0, 1) and id is not null"), "id").select(
         "x", F.col("y").cast("int").alias("y")
     )
-    parts = known.mapInArrow(_sums, "y long, at long, value double")
-    sums = np.zeros((2, (N_FEATURES + 1) ** 2))
-    for y, at, value in parts.groupBy("y", "at").agg(F.sum("value")).collect():
-        sums[y, at] = value
-    sums = sums.reshape(2, N_FEATURES + 1, N_FEATURES + 1)
+    sums = _moments(known)
     if (sums[:, 0, 0] < 2).any():
         return None
     both = sums.sum(0)
     centre = both[0, 1:] / both[0, 0]
     scale = np.sqrt(np.maximum(np.diag(both)[1:] / both[0, 0] - centre**2, 1e-6))
+    sums = _moments(known, centre, scale)
     means = [s[0, 1:] / s[0, 0] for s in sums]
-    covariances = [
-        (s[1:, 1:] / s[0, 0] - np.outer(m, m)) / np.outer(scale, scale)
-        for s, m in zip(sums, means, strict=True)
-    ]
+    covariances = [s[1:, 1:] / s[0, 0] - np.outer(m, m) for s, m in zip(sums, means, strict=True)]
     weight = sums[:, 0, 0] / both[0, 0]
     pooled = weight[0] * covariances[0] + weight[1] * covariances[1]
     factors = []
@@ -163,7 +179,7 @@ def fit(featured: DataFrame, labels: DataFrame) -> Discriminant | None:
         sphere = np.trace(drawn) / N_FEATURES * np.eye(N_FEATURES)
         factors.append(np.linalg.cholesky((1 - TO_SPHERE) * drawn + TO_SPHERE * sphere + 1e-6 * np.eye(N_FEATURES)))
     return Discriminant(
-        centre, scale, tuple((m - centre) / scale for m in means), tuple(factors),
+        centre, scale, tuple(means), tuple(factors),
         float(np.log(weight[1] / weight[0])),
     )
 
