@@ -9,6 +9,7 @@ from tablehaul.llm.lines import drop_common_lines
 from tablehaul.llm.minhash import near_duplicates
 from tablehaul.llm.packing import pack
 from tablehaul.llm.quality import quality_scores
+from tablehaul.llm.secrets import find_secrets, secret_digest
 from tablehaul.llm.wavelet import read_tokens, write_tokens
 from tablehaul.shared import new_folder
 
@@ -35,6 +36,10 @@ def op2_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
@@ -62,6 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_wavelet": op2_wavelet,
+    "op3_secrets": op3_secrets,
     "op4_lines": op4_lines,
     "op5_packing": op5_packing,
     "op10_quality": op10_quality,
