@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehaul.llm.leaks import benchmark_leaks
 from tablehaul.llm.lines import drop_common_lines
 from tablehaul.llm.minhash import near_duplicates
 from tablehaul.llm.packing import pack
 from tablehaul.llm.quality import quality_scores
 from tablehaul.llm.secrets import find_secrets, secret_digest
+from tablehaul.llm.vectors import near_vectors
 from tablehaul.llm.wavelet import read_tokens, write_tokens
 from tablehaul.shared import new_folder
 
@@ -54,6 +56,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     labels = _table(spark, sf_dir, "labels").where(fold != 0)
@@ -70,10 +80,32 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_lines": op4_lines,
     "op5_packing": op5_packing,
+    "op6_vectors": op6_vectors,
+    "op8_leaks": op8_leaks,
     "op10_quality": op10_quality,
 }
 
 ORACLES = {
+    "op6_vectors": """
+        with recursive unit as (
+            select vec_id, label, embedding::double[] as v from embeddings
+            where label is not null and embedding is not null
+                and isfinite(list_dot_product(embedding::double[], embedding::double[]))
+                and list_dot_product(embedding::double[], embedding::double[]) > 0
+        ), link as (
+            select a.vec_id as a, b.vec_id as b from unit a join unit b
+            on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+                and list_cosine_similarity(a.v, b.v) >= 0.93
+        ), reach as (
+            select a, b from link
+            union
+            select reach.a, link.b from reach join link on reach.b = link.a
+        ), low as (select a, min(b) as b from reach group by a),
+        counted as (select a, count(*) as n from link group by a)
+        select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(b, vec_id)) as component_id,
+            least(vec_id, coalesce(b, vec_id)) = vec_id as kept
+        from embeddings left join low on vec_id = low.a left join counted on vec_id = counted.a
+    """,
     "op4_lines": r"""
         with cut as (
             select doc_id, row_number() over () as nr, string_split(coalesce(text, ''), chr(10)) as lines

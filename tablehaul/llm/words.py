@@ -12,6 +12,9 @@ SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything between runs of letters, digits and bytes beyond ASCII.
+MARKS = np.ones(256, bool)
+MARKS[48:58] = MARKS[65:91] = MARKS[97:123] = MARKS[128:] = False
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
@@ -67,9 +70,14 @@ def slices(
         row = stop
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and at which word each text begins (and the last ends)."""
-    word = ~_SPACE[data]
+def word_bounds(
+    data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and at which word each text begins (and the last ends).
+
+    ``space`` tells for each byte value whether it lies between words.
+    """
+    word = ~space[data]
     opens, closes = word.copy(), word.copy()
     opens[1:] &= ~word[:-1]
     closes[:-1] &= ~word[1:]
