@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul.llm.leaks import benchmark_leaks
+from tablehaul.llm.licenses import find_licenses
 from tablehaul.llm.lines import drop_common_lines
 from tablehaul.llm.minhash import near_duplicates
 from tablehaul.llm.packing import pack
@@ -64,6 +65,10 @@ def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     labels = _table(spark, sf_dir, "labels").where(fold != 0)
@@ -82,6 +87,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_vectors": op6_vectors,
     "op8_leaks": op8_leaks,
+    "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
 
