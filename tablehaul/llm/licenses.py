@@ -115,11 +115,16 @@ def find_licenses(
     templates = known.collect()
     sizes = sorted({(t.size, t.step) for t in templates})
     hints = keywords(notices, contained)
+    if not sizes:
+        kind = docs.schema[id_col].dataType.simpleString()
+        return spark.createDataFrame(
+            [], f"{id_col} {kind}, license string, contained double, first_word int"
+        )
     text = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     words = F.split(F.btrim(F.regexp_replace(text, "[^a-z0-9]+", " ")), " ")
-    likely = docs.where(F.lower(F.col(text_col)).rlike("|".join(hints) if hints else "$^"))
+    likely = docs.where(F.lower(F.col(text_col)).rlike("|".join(hints)))
     worded = likely.select(F.col(id_col).alias("id"), words.alias("words")).where(F.size("words") >= SIZE)
-    reach = max((size + 2 * step for size, step in sizes), default=0) + SIZE
+    reach = max((size + 2 * step for size, step in sizes)) + SIZE
     held_words = F.array(*map(F.lit, hints))
     at = F.filter(
         F.sequence(F.lit(0), F.size("words") - 1),
@@ -174,10 +179,6 @@ def find_licenses(
             ),
         )
 
-    if not sizes:
-        return docs.sparkSession.createDataFrame(
-            [], f"{id_col} {docs.schema[id_col].dataType.simpleString()}, license string, contained double, first_word int"
-        )
     every = F.flatten(F.array(*[windows(size, step) for size, step in sizes]))
     near = signed.select("id", F.explode(every).alias("w")).select("id", "w.*")
     keys = near.select("id", "size", "at", "near", F.posexplode("bands").alias("k", "band"))

@@ -12,6 +12,7 @@ from tablehaul.llm.minhash import near_duplicates
 from tablehaul.llm.packing import pack
 from tablehaul.llm.quality import quality_scores
 from tablehaul.llm.secrets import find_secrets, secret_digest
+from tablehaul.llm.suffixes import drop_repeats
 from tablehaul.llm.vectors import near_vectors
 from tablehaul.llm.wavelet import read_tokens, write_tokens
 from tablehaul.shared import new_folder
@@ -61,6 +62,14 @@ def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return drop_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -86,6 +95,7 @@ QUERIES = {
     "op4_lines": op4_lines,
     "op5_packing": op5_packing,
     "op6_vectors": op6_vectors,
+    "op7_suffixes": op7_suffixes,
     "op8_leaks": op8_leaks,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,

@@ -89,13 +89,14 @@ def word_bounds(
 
 
 def span_hashes(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True, seed: int = 0
 ) -> np.ndarray:
     """64-bit hashes of the byte runs; with ``fold`` A-Z count as a-z."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     up, down = powers(len(data) + 1)
     table = _BYTE[_LOWER] if fold else _BYTE
+    table = mix(table + np.uint64(seed)) if seed else table
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(table[data] * up[: len(data)], out=total[1:])
     raw = (total[ends] - total[starts]) * down[starts]
