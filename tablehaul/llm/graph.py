@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.shared import stage
 
 
+def least_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node that the links i-j connect it to."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _toward_min(links: DataFrame, down: bool) -> DataFrame:
     """Each node's neighbours linked to the smallest of them; ``down``: the node's smaller ones."""
     turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"))

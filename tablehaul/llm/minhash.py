@@ -9,12 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.graph import components
+from tablehaul.llm.graph import components, least_labels
 from tablehaul.llm.words import mix, slices, text_shingles
 from tablehaul.shared import stage
 
 #: At 85 in 100 similarity a pair misses all 24 bands of 6 with a chance of 0.00001.
 BANDS, ROWS = 24, 6
+#: Rows of a tile, and elements that are counted at a time.
+TILE, COLUMNS = 512, 4096
+#: Parts into which the rows of a class of equal sets are dealt.
+SALTS = 16
 _FIRST, _SECOND = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
@@ -111,15 +115,69 @@ def _similar(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
-    named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    held = texts.join(named, "id", "left_semi").mapInArrow(_sets(size), "id long, elements binary")
-    held = stage(held, "sets")
-    x = held.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    y = held.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-    met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return stage(met.mapInArrow(_similar(percent), "a long, b long").distinct(), "links")
+def _shared(rows: list[np.ndarray]) -> np.ndarray:
+    """How many elements every two of the sets share."""
+    elements, place = np.unique(np.concatenate(rows), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    times = np.bincount(place, minlength=len(elements))
+    column = np.cumsum(times > 1) - 1
+    owner, column = owner[times[place] > 1], column[place[times[place] > 1]]
+    total = np.zeros((len(rows), len(rows)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    edges = np.searchsorted(column, np.arange(0, column.max(initial=-1) + 1 + COLUMNS, COLUMNS))
+    for k, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        part = np.zeros((len(rows), COLUMNS), np.float32)
+        part[owner[i:j], column[i:j] - k * COLUMNS] = 1
+        total += part @ part.T
+    return total
+
+
+def _compared(percent: int):
+    """Links between the rows of a tile that are outside a bucket's main component and all others.
+
+    Of these links as many are returned as it takes to connect what they connect.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, label = table["id"].to_numpy(), table["label"].to_numpy()
+        ids, first = np.unique(ids, return_index=True)
+        label = label[first]
+        held = table["elements"].to_pylist()
+        rows = [np.frombuffer(held[i], np.uint64) for i in first.tolist()]
+        size = np.array([len(r) for r in rows], np.float32)
+        both = _shared(rows)
+        near = 100 * both >= percent * (size[:, None] + size - both)
+        near &= label[:, None] != label
+        i, j = np.nonzero(np.triu(near, 1))
+        root = least_labels(len(ids), i, j)
+        moved = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": ids[root[moved]], "b": ids[moved]})
+
+    return run
+
+
+def _tiled(spread: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a bucket in different components, found tile by tile."""
+    outside = F.col("label") != F.col("main")
+    counts = spread.groupBy("bucket").agg(
+        F.ceil(F.sum(outside.cast("int")) / TILE).cast("int").alias("outsiders"),
+        F.ceil(F.count("*") / TILE).cast("int").alias("tiles"),
+    )
+    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("outsiders")).cast("int")
+    every = F.transform(
+        F.sequence(F.lit(0), F.col("outsiders") - 1), lambda i: F.struct(i.alias("i"), own.alias("j"))
+    )
+    more = F.transform(
+        F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(mine.alias("i"), j.alias("j"))
+    )
+    dealt = spread.join(counts, "bucket").select(
+        "bucket", "id", "label",
+        F.explode(F.when(outside, F.array_union(every, more)).otherwise(every)).alias("u"),
+    )
+    work = dealt.select("bucket", "id", "label", "u.*").join(sets, "id")
+    return work.groupBy("bucket", "i", "j").applyInArrow(_compared(percent), "a long, b long")
 
 
 def near_duplicates(
@@ -138,9 +196,10 @@ def near_duplicates(
     of their elements, all of them, and linked if 100 * shared >= percent * together.
 
     Equal sets become one class before bands are made. In each bucket all classes are first
-    compared with the one that shares most buckets with others; then every pair that is
-    still in different components, so that no candidate pair goes unseen while a group of
-    n near copies costs about n comparisons.
+    compared with the one that shares most buckets with others. Then those still outside a
+    bucket's largest component are compared with all others in it, in tiles that tasks take one by
+    one, so that no candidate pair goes unseen, a group of n near copies costs about n
+    comparisons, and no task returns pairs, but only enough links to connect them.
 
     A null or blank text has an empty set and is linked with nothing. A row with a null id is
     returned with a null component and kept. Rows with equal ids are one node. Other columns
@@ -150,10 +209,16 @@ def near_duplicates(
     shape = "id long, n long, p long, q long, bands array<long>"
     profiles = stage(texts.mapInArrow(_profiles(shingle, bands, rows), shape), "profiles")
     named = profiles.where("id is not null and n > 0")
-    classes = named.groupBy("n", "p", "q").agg(F.min("id").alias("rep"))
+    alike = ["n", "p", "q"]
+    classes = named.groupBy(*alike).agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    copied = classes.where("copies > 1").select(
+        *alike, "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    rep = F.coalesce("rep", "id")
     member = stage(
-        named.join(classes, ["n", "p", "q"]).select(
-            "id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")
+        salted.join(copied, [*alike, "salt"], "left").select(
+            "id", "n", rep.alias("rep"), F.when(F.col("id") == rep, F.col("bands")).alias("bands")
         ),
         "members",
     )
@@ -171,34 +236,31 @@ def near_duplicates(
     def close(x: str, y: str):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    def ordered(x: str, y: str):
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
     to_head = buckets.join(heads, "bucket").where(
         (F.col("id") != F.col("head.id")) & close("n", "head.n")
     )
-    first_pairs = stage(to_head.select(*ordered("id", "head.id")).distinct(), "pairs")
-    sets_of = texts.where("id is not null")
-    links = _links(first_pairs, sets_of, shingle, percent)
+    pairs = to_head.select(
+        F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")
+    ).distinct()
+    shared = buckets.select("id").distinct()
+    sets = stage(
+        texts.join(shared, "id", "left_semi").mapInArrow(_sets(shingle), "id long, elements binary"),
+        "sets",
+    )
+    x = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
+    y = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+    met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    links = stage(met.mapInArrow(_similar(percent), "a long, b long").distinct(), "links")
     label = components(links)
-    spread = buckets.join(label, "id", "left").withColumn(
-        "label", F.coalesce("component", "id")
-    ).drop("component")
+    spread = buckets.where("size > 2").join(label, "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("label")
+    )
     shares = spread.groupBy("bucket", "label").agg(F.count("*").alias("share"))
     split = shares.groupBy("bucket").agg(
         F.count("*").alias("labels"), F.max_by("label", F.struct("share", -F.col("label"))).alias("main")
-    ).where("labels > 1")
-    spread = stage(spread.where("size > 2").join(split, "bucket"), "spread")
-    few = spread.where("label <> main").select(
-        "bucket", F.col("id").alias("i"), F.col("n").alias("k"), F.col("label").alias("other")
-    )
-    rest = spread.join(few, "bucket").where(
-        (F.col("label") != F.col("other"))
-        & ((F.col("label") == F.col("main")) | (F.col("id") < F.col("i")))
-        & close("n", "k")
-    )
-    rest = rest.select(*ordered("id", "i")).distinct().join(first_pairs, ["a", "b"], "left_anti")
-    more = _links(stage(rest, "pairs"), sets_of, shingle, percent)
+    ).where("labels > 1").drop("labels")
+    spread = stage(spread.join(split, "bucket"), "spread")
+    more = _tiled(spread, sets, percent)
     label = stage(components(links.unionByName(more)), "labels")
     found = member.join(label.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component_id")

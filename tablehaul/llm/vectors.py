@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.graph import components
+from tablehaul.llm.graph import components, least_labels
 from tablehaul.shared import stage
 
 #: Subspaces; rows of a tile; rows of a tile that are compared at a time.
@@ -70,20 +70,6 @@ def _budget(cosine: float, size: int, width: int) -> float:
     return (2 - 2 * cosine) * width / size + ROUNDING
 
 
-def _least_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node that the links i-j connect it to."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, least)
-        np.minimum.at(new, j, least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _compare(cosine: float, blocks: int):
     """Links between the rows of two tiles, or of one with itself."""
 
@@ -124,7 +110,7 @@ def _compare(cosine: float, blocks: int):
         i = np.concatenate(found_i) if found_i else np.zeros(0, np.int64)
         j = np.concatenate(found_j) if found_j else np.zeros(0, np.int64)
         times = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-        root = _least_labels(len(ids), i, j)
+        root = least_labels(len(ids), i, j)
         hit = np.flatnonzero(times)
         return pa.table({"id": ids[hit], "n": times[hit], "root": ids[root[hit]]})
 
