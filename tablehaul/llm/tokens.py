@@ -33,7 +33,8 @@ class Encoder:
     A piece is a run of marks and letters with the ASCII white space before it; it ends before
     white space, and between an ASCII letter or digit and an ASCII mark. No match of the
     tokenizers' patterns goes across such a place, so the ids of the pieces, one after the other,
-    are those of the text. ``spaced`` is false for tokenizers that drop white space.
+    are those of the text. ``spaced`` is false for tokenizers that drop white space and lower-case.
+    
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -110,7 +111,7 @@ class Encoder:
         starts, ends, first = self._pieces(data, at)
         if len(starts):
             hashes, seen, back = np.unique(
-                span_hashes(data, starts, ends, fold=False), return_index=True, return_inverse=True
+                span_hashes(data, starts, ends, fold=not self.spaced), return_index=True, return_inverse=True
             )
             piece = self._learn(hashes, data, starts[seen], ends[seen])[back]
             begin, size = self.place[piece], self.size[piece]

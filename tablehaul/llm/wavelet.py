@@ -40,24 +40,30 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray, n_planes: int) -> WaveletMatrix:
         zeros, planes, ranks = [], [], []
+        size, step = len(ids), BLOCK // 8
+        ids = ids.astype(np.uint16 if n_planes <= 16 else np.uint32)
         for level in range(n_planes - 1, -1, -1):
-            one = (ids >> np.uint32(level)) & np.uint32(1) == 1
+            one = (ids & ids.dtype.type(1 << level)) != 0
             packed = np.packbits(one, bitorder="little")
-            blocks = np.add.reduceat(one, np.arange(0, max(1, len(one)), BLOCK), dtype=np.int64) if len(one) else []
+            bits = np.zeros(-(-len(packed) // step) * step, np.uint8)
+            bits[: len(packed)] = np.bitwise_count(packed)
+            blocks = bits.reshape(-1, step).sum(1, dtype=np.int64)
             planes.append(packed)
             ranks.append(np.concatenate([[0], np.cumsum(blocks)]).astype(np.uint32))
-            zeros.append(int(len(one) - one.sum()))
-            ids = np.concatenate([ids[~one], ids[one]])
-        return cls(len(ids), zeros, planes, ranks)
+            zeros.append(size - int(ranks[-1][-1]))
+            if level:
+                ids = np.concatenate([ids[~one], ids[one]])
+        return cls(size, zeros, planes, ranks)
 
     def ids(self) -> np.ndarray:
         """All ids, from the lowest plane up."""
-        values = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        values = np.zeros(self.size, kind)
         for depth in range(len(self.planes) - 1, -1, -1):
             one = np.unpackbits(self.planes[depth], count=self.size, bitorder="little").astype(bool)
-            above = np.empty(self.size, np.uint32)
+            above = np.empty(self.size, kind)
             above[~one] = values[: self.zeros[depth]]
-            above[one] = values[self.zeros[depth] :] | np.uint32(1 << (len(self.planes) - 1 - depth))
+            above[one] = values[self.zeros[depth] :] | kind(1 << (len(self.planes) - 1 - depth))
             values = above
         return values
 
