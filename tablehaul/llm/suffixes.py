@@ -16,6 +16,8 @@ from tablehaul.shared import stage
 MIN_BYTES, GRAM = 400, 64
 #: Starts that share a core; symbols that a suffix array is built over at a time.
 PIECE, SYMBOLS = 32, 1 << 17
+#: Strings around one core beyond which their windows are counted one by one, over all tasks.
+MANY = 1024
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -155,13 +157,10 @@ def _segments(length: int, gram: int):
 def _pieces(length: int):
     """Cuts open segments so that all windows of a piece hold its core, whatever lies around it.
 
-    Counted back from the anchor, starts are cut into runs of 32, and these into 0, 1, 2 to 3, 4
-    to 7, 8 to 15 and 16 to 31 bytes before the run's last start. So a piece of w starts has at
-    most w - 1 bytes on either side of its core, and equal windows lie in pieces with equal cores.
+    Starts are cut into runs of 32, counted back from the anchor. So a piece has at most 31 bytes on
+    either side of its core, each window takes 31 of them, and equal windows lie in pieces
+    with equal cores.
     """
-    steps = np.zeros(PIECE, np.int64)
-    for s in range(1, PIECE):
-        steps[s] = s.bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,17 +180,14 @@ def _pieces(length: int):
                 of = np.repeat(np.arange(len(times)), times)
                 start = np.array(begin)[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
                 back = np.array(anchor)[of] - start
-                step = steps[back % PIECE]
-                cut = of * 4096 + back // PIECE * 8 + step
+                cut = of * 4096 + back // PIECE
                 first = np.flatnonzero(np.concatenate([[True], cut[1:] != cut[:-1]]))
                 last = np.append(first[1:], len(start)) - 1
-                of, step, run_at = of[first], step[first], (back // PIECE)[first]
-                low = np.where(step > 0, 1 << np.maximum(step - 1, 0), 0)
-                high = np.where(step > 0, 2 * low - 1, 0)
-                edge = np.array(anchor)[of] - PIECE * run_at
-                core_from, core_to = edge - low, edge - high + length
+                of, salt = of[first], (back // PIECE)[first]
+                core_from = np.array(anchor)[of] - PIECE * salt
+                core_to = core_from - (PIECE - 1) + length
                 one, two = start[first], start[last]
-                salt = (run_at * 8 + step).astype(np.uint64)
+                salt = salt.astype(np.uint64)
                 raw = data.tobytes()
                 left = [raw[a:b] for a, b in zip(one.tolist(), core_from.tolist(), strict=True)]
                 right = [raw[a:b] for a, b in zip(core_to.tolist(), (two + length).tolist(), strict=True)]
@@ -200,21 +196,20 @@ def _pieces(length: int):
                         pa.array([names[o] for o in of.tolist()], pa.int64()),
                         pa.array(one - np.array(base)[of]),
                         pa.array((two - one + 1).astype(np.int32)),
-                        pa.array((high - low + 1).astype(np.int32)),
                         pa.array([copies[o] for o in of.tolist()], pa.int64()),
                         pa.array(mix(span_hashes(data, core_from, core_to, fold=False, seed=3) + salt).view(np.int64)),
                         pa.array(mix(span_hashes(data, core_from, core_to, fold=False, seed=4) + salt).view(np.int64)),
                         pa.array(left, pa.binary()),
                         pa.array(right, pa.binary()),
                     ],
-                    names=["id", "start", "times", "width", "n", "k", "l", "left", "right"],
+                    names=["id", "start", "times", "n", "k", "l", "left", "right"],
                 )
 
     return run
 
 
 def _repeated(strings: list[tuple]) -> Iterator[tuple[int, int, bytes, bytes, int]]:
-    """Of strings ``(k, l, left, right, width, times)``: bits of the starts that occur again.
+    """Of strings ``(k, l, left, right, times)``: bits of the starts that occur again.
 
     All strings become one text: the bytes around each core, the core as one symbol, and an end.
     """
@@ -225,10 +220,10 @@ def _repeated(strings: list[tuple]) -> Iterator[tuple[int, int, bytes, bytes, in
         symbol = cores.setdefault((k, core), 257 + len(cores))
         text += [*(b + 1 for b in left), symbol, *(b + 1 for b in right), 0]
     longest = common_prefixes(text, suffix_array(text))
-    for start, (k, core, left, right, width, times) in zip(at, strings, strict=True):
+    for start, (k, core, left, right, times) in zip(at, strings, strict=True):
         bits = 0
         for t in range(times):
-            if longest[start + t] >= width:
+            if longest[start + t] >= PIECE:
                 bits |= 1 << t
         if bits:
             yield k, core, left, right, bits
@@ -249,7 +244,7 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("k", "l", "left", "right", "width", "times")]
+        columns = [batch.column(c).to_pylist() for c in ("k", "l", "left", "right", "times")]
         for row in zip(*columns, strict=True):
             if symbols > SYMBOLS and row[:2] != held[-1][:2]:
                 yield made()
@@ -299,8 +294,9 @@ def repeated_spans(
     with the same anchor are segments. A segment of which there are two is repeated as a whole; one
     whose anchor occurs nowhere else has no repeated window. The others, at the ends of
     repeated passages and around changed bytes, are cut into pieces; equal pieces are repeated as
-    a whole, and pieces with equal cores are told apart by suffix arrays of their edges. Segments and
-    pieces are compared by 128 bits of hash.
+    a whole, and pieces with equal cores are told apart by suffix arrays of their edges, or where more than 1,024
+    pieces have the same core, by counting their windows. Segments and cores are compared by 128
+    bits of hash.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.where("id is not null")
@@ -330,25 +326,38 @@ def repeated_spans(
     pieces = stage(
         texts.join(by_doc, "id").mapInArrow(
             _pieces(length),
-            "id long, start long, times int, width int, n long, k long, l long, left binary, right binary",
+            "id long, start long, times int, n long, k long, l long, left binary, right binary",
         ),
         "pieces",
     )
     string = ["k", "l", "left", "right"]
     strings = stage(
         pieces.groupBy(*string).agg(
-            F.sum("n").alias("n"), F.max("width").alias("width"), F.max("times").alias("times")
+            F.sum("n").alias("n"), F.max("times").alias("times")
         ),
         "strings",
     )
     unclear = strings.groupBy("k", "l").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-    unclear = unclear.where("kinds > 1 and least = 1").select("k", "l")
-    rows = strings.join(unclear, ["k", "l"], "left_semi").select(*string, "width", "times")
-    sorted_out = rows.repartition("k", "l").sortWithinPartitions("k", "l").mapInArrow(
+    rows = strings.join(unclear.where("kinds > 1 and least = 1"), ["k", "l"])
+    few = rows.where(F.col("kinds") <= MANY).select(*string, "times")
+    sorted_out = few.repartition("k", "l").sortWithinPartitions("k", "l").mapInArrow(
         _sorted_out, "k long, l long, left binary, right binary, bits long"
     )
+    windows = rows.where(F.col("kinds") > MANY).select(
+        *string, F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("t")
+    )
+    own = [
+        F.substr("left", F.col("t") + 1).alias("x"),
+        F.substr("right", F.lit(1), PIECE - 1 - F.length("left") + F.col("t")).alias("y"),
+    ]
+    windows = windows.select(*string, "t", *own)
+    again = windows.groupBy("k", "l", "x", "y").agg(F.count("*").alias("held")).where("held > 1")
+    counted = windows.join(again, ["k", "l", "x", "y"]).groupBy(*string).agg(
+        F.sum(F.expr("shiftleft(1L, t)")).alias("bits")
+    )
     alike = strings.where("n > 1").select(*string, F.lit(-1).cast("long").alias("bits"))
-    clear = strings.select(*string, "n").join(sorted_out, string).where("n = 1").select(*string, "bits")
+    told = strings.where("n = 1").select(*string).join(sorted_out.unionByName(counted), string)
+    clear = told.select(*string, "bits")
     marked = pieces.where("n = 1").join(alike.unionByName(clear), string)
     parts = marked.select(
         "id", F.explode(
