@@ -29,10 +29,19 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remove_staged(spark: SparkSession) -> None:
     """Delete what this application staged. DataFrames that read from there end with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _application_folder(spark))
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete one staged table, once all that was made from it has been written elsewhere."""
+    _delete(staged.sparkSession, staged.staged_at)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -44,4 +53,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
