@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = " \t\n\x0b\x0c\r"
+#: Parts into which the documents that share a line are dealt.
+SALTS = 16
 
 
 def _key(line: Column) -> Column:
@@ -42,10 +44,12 @@ def drop_common_lines(
         docs.select(F.explode(F.array_distinct(keys)).alias("key"))
         .where(long_enough).select(*both)
         .groupBy("h", "g").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+        .select("h", "g", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
+    salt = F.pmod("_mark", F.lit(SALTS)).cast("int").alias("salt")
     at = docs.select(*mark, F.posexplode(keys).alias("at", "key")).where(long_enough)
     dropped = (
-        at.select("_id", "_mark", "at", *both).join(common, ["h", "g"])
+        at.select("_id", "_mark", "at", salt, *both).join(common, ["h", "g", "salt"])
         .groupBy("_id", "_mark").agg(F.collect_set("at").alias("_at"))
     )
     rows = docs.select(F.struct("*").alias("_row"), *mark).alias("r")
