@@ -19,7 +19,7 @@ BLOCK = 512
 SHARD_IDS = 1 << 20
 TASK_BYTES = 32 << 20
 SHAPE = (
-    "part long, shard long, n_ids long, doc_ids binary, doc_sizes binary, named binary, "
+    "part long, shard long, within long, n_ids long, doc_ids binary, doc_sizes binary, named binary, "
     "zeros array<long>, planes array<binary>, ranks array<binary>"
 )
 
@@ -125,16 +125,16 @@ class WaveletMatrix:
         return at
 
 
-def _shard(part: int, shard: int, docs: list, sizes: list, ids: np.ndarray, n_planes: int):
+def _shard(part: int, shard: int, within: int, docs: list, sizes: list, ids: np.ndarray, n_planes: int):
     matrix = WaveletMatrix.build(ids, n_planes)
     named = np.array([d is not None for d in docs], np.uint8)
     numbers = np.array([d or 0 for d in docs], np.int64)
     values = [
-        part, shard, len(ids), numbers.tobytes(), np.array(sizes, np.int64).tobytes(),
+        part, shard, within, len(ids), numbers.tobytes(), np.array(sizes, np.int64).tobytes(),
         named.tobytes(), matrix.zeros, [p.tobytes() for p in matrix.planes],
         [r.tobytes() for r in matrix.ranks],
     ]
-    kinds = [pa.int64()] * 3 + [pa.binary()] * 3 + [
+    kinds = [pa.int64()] * 4 + [pa.binary()] * 3 + [
         pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary())
     ]
     names = [c.split()[0] for c in SHAPE.split(", ")]
@@ -144,7 +144,7 @@ def _shard(part: int, shard: int, docs: list, sizes: list, ids: np.ndarray, n_pl
 def _encode(tokenizer: str, spaced: bool, end_id: int, n_planes: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = encoder(tokenizer, spaced)
-        part, shard = TaskContext.get().partitionId(), 0
+        part, shard, within = TaskContext.get().partitionId(), 0, 0
         docs, sizes, held = [], [], []
         for batch in batches:
             names = batch.column("id").to_pylist()
@@ -154,10 +154,11 @@ def _encode(tokenizer: str, spaced: bool, end_id: int, n_planes: int, shard_ids:
                 sizes += np.diff(edges).tolist()
                 held.append(ids)
                 if sum(map(len, held)) >= shard_ids:
-                    yield _shard(part, shard, docs, sizes, np.concatenate(held), n_planes)
+                    yield _shard(part, shard, within, docs, sizes, np.concatenate(held), n_planes)
+                    within += sum(sizes)
                     docs, sizes, held, shard = [], [], [], shard + 1
         if docs:
-            yield _shard(part, shard, docs, sizes, np.concatenate(held), n_planes)
+            yield _shard(part, shard, within, docs, sizes, np.concatenate(held), n_planes)
 
     return run
 
@@ -224,17 +225,15 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """The shards of written files, and before each the number of ids of all shards before it.
 
-    Sizes are added up by task first, so that no more rows meet in one task than there are files.
+    Only the files' sizes are added up and broadcast: two numbers for each file, of which there
+    is one for every 32 MB of text.
     """
     shards = spark.read.schema(SHAPE).parquet(path)
-    sizes = shards.select("part", "shard", "n_ids")
-    by_part = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    own = sizes.withColumn("within", F.coalesce(F.sum("n_ids").over(by_part), F.lit(0)))
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     by_order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(by_order), F.lit(0)).alias("base"))
-    before = own.join(parts, "part").select("part", "shard", (F.col("base") + F.col("within")).alias("before"))
-    return shards.join(before, ["part", "shard"])
+    met = shards.join(F.broadcast(parts), "part")
+    return met.withColumn("before", F.col("base") + F.col("within")).drop("base", "within")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
