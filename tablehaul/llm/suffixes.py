@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.words import mix, slices, span_hashes
-from tablehaul.shared import stage
+from tablehaul.shared import stage, unstage
 
 MIN_BYTES, GRAM = 400, 64
 #: Starts that share a core; symbols that a suffix array is built over at a time.
@@ -307,8 +307,10 @@ def repeated_spans(
         ),
         "segments",
     )
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("held")).where("held > 1").select("anchor")
+    shared = segments.groupBy("anchor").agg(F.count("*").alias("held")).where("held > 1")
+    shared = stage(shared.select("anchor"), "anchors")
     live = stage(segments.join(shared, "anchor", "left_semi"), "segments")
+    unstage(segments)
     same = ["anchor", "c", "d"]
     kinds = stage(
         live.groupBy(*same).agg(
