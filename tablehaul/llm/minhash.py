@@ -160,10 +160,10 @@ def _compared(percent: int):
 def _tiled(spread: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of a bucket in different components, found tile by tile."""
     outside = F.col("label") != F.col("main")
-    counts = spread.groupBy("bucket").agg(
+    counts = stage(spread.groupBy("bucket").agg(
         F.ceil(F.sum(outside.cast("int")) / TILE).cast("int").alias("outsiders"),
         F.ceil(F.count("*") / TILE).cast("int").alias("tiles"),
-    )
+    ), "counts")
     own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("outsiders")).cast("int")
     every = F.transform(
