@@ -21,6 +21,8 @@ MIN_WORDS = 8
 #: A window's words of the benchmark must have this share of its weight, and of the passage's.
 MIN_SHARE, MIN_WEIGHT = 0.05, 0.4
 MIN_COSINE = 0.45
+#: Words whose vectors are summed up at a time.
+WORDS = 1 << 15
 
 
 def text_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -161,8 +163,8 @@ def latent_space(passages: DataFrame, block: Passages, rank: int) -> np.ndarray:
 
 
 def _windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, start and end of windows of ``size`` words, an eighth apart; short texts have one."""
-    step, length = max(1, size // 8), np.diff(first)
+    """Text, start and end of windows of ``size`` words, a quarter apart; short texts have one."""
+    step, length = max(1, size // 4), np.diff(first)
     count = np.where(length > 0, -(-np.maximum(length - size, 0) // step) + 1, 0)
     text = np.repeat(np.arange(len(length)), count)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
@@ -176,7 +178,7 @@ def _search(block: Passages, least: float, least_with_answer: float):
         for i in range(len(block.items)):
             sizes.setdefault(block.window(i), []).append(i)
         squares = np.append(block.weights**2, 0.0)
-        terms = (block.terms * block.weights[:, None]).astype(np.float32)
+        terms = np.ascontiguousarray((block.terms * block.weights[:, None]).T.astype(np.float32))
         for batch in batches:
             out: list[tuple] = []
             for row, hashes, first in text_words(batch.column("text")):
@@ -184,26 +186,19 @@ def _search(block: Passages, least: float, least_with_answer: float):
                 own = np.concatenate([[0], np.cumsum(squares[place])])
                 every = np.concatenate([[0], np.cumsum(np.where(place >= 0, squares[place], block.unseen**2))])
                 best: dict[tuple[int, int], tuple] = {}
-                for size, items in sizes.items():
-                    text, start, end = _windows(first, size)
-                    energy = own[end] - own[start]
-                    near = energy >= MIN_SHARE * (every[end] - every[start])
-                    near &= energy >= MIN_WEIGHT * block.energy[items].min()
-                    text, start, end = text[near], start[near], end[near]
-                    energy = energy[near]
-                    for at in range(0, len(text), 2048):
-                        part = slice(at, at + 2048)
-                        for t, s, e, i in _retrieved(
-                            block, terms, place, items, text[part], start[part], end[part], energy[part]
-                        ):
-                            a, b = max(first[t], s - size // 4), min(first[t + 1], e + size // 4)
-                            words = hashes[a:b].tolist()
-                            share = common_subsequence(block.words[i], words) / len(block.words[i])
-                            answer = block.answers[i]
-                            told = common_subsequence(answer, words) == len(answer)
-                            if share >= least or share >= least_with_answer and told:
-                                found = (share, told, int(a - first[t]), int(b - a))
-                                best[t, i] = max(best.get((t, i), found), found)
+                near = [
+                    (items, size, *_weighty(block, first, size, own, every, items))
+                    for size, items in sizes.items()
+                ]
+                for size, t, s, e, i in _retrieved(block, terms, place, near):
+                    a, b = max(first[t], s - size // 4), min(first[t + 1], e + size // 4)
+                    words = hashes[a:b].tolist()
+                    share = common_subsequence(block.words[i], words) / len(block.words[i])
+                    answer = block.answers[i]
+                    told = common_subsequence(answer, words) == len(answer)
+                    if share >= least or share >= least_with_answer and told:
+                        found = (share, told, int(a - first[t]), int(b - a))
+                        best[t, i] = max(best.get((t, i), found), found)
                 out += [(row + t, block.items[i], *f) for (t, i), f in best.items()]
             yield pa.record_batch(
                 [
@@ -220,24 +215,41 @@ def _search(block: Passages, least: float, least_with_answer: float):
     return run
 
 
-def _retrieved(block, terms, place, items, text, start, end, energy) -> Iterator[tuple[int, int, int, int]]:
-    """Windows and passages whose latent cosine is high enough."""
-    if not len(text):
-        return
-    size = end - start
-    offset = np.cumsum(size) - size
-    words = place[np.repeat(start - offset, size) + np.arange(size.sum())]
-    owner = np.repeat(np.arange(len(text)), size)[words >= 0]
-    words = words[words >= 0]
-    latent = np.zeros((len(text), terms.shape[1]), np.float32)
-    held, at = np.unique(owner, return_index=True)
-    if len(held):
-        latent[held] = np.add.reduceat(terms[words], at, axis=0)
-    length = np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    cosine = (latent / length) @ block.latent[items].T.astype(np.float32)
-    near = (cosine >= MIN_COSINE) & (energy[:, None] >= MIN_WEIGHT * block.energy[items])
-    for w, i in zip(*np.nonzero(near), strict=True):
-        yield int(text[w]), int(start[w]), int(end[w]), items[i]
+def _weighty(block, first, size, own, every, items) -> tuple[np.ndarray, ...]:
+    """Text, start, end and weight of windows with weight enough to hold one of the passages."""
+    text, start, end = _windows(first, size)
+    energy = own[end] - own[start]
+    held = energy >= MIN_SHARE * (every[end] - every[start])
+    held &= energy >= MIN_WEIGHT * block.energy[items].min()
+    return text[held], start[held], end[held], energy[held]
+
+
+def _retrieved(block, terms, place, near) -> Iterator[tuple[int, int, int, int, int]]:
+    """Windows and passages whose latent cosine is high enough.
+
+    A window's vector is the difference of two sums over the words up to a place; ``terms`` has a
+    column for each word of the vocabulary.
+    """
+    longest = max((size for _, size, *_ in near), default=0)
+    for low in range(0, len(place), WORDS):
+        spans = [np.searchsorted(start, [low, low + WORDS]) for _, _, _, start, *_ in near]
+        if all(a == b for a, b in spans):
+            continue
+        known = place[low : low + WORDS + longest]
+        before = np.concatenate([[0], np.cumsum(known >= 0)])
+        sums = np.zeros((len(terms), before[-1] + 1), np.float32)
+        np.cumsum(terms[:, known[known >= 0]], axis=1, out=sums[:, 1:])
+        for (items, size, text, start, end, energy), (a, b) in zip(near, spans, strict=True):
+            turned = block.latent[items].astype(np.float32)
+            for at in range(a, b, 4096):
+                some = slice(at, min(at + 4096, b))
+                latent = sums[:, before[end[some] - low]] - sums[:, before[start[some] - low]]
+                length = np.sqrt(np.einsum("ij,ij->j", latent, latent))
+                close = turned @ latent >= MIN_COSINE * np.maximum(length, 1e-6)
+                close &= energy[some] >= MIN_WEIGHT * block.energy[items, None]
+                for i, w in zip(*np.nonzero(close), strict=True):
+                    w += at
+                    yield size, int(text[w]), int(start[w]), int(end[w]), items[i]
 
 
 def benchmark_leaks(
@@ -256,8 +268,8 @@ def benchmark_leaks(
 
     Words are runs of letters and digits, A-Z lower-cased. Weights are inverse document
     frequencies over all documents. The latent space is a randomised SVD of the TF-IDF
-    passages. Every window of every document, of about the passage's length and an eighth of it
-    apart, is mapped into that space; windows with a high cosine to a passage are compared with it
+    passages. Every window of every document, of about the passage's length and a quarter of
+    it apart, is mapped into that space; windows with a high cosine to a passage are compared with it
     exactly: it is leaked if ``least`` of its words occur there in order, or
     ``least_with_answer`` of them and all words of its last sentence, which stands for the answer.
     ``share`` is that part, and the best window is returned.
