@@ -81,7 +81,7 @@ def _compare(cosine: float, blocks: int):
         split = int(np.count_nonzero(~table["second"].to_numpy()))
         flat = b"".join(table["v"].to_pylist())
         rows = np.frombuffer(flat, np.float64).reshape(len(ids), size)
-        alone = split == len(ids)
+        alone = not table["next"][0].as_py() and table["i"][0].as_py() == table["j"][0].as_py()
         ones, twos = (0, split), (0, split) if alone else (split, len(ids))
         budgets = [_budget(cosine, size, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         part = slice(edges[block], edges[block + 1])
@@ -103,6 +103,8 @@ def _compare(cosine: float, blocks: int):
                 gaps = (rows[a] - rows[b]) ** 2
                 own = np.ones(len(a), bool)
                 for c in range(block + 1):
+                    if edges[c] == edges[c + 1]:
+                        continue
                     inside = gaps[:, edges[c] : edges[c + 1]].sum(1) <= budgets[c]
                     own &= inside if c == block else ~inside
                 found_i.append(a[own])
