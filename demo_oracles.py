@@ -142,6 +142,17 @@ ORACLES = {
     "q_page_bounds_text": _pages("customer", "c_name", 400, 3),
     "q_page_bounds_time": _pages("events", "ts", 700, 4),
     "q_page_bounds_hot": _pages("lineitem", "l_linenumber", 1000, 4),
+    "q_seek_pages_repeated": "select * from lineitem",
+    "q_migrate_data_only_rejects": """
+        select *, concat_ws(',', case when id > 2147483647 then 'id:cast' end,
+            case when length(s) > 8 then 's:length' end, case when n is null then 'n:not_null' end
+        ) as reject_reason
+        from (select o_orderkey * 1000000 as id, o_orderpriority as s, nullif(o_custkey % 50, 0) as n from orders)
+    """,
+    "q_delimited_plain": """
+        select page_id, url, case when page_id % 7 = 0 then null when page_id % 5 = 0 then '' else html end as html
+        from pages
+    """,
     "q_seek_page": "select * from orders where o_orderkey > 7499 order by o_orderkey limit 500",
     "q_offset_page": "select * from orders order by o_custkey, o_orderkey limit 500 offset 5000",
     "q_offset_page_deep": "select * from events order by ts, event_id limit 50 offset 900",

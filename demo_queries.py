@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -435,6 +437,53 @@ def migrate_data_only(spark, sf_dir):
     return target.read("part")
 
 
+def migrate_data_only_rejects(spark, sf_dir):
+    specs = [
+        ColumnSpec("id", "INT"), ColumnSpec("s", "VARCHAR", 8),
+        ColumnSpec("n", "INT", is_nullable=False),
+    ]
+    wide = source_of(spark, sf_dir).read("orders").select(
+        (F.col("o_orderkey") * 1_000_000).alias("id"),
+        F.col("o_orderpriority").alias("s"),
+        F.nullif(F.col("o_custkey") % 50, F.lit(0)).alias("n"),
+    )
+    target = ParquetTables(spark, new_folder(spark, "strict"), specs={"t": specs})
+    write_table(spark.createDataFrame([], "id int, s string, n int"), target, "t")
+    migrate(FrameTables(spark, "wide", {"t": wide}), target, tables=["t"], data_only=True)
+    kept = target.read("t").select(F.col("id").cast("bigint"), "s", F.col("n").cast("bigint"))
+    return kept.withColumn("reject_reason", F.lit("")).unionByName(target.rejected("t"))
+
+
+def seek_pages_repeated(spark, sf_dir):
+    """A walk over a key with several rows each: all pages together are the table."""
+    lines = source_of(spark, sf_dir).read("lineitem")
+    limit, last, pages = lines.count() // 4 + 1, None, []
+    while True:
+        page = seek_page(lines, "l_orderkey", last, limit)
+        last = page.agg(F.max("l_orderkey")).first()[0]
+        if last is None:
+            return reduce(DataFrame.unionByName, pages)
+        pages.append(page)
+
+
+def delimited_plain(spark, sf_dir):
+    """Text that quotes only where it must: a bare empty cell is an empty text, the marker NULL."""
+    pages = source_of(spark, sf_dir).read("pages").select(
+        "page_id",
+        F.when(F.col("page_id") % 7 != 0, F.when(F.col("page_id") % 5 == 0, "").otherwise(F.col("html"))).alias("html"),
+        F.col("url"),
+    )
+
+    def cell(name):
+        text = F.col(name).cast("string")
+        in_quotes = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(text.rlike('[;"\r\n]'), in_quotes).otherwise(text), F.lit("\\N"))
+
+    path = new_folder(spark, "plain")
+    pages.select(F.concat_ws(";", *map(cell, pages.columns)).alias("value")).write.text(path)
+    return read_delimited(spark, path, pages.schema)
+
+
 def _two_sides(spark, sf_dir):
     """The tables, and a copy with no labels, fewer orders, another table and one view less."""
     source = source_of(spark, sf_dir, views=VIEWS)
@@ -496,6 +545,7 @@ QUERIES = {
     "q_page_bounds_time": bounds_of("events", "ts", 700, 4),
     "q_page_bounds_hot": bounds_of("lineitem", "l_linenumber", 1000, 4),
     "q_seek_page": seek,
+    "q_seek_pages_repeated": seek_pages_repeated,
     "q_offset_page": offset,
     "q_offset_page_deep": offset_deep,
     "q_binary_hex": binary_hex,
@@ -518,6 +568,7 @@ QUERIES = {
     "q_clustered": cluster,
     "q_delimited_roundtrip": delimited_pages,
     "q_delimited_gaps": delimited_gaps,
+    "q_delimited_plain": delimited_plain,
     "q_delimited_typed": delimited_orders,
     "q_check_pk": check_pk,
     "q_check_pk_nulls": check_pk_nulls,
@@ -536,6 +587,7 @@ QUERIES = {
     "q_migrate_events": migrated_rows("events"),
     "q_migrate_rejects": migrated_rejects,
     "q_migrate_data_only": migrate_data_only,
+    "q_migrate_data_only_rejects": migrate_data_only_rejects,
     "q_compare_counts": counts_report,
     "q_compare_views": views_report,
     "q_compare_failures": failures,

@@ -174,9 +174,24 @@ def tag_pages(
 
 
 def seek_page(df: DataFrame, key: str, after: Any, limit: int) -> DataFrame:
-    """The ``limit`` rows that follow the key value ``after``; from the start if it is None."""
+    """The ``limit`` rows that follow the key value ``after``; from the start if it is None.
+
+    All rows of the last key are returned, so that a walk from last key to last key sees every
+    row once; a page can be longer than ``limit`` by them. NULL keys come last, all on the last
+    page: a walk ends at a page without rows or whose last key is NULL.
+    """
     k = F.col(quoted(key))
-    return (df if after is None else df.filter(k > F.lit(after))).orderBy(k).limit(limit)
+    rest = df if after is None else df.filter((k > F.lit(after)) | k.isNull())
+    place = sortable(df.schema[key].dataType, k)
+    last = (
+        rest.select(place.alias("k")).orderBy(F.col("k").asc_nulls_last())
+        .offset(max(limit, 1) - 1).limit(1).first()
+    )
+    if limit < 1:
+        rest = rest.limit(0)
+    elif last is not None and last.k is not None:
+        rest = rest.filter(place <= F.lit(last.k))
+    return rest.orderBy(k.asc_nulls_last())
 
 
 def offset_page(

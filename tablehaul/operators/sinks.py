@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablehaul.conf import JobConf
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.types import ColumnSpec
-from tablehaul.operators.conform import with_defaults
+from tablehaul.operators.conform import REJECT_REASON, with_defaults, with_reject_reason
 from tablehaul.sources.tables import TableSet
 
 
@@ -33,14 +33,22 @@ def write_existing(
     """Replace the rows of a table that is there already and keep its columns.
 
     Input columns are matched by name. Those missing get the default in ``columns``, or in the
-    target's own records; a missing NOT NULL column without one is an error.
+    target's own records; a missing NOT NULL column without one is an error. So is a value that
+    does not fit its column: it is never stored as NULL, and the old rows stay.
     """
     specs = target.columns(table) if columns is None else columns
     known = {s.column_name.lower() for s in specs}
     extra = [c for c in df.columns if c.lower() not in known]
     if extra:
         raise ValueError(f"{table} has no columns {extra}")
-    target.replace(table, with_defaults(df, specs), conf)
+    given = {c.lower() for c in df.columns}
+    marked = with_reject_reason(
+        df, [s for s in specs if s.column_name.lower() in given], conf.length_unit
+    )
+    reason = F.col(REJECT_REASON)
+    refused = F.raise_error(F.concat(F.lit(f"a row does not fit {table}: "), reason))
+    fitting = marked.filter(F.when(reason == "", True).otherwise(refused.cast("boolean")))
+    target.replace(table, with_defaults(fitting.drop(REJECT_REASON), specs), conf)
 
 
 def clustered(df: DataFrame, cols: Sequence[str], files: int | None = None) -> DataFrame:

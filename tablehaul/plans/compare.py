@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -86,17 +87,40 @@ def _numbered(report: DataFrame, source: TableSet, after: int) -> DataFrame:
     )
 
 
+def _partners(ours: list[str], theirs: list[str]) -> dict[str, str]:
+    """The target's table for each of the source's: of that very name, else the only one left
+    whose name differs in case."""
+    found = {n: n for n in ours if n in set(theirs)}
+    left: dict[str, list[str]] = {}
+    for n in theirs:
+        if n not in found:
+            left.setdefault(n.upper(), []).append(n)
+    open_ones = Counter(n.upper() for n in ours if n not in found)
+    for n in ours:
+        same = left.get(n.upper(), [])
+        if n not in found and len(same) == 1 and open_ones[n.upper()] == 1:
+            found[n] = same[0]
+    return found
+
+
 def compare_counts(source: TableSet, target: TableSet) -> DataFrame:
     """A verdict for every source table: ``Y`` if the target has it with as many rows."""
     _require(source, target)
     counted = _in_threads(source.spark, row_counts, [source, target])
-    ours = counted[0].select(
-        F.upper("name").alias("source_table_name"), F.col("rows").alias("source_rows")
+    pairs = small_frame(
+        source.spark,
+        list(_partners(source.table_names(), target.table_names()).items()),
+        "name string, partner string",
+    )
+    ours = counted[0].join(pairs, "name", "left").select(
+        F.upper("name").alias("source_table_name"), F.col("rows").alias("source_rows"), "partner"
+    )
+    theirs = counted[1].select(
+        F.col("name").alias("theirs"), F.upper("name").alias("found"), F.col("rows").alias("found_rows")
     )
-    theirs = counted[1].select(F.upper("name").alias("found"), F.col("rows").alias("found_rows"))
     is_same = F.col("found").isNotNull() & (F.col("found_rows") == F.col("source_rows"))
     is_known = F.col("source_rows") != MISSING_ROWS
-    joined = ours.join(theirs, F.col("source_table_name") == F.col("found"), "left")
+    joined = ours.join(theirs, F.col("partner") == F.col("theirs"), "left")
     report = joined.select(
         "source_table_name",
         "source_rows",

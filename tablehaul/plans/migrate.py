@@ -52,6 +52,14 @@ def _copy(
     """
     scan = source.scan(table, conf)
     specs = source.columns(table, scan)
+    if data_only:
+        # The rows have to fit the table that is there.
+        given = {c.lower() for c in scan.columns}
+        own = target.columns(target.resolve(table))
+        extra = given - {s.column_name.lower() for s in own}
+        if extra:
+            raise ValueError(f"{table} has no columns {sorted(extra)}")
+        specs = [s for s in own if s.column_name.lower() in given]
     marked = with_reject_reason(scan, specs, conf.length_unit)
     sorted_by = conf.cluster_by.get(table)
 

@@ -103,7 +103,11 @@ def write_delimited(
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, dialect: DelimitedText = DelimitedText()
 ) -> DataFrame:
-    """Read the format into ``schema``. A value that is not of its column's type raises."""
+    """Read the format into ``schema``. A value that is not of its column's type raises.
+
+    Values may be quoted only where they need it: a cell without characters is an empty text,
+    quoted or not, and only the marker is NULL.
+    """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     lines = (
         spark.read.schema(as_text)
@@ -111,7 +115,7 @@ def read_delimited(
             sep=dialect.separator,
             quote=dialect.quote,
             escape=dialect.quote,
-            nullValue=dialect.null_marker,
+            nullValue="",
             emptyValue="",
             lineSep="\n",
             ignoreLeadingWhiteSpace=False,
@@ -121,12 +125,17 @@ def read_delimited(
         )
         .csv(path)
     )
+
+    def cell(name: str) -> Column:
+        value = F.coalesce(F.col(quoted(name)), F.lit(""))
+        return F.when(value != dialect.null_marker, value)
+
     return lines.select(
         *[
             (
-                hex_bytes(F.col(quoted(f.name)))
+                hex_bytes(cell(f.name))
                 if isinstance(f.dataType, T.BinaryType)
-                else F.col(quoted(f.name)).cast(f.dataType)
+                else cell(f.name).cast(f.dataType)
             ).alias(f.name)
             for f in schema.fields
         ]

@@ -206,7 +206,22 @@ def test_deep_offsets(spark, hot_share):
 
 def test_seek_and_offset_are_top_k(spark, plan):
     df = spark.range(1000).select(F.col("id").alias("k"))
-    for page in (seek_page(df, "k", 10, 5), offset_page(df, ["k"], 11, 5)):
+    page = seek_page(df, "k", 10, 5)  # may be longer than five rows, so it is a range of keys
+    assert "(id" in plan(page) and "<= 15" in plan(page)
+    assert [r.k for r in page.collect()] == [11, 12, 13, 14, 15]
+    for page in (offset_page(df, ["k"], 11, 5),):
         assert "TakeOrderedAndProject" in plan(page)
         assert [r.k for r in page.collect()] == [11, 12, 13, 14, 15]
     assert [r.k for r in seek_page(df, "k", None, 2).collect()] == [0, 1]
+
+
+def test_seek_page_walks_over_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(k, i) for k in [*range(10), None] for i in range(3)], "k int, i int")
+    last, seen = None, []
+    while True:
+        page = [tuple(r) for r in seek_page(df, "k", last, 4).collect()]
+        seen += page
+        last = page[-1][0] if page else None
+        if last is None:
+            break
+    assert sorted(seen, key=str) == sorted(map(tuple, df.collect()), key=str)

@@ -262,3 +262,11 @@ def test_settings_are_checked():
         JobConf(page_size=0)
     with pytest.raises(ValueError):
         JobConf(length_unit="words")
+
+
+def test_names_that_differ_in_case_are_compared_with_their_own(spark):
+    few, many = spark.range(2), spark.range(3)
+    ours = FrameTables(spark, "ours", {"x": few, "X": many, "y": few})
+    theirs = FrameTables(spark, "theirs", {"X": many, "x": few, "Y": few})
+    rows = [(r.source_rows, r.target_rows, r.is_success) for r in compare_counts(ours, theirs).collect()]
+    assert sorted(rows) == [(2, 2, "Y"), (2, 2, "Y"), (3, 3, "Y")]

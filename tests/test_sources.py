@@ -203,3 +203,12 @@ def test_schema_types_survive_a_replace(spark, target):
     )
     write_table(df, target, "t")
     assert target.read("t").dtypes == df.dtypes
+
+
+def test_write_existing_refuses_what_does_not_fit(spark, target):
+    specs = [ColumnSpec("id", "INT"), ColumnSpec("s", "VARCHAR", 3)]
+    write_table(spark.createDataFrame([(1, "old")], "id int, s string"), target, "strict_t")
+    for bad in ((3_000_000_000, "a"), (2, "long")):
+        with pytest.raises(Exception, match="does not fit"):
+            write_existing(spark.createDataFrame([bad], "id bigint, s string"), target, "strict_t", specs)
+    assert [tuple(r) for r in target.read("strict_t").collect()] == [(1, "old")]
