@@ -156,6 +156,8 @@ ORACLES = {
     "q_seek_page": "select * from orders where o_orderkey > 7499 order by o_orderkey limit 500",
     "q_offset_page": "select * from orders order by o_custkey, o_orderkey limit 500 offset 5000",
     "q_offset_page_deep": "select * from events order by ts, event_id limit 50 offset 900",
+    "q_offset_page_hot": "select l_linestatus, l_orderkey, l_linenumber from lineitem "
+    "order by 1, 2, 3 limit 300 offset 4000",
     "q_binary_hex": (
         "select c_custkey, case when c_nationkey <> 0 "
         "then concat('\\x', hex(encode(c_name))) end as c_name from customer"

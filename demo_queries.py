@@ -138,7 +138,7 @@ def paged_scan(spark, sf_dir):
 
 def paged_scan_joined(spark, sf_dir):
     lines = source_of(spark, sf_dir).read("lineitem").select("l_orderkey", "l_linenumber")
-    return tag_pages(lines, "l_orderkey", 10000, ROWS_PER_BUCKET, max_tag_pages=1)
+    return tag_pages(lines, "l_orderkey", 10000, ROWS_PER_BUCKET)
 
 
 def bounds_of(table, key, page_size, shards):
@@ -164,6 +164,13 @@ def offset_deep(spark, sf_dir):
     return offset_page(events, ["ts", "event_id"], 900, 50, rows_per_bucket=100)
 
 
+def offset_hot(spark, sf_dir):
+    """Behind a first column of a few values, and deep among them."""
+    lines = source_of(spark, sf_dir).read("lineitem")
+    columns = ["l_linestatus", "l_orderkey", "l_linenumber"]
+    return offset_page(lines.select(*columns), columns, 4000, 300, rows_per_bucket=500)
+
+
 def _binary_names(spark, sf_dir):
     name = F.when(F.col("c_nationkey") != 0, F.encode("c_name", "UTF-8"))
     return source_of(spark, sf_dir).read("customer").select("c_custkey", name.alias("c_name"))
@@ -548,6 +555,7 @@ QUERIES = {
     "q_seek_pages_repeated": seek_pages_repeated,
     "q_offset_page": offset,
     "q_offset_page_deep": offset_deep,
+    "q_offset_page_hot": offset_hot,
     "q_binary_hex": binary_hex,
     "q_binary_decode": binary_decode,
     "q_bits": bits_flags,

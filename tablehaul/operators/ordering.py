@@ -1,8 +1,9 @@
 """Ranks and running positions over tables of any size.
 
-A window without PARTITION BY would put the whole table into one task. Here keys are put into
-buckets along their order first. The buckets' row counts are added up on the driver, where
-there are at most ``MAX_EDGES + 1`` of them, and only positions inside a bucket need a window.
+A window without PARTITION BY would put the whole table into one task. Here rows or keys are put
+into ranges along their order first, as many as their number asks for. The driver adds up the
+ranges' row counts, one number for about a million keys, and only positions inside a range need
+a window.
 """
 
 from __future__ import annotations
@@ -11,145 +12,80 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablehaul.functions.names import quoted
+from tablehaul.functions.frames import small_frame
+from tablehaul.functions.names import columns as named
 from tablehaul.shared import stage
 
-MAX_EDGES = 4095
 ROWS_PER_BUCKET = 1_000_000
-SAMPLE_PER_BUCKET = 16
-HOT_FACTOR = 4
-_HASH_RANGE = 1 << 30
 
 
 def sortable(kind: T.DataType, value: Column) -> Column:
     """The key in a form with the same order whose values survive the way to the driver and back.
 
-    Times would be moved by the local time zone on the way, so instants go as microseconds
-    and wall-clock times as text, which sorts alike for the years 0 to 9999.
+    Times would be moved by the local time zone on the way, so they go as microseconds.
     """
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value)
     if isinstance(kind, T.TimestampNTZType):
-        return value.cast("string")
+        days = F.unix_date(value.cast("date")).cast("bigint") * 86_400
+        seconds = days + F.hour(value) * 3600 + F.minute(value) * 60
+        within = F.extract(F.lit("SECOND"), value) * 1_000_000
+        return seconds * 1_000_000 + within.cast("bigint")
     return F.hex(value) if isinstance(kind, T.BinaryType) else value
 
 
-def _sortable_type(kind: T.DataType) -> T.DataType:
-    if isinstance(kind, T.TimestampType):
-        return T.LongType()
-    return T.StringType() if isinstance(kind, (T.TimestampNTZType, T.BinaryType)) else kind
-
-
-def _edge_table(kind: T.DataType, edges: Sequence) -> tuple[Column, list[int]]:
-    """The edges as a literal array, and the strides of a search by halves."""
-    if len(edges) > MAX_EDGES:
-        raise ValueError(f"{len(edges)} edges exceed {MAX_EDGES}")
-    table = F.lit(list(edges)).cast(T.ArrayType(_sortable_type(kind)))
-    return table, [1 << i for i in reversed(range(len(edges).bit_length()))]
-
-
-def edge_index(kind: T.DataType, key: Column, edges: Sequence) -> Column:
-    """How many of the sorted ``edges`` are at or below a key of type ``kind``; 0 for NULL.
-
-    ``edges`` are values of the sortable form. They are searched by halves, without a join.
-    """
-    if not edges:
-        return F.lit(0)
-    table, strides = _edge_table(kind, edges)
-
-    def halve(found: Column, stride: Column) -> Column:
-        edge = F.get(table, found + stride - F.lit(1))
-        return F.when(edge <= sortable(kind, key), found + stride).otherwise(found)
-
-    return F.aggregate(F.lit(strides), F.lit(0), halve)
-
-
-def with_edge_index(
-    df: DataFrame, kind: T.DataType, key: Column, edges: Sequence, name: str
-) -> DataFrame:
-    """:func:`edge_index` as a column, several times as fast, for grouping only.
+@dataclass(frozen=True)
+class KeyRanges:
+    """The distinct values of some columns, staged, in ranges along their order.
 
-    Each halving is a projection in generated code. A filter on the column would be pushed down
-    through all of them and grow threefold in each, so the column must not leave this package.
+    ``keys`` holds the columns, ``__count``, the rows with those values, and ``__part``, the range. ``sizes``
+    has the rows of each range.
     """
-    df = df.withColumn(name, F.lit(0))
-    if not edges:
-        return df
-    table, strides = _edge_table(kind, edges)
-    for stride in strides:
-        found = F.col(name)
-        edge = F.get(table, found + F.lit(stride - 1))
-        step = F.when(edge <= sortable(kind, key), found + F.lit(stride)).otherwise(found)
-        df = df.withColumn(name, step)
-    return df
 
-
-@dataclass(frozen=True)
-class Buckets:
-    """Ranges of a key of type ``kind``: their lower edges, and how many rows each holds."""
-
-    kind: T.DataType
-    edges: tuple
+    keys: DataFrame
+    columns: tuple[str, ...]
     sizes: tuple[int, ...]
-    rows_per_bucket: int
-
-    def assign(self, df: DataFrame, key: Column, name: str) -> DataFrame:
-        """Add the bucket of a key, to group by."""
-        return with_edge_index(df, self.kind, key, self.edges, name)
-
-    def between(self, key: Column, first: int, last: int) -> Column:
-        """Whether a key is in one of the buckets ``first`` to ``last``. NULL is in bucket 0."""
-        inside, k = F.lit(True), sortable(self.kind, key)
-        if first > 0:
-            inside = inside & (k >= F.lit(self.edges[first - 1]))
-        if last < len(self.edges):
-            inside = inside & (k < F.lit(self.edges[last]))
-        return F.coalesce(inside, F.lit(first == 0))
-
-    def rows_before(self, bucket: Column) -> Column:
-        totals = list(accumulate(self.sizes[:-1], initial=0))
-        return F.get(F.lit(totals).cast("array<bigint>"), bucket)
-
-    @property
-    def are_even(self) -> bool:
-        """Whether each bucket's rows fit one task. They do not if few values hold many rows."""
-        share = max(self.rows_per_bucket, sum(self.sizes) // (MAX_EDGES + 1))
-        return max(self.sizes) <= HOT_FACTOR * share
-
-
-def key_buckets(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Buckets:
-    """Split the values of ``key`` into ranges of about ``rows_per_bucket`` rows.
-
-    Edges come from a sample picked by the hash of the value. It holds the same values on every
-    run, a frequent value no more often than a rare one, and at most about ``SAMPLE_PER_BUCKET``
-    values for each bucket, whatever the size of the table. A value is never split, so a
-    bucket holds few values even where it holds many rows. Only the key column is read.
+
+    def first_rows(self) -> DataFrame:
+        """``keys`` with ``__first``, how many rows of the table have smaller values."""
+        before = list(accumulate(self.sizes, initial=0))[:-1]
+        starts = small_frame(
+            self.keys.sparkSession, list(enumerate(before)), "__part int, __before bigint"
+        )
+        upto = (
+            Window.partitionBy("__part").orderBy(*named(self.columns))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        within = F.sum("__count").over(upto) - F.col("__count")
+        placed = self.keys.withColumn("__within", within).join(starts, "__part")
+        first = F.col("__before") + F.col("__within")
+        return placed.withColumn("__first", first).drop("__part", "__before", "__within")
+
+
+def key_ranges(
+    df: DataFrame, columns: Sequence[str], keys_per_range: int = ROWS_PER_BUCKET
+) -> KeyRanges:
+    """Count the rows of each value of ``columns`` and order the values, NULL first.
+
+    Rows are counted per value before anything is ordered, so a frequent value costs one row. There
+    is a range for about ``keys_per_range`` values however many there are. Only the named columns
+    are read; the ranges are staged, so that a lost executor cannot change what has been counted.
     """
-    kind = df.schema[key].dataType
-    keys = df.select(F.col(quoted(key)).alias("k"))
-    n_rows = keys.count()
-    n_buckets = min(MAX_EDGES + 1, -(-n_rows // rows_per_bucket))
-    if n_buckets <= 1:
-        return Buckets(kind, (), (n_rows,), rows_per_bucket)
-    wanted = n_buckets * SAMPLE_PER_BUCKET
-    share = min(_HASH_RANGE, _HASH_RANGE * wanted // n_rows + 1)
-    sample = (
-        keys.filter(F.pmod(F.xxhash64("k"), F.lit(_HASH_RANGE)) < share)
-        .filter(F.col("k").isNotNull())
-        .select(sortable(kind, F.col("k")).alias("k"))
-        .distinct()
+    keys = df.select(*named(columns))
+    distinct = keys.agg(F.approx_count_distinct(F.struct(*named(columns)))).first()[0]
+    counted = keys.groupBy(*named(columns)).agg(F.count(F.lit(1)).alias("__count"))
+    ranges = max(1, -(-distinct // keys_per_range))
+    placed = counted.repartitionByRange(ranges, *named(columns)).withColumn(
+        "__part", F.spark_partition_id()
     )
-    values = [row.k for row in sample.orderBy("k").collect()]
-    picked = [values[len(values) * i // n_buckets] for i in range(1, n_buckets)] if values else []
-    edges = tuple(dict.fromkeys(picked))
-    placed = with_edge_index(keys, kind, F.col("k"), edges, "bucket")
-    counts = dict(placed.groupBy("bucket").count().collect())
-    sizes = tuple(counts.get(i, 0) for i in range(len(edges) + 1))
-    return Buckets(kind, edges, sizes, rows_per_bucket)
+    staged = stage(placed, "keys")
+    found = dict(staged.groupBy("__part").agg(F.sum("__count")).collect())
+    sizes = tuple(found.get(i, 0) for i in range(max(found, default=-1) + 1))
+    return KeyRanges(staged, tuple(columns), sizes)
 
 
 def number_in_order(df: DataFrame, order_by: Sequence[Column], name: str, start: int) -> DataFrame:

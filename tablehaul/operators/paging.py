@@ -4,98 +4,41 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
-from dataclasses import dataclass
 from itertools import accumulate
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.operators.ordering import (
-    MAX_EDGES,
     ROWS_PER_BUCKET,
-    Buckets,
-    edge_index,
-    key_buckets,
+    key_ranges,
+    number_in_order,
     sortable,
 )
 from tablehaul.shared import stage
 
-MAX_TAG_PAGES = MAX_EDGES
 
-
-def _row_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> DataFrame:
-    """Every row with the ``page`` that the first row of its key falls on, for even buckets."""
-    placed = buckets.assign(df, F.col(quoted(key)), "__bucket")
-    ranked = F.rank().over(Window.partitionBy("__bucket").orderBy(F.col(quoted(key))))
-    first = buckets.rows_before(F.col("__bucket")) + ranked - F.lit(1)
-    return placed.withColumn("page", F.floor(first / F.lit(page_size))).drop("__bucket")
-
-
-def _key_pages(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> DataFrame:
+def _key_pages(df: DataFrame, key: str, page_size: int, rows_per_bucket: int) -> DataFrame:
     """``(k, c, page)``: each distinct key, its rows, and the page its first row falls on.
 
-    Rows are counted per key before anything is ordered, so a frequent key costs one row.
+    A key with more rows than a page leaves a gap in these numbers.
     """
-    counted = df.select(F.col(quoted(key)).alias("k")).groupBy("k").agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    placed = buckets.assign(counted, F.col("k"), "bucket")
-    upto = Window.partitionBy("bucket").orderBy("k").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    first = buckets.rows_before(F.col("bucket")) + F.sum("c").over(upto) - F.col("c")
-    return placed.select("k", "c", F.floor(first / F.lit(page_size)).alias("page"))
-
-
-def _renumber(pages: DataFrame, rows_per_bucket: int) -> DataFrame:
-    """Close the gaps that a key with more rows than a page leaves behind."""
-    buckets = key_buckets(pages, "page", rows_per_bucket)
-    placed = buckets.assign(pages, F.col("page"), "bucket")
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("page"))
-    return placed.withColumn(
-        "page", buckets.rows_before(F.col("bucket")) + rank - F.lit(1)
-    ).drop("bucket")
+    keys = df.select(F.col(quoted(key)).alias("k"))
+    first = key_ranges(keys, ["k"], rows_per_bucket).first_rows()
+    page = F.floor(F.col("__first") / F.lit(page_size))
+    return first.select("k", F.col("__count").alias("c"), page.alias("raw_page"))
 
 
-@dataclass(frozen=True)
-class _Pages:
-    """Pages ``(page, lo, hi, n_rows)`` as first numbered, and how many there are."""
-
-    raw: DataFrame
-    count: int
-    has_gaps: bool
-    rows_per_bucket: int
-
-    def dense(self) -> DataFrame:
-        """The pages numbered without gaps, the first number kept as ``raw_page``."""
-        pages = self.raw.withColumn("raw_page", F.col("page"))
-        return _renumber(pages, self.rows_per_bucket) if self.has_gaps else pages
-
-
-def _pages_of(df: DataFrame, key: str, page_size: int, buckets: Buckets) -> _Pages:
-    """The pages of the table, staged.
-
-    Where the buckets are even, rows go to them as they are: one shuffle of the key column. Where
-    few keys hold many rows they are counted per key first.
-    """
-    if buckets.are_even:
-        keys = df.select(F.col(quoted(key)).alias("k"))
-        paged = _row_pages(keys, "k", page_size, buckets)
-        rows = F.count(F.lit(1))
-    else:
-        paged = _key_pages(df, key, page_size, buckets)
-        rows = F.sum("c")
-    pages = stage(
-        paged.groupBy("page").agg(
-            F.min("k").alias("lo"), F.max("k").alias("hi"), rows.alias("n_rows")
-        ),
-        "pages",
+def _numbered_pages(keys: DataFrame) -> DataFrame:
+    """``(raw_page, lo, hi, n_rows, page)``: the pages, staged, numbered without gaps."""
+    pages = keys.groupBy("raw_page").agg(
+        F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("c").alias("n_rows")
     )
-    count, last = pages.agg(F.count(F.lit(1)), F.max("page")).first()
-    return _Pages(pages, count, count > 0 and last + 1 != count, buckets.rows_per_bucket)
+    return number_in_order(pages, [F.col("raw_page")], "page", 0)
 
 
 def page_bounds(
@@ -114,13 +57,10 @@ def page_bounds(
     """
     if page_size < 1 or shards < 1:
         raise ValueError("page_size and shards must be at least 1")
-    buckets = key_buckets(df, key, rows_per_bucket)
-    pages = _pages_of(df, key, page_size, buckets)
-    used = max(1, min(shards, pages.count))
-    shard = F.floor(F.col("page") * F.lit(used) / F.lit(max(1, pages.count))).cast("int")
-    return pages.dense().select(
-        F.col("page").cast("bigint").alias("page"), "lo", "hi", "n_rows", shard.alias("shard")
-    )
+    pages = _numbered_pages(_key_pages(df, key, page_size, rows_per_bucket))
+    count = max(1, pages.count())
+    shard = F.floor(F.col("page") * F.lit(min(shards, count)) / F.lit(count)).cast("int")
+    return pages.select("page", "lo", "hi", "n_rows", shard.alias("shard"))
 
 
 def shard_bounds(bounds: DataFrame) -> list[tuple[Any, Any, int]]:
@@ -135,42 +75,20 @@ def shard_bounds(bounds: DataFrame) -> list[tuple[Any, Any, int]]:
 
 
 def tag_pages(
-    df: DataFrame,
-    key: str,
-    page_size: int,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_tag_pages: int = MAX_TAG_PAGES,
+    df: DataFrame, key: str, page_size: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Every row with the ``page`` that :func:`page_bounds` puts its key on.
 
-    Up to ``max_tag_pages`` pages the page starts are a literal array and no row moves. Beyond,
-    rows are ranked within even buckets of the key. If a few keys hold many rows, rows meet their
-    key's page in an equi-join instead, whose hot keys adaptive execution splits.
+    Only keys are ordered. Rows meet their key's page in an equi-join, whose hot keys adaptive
+    execution splits.
     """
     if "page" in {c.lower() for c in df.columns}:
         raise ValueError("the input already has a column 'page'")
-    buckets = key_buckets(df, key, rows_per_bucket)
-    pages = _pages_of(df, key, page_size, buckets)
-    kind = df.schema[key].dataType
-    if pages.count <= max_tag_pages:
-        starts = pages.raw.select(sortable(kind, F.col("lo")).alias("lo"), "page")
-        # The first page needs no edge; the others all start at a key, for NULL sorts first.
-        edges = [r.lo for r in starts.orderBy("page").collect()][1:]
-        return df.withColumn("page", edge_index(kind, F.col(quoted(key)), edges).cast("bigint"))
-    if buckets.are_even:
-        tagged = _row_pages(df, key, page_size, buckets)
-    else:
-        by_key = _key_pages(df, key, page_size, buckets).select(F.col("k").alias("__key"), "page")
-        tagged = df.join(by_key, F.col(quoted(key)).eqNullSafe(F.col("__key"))).drop("__key")
-    tagged = tagged.withColumn("page", F.col("page").cast("bigint"))
-    if not pages.has_gaps:
-        return tagged
-    numbers = pages.dense().select("raw_page", F.col("page").alias("__page"))
-    return (
-        tagged.join(numbers, F.col("page") == F.col("raw_page"))
-        .withColumn("page", F.col("__page"))
-        .drop("raw_page", "__page")
-    )
+    keys = stage(_key_pages(df, key, page_size, rows_per_bucket), "key_pages")
+    numbers = _numbered_pages(keys).select("raw_page", "page")
+    by_key = keys.join(numbers, "raw_page").select(F.col("k").alias("__key"), "page")
+    tagged = df.join(by_key, F.col(quoted(key)).eqNullSafe(F.col("__key")))
+    return tagged.select(*named(df.columns), "page")
 
 
 def seek_page(df: DataFrame, key: str, after: Any, limit: int) -> DataFrame:
@@ -201,24 +119,44 @@ def offset_page(
     limit: int,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the given ascending order.
+    """Rows ``offset`` to ``offset + limit`` of the given ascending order, NULL first.
 
-    Every task sorts as many rows as the page is deep. So for a deep page the rows are counted by
-    ranges of the first column, and only the ranges that reach into the page are sorted.
-    :func:`seek_page` needs no such count.
+    Rows are counted by ranges of all the columns, and only the rows of ranges that reach into the
+    page are numbered, at any depth. Rows that tie are numbered by their input partition, so a
+    frequent value spreads over many tasks. :func:`seek_page` needs no such count.
     """
-    if offset > rows_per_bucket:
-        df, offset = _without_ranges_outside(df, order_by[0], offset, limit, rows_per_bucket)
-    return df.orderBy(*named(order_by)).offset(offset).limit(limit)
-
-
-def _without_ranges_outside(
-    df: DataFrame, key: str, offset: int, limit: int, rows_per_bucket: int
-) -> tuple[DataFrame, int]:
-    """The rows of the ranges that a page touches, and the page's offset among them."""
-    buckets = key_buckets(df, key, rows_per_bucket)
-    before = list(accumulate(buckets.sizes, initial=0))
-    first = min(bisect_right(before, offset) - 1, len(buckets.sizes) - 1)
-    last = min(bisect_left(before, offset + limit), len(buckets.sizes)) - 1
-    touched = df.filter(buckets.between(F.col(quoted(key)), first, last))
-    return touched, offset - before[first]
+    ranges = key_ranges(df, order_by, rows_per_bucket)
+    before = list(accumulate(ranges.sizes, initial=0))
+    if limit < 1 or offset >= before[-1]:
+        return df.limit(0)
+    first = bisect_right(before, offset) - 1
+    last = bisect_left(before, offset + limit, hi=len(ranges.sizes)) - 1
+    kinds = [df.schema[name].dataType for name in order_by]
+    values = [sortable(k, F.col(quoted(n))) for k, n in zip(kinds, order_by)]
+    place = F.struct(*(v.alias(f"v{i}") for i, v in enumerate(values)))
+    inside = F.col("__part").between(first, last)
+    ends = ranges.keys.filter(inside).agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    shape, (lo, hi) = ends.schema["lo"].dataType, ends.first()
+    touched = df.filter(
+        _at_or_above(values[0], lo[0], shape[0].dataType)
+        & _at_or_below(values[0], hi[0], shape[0].dataType)
+        & (place >= _struct_of(lo, shape))
+        & (place <= _struct_of(hi, shape))
+    )
+    number = "__number"
+    numbered = number_in_order(touched, named(order_by), number, before[first])
+    page = numbered.filter((F.col(number) >= offset) & (F.col(number) < offset + limit))
+    return page.orderBy(number).drop(number)
+
+
+def _struct_of(row: Sequence, shape: T.StructType) -> Column:
+    return F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, shape.fields)))
+
+
+def _at_or_above(value: Column, low: Any, kind: T.DataType) -> Column:
+    """A bound that a file scan can use. NULL is lowest."""
+    return F.lit(True) if low is None else value >= F.lit(low).cast(kind)
+
+
+def _at_or_below(value: Column, high: Any, kind: T.DataType) -> Column:
+    return value.isNull() if high is None else value.isNull() | (value <= F.lit(high).cast(kind))

@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul import append_with_sequence, offset_page, page_bounds, seek_page, tag_pages
-from tablehaul.operators.ordering import (
-    edge_index,
-    key_buckets,
-    number_in_order,
-    with_edge_index,
-)
-from tablehaul.operators.paging import _key_pages, _row_pages
+from tablehaul.operators.ordering import key_ranges, number_in_order, sortable
 from tablehaul.operators.sinks import clustered
 
 
@@ -76,13 +70,9 @@ def test_pages_partition_the_table(spark, shape, hot_share):
     assert [b.shard for b in bounds] == sorted(b.shard for b in bounds)
     ends = [(b.lo, b.hi) for b in bounds if b.lo is not None]
     assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
-    for max_tag_pages in (4000, 1):
-        tagged = tag_pages(df, "k", 30, rows_per_bucket=20, max_tag_pages=max_tag_pages)
-        found = tagged.collect()
-        assert len(found) == len(keys)
-        assert {(bytes(r.k) if isinstance(r.k, bytearray) else r.k): r.page for r in found} == (
-            expected
-        )
+    found = tag_pages(df, "k", 30, rows_per_bucket=20).collect()
+    assert len(found) == len(keys)
+    assert {(bytes(r.k) if isinstance(r.k, bytearray) else r.k): r.page for r in found} == expected
 
 
 @pytest.mark.parametrize("n", [1, 99, 100, 101, 200])
@@ -104,60 +94,44 @@ def test_only_null_keys(spark):
     assert [tuple(b) for b in bounds] == [(0, None, None, 7, 0)]
 
 
-def test_edges_count_what_is_at_or_below(spark):
-    df = _frame(spark, [None, -1, 0, 4, 5, 9, 10, 99], T.LongType())
-    for edges in ([], [5], [0, 5], [0, 5, 10], [0, 5, 6, 10, 50]):
-        index = edge_index(T.LongType(), F.col("k"), edges)
-        fast = with_edge_index(df, T.LongType(), F.col("k"), edges, "j")
-        got = fast.withColumn("i", index).collect()
-        assert all(r.i == r.j for r in got)
-        assert all(
-            r.i == (0 if r.k is None else sum(e <= r.k for e in edges)) for r in got
-        )
-
-
-def test_buckets_are_even_in_spite_of_outliers(spark):
-    keys = [*range(2000), 10**18]
-    buckets = key_buckets(_frame(spark, keys, T.LongType()), "k", rows_per_bucket=200)
-    assert sum(buckets.sizes) == len(keys) and len(buckets.sizes) >= 8
-    assert max(buckets.sizes) < 4 * 200 and buckets.are_even
-
-
-def test_a_hot_key_makes_buckets_uneven(spark):
-    keys = [7] * 900 + list(range(1800))
-    assert not key_buckets(_frame(spark, keys, T.LongType()), "k", rows_per_bucket=200).are_even
-    few = key_buckets(_frame(spark, [1, 2, 3] * 1000, T.LongType()), "k", rows_per_bucket=200)
-    assert not few.are_even
+def test_ranges_follow_the_number_of_keys(spark):
+    for keys in (1000, 4000):
+        ranges = key_ranges(spark.range(keys), ["id"], 20)
+        assert sum(ranges.sizes) == keys and len(ranges.sizes) > 0.8 * keys / 20
+    hot = key_ranges(spark.range(9000).selectExpr("if(id < 3000, 7, id) as k"), ["k"], 100)
+    assert sum(hot.sizes) == 9000 and hot.keys.filter("k = 7").first()["__count"] == 3000
+    assert max(r["count"] for r in hot.keys.groupBy("__part").count().collect()) < 400
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_wall_clock_times_keep_their_order(spark, zone):
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    times = ["0001-01-01 00:00:00.5", "1969-12-31 23:59:59.999999", "2024-03-10 01:59:59.999999",
+             "2024-03-10 02:30:00", "2024-03-10 03:30:00", "9999-12-31 00:00:00", "+10000-01-01 00:00:00"]
+    try:
+        df = spark.createDataFrame(list(enumerate(times)), "i int, s string")
+        df = df.withColumn("k", F.col("s").cast("timestamp_ntz"))
+        place = sortable(T.TimestampNTZType(), F.col("k"))
+        assert [r.i for r in df.orderBy(place).select("i").collect()] == list(range(7))
+        assert df.filter("i = 1").select(place).first()[0] == -1
+        assert [r.i for r in offset_page(df, ["k"], 5, 2).select("i").collect()] == [5, 6]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
 
 
 def test_a_filter_on_pages_stays_a_small_plan(spark, plan):
-    """Pages may be filtered, whichever way they were found."""
-    keys = _frame(spark, range(3000), T.LongType())
-    for max_tag_pages in (4000, 1):
-        tagged = tag_pages(keys, "k", 10, rows_per_bucket=50, max_tag_pages=max_tag_pages)
-        found = tagged.filter("page = 7")
-        assert sorted(r.k for r in found.collect()) == list(range(70, 80))
-        assert plan(found).count("CASE WHEN") < 40
-
-
-def test_many_edges_stay_a_small_plan(spark, plan):
-    """A filter on the index is pushed below its projection; that must not multiply the search."""
-    df = spark.range(5000)
-    index = edge_index(T.LongType(), F.col("id"), list(range(1, 4096)))
-    found = df.withColumn("i", index).filter("i = 4000")
-    assert [r.id for r in found.collect()] == [4000]
-    assert plan(found).count("aggregate(") <= 2
-    with pytest.raises(ValueError):
-        edge_index(T.LongType(), F.col("id"), list(range(4096)))
+    found = tag_pages(_frame(spark, range(3000), T.LongType()), "k", 10, rows_per_bucket=50)
+    found = found.filter("page = 7")
+    assert sorted(r.k for r in found.collect()) == list(range(70, 80))
+    assert "SinglePartition" not in plan(found) and "Python" not in plan(found)
 
 
 def test_ranking_a_large_input_is_not_one_task(spark, plan):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    buckets = key_buckets(df, "o_orderkey", 100)
-    for ranked, shuffles in ((_row_pages, 1), (_key_pages, 2)):
-        text = plan(ranked(df.select("o_orderkey"), "o_orderkey", 100, buckets))
-        assert "SinglePartition" not in text and "Python" not in text
-        assert text.count("Exchange hashpartitioning") == shuffles
+    text = plan(key_ranges(df, ["o_orderkey"], 100).first_rows())
+    assert "SinglePartition" not in text and "Python" not in text
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_numbers_are_dense_when_nearly_all_rows_tie(spark):
@@ -204,14 +178,27 @@ def test_deep_offsets(spark, hot_share):
         assert [(r.v, r.k) for r in page.collect()] == ordered[offset : offset + limit]
 
 
-def test_seek_and_offset_are_top_k(spark, plan):
+def test_deep_offsets_behind_a_hot_first_column(spark, plan):
+    """No task sorts what lies before the page, whichever column tells the rows apart."""
+    df = spark.range(4000).selectExpr("id % 2 as k", "id as v", "cast(null as int) as page")
+    ordered = sorted((i % 2, i) for i in range(4000))
+    for offset in (0, 1990, 3995):
+        page = offset_page(df, ["k", "v"], offset, 20, rows_per_bucket=100)
+        assert [(r.k, r.v) for r in page.collect()] == ordered[offset : offset + 20]
+        assert "TakeOrdered" not in plan(page) and "Limit" not in plan(page)
+
+
+def test_offset_pages_of_rows_that_all_tie_hold_every_row_once(spark):
+    df = spark.range(0, 900, 1, 6).selectExpr("'same' as k", "id")
+    pages = [offset_page(df, ["k"], at, 300, rows_per_bucket=10).collect() for at in (0, 300, 600)]
+    assert sorted(r.id for page in pages for r in page) == list(range(900))
+
+
+def test_seek_reads_a_range_of_keys(spark, plan):
     df = spark.range(1000).select(F.col("id").alias("k"))
     page = seek_page(df, "k", 10, 5)  # may be longer than five rows, so it is a range of keys
     assert "(id" in plan(page) and "<= 15" in plan(page)
     assert [r.k for r in page.collect()] == [11, 12, 13, 14, 15]
-    for page in (offset_page(df, ["k"], 11, 5),):
-        assert "TakeOrderedAndProject" in plan(page)
-        assert [r.k for r in page.collect()] == [11, 12, 13, 14, 15]
     assert [r.k for r in seek_page(df, "k", None, 2).collect()] == [0, 1]
 
 
