@@ -290,6 +290,17 @@ ORACLES = {
     ),
     "q_view_filter": _CLEAN_DOCUMENTS,
     "q_view_of_view": f"select lang, count(*) as n from ({_CLEAN_DOCUMENTS}) group by lang",
+    "q_view_qualified": (
+        "select o_orderkey, 'shop.x' as tag from orders where o_totalprice > 100000"
+    ),
+    "q_view_columns": "select c_custkey as id, c_name as label from customer",
+    "q_conform_times": """
+        select event_id,
+               case when event_id % 100 <> 0 then strftime(ts, '%H:%M:%S') end as at,
+               case when event_id % 100 <> 0 then year(ts)::int end as in_year,
+               case when event_id % 100 <> 0 then strftime(ts, '%Y-%m-%d') end as on_day,
+               case when event_id % 100 = 0 then 'on_day:cast' else '' end as reject_reason
+        from events""",
     "q_view_outcomes": f"""
         select 'view_order_customer' as view_name, 'Y' as is_success,
                (select count(*) from orders join customer on o_custkey = c_custkey) as n_rows

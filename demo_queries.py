@@ -379,6 +379,48 @@ def checks(spark, sf_dir):
     return run_checks(source_of(spark, sf_dir), CONSTRAINTS)
 
 
+def conform_times(spark, sf_dir):
+    """Times of day and years as drivers deliver them, and dates of which some are zero."""
+    events = source_of(spark, sf_dir).read("events")
+    day = F.when(F.col("event_id") % 100 == 0, "0000-00-00")
+    rows = events.select(
+        "event_id",
+        F.col("ts").alias("at"),
+        F.to_date("ts").alias("in_year"),
+        day.otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("on_day"),
+    )
+    columns = [
+        ColumnSpec("event_id", "BIGINT"), ColumnSpec("at", "TIME"),
+        ColumnSpec("in_year", "YEAR"), ColumnSpec("on_day", "DATE"),
+    ]
+    good, rejected = split_valid(rows, columns)
+    lost = rejected.select("event_id", F.lit(None).alias("at"), F.lit(None).alias("in_year"), "reject_reason")
+    kept = good.withColumn("reject_reason", F.lit("")).withColumn("on_day", F.col("on_day").cast("string"))
+    return kept.unionByName(lost.withColumn("on_day", F.lit(None)))
+
+
+QUALIFIED = {
+    "view_big_orders": (
+        "CREATE ALGORITHM=UNDEFINED DEFINER=`root`@`%` SQL SECURITY DEFINER VIEW `shop`.`view_big_orders` AS "
+        "select `shop`.`orders`.`o_orderkey` AS `o_orderkey`,'shop.x' AS `tag` from `shop`.`orders` "
+        "where `shop`.`orders`.`o_totalprice` > 100000"
+    ),
+    "view_names": (
+        "CREATE VIEW `shop`.`view_names` (`id`, `label`) AS select `c`.`c_custkey`,`c`.`c_name` "
+        "from `shop`.`customer` `c` WITH CASCADED CHECK OPTION"
+    ),
+}
+
+
+def qualified_view(name):
+    def query(spark, sf_dir):
+        tables = source_of(spark, sf_dir)
+        register_views(tables, QUALIFIED, "shop")
+        return tables.read_view(name)
+
+    return query
+
+
 def view(name, views=VIEWS):
     def query(spark, sf_dir):
         tables = source_of(spark, sf_dir)
@@ -589,6 +631,9 @@ QUERIES = {
     "q_view_filter": view("view_clean_documents"),
     "q_view_of_view": view("a_clean_per_lang", {**VIEW_OF_VIEW, **VIEWS}),
     "q_view_outcomes": view_outcomes,
+    "q_view_qualified": qualified_view("view_big_orders"),
+    "q_view_columns": qualified_view("view_names"),
+    "q_conform_times": conform_times,
     "q_migrate_all": migrate_all,
     "q_migrate_subset": migrate_subset,
     "q_migrate_lineitem": migrated_rows("lineitem"),

@@ -26,6 +26,7 @@ from tablehaul.functions.types import (
 from tablehaul.shared import stage as staged
 
 REJECT_REASON = "reject_reason"
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 # Decimal digits that hold every value of a type.
 _DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 REPORT_SCHEMA = "column_name string, rule string, violations bigint"
@@ -52,6 +53,12 @@ def converted(spec: ColumnSpec, source: T.DataType) -> Column:
         return bits(value, bit_width(spec))
     if isinstance(wanted, T.BinaryType) and isinstance(source, T.StringType):
         return hex_bytes(value)
+    if isinstance(source, _TIMES) and spec.word == "TIME":
+        # Drivers hand a time of day over as a time on some day.
+        digits = spec.datetime_precision or 0
+        return F.date_format(value, "HH:mm:ss" + ("." + "S" * digits if digits else ""))
+    if isinstance(source, _TIMES) and spec.word == "YEAR":
+        return F.year(value)
     return value.try_cast(wanted)
 
 
@@ -89,7 +96,8 @@ def _violations(
     if spec.max_length is not None:
         length = F.char_length if length_unit == "char" else F.octet_length
         rules.append(("length", length(value.cast("string")) > F.lit(spec.max_length)))
-    if source == wanted or _always_fits(source, wanted):
+    is_bits = spec.word == "BIT" and isinstance(source, T.BinaryType)
+    if source == wanted or is_bits or _always_fits(source, wanted):
         return rules
     result = converted(spec, source)
     lost = value.isNotNull() & result.isNull()
@@ -108,8 +116,7 @@ def _violations(
 
 def _always_fits(source: T.DataType, wanted: T.DataType) -> bool:
     """Whether no value can be lost, so that a test would only cost time."""
-    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    if isinstance(source, times):
+    if isinstance(source, _TIMES):
         return isinstance(wanted, (T.TimestampType, T.TimestampNTZType, T.StringType))
     if isinstance(source, T.IntegralType) and isinstance(wanted, T.IntegralType):
         return _DIGITS[type(source)] <= _DIGITS[type(wanted)]
@@ -122,7 +129,7 @@ def _always_fits(source: T.DataType, wanted: T.DataType) -> bool:
         return isinstance(source, T.IntegralType) and _DIGITS[type(source)] <= whole
     if isinstance(wanted, T.DoubleType):
         return isinstance(source, T.NumericType)
-    return isinstance(wanted, T.StringType) or isinstance(source, T.BinaryType)
+    return isinstance(wanted, T.StringType)
 
 
 def _all_violations(

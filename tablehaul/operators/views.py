@@ -12,15 +12,46 @@ from tablehaul.sources.tables import TableSet
 
 OUTCOME_SCHEMA = "view_name string, is_success string, error string"
 
-_HEAD = re.compile(r"(?is)^\s*create\b.*?\bview\s+(?:`[^`]+`|[\w.$]+)(?:\.`[^`]+`)?\s+as\s+")
+_HEAD = re.compile(
+    r"(?is)^\s*create\b.*?\bview\s+(?:`[^`]+`|[\w.$]+)(?:\.`[^`]+`)?"
+    r"\s*(?P<columns>\([^()]*\))?\s*\bas\s+"
+)
+_CHECK = re.compile(r"(?i)\s+with\s+(?:(?:cascaded|local)\s+)?check\s+option\s*$")
 _CONVERT = re.compile(r"(?i)\bconvert\s*\(")
 _USING = re.compile(r"(?i)\s+using\s+\w+\s*$")
 _LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'", re.DOTALL)
 
 
-def view_body(definition: str) -> str:
-    """The SELECT of a view: without the CREATE head and without character set conversions."""
-    return _without_charset(_HEAD.sub("", definition, count=1)).strip().rstrip(";")
+def view_body(definition: str, schema: str = "") -> str:
+    """The SELECT of a view: without the CREATE head and without character set conversions.
+
+    Column names in the head are kept. Names qualified by ``schema`` lose that qualifier, so that
+    they mean the tables of the set the view goes to.
+    """
+    head = _HEAD.match(definition)
+    body = _without_charset(definition[head.end() :] if head else definition).strip().rstrip(";")
+    body = _CHECK.sub("", body)
+    if schema:
+        body = _without_schema(body, schema)
+    columns = head["columns"] if head else None
+    return f"SELECT * FROM ({body}) AS named_columns {columns}" if columns else body
+
+
+def _blanked(text: str) -> str:
+    """The text with its literals blanked out, every position kept."""
+    return _LITERAL.sub(lambda m: "'" + "x" * (len(m.group()) - 2) + "'", text)
+
+
+def _without_schema(text: str, schema: str) -> str:
+    """``schema.name`` becomes ``name``; a column of a table that is called as the schema is not
+    touched after its table's name."""
+    name = re.escape(schema)
+    qualifier = re.compile(rf"(?<![\w`.$])(?:`{name}`|{name})\s*\.\s*(?=[`\w])")
+    kept, start = [], 0
+    for match in qualifier.finditer(_blanked(text)):
+        kept.append(text[start : match.start()])
+        start = match.end()
+    return "".join(kept) + text[start:]
 
 
 def _without_charset(text: str) -> str:
@@ -28,7 +59,7 @@ def _without_charset(text: str) -> str:
 
     Positions are looked up in a copy of the text whose literals are blanked out.
     """
-    plain = _LITERAL.sub(lambda m: "'" + "x" * (len(m.group()) - 2) + "'", text)
+    plain = _blanked(text)
     start = 0
     while match := _CONVERT.search(plain, start):
         start = inner = match.end()
@@ -53,9 +84,10 @@ def _closing(plain: str, position: int) -> int:
     raise ValueError("unbalanced parentheses in view text")
 
 
-def register_views(target: TableSet, views: Mapping[str, str]) -> DataFrame:
+def register_views(target: TableSet, views: Mapping[str, str], schema: str = "") -> DataFrame:
     """Define the views on the target's tables: ``(view_name, is_success, error)``.
 
+    ``schema`` is the source's name, which its view texts may put before every table.
     A view may need another one, so those that fail are tried again until a round adds none.
     """
     target.expose_tables("\n".join(views.values()))
@@ -65,7 +97,7 @@ def register_views(target: TableSet, views: Mapping[str, str]) -> DataFrame:
         done = []
         for name, definition in waiting.items():
             try:
-                target.create_view(name, view_body(definition))
+                target.create_view(name, view_body(definition, schema))
                 done.append(name)
             except Exception as error:
                 errors[name] = str(error)

@@ -199,7 +199,7 @@ def migrate_database(
     if data_only or listed is not None:
         views = small_frame(source.spark, [], VIEW_SCHEMA)
     else:
-        views = register_views(target, source.view_definitions())
+        views = register_views(target, source.view_definitions(), source.name)
     kept = [c for c in keys if wanted(c.table)]
     own = run_checks(target, [c for c in kept if c.kind != FOREIGN], conf.table_parallelism)
     between = run_checks(target, [c for c in kept if c.kind == FOREIGN], conf.table_parallelism)

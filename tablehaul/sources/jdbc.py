@@ -244,7 +244,8 @@ class JdbcTables(TableSet):
         return {r[0]: r[1] for r in self.query(self.dialect.views_sql).collect()}
 
     def view_names(self) -> list[str]:
-        return sorted(self.view_definitions())
+        """The database's views, and those registered with Spark on its tables."""
+        return sorted({*self.view_definitions(), *self._views})
 
     def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
         if not self.dialect.columns_sql:
@@ -307,6 +308,11 @@ class JdbcTables(TableSet):
             .load()
         )
 
+    def _read_shards(self, table: str, key: str, parts: int) -> DataFrame:
+        sql = shard_start_sql(table, key, parts, self.dialect)
+        starts = [r.lo for r in self.query(sql).orderBy("shard").collect()]
+        return self._read_ranges(table, shard_predicates(key, starts, self.dialect))
+
     def scan(self, table: str, conf: JobConf) -> DataFrame:
         """The table in ranges of its paging key, or whole without a key or with a single page.
 
@@ -323,9 +329,7 @@ class JdbcTables(TableSet):
         if parts == 1:
             return self._frame(table)
         if self.dialect.has_ntile:
-            sql = shard_start_sql(table, key, parts, self.dialect)
-            starts = [r.lo for r in self.query(sql).orderBy("shard").collect()]
-            return self._read_ranges(table, shard_predicates(key, starts, self.dialect))
+            return self._read_shards(table, key, parts)
         if isinstance(self._frame(table).schema[key].dataType, _WHOLE_NUMBERS):
             return self._read_equal_ranges(table, key, parts)
         return self._frame(table)
@@ -354,9 +358,6 @@ class JdbcTables(TableSet):
         if left in (self._names or ()):
             write_jdbc(self._frame(left).limit(0), self, left, self.conf.batchsize, 1)
 
-    def create_view(self, name: str, body: str) -> None:
-        raise NotImplementedError("views are registered with Spark, not sent to the database")
-
     def write_options(self, batch: int, parallelism: int) -> dict[str, str]:
         """``truncate`` empties a table that exists and keeps its own definition."""
         return {
@@ -399,7 +400,9 @@ def read_partitioned(
     """A parallel scan, one partition for each shard of ``bounds``.
 
     Over JDBC every shard becomes a predicate of its own connection; without bounds a numeric key
-    is cut into equal ranges. Tables that Spark stores are already split by file block, so they
+    is cut into equal ranges. Text keys take only the number of shards from the bounds: a
+    database may order them otherwise than Spark does, so it finds the ranges itself, and where
+    it cannot, the table is read whole. Tables that Spark stores are already split by file block, so they
     are read whole and the bounds do not matter.
     """
     if not isinstance(source, JdbcTables):
@@ -408,6 +411,10 @@ def read_partitioned(
     if bounds is None:
         return source._read_equal_ranges(table, key, source.conf.read_parallelism)
     starts = [lo for lo, _, _ in shard_bounds(bounds)]
+    if isinstance(bounds.schema["lo"].dataType, T.StringType):
+        if len(starts) > 1 and source.dialect.has_ntile:
+            return source._read_shards(table, key, len(starts))
+        return source._frame(table)
     return source._read_ranges(table, shard_predicates(key, starts, source.dialect))
 
 

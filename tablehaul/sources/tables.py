@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from abc import ABC, abstractmethod
 from collections.abc import Mapping, Sequence
@@ -20,6 +21,7 @@ from tablehaul.functions.types import ColumnSpec, spec_of_field
 REPORT_TABLE = "data_compare"
 TASK_TABLE = "my_mig_task_info"
 REJECTED_SUFFIX = "__rejected"
+_UNFINISHED = re.compile(r"__(?:loading|replaced)_[0-9a-f]{8}$")
 ENGINE_TABLES = (REPORT_TABLE, TASK_TABLE, "hg_t_audit_log")
 
 
@@ -272,7 +274,11 @@ class CatalogTables(TableSet):
     def all_names(self) -> list[str]:
         if not self.exists():
             return []
-        return [n for n in self._listed(views=False) if not n.endswith(REJECTED_SUFFIX)]
+        return [
+            n
+            for n in self._listed(views=False)
+            if not n.endswith(REJECTED_SUFFIX) and not _UNFINISHED.search(n)
+        ]
 
     def view_names(self) -> list[str]:
         return self._listed(views=True) if self.exists() else []
@@ -284,16 +290,27 @@ class CatalogTables(TableSet):
         return self.spark.table(self._qualified(name))
 
     def replace(self, table: str, df: DataFrame, conf: JobConf = JobConf()) -> None:
-        staged = f"{table}__loading_{uuid.uuid4().hex[:8]}"
+        token = uuid.uuid4().hex[:8]
+        staged, replaced = f"{table}__loading_{token}", f"{table}__replaced_{token}"
         try:
             df.write.format("parquet").saveAsTable(self._qualified(staged))
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(staged)}")
             raise
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(table)}")
-        self.spark.sql(
-            f"ALTER TABLE {self._qualified(staged)} RENAME TO {self._qualified(table)}"
-        )
+        had_old = self.spark.catalog.tableExists(self._qualified(table))
+        if had_old:
+            self._rename(table, replaced)
+        try:
+            self._rename(staged, table)
+        except Exception:
+            if had_old:
+                self._rename(replaced, table)
+            raise
+        if had_old:
+            self.spark.sql(f"DROP TABLE {self._qualified(replaced)}")
+
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self._qualified(old)} RENAME TO {self._qualified(new)}")
 
     def keep_rejected(self, table: str, df: DataFrame) -> None:
         self.replace(table + REJECTED_SUFFIX, df)

@@ -1,5 +1,6 @@
 """The JDBC text that can be checked without a database: Spark itself reads the MySQL dialect."""
 
+import dataclasses
 import datetime
 from decimal import Decimal
 
@@ -14,6 +15,8 @@ from tablehaul import (
     JdbcTables,
     JobConf,
     page_bounds,
+    read_partitioned,
+    register_views,
 )
 from tablehaul.operators.paging import shard_bounds
 from tablehaul.sources.jdbc import (
@@ -172,6 +175,42 @@ def test_new_tables_of_a_folding_server(spark, shop):
     assert folding.spelled("New") == "new" and folding.constraints() == []
 
 
+class Collated(JdbcTables):
+    """A database that compares text without regard to case; Spark plays its part."""
+
+    def query(self, sql):
+        return self.spark.sql(sql)
+
+    def all_names(self):
+        return ["names"]
+
+    def _frame(self, name):
+        return self.spark.table(name)
+
+    def _read_ranges(self, table, predicates):
+        hits = sum((F.expr(f"CASE WHEN {p} THEN 1 ELSE 0 END") for p in predicates), F.lit(0))
+        return self._frame(table).withColumn("hits", hits)
+
+
+def test_text_ranges_are_the_databases_own(spark):
+    names = spark.createDataFrame([(c * n,) for c in "AaBbCcDd" for n in range(1, 21)], "name string")
+    names.selectExpr("name COLLATE UTF8_LCASE AS name").createOrReplaceTempView("names")
+    bounds = page_bounds(names, "name", 20, 4)
+    for ntile in (True, False):
+        tables = Collated(spark, "jdbc:x:y", {}, dataclasses.replace(MYSQL, has_ntile=ntile), "shop")
+        found = read_partitioned(tables, "names", "name", bounds)
+        assert found.count() == 160
+        if ntile:
+            assert [r.hits for r in found.select("hits").distinct().collect()] == [1]
+
+
+def test_views_on_a_database_are_registered_with_spark(spark, shop):
+    spark.range(3).createOrReplaceTempView("kept_rows")
+    outcomes = register_views(shop, {"w": "select id from `src`.`kept_rows`"}, "src").collect()
+    assert [r.is_success for r in outcomes] == ["Y"]
+    assert shop.view_names() == ["v", "w"] and shop.read_view("w").count() == 3
+
+
 def test_options_and_secrets(spark):
     login = {"user": "u", "password": "secret", "driver": "org.example.Driver"}
     tables = JdbcTables(spark, "jdbc:x:y", login, POSTGRESQL, "db", JobConf(fetchsize=77))
