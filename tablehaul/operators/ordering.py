@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tablehaul.functions.frames import small_frame
 from tablehaul.functions.names import columns as named
+from tablehaul.functions.names import quoted
 from tablehaul.shared import stage
 
 ROWS_PER_BUCKET = 1_000_000
@@ -66,6 +67,34 @@ class KeyRanges:
         return placed.withColumn("__first", first).drop("__part", "__before", "__within")
 
 
+def _ranged(df: DataFrame, columns: Sequence[str], keys_per_range: int) -> DataFrame:
+    """Each value of the columns with ``__count``, its rows, and ``__part``, its range."""
+    keys = df.select(*named(columns))
+    distinct = keys.agg(F.approx_count_distinct(F.struct(*named(columns)))).first()[0]
+    counted = keys.groupBy(*named(columns)).agg(F.count(F.lit(1)).alias("__count"))
+    ranges = max(1, -(-distinct // keys_per_range))
+    return counted.repartitionByRange(ranges, *named(columns)).withColumn(
+        "__part", F.spark_partition_id()
+    )
+
+
+def range_ends(
+    df: DataFrame, columns: Sequence[str], keys_per_range: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """``(part, rows, lo, hi)``: the ranges of :func:`key_ranges` without their values, staged.
+
+    ``lo`` and ``hi`` are structs of the lowest and highest values in their sortable form.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    place = F.struct(
+        *[sortable(kinds[n], F.col(quoted(n))).alias(f"v{i}") for i, n in enumerate(columns)]
+    )
+    ends = _ranged(df, columns, keys_per_range).groupBy(F.col("__part").alias("part")).agg(
+        F.sum("__count").alias("rows"), F.min(place).alias("lo"), F.max(place).alias("hi")
+    )
+    return stage(ends, "ranges")
+
+
 def key_ranges(
     df: DataFrame, columns: Sequence[str], keys_per_range: int = ROWS_PER_BUCKET
 ) -> KeyRanges:
@@ -75,14 +104,7 @@ def key_ranges(
     is a range for about ``keys_per_range`` values however many there are. Only the named columns
     are read; the ranges are staged, so that a lost executor cannot change what has been counted.
     """
-    keys = df.select(*named(columns))
-    distinct = keys.agg(F.approx_count_distinct(F.struct(*named(columns)))).first()[0]
-    counted = keys.groupBy(*named(columns)).agg(F.count(F.lit(1)).alias("__count"))
-    ranges = max(1, -(-distinct // keys_per_range))
-    placed = counted.repartitionByRange(ranges, *named(columns)).withColumn(
-        "__part", F.spark_partition_id()
-    )
-    staged = stage(placed, "keys")
+    staged = stage(_ranged(df, columns, keys_per_range), "keys")
     found = dict(staged.groupBy("__part").agg(F.sum("__count")).collect())
     sizes = tuple(found.get(i, 0) for i in range(max(found, default=-1) + 1))
     return KeyRanges(staged, tuple(columns), sizes)

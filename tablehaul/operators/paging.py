@@ -17,6 +17,7 @@ from tablehaul.operators.ordering import (
     ROWS_PER_BUCKET,
     key_ranges,
     number_in_order,
+    range_ends,
     sortable,
 )
 from tablehaul.shared import stage
@@ -125,17 +126,18 @@ def offset_page(
     page are numbered, at any depth. Rows that tie are numbered by their input partition, so a
     frequent value spreads over many tasks. :func:`seek_page` needs no such count.
     """
-    ranges = key_ranges(df, order_by, rows_per_bucket)
-    before = list(accumulate(ranges.sizes, initial=0))
+    ranges = range_ends(df, order_by, rows_per_bucket)
+    held = sorted(ranges.select("part", "rows").collect())
+    before = list(accumulate((r.rows for r in held), initial=0))
     if limit < 1 or offset >= before[-1]:
         return df.limit(0)
     first = bisect_right(before, offset) - 1
-    last = bisect_left(before, offset + limit, hi=len(ranges.sizes)) - 1
+    last = bisect_left(before, offset + limit, hi=len(held)) - 1
     kinds = [df.schema[name].dataType for name in order_by]
     values = [sortable(k, F.col(quoted(n))) for k, n in zip(kinds, order_by)]
     place = F.struct(*(v.alias(f"v{i}") for i, v in enumerate(values)))
-    inside = F.col("__part").between(first, last)
-    ends = ranges.keys.filter(inside).agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    inside = F.col("part").between(held[first].part, held[last].part)
+    ends = ranges.filter(inside).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     shape, (lo, hi) = ends.schema["lo"].dataType, ends.first()
     touched = df.filter(
         _at_or_above(values[0], lo[0], shape[0].dataType)

@@ -58,9 +58,13 @@ def row_counts(tables: TableSet) -> DataFrame:
 
     def counted_together(names: Sequence[str]) -> list[tuple]:
         try:
+            sizes = tables.count_together(names)
+            if sizes is not None:
+                return list(sizes.items())
             planned = _in_threads(tables.spark, counted, names)
             return [tuple(r) for r in reduce(DataFrame.unionByName, planned).collect()]
-        except Exception:
+        except Exception as error:
+            _log.warning("counting %s one by one: %s", tables.name, error)
             return [counted_alone(name) for name in names]
 
     names = tables.table_names()

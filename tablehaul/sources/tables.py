@@ -6,6 +6,7 @@ import re
 import uuid
 from abc import ABC, abstractmethod
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,10 @@ class TableSet(ABC):
         """One row ``(rows)``: the size of the table with exactly this name."""
         return self._frame(name).agg(F.count(F.lit(1)).alias("rows"))
 
+    def count_together(self, names: Sequence[str]) -> dict[str, int] | None:
+        """The sizes of several tables from one scan, or None if this set has no such scan."""
+        return None
+
     def size_hint(self, table: str) -> int:
         """Bytes of the table if they are known, to begin large tables first."""
         return 0
@@ -212,6 +217,18 @@ class ParquetTables(TableSet):
         no_columns = self.spark.read.schema(T.StructType([])).parquet(self._table_path(name))
         return no_columns.agg(F.count(F.lit(1)).alias("rows"))
 
+    def count_together(self, names: Sequence[str]) -> dict[str, int]:
+        reader = self.spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true")
+        files = reader.parquet(*[self._table_path(name) for name in names])
+        place = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "")
+        depth = self._files().makeQualified(self._path(self.path)).depth()
+        folder = F.element_at(F.split(place, "/"), 2 + depth)
+        found = files.groupBy(folder).agg(F.count(F.lit(1))).collect()
+        sizes = {unquote(entry)[: -len(self.SUFFIX)]: rows for entry, rows in found}
+        if not sizes.keys() <= set(names):
+            raise ValueError(f"files of {self.name} that belong to no table: {sorted(sizes)}")
+        return {name: sizes.get(name, 0) for name in names}
+
     def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
         return self._specs.get(table.lower()) or super().columns(table, df)
 

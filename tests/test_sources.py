@@ -212,3 +212,15 @@ def test_write_existing_refuses_what_does_not_fit(spark, target):
         with pytest.raises(Exception, match="does not fit"):
             write_existing(spark.createDataFrame([bad], "id bigint, s string"), target, "strict_t", specs)
     assert [tuple(r) for r in target.read("strict_t").collect()] == [(1, "old")]
+
+
+def test_tables_of_a_folder_are_counted_by_one_scan(spark, tmp_path):
+    tables = ParquetTables(spark, f"{tmp_path}/a b")
+    for name, n in (("plain", 5), ("with space", 3), ("a+b", 2), ("none", 0)):
+        write_table(spark.range(n), tables, name)
+    spark.range(6).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(f"{tmp_path}/a b/parts.parquet")
+    spark.range(4).coalesce(1).write.parquet(f"{tmp_path}/one")
+    file = next((tmp_path / "one").glob("part-*.parquet"))
+    (tmp_path / "a b" / "file.parquet").write_bytes(file.read_bytes())
+    expected = {"plain": 5, "with space": 3, "a+b": 2, "none": 0, "parts": 6, "file": 4}
+    assert tables.count_together(tables.table_names()) == expected
