@@ -1,4 +1,4 @@
-"""Benchmark passages in documents, by latent semantic retrieval and common subsequences."""
+"""Benchmark passages in documents, by common words, latent semantic ranking and common subsequences."""
 
 from __future__ import annotations
 
@@ -18,11 +18,8 @@ from tablehaul.shared import stage
 #: Passages searched for in one pass over the documents; dimensions of the latent space.
 BLOCK_ITEMS, RANK, OVERSAMPLE, POWERS = 512, 128, 8, 2
 MIN_WORDS = 8
-#: A window's words of the benchmark must have this share of its weight, and of the passage's.
-MIN_SHARE, MIN_WEIGHT = 0.05, 0.4
-MIN_COSINE = 0.45
-#: Words whose vectors are summed up at a time.
-WORDS = 1 << 15
+#: Words of passages, or of ranges, that are looked at together.
+HITS = 1 << 19
 
 
 def text_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -65,10 +62,8 @@ class Passages:
     answers: list[list[int]]
     vocabulary: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    unseen: float = 0.0
     terms: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    energy: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Where words stand in the vocabulary, -1 for others."""
@@ -162,36 +157,23 @@ def latent_space(passages: DataFrame, block: Passages, rank: int) -> np.ndarray:
     return basis @ turn[:, keep[values[keep] > 1e-9]]
 
 
-def _windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, start and end of windows of ``size`` words, a quarter apart; short texts have one."""
-    step, length = max(1, size // 4), np.diff(first)
-    count = np.where(length > 0, -(-np.maximum(length - size, 0) // step) + 1, 0)
-    text = np.repeat(np.arange(len(length)), count)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    start = first[text] + nth * step
-    return text, start, np.minimum(start + size, first[text + 1])
+def _step(size):
+    """How far windows of a size are apart."""
+    return np.maximum(1, size // 4)
 
 
 def _search(block: Passages, least: float, least_with_answer: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes: dict[int, list[int]] = {}
-        for i in range(len(block.items)):
-            sizes.setdefault(block.window(i), []).append(i)
-        squares = np.append(block.weights**2, 0.0)
-        terms = np.ascontiguousarray((block.terms * block.weights[:, None]).T.astype(np.float32))
+        bounds = Bounds.of(block, min(least, least_with_answer))
+        terms = np.ascontiguousarray((block.terms * block.weights[:, None]).astype(np.float32))
         for batch in batches:
             out: list[tuple] = []
             for row, hashes, first in text_words(batch.column("text")):
                 place = block.places(hashes)
-                own = np.concatenate([[0], np.cumsum(squares[place])])
-                every = np.concatenate([[0], np.cumsum(np.where(place >= 0, squares[place], block.unseen**2))])
                 best: dict[tuple[int, int], tuple] = {}
-                near = [
-                    (items, size, *_weighty(block, first, size, own, every, items))
-                    for size, items in sizes.items()
-                ]
-                for size, t, s, e, i in _retrieved(block, terms, place, near):
-                    a, b = max(first[t], s - size // 4), min(first[t + 1], e + size // 4)
+                for t, i, a, b, most in _ranked(block, terms, place, _held(bounds, place, first)):
+                    if (t, i) in best and most < best[t, i][0]:
+                        continue
                     words = hashes[a:b].tolist()
                     share = common_subsequence(block.words[i], words) / len(block.words[i])
                     answer = block.answers[i]
@@ -215,41 +197,135 @@ def _search(block: Passages, least: float, least_with_answer: float):
     return run
 
 
-def _weighty(block, first, size, own, every, items) -> tuple[np.ndarray, ...]:
-    """Text, start, end and weight of windows with weight enough to hold one of the passages."""
-    text, start, end = _windows(first, size)
-    energy = own[end] - own[start]
-    held = energy >= MIN_SHARE * (every[end] - every[start])
-    held &= energy >= MIN_WEIGHT * block.energy[items].min()
-    return text[held], start[held], end[held], energy[held]
+@dataclass
+class Bounds:
+    """What a range of words must hold at least for a passage to be leaked there.
+
+    ``need`` is the least number of common words that the rule accepts. All but a quarter of them
+    or more must be among a passage's rarer words, so ``rare`` of the positions of these are asked
+    for first; ``heads`` and ``owners`` list the passages of a word that is rarer in them.
+    """
 
+    need: np.ndarray
+    rare: np.ndarray
+    size: np.ndarray
+    heads: np.ndarray
+    owners: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, block: Passages, share: float) -> Bounds:
+        need, rare, words, owners, pairs, times = [], [], [], [], [], []
+        for i, own in enumerate(block.words):
+            length = len(own)
+            need.append(next((n for n in range(1, length + 1) if n / length >= share), length + 1))
+            place, n = np.unique(block.places(np.array(own, np.uint64)), return_counts=True)
+            pairs.append(i * len(block.vocabulary) + place)
+            times.append(n)
+            order = np.argsort(-block.weights[place], kind="stable")
+            spare = length - need[-1]
+            kept = np.searchsorted(np.cumsum(n[order]), min(spare + -(-need[-1] // 2), length)) + 1
+            words.append(place[order[:kept]])
+            owners.append(np.full(len(words[-1]), i))
+            rare.append(int(n[order[:kept]].sum()) - spare)
+        words, owners = np.concatenate(words), np.concatenate(owners)
+        order = np.argsort(words, kind="stable")
+        heads = np.searchsorted(words[order], np.arange(len(block.vocabulary) + 1))
+        size = np.array([block.window(i) for i in range(len(block.items))])
+        return cls(
+            np.array(need), np.array(rare), size, heads, owners[order].astype(np.uint16 if len(size) < 1 << 16 else int),
+            np.concatenate(pairs), np.concatenate(times), len(block.vocabulary),
+        )
 
-def _retrieved(block, terms, place, near) -> Iterator[tuple[int, int, int, int, int]]:
-    """Windows and passages whose latent cosine is high enough.
 
-    A window's vector is the difference of two sums over the words up to a place; ``terms`` has a
-    column for each word of the vocabulary.
+def _held(bounds: Bounds, place: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Text, passage, start, end and number of common words of the ranges that hold enough of them.
+
+    A range is a window widened by a quarter of its size on both sides. Common words are counted
+    without their order, as often as both sides have them: no subsequence is longer, so no range
+    is left out that the rule accepts.
     """
-    longest = max((size for _, size, *_ in near), default=0)
-    for low in range(0, len(place), WORDS):
-        spans = [np.searchsorted(start, [low, low + WORDS]) for _, _, _, start, *_ in near]
-        if all(a == b for a, b in spans):
-            continue
-        known = place[low : low + WORDS + longest]
-        before = np.concatenate([[0], np.cumsum(known >= 0)])
-        sums = np.zeros((len(terms), before[-1] + 1), np.float32)
-        np.cumsum(terms[:, known[known >= 0]], axis=1, out=sums[:, 1:])
-        for (items, size, text, start, end, energy), (a, b) in zip(near, spans, strict=True):
-            turned = block.latent[items].astype(np.float32)
-            for at in range(a, b, 4096):
-                some = slice(at, min(at + 4096, b))
-                latent = sums[:, before[end[some] - low]] - sums[:, before[start[some] - low]]
-                length = np.sqrt(np.einsum("ij,ij->j", latent, latent))
-                close = turned @ latent >= MIN_COSINE * np.maximum(length, 1e-6)
-                close &= energy[some] >= MIN_WEIGHT * block.energy[items, None]
-                for i, w in zip(*np.nonzero(close), strict=True):
-                    w += at
-                    yield size, int(text[w]), int(start[w]), int(end[w]), items[i]
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    fan = np.append(np.diff(bounds.heads), 0)[place]
+    reach = np.concatenate([[0], np.cumsum(fan)])
+    longest, low = int((bounds.size + 2 * (bounds.size // 4)).max()), 0
+    while low < len(place):
+        high = max(low + 1, int(np.searchsorted(reach, reach[low] + HITS, "right")) - 1)
+        stop = min(high + longest, len(place))
+        n = fan[low:stop]
+        at = np.repeat(np.arange(low, stop), n)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        item = bounds.owners[bounds.heads[place[at]] + nth]
+        order = np.argsort(item, kind="stable")
+        at, item = at[order], item[order].astype(np.int64)
+        yield from _counted(bounds, place, first, *_spans(bounds, text, first, at, item, high))
+        low = high
+
+
+def _spans(bounds, text, first, at, item, high) -> tuple[np.ndarray, ...]:
+    """Text, passage and number of the windows whose widened range has enough rare positions."""
+    size = bounds.size[item]
+    margin, step = size // 4, _step(size)
+    far = np.arange(len(at)) + bounds.rare[item] - 1
+    some = np.flatnonzero((far < len(at)) & (at < high))
+    far = far[some]
+    some, far = (x[(item[far] == item[some]) & (text[at[far]] == text[at[some]])] for x in (some, far))
+    t, item, size, margin, step = text[at[some]], item[some], size[some], margin[some], step[some]
+    begin, end = at[some] - first[t], at[far] - first[t]
+    length = first[t + 1] - first[t]
+    count = -(-np.maximum(length - size, 0) // step) + 1
+    least = np.maximum((end - size - margin) // step + 1, 0)
+    most = np.minimum((begin + margin) // step, count - 1)
+    n = np.maximum(most - least + 1, 0)
+    t, item, number = np.repeat(t, n), np.repeat(item, n), np.repeat(least - np.cumsum(n) + n, n) + np.arange(n.sum())
+    order = np.lexsort((number, item, t))
+    t, item, number = t[order], item[order], number[order]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (item[1:] != item[:-1]) | (number[1:] != number[:-1])
+    return t[new], item[new], number[new]
+
+
+def _counted(bounds, place, first, text, item, number) -> Iterator[tuple[np.ndarray, ...]]:
+    """Those of these windows whose range has enough common words, as ``_held`` gives them."""
+    size = bounds.size[item]
+    start = first[text] + number * _step(size)
+    a = np.maximum(first[text], start - size // 4)
+    b = np.minimum(first[text + 1], start + size + size // 4)
+    cut = np.concatenate([[0], np.cumsum(b - a)])
+    low = 0
+    while low < len(text):
+        high = max(low + 1, int(np.searchsorted(cut, cut[low] + HITS, "right")) - 1)
+        some, n = slice(low, high), (b - a)[low:high]
+        word = place[np.repeat(a[some] - cut[low:high] + cut[low], n) + np.arange(n.sum())]
+        owner = np.repeat(np.arange(high - low), n)[word >= 0]
+        key, times = np.unique(owner * bounds.width + word[word >= 0], return_counts=True)
+        owner, word = np.divmod(key, bounds.width)
+        pair = item[some][owner] * bounds.width + word
+        at = np.minimum(np.searchsorted(bounds.pairs, pair), len(bounds.pairs) - 1)
+        times = np.where(bounds.pairs[at] == pair, np.minimum(times, bounds.times[at]), 0)
+        common = np.bincount(owner, times, high - low).astype(np.int64)
+        good = np.flatnonzero(common >= bounds.need[item[some]])
+        yield tuple(x[some][good] for x in (text, item, a, b)) + (common[good],)
+        low = high
+
+
+def _ranked(block, terms, place, held) -> Iterator[tuple[int, int, int, int, float]]:
+    """Ranges of each text and passage by falling latent cosine, and the most their share can be.
+
+    The cosine decides on the order alone: a range is passed over only if its share cannot
+    reach the one found before.
+    """
+    for texts, items, starts, ends, common in held:
+        cosine = np.zeros(len(texts))
+        for k, (i, a, b) in enumerate(zip(items, starts, ends, strict=True)):
+            word = place[a:b]
+            latent = terms[word[word >= 0]].sum(axis=0)
+            cosine[k] = block.latent[i] @ latent / max(float(np.linalg.norm(latent)), 1e-6)
+        for k in np.lexsort((-cosine, items, texts)):
+            i = int(items[k])
+            yield int(texts[k]), i, int(starts[k]), int(ends[k]), common[k] / len(block.words[i])
 
 
 def benchmark_leaks(
@@ -268,11 +344,13 @@ def benchmark_leaks(
 
     Words are runs of letters and digits, A-Z lower-cased. Weights are inverse document
     frequencies over all documents. The latent space is a randomised SVD of the TF-IDF
-    passages. Every window of every document, of about the passage's length and a quarter of
-    it apart, is mapped into that space; windows with a high cosine to a passage are compared with it
-    exactly: it is leaked if ``least`` of its words occur there in order, or
+    passages. Windows of every document, of about the passage's length and a quarter of it apart,
+    are widened by a quarter on both sides. Those that hold as many of its words, in any order, as
+    the rule asks for are mapped into that space and compared with the passage exactly, the
+    highest cosine first: it is leaked if ``least`` of its words occur there in order, or
     ``least_with_answer`` of them and all words of its last sentence, which stands for the answer.
-    ``share`` is that part, and the best window is returned.
+    ``share`` is that part, and the best window is returned. Neither the cosine nor the weights
+    leave out a window that the rule accepts.
 
     Passages are searched for in blocks of ``block_items``, each with two reads of the documents,
     so what tasks hold does not grow with the benchmark. Passages of fewer than 8 words, null ones
@@ -301,11 +379,8 @@ def benchmark_leaks(
             else:
                 seen[at] = n
         block.weights = np.log((total + 1) / (seen + 1)) + 1e-3
-        block.unseen = math.log(total + 1) + 1e-3
         block.terms = latent_space(part, block, rank)
         latent = _item_rows(block) @ block.terms
-        squares = block.weights**2
-        block.energy = np.array([squares[block.places(np.array(w, np.uint64))].sum() for w in block.words])
         block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-300)
         own = texts.mapInArrow(
             _search(block, least, least_with_answer),

@@ -281,6 +281,44 @@ def test_leaks(spark, docs, empty):
     assert leaks.common_subsequence([1, 2, 3, 4], [9, 1, 3, 4, 2]) == 3
 
 
+def plain_leaks(rows, items, least=0.8, least_with_answer=0.5):
+    """Every window of every text, widened on both sides, against every passage."""
+    blocks = leaks.Passages([], [leaks._words_of(t).tolist() for _, t in items], [], np.zeros(0))
+    found = {}
+    for doc, text in rows:
+        words = leaks._words_of(text).tolist()
+        for k, (item, passage) in enumerate(items):
+            own, answer, size = blocks.words[k], leaks._answer(passage).tolist(), blocks.window(k)
+            for s in range(0, max(len(words) - size, 0) + int(leaks._step(size)), int(leaks._step(size))):
+                a, b = max(0, s - size // 4), min(len(words), s + size + size // 4)
+                share = leaks.common_subsequence(own, words[a:b]) / len(own)
+                told = leaks.common_subsequence(answer, words[a:b]) == len(answer)
+                if share >= least or share >= least_with_answer and told:
+                    one = (share, told, a, b - a)
+                    found[doc, item] = max(found.get((doc, item), one), one)
+    return found
+
+
+def test_no_accepted_leak_is_left_out(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("etaoinshr") for _ in range(6))
+    pool = ["".join(p) for p in ("the", "and", "for", "was", "not", "are", "but", "had", "his", "her", "she", "him")]
+    passage = lambda: [rnd.choice(pool) if k % 2 else word() for k in range(22)]
+    split_up = [(passage(), [rnd.choice(pool) for _ in range(4)]) for _ in range(140)]
+    items = [(i, " ".join(p) + ". " + " ".join(a)) for i, (p, a) in enumerate(split_up)]
+    rows = [(i, " ".join(rnd.choice(pool) if rnd.random() < 0.4 else word() for _ in range(60))) for i in range(60)]
+    for i, (p, a) in enumerate(split_up[:40]):
+        told = " ".join(w if k % 2 or rnd.random() < 0.1 else word() for k, w in enumerate(p)) + " " + " ".join(a)
+        rows.append((100 + i, " ".join(word() for _ in range(rnd.randint(0, 30))) + " " + told + " " + word()))
+    want = plain_leaks(rows, items)
+    assert {(100 + i, i) for i in range(40)} <= set(want)
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for rank in (leaks.RANK, 2):
+        got = leaks.benchmark_leaks(made, bench, rank=rank).collect()
+        assert {(r.doc_id, r.item_id): (r.share, r.answered, r.first_word, r.n_words) for r in got} == want
+
+
 def test_licenses(spark, docs, empty, plan):
     mit = licenses.NOTICES["MIT text"]
     rows = [(1, "été " * 500 + mit.upper() + " x" * 90), (2, "Released under\nthe MIT License. " * 3), (3, None), (4, ""),
