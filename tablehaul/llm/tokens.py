@@ -34,7 +34,7 @@ class Encoder:
     white space, and between an ASCII letter or digit and an ASCII mark. No match of the
     tokenizers' patterns goes across such a place, so the ids of the pieces, one after the other,
     are those of the text. ``spaced`` is false for tokenizers that drop white space and lower-case.
-    
+    Texts that hold the content of an added token are encoded whole, by the library's default.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -42,7 +42,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in tokens]
+        if any(t.normalized or not t.special for t in tokens):
+            self.added = [b""]  # found in other spellings, or also in pieces: all texts are encoded whole
+        self.odd = re.compile(b"|".join([_ODD_SPACE.pattern, *map(re.escape, self.added)]))
         self.spaced = spaced
         self._clear()
 
@@ -53,7 +57,8 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.filled = 0
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
+    def _ids(self, texts: list[str], whole: bool = False) -> list[list[int]]:
+        self.tokenizer.encode_special_tokens = not whole
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,12 +125,14 @@ class Encoder:
             edges = reach[first]
         else:
             ids, edges = np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
-        if not _ODD_FIRST[data].any() or not _ODD_SPACE.search(raw := data.tobytes()):
+        raw = data.tobytes()
+        spaces = _ODD_FIRST[data].any() and _ODD_SPACE.search(raw)
+        if not spaces and not any(content in raw for content in self.added):
             return ids, edges
         own = [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-            if _ODD_SPACE.search(raw, a, b):
-                own[i] = np.array(self._ids([raw[a:b].decode()])[0], np.uint32)
+            if self.odd.search(raw, a, b):
+                own[i] = np.array(self._ids([raw[a:b].decode()], whole=True)[0], np.uint32)
         return np.concatenate(own), np.concatenate([[0], np.cumsum([len(o) for o in own])])
 
 

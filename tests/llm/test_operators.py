@@ -98,6 +98,22 @@ def test_encoder_gives_the_ids_of_whole_texts(name, spaced):
     assert got == [whole.encode(r or "", add_special_tokens=False).ids for r in rows]
 
 
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_encoder_maps_added_tokens_as_the_library_does(name, spaced):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(7)
+    parts = ["a", "End", " ", "\n", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "|>", "é", "\u0085"]
+    rows = ["end<|endoftext|>next", "<|endof", "text|>", "<|endoftext", "|>"]
+    rows += ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(400)]
+    whole = Tokenizer.from_file(tokenizer(name))
+    own, got = Encoder(tokenizer(name), spaced), []
+    for _, data, at in slices(pa.array(rows), 500):
+        got += [x.tolist() for x in split(*own.encode(data, at))]
+    assert got == [whole.encode(r, add_special_tokens=False).ids for r in rows]
+
+
 def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 
