@@ -159,7 +159,7 @@ def latent_space(passages: DataFrame, block: Passages, rank: int) -> np.ndarray:
 
 def _step(size):
     """How far windows of a size are apart."""
-    return np.maximum(1, size // 4)
+    return np.maximum(1, size // 8)
 
 
 def _search(block: Passages, least: float, least_with_answer: float):
@@ -344,7 +344,7 @@ def benchmark_leaks(
 
     Words are runs of letters and digits, A-Z lower-cased. Weights are inverse document
     frequencies over all documents. The latent space is a randomised SVD of the TF-IDF
-    passages. Windows of every document, of about the passage's length and a quarter of it apart,
+    passages. Windows of every document, of about the passage's length and an eighth of it apart,
     are widened by a quarter on both sides. Those that hold as many of its words, in any order, as
     the rule asks for are mapped into that space and compared with the passage exactly, the
     highest cosine first: it is leaked if ``least`` of its words occur there in order, or

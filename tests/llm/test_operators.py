@@ -335,6 +335,16 @@ def test_no_accepted_leak_is_left_out(spark):
         assert {(r.doc_id, r.item_id): (r.share, r.answered, r.first_word, r.n_words) for r in got} == want
 
 
+def test_leaks_spread_over_more_than_a_window(spark):
+    own, other = [f"w{k}" for k in range(32)], iter(f"x{k}" for k in range(10000))
+    some = lambda n: [next(other) for _ in range(n)]
+    told = own[:10] + some(18) + own[16:]
+    rows = [(at, " ".join(some(at) + told + some(40))) for at in range(24, 40)]
+    bench = spark.createDataFrame([(1, " ".join(own))], "item_id long, text string")
+    got = leaks.benchmark_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.share) for r in got} == {(at, 26 / 32) for at, _ in rows}
+
+
 def test_licenses(spark, docs, empty, plan):
     mit = licenses.NOTICES["MIT text"]
     rows = [(1, "été " * 500 + mit.upper() + " x" * 90), (2, "Released under\nthe MIT License. " * 3), (3, None), (4, ""),
