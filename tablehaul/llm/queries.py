@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehaul.llm.counts import count_tokens
 from tablehaul.llm.leaks import benchmark_leaks
 from tablehaul.llm.licenses import find_licenses
 from tablehaul.llm.lines import drop_common_lines
 from tablehaul.llm.minhash import near_duplicates
 from tablehaul.llm.packing import pack
+from tablehaul.llm.phrases import mine_phrases
 from tablehaul.llm.quality import quality_scores
+from tablehaul.llm.resample import resample
 from tablehaul.llm.secrets import find_secrets, secret_digest
 from tablehaul.llm.suffixes import drop_repeats
 from tablehaul.llm.vectors import near_vectors
@@ -88,6 +91,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents"))
+
+
+def op12_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_wavelet": op2_wavelet,
@@ -99,9 +115,59 @@ QUERIES = {
     "op8_leaks": op8_leaks,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_phrases": op11_phrases,
+    "op12_counts": op12_counts,
+    "op13_resample": op13_resample,
 }
 
 ORACLES = {
+    "op11_phrases": r"""
+        with piece as (
+            select coalesce(lang, 'und') as lang, row_number() over () as nr, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\n\x0b\x0c\r]'
+            )) as piece from documents
+        ), cut as (
+            select lang, list_filter(regexp_split_to_array(piece, '[ \t]'), lambda w: w <> '') as w from piece
+        ), gram as (
+            select lang, size, unnest(list_transform(
+                range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' ')
+            )) as phrase from cut, (values (1), (2), (3)) as sizes(size) where len(w) >= size
+        ), counted as (
+            select lang, size, phrase, count(*)::hugeint as f from gram group by all
+        ), total as (
+            select lang, sum(f) as n from counted where size = 1 group by lang
+        ), candidate as (select * from counted where size > 1 and f >= 10),
+        cuts as (
+            select lang, phrase, size, f as a, k,
+                array_to_string(string_split(phrase, ' ')[1 : k], ' ') as one,
+                array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') as two
+            from candidate, (values (1), (2)) as places(k) where k < size
+        ), scored as (
+            select cuts.lang, cuts.phrase, cuts.size, a, k, x.f as l, y.f as r,
+                1000000::hugeint * a * a // (x.f * y.f) as score
+            from cuts
+            join counted x on x.lang = cuts.lang and x.phrase = one and x.size = k
+            join counted y on y.lang = cuts.lang and y.phrase = two and y.size = cuts.size - k
+        ), lowest as (
+            select * from scored
+            qualify row_number() over (partition by lang, phrase, size order by score, k) = 1
+        ), longer as (
+            select lang, unnest([
+                array_to_string(string_split(phrase, ' ')[1 : 2], ' '), array_to_string(string_split(phrase, ' ')[2 :], ' ')
+            ]) as phrase, f from candidate where size = 3
+        ), inside as (select lang, phrase, max(f) as f from longer group by all),
+        alive as (
+            select lowest.* from lowest left join inside
+            on size = 2 and inside.lang = lowest.lang and inside.phrase = lowest.phrase
+            where inside.f is null or 100 * inside.f < 50 * a
+        ), ranked as (
+            select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from alive
+        )
+        select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+            score::bigint as score
+        from ranked join total using (lang) where rank <= 2000
+    """,
     "op6_vectors": """
         with recursive unit as (
             select vec_id, label, embedding::double[] as v from embeddings
