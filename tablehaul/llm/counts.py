@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,9 @@ _WHITE = " \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 #: Before the name of an added token, which no other part of a text holds.
 _ADDED = "\x00"
-_SHAPE = "block long, ids array<{kind}>, sizes array<long>, terms array<string>, ends binary, which binary, times binary"
+#: Most ranges of hashes that pre-tokens are dealt to, a power of two; a range has the terms of some blocks.
+MOST_RANGES, BLOCKS_A_RANGE = 1 << 16, 8
+_SHAPE = "block long, ids array<{kind}>, sizes array<long>, terms binary, ends binary, which binary, times binary"
 
 
 class PreTokens:
@@ -79,8 +82,12 @@ def _sums(values: np.ndarray, reach: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[reach])
 
 
+def _hash(term: str) -> int:
+    return zlib.crc32(term.encode())
+
+
 def _frequencies(cutter: PreTokens, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The different pre-tokens; each text's own, by number in rising order, and how often it has them."""
+    """The different pre-tokens by hash; each text's own, by number in rising order, and how often it has them."""
     known: dict[str, int] = {}
     held, sizes = [], []
     for text in texts:
@@ -92,7 +99,10 @@ def _frequencies(cutter: PreTokens, texts: list[str]) -> tuple[list[str], np.nda
     for stretch in known:
         inner.extend([terms.setdefault(p, len(terms)) for p in cutter.cut(stretch)])
         reach.append(len(inner))
-    inner, reach = np.array(inner, np.int64), np.array(reach)
+    order = np.argsort(np.array([_hash(t) for t in terms], np.int64), kind="stable")
+    rank = np.empty(len(terms), np.int64)
+    rank[order] = np.arange(len(terms))
+    inner, reach = rank[np.array(inner, np.int64)], np.array(reach)
     stretch = np.concatenate(held) if held else np.zeros(0, np.int64)
     count = np.diff(reach)[stretch]
     owner = np.repeat(np.repeat(np.arange(len(texts)), sizes), count)
@@ -100,7 +110,8 @@ def _frequencies(cutter: PreTokens, texts: list[str]) -> tuple[list[str], np.nda
     term = inner[np.repeat(reach[stretch], count) + within]
     pair, times = np.unique(owner * max(1, len(terms)) + term, return_counts=True)
     ends = np.cumsum(np.bincount(pair // max(1, len(terms)), minlength=len(texts)))
-    return list(terms), ends, pair % max(1, len(terms)), times
+    names = list(terms)
+    return [names[i] for i in order.tolist()], ends, pair % max(1, len(terms)), times
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -116,6 +127,21 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view("<u4")[:, 0].astype(np.int64)
 
 
+def _packed_texts(texts: list[str]) -> bytes:
+    raw = [t.encode() for t in texts]
+    sizes = _packed(np.array([len(r) for r in raw], np.int64))
+    whole = b"".join(raw)
+    head = len(sizes).to_bytes(8, "little") + len(whole).to_bytes(8, "little")
+    return head + sizes + pa.compress(whole, "zstd", asbytes=True)
+
+
+def _unpacked_texts(raw: bytes) -> list[str]:
+    head, size = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
+    ends = np.cumsum(_unpacked(raw[16 : 16 + head])).tolist()
+    whole = pa.decompress(raw[16 + head :], size, "zstd", asbytes=True)
+    return [whole[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
 def _blocks(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, n = PreTokens(path), 0
@@ -129,15 +155,13 @@ def _blocks(path: str):
                 steps = np.diff(which, prepend=0)
                 steps[begin[begin < ends]] = which[begin[begin < ends]]
                 ids = batch.column("id").slice(row, len(texts))
+                packed = [_packed_texts(terms), _packed(ends), _packed(steps), _packed(times)]
                 yield pa.record_batch(
                     [
                         pa.array([(part << 33) + n], pa.int64()),
                         pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                         pa.array([np.diff(at)], pa.list_(pa.int64())),
-                        pa.array([terms], pa.list_(pa.string())),
-                        pa.array([_packed(ends)], pa.binary()),
-                        pa.array([_packed(steps)], pa.binary()),
-                        pa.array([_packed(times)], pa.binary()),
+                        *[pa.array([p], pa.binary()) for p in packed],
                     ],
                     names=["block", "ids", "sizes", "terms", "ends", "which", "times"],
                 )
@@ -146,12 +170,47 @@ def _blocks(path: str):
     return run
 
 
+def _dealt(ranges: int):
+    """The terms of each block, cut where the upper bits of their hashes change."""
+    shift = 32 - (ranges.bit_length() - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("terms"), strict=True):
+                terms = _unpacked_texts(raw.as_py())
+                part = np.array([_hash(t) >> shift for t in terms], np.int64)
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                cuts = [*first.tolist(), len(terms)]
+                parts = [_packed_texts(terms[a:b]) for a, b in zip(cuts, cuts[1:])]
+                yield pa.record_batch(
+                    [pa.array(part[first]), pa.array([block] * len(parts), pa.int64()), pa.array(parts, pa.binary())],
+                    names=["part", "block", "terms"],
+                )
+
+    return run
+
+
 def _counted(path: str):
+    """Pieces of the terms of each range and block. Ranges come one after the other, each term is counted once in one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = PreTokens(path)
+        cutter, last, known = PreTokens(path), -1, {}
         for batch in batches:
-            n = [cutter.pieces(t) for t in batch.column("term").to_pylist()]
-            yield pa.record_batch([batch.column("term"), pa.array(n, pa.int64())], names=["term", "n"])
+            counts = []
+            for part, raw in zip(batch.column("part").to_pylist(), batch.column("terms"), strict=True):
+                if part != last:
+                    last, known = part, {}
+                own = []
+                for term in _unpacked_texts(raw.as_py()):
+                    n = known.get(term)
+                    if n is None:
+                        n = known[term] = cutter.pieces(term)
+                    own.append(n)
+                counts.append(_packed(np.array(own, np.int64)))
+            yield pa.record_batch(
+                [batch.column("block"), batch.column("part"), pa.array(counts, pa.binary())],
+                names=["block", "part", "counts"],
+            )
 
     return run
 
@@ -159,16 +218,15 @@ def _counted(path: str):
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            ids, sizes, counts = (batch.column(c)[row].values for c in ("ids", "sizes", "counts"))
+            ids, sizes = (batch.column(c)[row].values for c in ("ids", "sizes"))
             ends, steps, times = (_unpacked(batch.column(c)[row].as_py()) for c in ("ends", "which", "times"))
+            parts = sorted(batch.column("counts")[row].as_py(), key=lambda p: p["part"])
+            pieces = np.concatenate([np.zeros(0, np.int64), *[_unpacked(p["counts"]) for p in parts]])
             reach = np.concatenate([[0], ends])
             which = np.cumsum(steps)
             first = reach[:-1][reach[:-1] < reach[1:]]
             before = np.concatenate([[0], which])[first]
             which -= np.repeat(before, np.diff(np.append(first, len(which))))
-            place = counts.field("at").to_numpy()
-            pieces = np.zeros(len(place), np.int64)
-            pieces[place] = counts.field("n").to_numpy()
             n = _sums(pieces[which] * times, reach)
             yield pa.record_batch([ids, sizes, pa.array(n)], names=["id", "n_bytes", "n_tokens"])
 
@@ -178,20 +236,27 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     ``path`` is a file of the tokenizers library. Ids of begin and end are not counted; an added token
     that a text spells out is one, as the library has it. Each task turns blocks of documents into how
-    often each of them has which pre-token; pieces are counted once for each different pre-token of all
-    documents, and the counts come back to the blocks by a join and are summed. No ids are made.
+    often each of them has which pre-token. The blocks' pre-tokens meet by ranges of their hashes, where pieces
+    are counted once for each different one; the counts come back to the blocks by a join and are
+    summed. No ids are made.
 
     A null or empty text has no bytes and no tokens. Every row is counted by itself, also with a
     null or repeated id; an empty table gives an empty one. Other columns of ``docs`` are not read. A very
-    long text is a block of its own.
+    long text is a block of its own. The number of ranges follows that of the blocks, which hold a pre-token once
+    however frequent it is.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     blocks = stage(texts.mapInArrow(_blocks(path), _SHAPE.format(kind=kind)), "pretokens")
-    held = blocks.select("block", F.posexplode("terms").alias("at", "term"))
-    counted = held.select("term").distinct().mapInArrow(_counted(path), "term string, n long")
-    met = held.join(counted, "term").groupBy("block").agg(F.collect_list(F.struct("at", "n")).alias("counts"))
-    nothing = F.array().cast("array<struct<at:int,n:bigint>>")
-    whole = blocks.drop("terms").join(met, "block", "left").withColumn("counts", F.coalesce("counts", nothing))
+    ranges = 64
+    wanted = min(MOST_RANGES, blocks.count() // BLOCKS_A_RANGE)
+    while ranges < wanted:
+        ranges *= 2
+    dealt = blocks.select("block", "terms").mapInArrow(_dealt(ranges), "part long, block long, terms binary")
+    met = dealt.repartition("part").sortWithinPartitions("part")
+    counted = met.mapInArrow(_counted(path), "block long, part long, counts binary")
+    own = counted.groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("counts"))
+    nothing = F.array().cast("array<struct<part:bigint,counts:binary>>")
+    whole = blocks.drop("terms").join(own, "block", "left").withColumn("counts", F.coalesce("counts", nothing))
     summed = whole.mapInArrow(_summed, f"id {kind}, n_bytes long, n_tokens long")
     return summed.withColumnRenamed("id", id_col)
