@@ -254,6 +254,43 @@ ORACLES = {
     "q_data_only": "select * from supplier",
     "q_clustered": "select * from orders",
     "q_delimited_roundtrip": "select * from pages",
+    "q_delimited_split": "select * from documents",
+    "q_diff_rows": """
+        with theirs as (
+            select * replace (case when l_orderkey % 1009 = 5 then null else l_shipdate end as l_shipdate)
+            from lineitem where l_orderkey % 997 <> 3
+            union all select * from lineitem where l_orderkey % 1013 = 7
+            union all select * replace (-l_orderkey as l_orderkey) from lineitem where l_orderkey % 1019 = 9
+        ), o as (
+            select l_orderkey, l_linenumber, count(*) as n, list_sort(list(lineitem::varchar)) as v, min(l_shipdate) as d
+            from lineitem group by all
+        ), t as (
+            select l_orderkey, l_linenumber, count(*) as n, list_sort(list(theirs::varchar)) as v, min(l_shipdate) as d
+            from theirs group by all
+        )
+        select l_orderkey, l_linenumber,
+            case when t.n is null then 'missing' when o.n is null then 'extra' else 'changed' end as change,
+            coalesce(o.n, 0) as source_rows, coalesce(t.n, 0) as target_rows,
+            case when o.n = 1 and t.n = 1 then 'l_shipdate' end as columns
+        from o full join t using (l_orderkey, l_linenumber) where o.v is distinct from t.v
+    """,
+    "q_diff_documents": """
+        select doc_id, case when doc_id % 50 = 1 then 'missing' else 'changed' end as change, 1::bigint as source_rows,
+            case when doc_id % 50 = 1 then 0 else 1 end::bigint as target_rows,
+            case when doc_id % 50 <> 1 then 'text' end as columns
+        from documents
+        where doc_id % 50 = 1 or text <> regexp_replace(text, 'license', 'licence', 'gi')
+    """,
+    "q_migrate_values": " union all ".join(
+        f"select '{table}' as table_name, "
+        + ("(select count(*) from orders where o_orderkey % 100 = 0)" if table == "orders" else "0::bigint")
+        + " as missing, 0::bigint as extra, 0::bigint as changed, "
+        + (
+            "case when exists (from orders where o_orderkey % 100 = 0) then 'N' else 'Y' end as is_success"
+            if table == "orders" else "'Y' as is_success"
+        )
+        for table in sorted(TABLES)
+    ),
     "q_delimited_gaps": (
         "select doc_id, text, case lang when 'en' then '' when 'fr' then '\\N' "
         "when 'de' then null else lang end as lang, source, n_chars from documents"

@@ -21,10 +21,12 @@ from tablehaul import (
     compare,
     compare_counts,
     compare_failures,
+    compare_values,
     compare_views,
     conform,
     decode_binary,
     decode_bits,
+    diff_rows,
     encode_binary,
     fit_report,
     migrate,
@@ -323,6 +325,14 @@ def delimited_gaps(spark, sf_dir):
     return _round_trip(spark, documents.withColumn("lang", marked))
 
 
+def delimited_split(spark, sf_dir):
+    """Texts with line ends in one large file, cut into blocks of the file and those into records."""
+    documents = source_of(spark, sf_dir).read("documents")
+    path = new_folder(spark, "delimited")
+    used = write_delimited(documents.coalesce(1), path, max_records_per_file=0)
+    return read_delimited(spark, path, documents.schema, used, split=True)
+
+
 def delimited_orders(spark, sf_dir):
     return _round_trip(spark, source_of(spark, sf_dir).read("orders"))
 
@@ -574,6 +584,41 @@ def summary(spark, sf_dir):
     return run.summary
 
 
+def _changed(df, key, value):
+    """A copy with rows lost, added, repeated and changed."""
+    kept = df.filter(F.col(key) % 997 != 3)
+    changed = kept.withColumn(value, F.when(F.col(key) % 1009 == 5, F.lit(None)).otherwise(F.col(value)))
+    again = df.filter(F.col(key) % 1013 == 7)
+    new = df.filter(F.col(key) % 1019 == 9).withColumn(key, -F.col(key))
+    return changed.unionByName(again).unionByName(new)
+
+
+def rows_that_differ(spark, sf_dir):
+    lines = source_of(spark, sf_dir).read("lineitem")
+    theirs = _changed(lines, "l_orderkey", "l_shipdate")
+    found = diff_rows(lines, theirs, ["l_orderkey", "l_linenumber"], few_rows=100, cells=1024)
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
+def documents_that_differ(spark, sf_dir):
+    documents = source_of(spark, sf_dir).read("documents")
+    theirs = documents.withColumn("text", F.regexp_replace("text", "(?i)license", "licence"))
+    found = diff_rows(documents, theirs.filter("doc_id % 50 <> 1").repartition("lang"), ["doc_id"])
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
+KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "documents": ["doc_id"]}
+
+
+def migrated_values(spark, sf_dir):
+    """All tables after a run, compared value by value; one table has lost rows since."""
+    source = source_of(spark, sf_dir)
+    target = scratch(spark, "values")
+    migrate(source, target)
+    write_table(source.read("orders").filter("o_orderkey % 100 <> 0"), target, "orders")
+    return compare_values(source, target, KEYS)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Move two tables, then compare both sides."""
     source = source_of(spark, sf_dir)
@@ -617,6 +662,7 @@ QUERIES = {
     "q_data_only": data_only,
     "q_clustered": cluster,
     "q_delimited_roundtrip": delimited_pages,
+    "q_delimited_split": delimited_split,
     "q_delimited_gaps": delimited_gaps,
     "q_delimited_plain": delimited_plain,
     "q_delimited_typed": delimited_orders,
@@ -646,4 +692,7 @@ QUERIES = {
     "q_compare_failures": failures,
     "q_object_totals": totals,
     "q_summary": summary,
+    "q_diff_rows": rows_that_differ,
+    "q_diff_documents": documents_that_differ,
+    "q_migrate_values": migrated_values,
 }

@@ -24,6 +24,7 @@ from tablehaul.plans.compare import (
     object_totals,
     store_report,
 )
+from tablehaul.plans.diff import compare_values, diff_rows
 from tablehaul.plans.migrate import Migration, migrate, migrate_database, table_list
 from tablehaul.plans.summary import failed_tables, migration_summary
 from tablehaul.shared import remove_staged

@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
-from itertools import accumulate
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
-from tablehaul.operators.ordering import (
-    ROWS_PER_BUCKET,
-    key_ranges,
-    number_in_order,
-    range_ends,
-    sortable,
-)
+from tablehaul.operators.brackets import brackets
+from tablehaul.operators.ordering import ROWS_PER_BUCKET, key_ranges, number_in_order, sortable
 from tablehaul.shared import stage
 
 
@@ -122,43 +115,17 @@ def offset_page(
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of the given ascending order, NULL first.
 
-    Rows are counted by ranges of all the columns, and only the rows of ranges that reach into the
-    page are numbered, at any depth. Rows that tie are numbered by their input partition, so a
-    frequent value spreads over many tasks. :func:`seek_page` needs no such count.
+    The page's place is found at any depth by sketches and exact counts (:mod:`brackets`), and only the
+    rows of a bracket around it are sorted, about ``rows_per_bucket`` at most. Rows that tie are numbered by
+    their input partition, so a frequent value spreads over many tasks. ``df`` is read several times
+    and must stay the same meanwhile. :func:`seek_page` needs no such search.
     """
-    ranges = range_ends(df, order_by, rows_per_bucket)
-    held = sorted(ranges.select("part", "rows").collect())
-    before = list(accumulate((r.rows for r in held), initial=0))
-    if limit < 1 or offset >= before[-1]:
+    held = brackets(df, order_by, offset, offset + limit, rows_per_bucket) if limit > 0 else []
+    if not held:
         return df.limit(0)
-    first = bisect_right(before, offset) - 1
-    last = bisect_left(before, offset + limit, hi=len(held)) - 1
-    kinds = [df.schema[name].dataType for name in order_by]
-    values = [sortable(k, F.col(quoted(n))) for k, n in zip(kinds, order_by)]
-    place = F.struct(*(v.alias(f"v{i}") for i, v in enumerate(values)))
-    inside = F.col("part").between(held[first].part, held[last].part)
-    ends = ranges.filter(inside).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    shape, (lo, hi) = ends.schema["lo"].dataType, ends.first()
-    touched = df.filter(
-        _at_or_above(values[0], lo[0], shape[0].dataType)
-        & _at_or_below(values[0], hi[0], shape[0].dataType)
-        & (place >= _struct_of(lo, shape))
-        & (place <= _struct_of(hi, shape))
-    )
     number = "__number"
-    numbered = number_in_order(touched, named(order_by), number, before[first])
-    page = numbered.filter((F.col(number) >= offset) & (F.col(number) < offset + limit))
-    return page.orderBy(number).drop(number)
-
-
-def _struct_of(row: Sequence, shape: T.StructType) -> Column:
-    return F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, shape.fields)))
-
-
-def _at_or_above(value: Column, low: Any, kind: T.DataType) -> Column:
-    """A bound that a file scan can use. NULL is lowest."""
-    return F.lit(True) if low is None else value >= F.lit(low).cast(kind)
-
-
-def _at_or_below(value: Column, high: Any, kind: T.DataType) -> Column:
-    return value.isNull() if high is None else value.isNull() | (value <= F.lit(high).cast(kind))
+    parts = []
+    for part in held:
+        numbered = number_in_order(df.filter(part.inside), named(order_by), number, part.before)
+        parts.append(numbered.filter((F.col(number) >= part.first) & (F.col(number) < part.end)))
+    return reduce(DataFrame.unionAll, parts).orderBy(number).drop(number)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from itertools import chain, count, islice, repeat
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.functions.binary import hex_bytes, hex_text
 from tablehaul.functions.names import quoted
+from tablehaul.shared import stage
 
 MAX_RECORDS_PER_FILE = 1_000_000
 _MARKERS_PER_PASS = 8
@@ -20,7 +21,7 @@ _MARKERS_PER_PASS = 8
 class DelimitedText:
     """The format: every value quoted with quotes doubled, NULL as the bare marker.
 
-    ``multiline`` files cannot be split by a reader; it is off where no value holds a line end.
+    ``multiline`` says that values may hold line ends; it is off where none does.
     """
 
     separator: str = ";"
@@ -75,8 +76,7 @@ def write_delimited(
 ) -> DelimitedText:
     """Write the rows as text and return the dialect to read them with.
 
-    Lines are made by column functions. Files are limited in length because a file whose values
-    hold line ends is read by one task.
+    Lines are made by column functions.
     """
     used = _fitted(df, dialect)
     quote = used.quote
@@ -100,31 +100,104 @@ def write_delimited(
     return used
 
 
+def _blocks(spark: SparkSession, path: str, quote: str) -> DataFrame:
+    """Lines as the file system's blocks hold them: file (a hash of its path), block, place in it, and whether
+    its quotes do not pair up."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    return lines.select(
+        "value", F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
+        (quotes % 2).alias("odd"),
+    )
+
+
+def _in_order(parts: Column, value: str = "value") -> Column:
+    """Collected ``(at, value)`` structs as one text with their line ends."""
+    return F.array_join(F.transform(F.array_sort(parts), lambda p: p[value]), "\n")
+
+
+def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+    """``(file, block, number, record)``: the records of quoted text, line ends inside quotes and all.
+
+    A line begins a record if an even number of quotes lies before it in its file. Quotes are counted for each
+    block of the files; sums over a file's blocks tell for each of them whether it begins inside a value,
+    which needs one row a block. A block that does gives its first lines, up to the one that closes the
+    value, to the block where the record began, however many blocks before. All other lines are
+    cut into records block by block: a task sorts the lines of a block, as it would read them.
+    """
+    lines = _blocks(spark, path, quote)
+    blocks = lines.groupBy("file", "block").agg(
+        (F.sum("odd") % 2).alias("odd"), F.min(F.when(F.col("odd") == 1, F.col("at"))).alias("closes"),
+        F.max("at").alias("last"),
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
+    blocks = blocks.withColumn("inside", inside)
+    # A record begins in a block that is not wholly inside a value.
+    begins = (F.col("inside") == 0) | F.col("closes").isNotNull() & (F.col("closes") < F.col("last"))
+    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    owner = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(upto)
+    blocks = stage(blocks.withColumn("owner", owner), "blocks")
+
+    known = blocks.where("inside = 1").select("file", "block", "closes", "owner")
+    heads = lines.join(known, ["file", "block"]).where(F.col("closes").isNull() | (F.col("at") <= F.col("closes")))
+    place = F.struct("block", "at", "value")
+    tails = heads.groupBy("file", F.col("owner").alias("block")).agg(_in_order(F.collect_list(place)).alias("tail"))
+
+    opened = blocks.select("file", "block", "inside", "closes")
+    body = lines.join(opened, ["file", "block"]).where(
+        (F.col("inside") == 0) | (F.col("at") > F.col("closes"))
+    )
+    within = Window.partitionBy("file", "block").orderBy("at")
+    pairs = F.coalesce(F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    body = body.withColumn("begins", (pairs % 2 == 0).cast("bigint"))
+    upto_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    body = body.withColumn("number", F.sum("begins").over(upto_here))
+    found = body.groupBy("file", "block", "number").agg(
+        _in_order(F.collect_list(F.struct("at", "value"))).alias("record")
+    )
+    last = F.max("number").over(Window.partitionBy("file", "block"))
+    found = found.withColumn("last", last).join(tails, ["file", "block"], "left")
+    whole = F.when(F.col("number") == F.col("last"), F.concat_ws("\n", "record", "tail")).otherwise(F.col("record"))
+    return found.select("file", "block", "number", whole.alias("record"))
+
+
+def _largest_file(spark: SparkSession, path: str) -> int:
+    files = spark.read.format("binaryFile").load(path)
+    return files.agg(F.max("length")).first()[0] or 0
+
+
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, dialect: DelimitedText = DelimitedText()
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    dialect: DelimitedText = DelimitedText(),
+    split: bool | None = None,
 ) -> DataFrame:
     """Read the format into ``schema``. A value that is not of its column's type raises.
 
     Values may be quoted only where they need it: a cell without characters is an empty text,
-    quoted or not, and only the marker is NULL.
+    quoted or not, and only the marker is NULL. Empty lines between records are passed over.
+
+    Files whose values hold line ends are read by one task each, unless ``split`` cuts them into blocks
+    (:func:`records`), at the price of a shuffle of their lines. By default they are cut if one is larger than
+    ``spark.sql.files.maxPartitionBytes``.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    lines = (
-        spark.read.schema(as_text)
-        .options(
-            sep=dialect.separator,
-            quote=dialect.quote,
-            escape=dialect.quote,
-            nullValue="",
-            emptyValue="",
-            lineSep="\n",
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-            multiLine=dialect.multiline,
-            mode="FAILFAST",
-        )
-        .csv(path)
+    options = dict(
+        sep=dialect.separator, quote=dialect.quote, escape=dialect.quote, nullValue="", emptyValue="",
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", mode="FAILFAST",
     )
+    if split is None:
+        most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        split = dialect.multiline and _largest_file(spark, path) > most
+    if split and dialect.multiline:
+        whole = records(spark, path, dialect.quote).where("record <> ''")
+        row = F.from_csv("record", ", ".join(f"{quoted(n)} string" for n in schema.fieldNames()), options)
+        lines = whole.select(row.alias("row")).select("row.*")
+    else:
+        lines = spark.read.schema(as_text).options(lineSep="\n", multiLine=dialect.multiline, **options).csv(path)
 
     def cell(name: str) -> Column:
         value = F.coalesce(F.col(quoted(name)), F.lit(""))

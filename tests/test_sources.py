@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -224,3 +226,55 @@ def test_tables_of_a_folder_are_counted_by_one_scan(spark, tmp_path):
     (tmp_path / "a b" / "file.parquet").write_bytes(file.read_bytes())
     expected = {"plain": 5, "with space": 3, "a+b": 2, "none": 0, "parts": 6, "file": 4}
     assert tables.count_together(tables.table_names()) == expected
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are cut every few bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def quoted_cells():
+    rnd = random.Random(8)
+    parts = ["a", '"', '""', "\n", "\n\n", ";", "\r\n", "\\", "é", "", " ", "word", '";"', '"\n"', "\\N"]
+    cell = lambda: None if rnd.random() < 0.2 else "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9)))
+    found = [(i, cell(), cell()) for i in range(400)]
+    found[100] = (100, "x" * 70 + "\n" + "y\n" * 120 + '"', "end")  # over more than three blocks
+    found[101] = (101, "\n" * 300, None)
+    found[102] = (102, "z" * 1000, "\n")
+    return found
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_quoted_line_ends_across_blocks(spark, small_blocks, tmp_path, files):
+    df = spark.createDataFrame(quoted_cells(), "i int, a string, b string").repartition(files)
+    used = write_delimited(df, str(tmp_path / "t"))
+    assert used.multiline
+    path = str(tmp_path / "t")
+    assert spark.read.text(path).rdd.getNumPartitions() > 20
+    got = read_delimited(spark, path, df.schema, used)
+    assert sorted(map(tuple, got.collect())) == sorted(quoted_cells(), key=lambda r: r[0])
+    assert sorted(map(tuple, read_delimited(spark, path, df.schema, used, split=False).collect())) == quoted_cells()
+
+
+def test_split_text_in_one_block_and_empty_text(spark, tmp_path):
+    df = spark.createDataFrame(quoted_cells(), "i int, a string, b string").coalesce(1)
+    used = write_delimited(df, str(tmp_path / "t"))
+    assert rows(read_delimited(spark, str(tmp_path / "t"), df.schema, used, split=True).select("i")) == rows(df.select("i"))
+    (tmp_path / "empty.csv").write_text("")
+    assert read_delimited(spark, str(tmp_path / "empty.csv"), df.schema, used, split=True).count() == 0
+    (tmp_path / "gaps.csv").write_text('1;"a\n\nb";c\n\n\n2;"";\\N\n3;x;"y"')
+    for split in (True, False):
+        got = read_delimited(spark, str(tmp_path / "gaps.csv"), df.schema, split=split)
+        assert rows(got.fillna("null")) == [(1, "a\n\nb", "c"), (2, "", "null"), (3, "x", "y")]
+
+
+def test_a_bad_record_of_split_text_raises(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text('"1";"a\nb"\n"x";"c"\n')
+    shape = spark.createDataFrame([], "i int, s string").schema
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        read_delimited(spark, str(tmp_path / "bad.csv"), shape, split=True).collect()
