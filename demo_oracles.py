@@ -137,6 +137,7 @@ ORACLES = {
         "from events"
     ),
     "q_paged_scan_joined": _page_tags(),
+    "q_paged_scan_composite": "select l_orderkey, l_linenumber, 1 as hits, true as is_even from lineitem",
     "q_page_bounds": _pages("orders", "o_orderkey", 4000, 3),
     "q_page_bounds_repeated": _pages("lineitem", "l_orderkey", 10000, 4),
     "q_page_bounds_text": _pages("customer", "c_name", 400, 3),

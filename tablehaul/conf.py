@@ -12,7 +12,9 @@ class JobConf:
 
     ``fetchsize`` and ``batchsize`` are rows per JDBC round trip, ``page_size`` rows per page of a
     keyed read. ``table_parallelism`` tables are moved at a time, each read by
-    ``read_parallelism`` connections and written by ``write_parallelism``.
+    ``read_parallelism`` connections and written by ``write_parallelism``. A table of more than
+    ``rows_per_task`` rows for each of these readers gets more tasks, which the cluster's cores take one after the
+    other; ``max_connections`` merges them to so many.
     ``length_unit`` says whether a VARCHAR length counts characters or bytes.
     ``cluster_by`` maps a table to the columns its files are sorted by.
     """
@@ -23,6 +25,8 @@ class JobConf:
     table_parallelism: int = 4
     read_parallelism: int = 4
     write_parallelism: int = 4
+    rows_per_task: int | None = 5_000_000
+    max_connections: int | None = None
     length_unit: str = "char"
     cluster_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
@@ -31,5 +35,8 @@ class JobConf:
                      "read_parallelism", "write_parallelism"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
+        for name in ("rows_per_task", "max_connections"):
+            if getattr(self, name) is not None and getattr(self, name) < 1:
+                raise ValueError(f"{name} must be at least 1 or None")
         if self.length_unit not in ("char", "byte"):
             raise ValueError("length_unit must be 'char' or 'byte'")

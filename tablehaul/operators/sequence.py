@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,11 +20,16 @@ OUTCOME_SCHEMA = (
     "next_value bigint, is_success string"
 )
 
+_log = logging.getLogger(__name__)
+
+
+def _after(largest: int | None, start: int | None) -> int:
+    return max((largest or 0) + 1, start if start is not None else 1)
+
 
 def next_value(existing: DataFrame, key: str, start: int | None = None) -> int:
     """The first free number: after the largest key in use, and not below ``start``."""
-    largest = existing.agg(F.max(quoted(key)).cast("bigint")).first()[0] or 0
-    return max(largest + 1, start if start is not None else 1)
+    return _after(existing.agg(F.max(quoted(key)).cast("bigint")).first()[0], start)
 
 
 def append_with_sequence(
@@ -53,13 +59,15 @@ def append_with_sequence(
 def sequence_starts(target: TableSet, auto_columns: Sequence[AutoColumn]) -> DataFrame:
     """``(table_name, column_name, sequence_name, next_value, is_success)`` of each sequence.
 
-    A sequence fails when its table or column is not in the target.
+    A sequence fails when its table or column is not in the target. A database is asked for its largest
+    value; no rows come from it.
     """
     rows = []
     for auto in auto_columns:
         try:
-            found = next_value(target.read(auto.table), auto.column, auto.next_value)
+            found = _after(target.largest(auto.table, auto.column), auto.next_value)
             rows.append((auto.table, auto.column, auto.sequence_name, found, "Y"))
-        except Exception:
+        except Exception as error:
+            _log.error("the start of %s failed: %s", auto.sequence_name, error)
             rows.append((auto.table, auto.column, auto.sequence_name, None, "N"))
     return small_frame(target.spark, rows, OUTCOME_SCHEMA)

@@ -5,20 +5,34 @@ from __future__ import annotations
 import datetime
 import decimal
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.conf import JobConf
-from tablehaul.functions.keys import AutoColumn, Constraint
+from tablehaul.functions.keys import FOREIGN, PRIMARY, UNIQUE, AutoColumn, Constraint
 from tablehaul.functions.types import ColumnSpec
 from tablehaul.operators.checks import constraints_from_catalog
 from tablehaul.operators.paging import shard_bounds
+from tablehaul.shared import stage, unstage
+from tablehaul.sources.keysets import (
+    Key,
+    keyset_predicates,
+    numbered_starts_sql,
+    places,
+    probe_sql,
+    probed_starts,
+)
 from tablehaul.sources.tables import REJECTED_SUFFIX, TableSet
 
-_WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+#: Of the table that a load fills before its rows are published.
+LOADING_SUFFIX = "__loading"
+PLACE = "load_place"
 
 
 @dataclass(frozen=True)
@@ -28,7 +42,7 @@ class Dialect:
     ``session`` runs on every reading connection and ``properties`` go to the driver. Without
     ``columns_sql`` the columns are those that Spark sees, and without ``indexes_sql`` no keys are
     known. ``has_ntile`` is off for servers without window functions, ``lower_names`` on for
-    those that fold unquoted names.
+    those that fold unquoted names. ``long_type`` is what a cast calls 64-bit numbers.
     """
 
     quote: str
@@ -42,6 +56,7 @@ class Dialect:
     auto_columns_sql: str = ""
     session: str = ""
     has_ntile: bool = True
+    long_type: str = "BIGINT"
     lower_names: bool = False
     backslash_escapes: bool = False
     properties: Mapping[str, str] = field(default_factory=dict)
@@ -88,9 +103,12 @@ MYSQL = Dialect(
         "WHERE table_schema = DATABASE() AND table_name = {table}"
     ),
     key_sql=(
-        "SELECT column_name AS column_name, column_key AS column_key, extra AS extra "
-        "FROM information_schema.columns "
-        "WHERE table_schema = DATABASE() AND table_name = {table}"
+        "SELECT c.column_name AS column_name, c.column_key AS column_key, c.extra AS extra, "
+        "k.ordinal_position AS position FROM information_schema.columns c "
+        "LEFT JOIN information_schema.key_column_usage k ON k.table_schema = c.table_schema "
+        "AND k.table_name = c.table_name AND k.column_name = c.column_name "
+        "AND k.constraint_name = 'PRIMARY' "
+        "WHERE c.table_schema = DATABASE() AND c.table_name = {table}"
     ),
     indexes_sql=(
         "SELECT table_name AS table_name, index_name AS index_name, non_unique AS non_unique, "
@@ -117,6 +135,7 @@ MYSQL = Dialect(
         "WHERE c.table_schema = DATABASE() AND c.extra LIKE '%auto_increment%'"
     ),
     backslash_escapes=True,
+    long_type="SIGNED",
     properties={"tinyInt1isBit": "false"},
 )
 
@@ -133,7 +152,8 @@ POSTGRESQL = Dialect(
         "FROM information_schema.views WHERE table_schema = current_schema()"
     ),
     key_sql=(
-        "SELECT k.column_name AS column_name, 'PRI' AS column_key, '' AS extra "
+        "SELECT k.column_name AS column_name, 'PRI' AS column_key, '' AS extra, "
+        "k.ordinal_position AS position "
         "FROM information_schema.table_constraints c "
         "JOIN information_schema.key_column_usage k ON k.constraint_name = c.constraint_name "
         "AND k.table_schema = c.table_schema AND k.table_name = c.table_name "
@@ -146,25 +166,20 @@ POSTGRESQL = Dialect(
 
 
 def shard_predicates(key: str, starts: Sequence[Any], dialect: Dialect) -> list[str]:
-    """Half-open ranges of a key that hold every row exactly once.
+    """:func:`keyset_predicates` of a key of one column. ``starts`` are the lowest keys of the shards."""
+    return keyset_predicates([key], [(s,) for s in starts], dialect)
 
-    ``starts`` are the lowest keys of the shards. The first range has no lower end and takes NULL
-    keys, the last has no upper end, and equal starts make one range.
-    """
-    name, literal = dialect.name(key), dialect.literal
-    edges = list(dict.fromkeys(s for s in starts[1:] if s is not None))
-    if not edges:
-        return ["1 = 1"]
-    ranges = [f"{name} < {literal(edges[0])} OR {name} IS NULL"]
-    for low, high in zip(edges, edges[1:]):
-        ranges.append(f"{name} >= {literal(low)} AND {name} < {literal(high)}")
-    ranges.append(f"{name} >= {literal(edges[-1])}")
-    return ranges
 
+def reading_shards(
+    rows: int, page_size: int, parallelism: int, rows_per_task: int | None = None
+) -> int:
+    """How many tasks read a table: ``parallelism`` or, of a large one, as many as its rows ask for.
 
-def reading_shards(rows: int, page_size: int, parallelism: int) -> int:
-    """How many connections read a table: no more than it has pages."""
-    return max(1, min(parallelism, -(-rows // page_size)))
+    No more than it has pages.
+    """
+    pages = -(-rows // page_size)
+    wanted = max(parallelism, -(-rows // rows_per_task)) if rows_per_task else parallelism
+    return max(1, min(wanted, pages))
 
 
 def shard_start_sql(table: str, key: str, shards: int, dialect: Dialect) -> str:
@@ -189,6 +204,52 @@ def paging_key(keys: Sequence[Mapping[str, str]]) -> str | None:
     return auto[0] if auto else None
 
 
+def paging_keys(keys: Sequence[Mapping[str, Any]]) -> tuple[str, ...]:
+    """The columns to page by: :func:`paging_key`, else all columns of the primary key in its order."""
+    single = paging_key(keys)
+    if single is not None:
+        return (single,)
+    primary = [k for k in keys if k["column_key"] == "PRI"]
+    return tuple(k["column_name"] for k in sorted(primary, key=lambda k: int(k.get("position") or 0)))
+
+
+def violations_sql(constraint: Constraint, dialect: Dialect) -> str | None:
+    """A query that counts a key's violations in the database itself, as :func:`run_checks` counts them."""
+    name = dialect.name
+    cols, table = [name(c) for c in constraint.columns], name(constraint.table)
+    named = ", ".join(cols)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    if constraint.kind == PRIMARY:
+        holds = f"GROUP BY {named} HAVING COUNT(*) > 1 OR NOT ({known})"
+        return f"SELECT COUNT(*) AS n FROM (SELECT {named} FROM {table} {holds}) t"
+    if constraint.kind == UNIQUE:
+        holds = f"WHERE {known} GROUP BY {named} HAVING COUNT(*) > 1"
+        return f"SELECT COUNT(*) AS n FROM (SELECT {named} FROM {table} {holds}) t"
+    if constraint.kind == FOREIGN:
+        known = " AND ".join(f"c.{c} IS NOT NULL" for c in cols)
+        pairs = zip(constraint.parent_columns, cols, strict=True)
+        same = " AND ".join(f"p.{name(p)} = c.{c}" for p, c in pairs)
+        return (
+            f"SELECT COUNT(*) AS n FROM {table} c WHERE {known} "
+            f"AND NOT EXISTS (SELECT 1 FROM {name(constraint.parent)} p WHERE {same})"
+        )
+    return None
+
+
+def publish_sql(table: str, staging: str, columns: Sequence[str], repeated: bool, dialect: Dialect) -> list[str]:
+    """The statements of the transaction that makes the staged rows the table's.
+
+    A task that ran twice has left its rows twice, each with its place; ``repeated`` says that some have.
+    """
+    named = ", ".join(dialect.name(c) for c in columns)
+    staged, place = dialect.name(staging), dialect.name(PLACE)
+    rows = f"(SELECT DISTINCT {place}, {named} FROM {staged}) s" if repeated else staged
+    return [
+        f"DELETE FROM {dialect.name(table)}",
+        f"INSERT INTO {dialect.name(table)} ({named}) SELECT {named} FROM {rows}",
+    ]
+
+
 class JdbcTables(TableSet):
     """A database schema. ``properties`` holds user, password and driver and is never shown."""
 
@@ -233,7 +294,7 @@ class JdbcTables(TableSet):
     def all_names(self) -> list[str]:
         if self._names is None:
             self._names = sorted(r[0] for r in self.query(self.dialect.tables_sql).collect())
-        return [n for n in self._names if not n.endswith(REJECTED_SUFFIX)]
+        return [n for n in self._names if not n.endswith((REJECTED_SUFFIX, LOADING_SUFFIX))]
 
     def spelled(self, table: str) -> str:
         name = super().spelled(table)
@@ -313,34 +374,139 @@ class JdbcTables(TableSet):
         starts = [r.lo for r in self.query(sql).orderBy("shard").collect()]
         return self._read_ranges(table, shard_predicates(key, starts, self.dialect))
 
+    def _side_by_side(self, queries: Sequence[str], most: int) -> list[Key | None]:
+        """The first row of each query, ``most`` connections at a time."""
+
+        def first(sql: str) -> Key | None:
+            row = self.query(sql).first()
+            return None if row is None else tuple(row)
+
+        with ThreadPoolExecutor(max_workers=max(1, min(most, len(queries)))) as pool:
+            return list(pool.map(inheritable_thread_target(self.spark)(first), queries))
+
+    def shard_starts(self, table: str, keys: Sequence[str], rows: int, shards: int, most: int = 4) -> list[Key]:
+        """The lowest keys of equal parts of a table but for the first, as the database orders them."""
+        if self.dialect.has_ntile:
+            sql = numbered_starts_sql(table, keys, places(rows, shards)[1:], self.dialect)
+            found = sorted(self.query(sql).collect(), key=lambda r: r[-1]) if shards > 1 else []
+            return [tuple(r)[:-1] for r in found]
+
+        def ask(probes: list[tuple[Key | None, int]]) -> list[Key | None]:
+            return self._side_by_side(
+                [probe_sql(table, keys, low, skip, self.dialect) for low, skip in probes], most
+            )
+
+        return probed_starts(ask, rows, shards)
+
+    def _read_keysets(self, table: str, keys: Sequence[str], rows: int, parts: int, conf: JobConf) -> DataFrame:
+        starts = self.shard_starts(table, keys, rows, parts, conf.read_parallelism)
+        df = self._read_ranges(table, keyset_predicates(keys, [(None,), *starts], self.dialect))
+        return df.coalesce(conf.max_connections) if conf.max_connections else df
+
     def scan(self, table: str, conf: JobConf) -> DataFrame:
         """The table in ranges of its paging key, or whole without a key or with a single page.
 
-        The database is asked for ranges of equal row counts. Where it cannot tell, a whole-number
-        key is cut into equal widths and any other table is read by one connection.
+        A key may have several columns. The database is asked for ranges of equal row counts: a server that
+        numbers rows answers one query, any other is probed along its index.
         """
         table = self.resolve(table)
-        keys = self.query(self.dialect.key_sql.format(table=self.dialect.literal(table))).collect()
-        key = paging_key([k.asDict() for k in keys])
-        if key is None or conf.read_parallelism == 1:
+        found = self.query(self.dialect.key_sql.format(table=self.dialect.literal(table))).collect()
+        keys = paging_keys([k.asDict() for k in found])
+        if not keys or conf.read_parallelism == 1:
             return self._frame(table)
         rows = self.count_frame(table).first()[0]
-        parts = reading_shards(rows, conf.page_size, conf.read_parallelism)
+        parts = reading_shards(rows, conf.page_size, conf.read_parallelism, conf.rows_per_task)
         if parts == 1:
             return self._frame(table)
-        if self.dialect.has_ntile:
-            return self._read_shards(table, key, parts)
-        if isinstance(self._frame(table).schema[key].dataType, _WHOLE_NUMBERS):
-            return self._read_equal_ranges(table, key, parts)
-        return self._frame(table)
+        if self.dialect.has_ntile and len(keys) == 1:
+            df = self._read_shards(table, keys[0], parts)
+            return df.coalesce(conf.max_connections) if conf.max_connections else df
+        return self._read_keysets(table, keys, rows, parts, conf)
+
+    def largest(self, table: str, column: str) -> int | None:
+        """The database's own answer, mostly from an index."""
+        name = self.dialect.name
+        found = self.query(f"SELECT MAX({name(column)}) AS largest FROM {name(self.resolve(table))}")
+        return found.select(F.col("largest").cast("bigint")).first()[0]
+
+    def count_violations(self, constraint: Constraint) -> int | None:
+        own = replace(constraint, table=self.resolve(constraint.table))
+        if own.parent:
+            own = replace(own, parent=self.resolve(own.parent))
+        sql = violations_sql(own, self.dialect)
+        return None if sql is None else int(self.query(sql).first()[0])
 
     def count_frame(self, name: str) -> DataFrame:
         name = self.dialect.name(name)
         return self.query(f"SELECT COUNT(*) AS {self.dialect.name('rows')} FROM {name}")
 
+    def execute(self, statements: Sequence[str]) -> None:
+        """Run statements in one transaction, by one connection of the driver."""
+        jvm = self.spark._jvm
+        if "driver" in self._properties:
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(
+                self._properties["driver"]
+            )
+        login = jvm.java.util.Properties()
+        for key, value in {**self.dialect.properties, **self._properties}.items():
+            login.setProperty(key, str(value))
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, login)
+        try:
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            for sql in statements:
+                statement.executeUpdate(sql)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()
+
+    def _exists(self, table: str) -> bool:
+        self.all_names()
+        return table in (self._names or ())
+
+    def _append(self, df: DataFrame, table: str, conf: JobConf) -> None:
+        options = self.write_options(conf.batchsize, conf.write_parallelism)
+        (
+            df.write.format("jdbc").options(**options)
+            .option("dbtable", self.dialect.name(table)).mode("append").save()
+        )
+
     def replace(self, table: str, df: DataFrame, conf: JobConf = JobConf()) -> None:
-        write_jdbc(df, self, self.spelled(table), conf.batchsize, conf.write_parallelism)
+        """Make ``df`` the whole table, all of it or none.
+
+        The rows are staged with their place, so that a task that runs again writes the same rows with the
+        same places, and go to a table next to the target, each connection committing by itself. Only if
+        every place has arrived are they published: one transaction empties the target and fills it
+        from there, each place once. A load that fails before leaves the target as it was.
+        """
+        table = self.spelled(table)
+        loading = table + LOADING_SUFFIX
+        name, place = self.dialect.name, self.dialect.name(PLACE)
+        staged = stage(df.withColumn(PLACE, F.monotonically_increasing_id()), "loading")
+        expected = staged.count()
+        if not self._exists(table):
+            write_jdbc(staged.drop(PLACE).limit(0), self, table, conf.batchsize, 1)
+        drop = [f"DROP TABLE {name(loading)}"]
+        if self._exists(loading):
+            self.execute(drop)
+        none = f"SELECT t.*, CAST(0 AS {self.dialect.long_type}) AS {place} FROM {name(table)} t WHERE 1 = 0"
+        self.execute([f"CREATE TABLE {name(loading)} AS {none}"])
         self._names = None
+        try:
+            self._append(staged, loading, conf)
+            counts = self.query(
+                f"SELECT COUNT(*) AS held, COUNT(DISTINCT {place}) AS arrived FROM {name(loading)}"
+            ).first()
+            if counts.arrived != expected:
+                raise OSError(f"{counts.arrived} of {expected} rows arrived for {table}")
+            self.execute(publish_sql(table, loading, df.columns, counts.held > expected, self.dialect))
+        finally:
+            self.execute(drop)
+            unstage(staged)
+            self._names = None
 
     def keep_rejected(self, table: str, df: DataFrame) -> None:
         write_jdbc(
@@ -395,12 +561,13 @@ def column_record(row: Mapping[str, Any]) -> ColumnSpec:
 
 
 def read_partitioned(
-    source: TableSet, table: str, key: str, bounds: DataFrame | None = None
+    source: TableSet, table: str, key: str | Sequence[str], bounds: DataFrame | None = None
 ) -> DataFrame:
     """A parallel scan, one partition for each shard of ``bounds``.
 
     Over JDBC every shard becomes a predicate of its own connection; without bounds a numeric key
-    is cut into equal ranges. Text keys take only the number of shards from the bounds: a
+    is cut into equal ranges. A key of several columns, which must hold no NULL, is cut by the database
+    into parts of equal row counts. Text keys take only the number of shards from the bounds: a
     database may order them otherwise than Spark does, so it finds the ranges itself, and where
     it cannot, the table is read whole. Tables that Spark stores are already split by file block, so they
     are read whole and the bounds do not matter.
@@ -408,6 +575,11 @@ def read_partitioned(
     if not isinstance(source, JdbcTables):
         return source.read(table)
     table = source.resolve(table)
+    if not isinstance(key, str):
+        conf = source.conf
+        rows = source.count_frame(table).first()[0]
+        parts = reading_shards(rows, conf.page_size, conf.read_parallelism, conf.rows_per_task)
+        return source._read_keysets(table, key, rows, parts, conf)
     if bounds is None:
         return source._read_equal_ranges(table, key, source.conf.read_parallelism)
     starts = [lo for lo, _, _ in shard_bounds(bounds)]
@@ -423,7 +595,7 @@ def write_jdbc(df: DataFrame, target: JdbcTables, table: str, batch: int, parall
 
     Spark merges partitions down to that number and shuffles nothing. Each connection commits by
     itself. A failed load leaves the table part-filled and is to be
-    repeated; it starts by emptying the table.
+    repeated; it starts by emptying the table. ``JdbcTables.replace`` publishes all rows or none.
     """
     (
         df.write.format("jdbc")

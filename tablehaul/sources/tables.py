@@ -99,6 +99,14 @@ class TableSet(ABC):
         """The sizes of several tables from one scan, or None if this set has no such scan."""
         return None
 
+    def largest(self, table: str, column: str) -> int | None:
+        """The largest value of a whole-number column; None without one."""
+        return self.read(table).agg(F.max(quoted(column)).cast("bigint")).first()[0]
+
+    def count_violations(self, constraint: Constraint) -> int | None:
+        """A key's violations, if this set counts them itself; otherwise None."""
+        return None
+
     def size_hint(self, table: str) -> int:
         """Bytes of the table if they are known, to begin large tables first."""
         return 0

@@ -9,23 +9,32 @@ from pyspark.sql import functions as F
 
 from tablehaul import (
     MYSQL,
+    MYSQL_57,
     POSTGRESQL,
     AutoColumn,
     ColumnSpec,
     JdbcTables,
     JobConf,
+    Constraint,
+    FrameTables,
     page_bounds,
     read_partitioned,
     register_views,
+    run_checks,
+    sequence_starts,
 )
 from tablehaul.operators.paging import shard_bounds
+from tablehaul.sources import jdbc
 from tablehaul.sources.jdbc import (
+    PLACE,
     column_record,
     paging_key,
+    paging_keys,
     reading_shards,
     shard_predicates,
     shard_start_sql,
 )
+from tablehaul.sources.keysets import keyset_predicates, places, probed_starts
 
 
 def _each_row_once(df, predicates):
@@ -106,6 +115,21 @@ def test_small_tables_use_few_connections(rows, shards):
     assert reading_shards(rows, 100, 4) == shards
 
 
+def test_large_tables_get_as_many_tasks_as_their_rows_ask_for():
+    assert reading_shards(10**9, 5000, 4, 5_000_000) == 200
+    assert reading_shards(10**6, 5000, 4, 5_000_000) == 4
+    assert reading_shards(9, 5, 4, 1) == 2
+    with pytest.raises(ValueError, match="max_connections"):
+        JobConf(max_connections=0)
+
+
+def test_paging_keys_of_several_columns_are_in_the_keys_own_order():
+    keys = [{**_key("a", "PRI"), "position": Decimal(2)}, {**_key("b", "PRI"), "position": 1}, _key("c")]
+    assert paging_keys(keys) == ("b", "a")
+    assert paging_keys([*keys, _key("n", "UNI", "auto_increment")]) == ("n",)
+    assert paging_keys([_key("id", "PRI")]) == ("id",) and paging_keys([_key("a")]) == ()
+
+
 def test_column_record():
     row = {
         "column_name": "n", "data_type": "int", "character_maximum_length": None,
@@ -222,3 +246,154 @@ def test_options_and_secrets(spark):
         "99", "3", "true",
     )
     assert not tables.reads_repeat()
+
+
+class Served(JdbcTables):
+    """A database whose queries Spark answers over given frames, and whose statements change these."""
+
+    def __init__(self, spark, frames, dialect, conf=JobConf()):
+        super().__init__(spark, "", {}, dialect, "shop", conf)
+        self.frames = frames
+        self.log = []
+
+    def query(self, sql):
+        self.log.append(sql)
+        if "information_schema" in sql:
+            return self.spark.createDataFrame(self.keys, "column_name string, column_key string, extra string, position int")
+        for name, frame in self.frames.items():
+            frame.createOrReplaceTempView(name)
+        return self.spark.sql(sql.replace(self.dialect.quote, "`"))
+
+    def all_names(self):
+        self._names = sorted(self.frames)
+        return [n for n in self._names if not n.endswith(jdbc.LOADING_SUFFIX)]
+
+    def _frame(self, name):
+        return self.frames[name]
+
+    def _read_ranges(self, table, predicates):
+        frame = self.frames[table]
+        parts = [frame.where(p.replace(self.dialect.quote, "`")).withColumn("shard", F.lit(i)) for i, p in enumerate(predicates)]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionAll(part)
+        return whole
+
+    def execute(self, statements):
+        after = dict(self.frames)
+        for sql in statements:
+            self.log.append(sql)
+            words = sql.replace(self.dialect.quote, " ").replace("(", " ( ").split()
+            if words[0] == "DROP":
+                after.pop(words[2])
+            elif words[0] == "DELETE":
+                after[words[2]] = after[words[2]].limit(0)
+            elif words[0] == "CREATE":
+                after[words[2]] = self.query(sql[sql.index("SELECT") :].replace("AS SIGNED", "AS BIGINT"))
+            else:
+                shape = after[words[2]].schema
+                after[words[2]] = self.spark.createDataFrame(self.query(sql[sql.index("SELECT") :]).collect(), shape)
+        self.frames = after
+
+    def _append(self, df, table, conf):
+        again = df.where(F.spark_partition_id() == 1) if self.repeats else df.limit(0)
+        lost = df.where(F.spark_partition_id() != self.loses)
+        self.frames[table] = self.spark.createDataFrame(lost.unionAll(again).collect(), df.schema)
+
+    repeats, loses = False, -1
+
+
+@pytest.mark.parametrize("dialect", [MYSQL, MYSQL_57, POSTGRESQL], ids=["mysql", "mysql57", "postgresql"])
+@pytest.mark.parametrize("shards", [2, 7, 16])
+def test_keys_of_several_columns_are_cut_evenly(spark, dialect, shards):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").dropDuplicates(["l_orderkey", "l_linenumber"])
+    tables = Served(spark, {"lineitem": lines}, dialect, JobConf(page_size=1, read_parallelism=shards))
+    tables.keys = [("l_linenumber", "PRI", "", 2), ("l_orderkey", "PRI", "", 1)]
+    found = tables.scan("lineitem", tables.conf)
+    sizes = [r["count"] for r in found.groupBy("shard").count().collect()]
+    assert len(sizes) == shards and max(sizes) - min(sizes) <= 1 and sum(sizes) == lines.count()
+    assert found.select("l_orderkey", "l_linenumber").distinct().count() == lines.count()
+    probes = [q for q in tables.log if "OFFSET" in q]
+    assert len(probes) == (0 if dialect.has_ntile else shards - 1)
+
+
+def test_keys_of_dates_texts_and_repeated_values(spark):
+    rows = [(datetime.date(2020, 1, 1 + i % 3), "x'" * (i % 5), i % 2) for i in range(300)]
+    frame = spark.createDataFrame(rows, "d date, s string, n int")
+    tables = Served(spark, {"t": frame}, MYSQL_57, JobConf(page_size=1, read_parallelism=8))
+    found = read_partitioned(tables, "t", ["d", "s", "n"])
+    assert found.count() == 300 and found.select("shard").distinct().count() > 4
+    assert found.groupBy("d", "s", "n").agg(F.count_distinct("shard").alias("n2")).where("n2 > 1").count() == 0
+
+
+def test_probes_of_a_table_that_shrinks():
+    keys = list(range(50))  # of 100 rows that were counted
+
+    def ask(probes):
+        at = [(0 if low is None else keys.index(low[0])) + skip for low, skip in probes]
+        return [(keys[i],) if i < len(keys) else None for i in at]
+
+    starts = [s[0] for s in probed_starts(ask, 100, 10)]
+    assert starts == [10, 20, 30, 40] and places(100, 4) == [0, 25, 50, 75]
+    assert probed_starts(ask, 0, 1) == []
+    assert keyset_predicates(["a", "b"], [(None,), (1, None)], MYSQL) == ["1 = 1"]
+
+
+@pytest.fixture
+def loads(spark, monkeypatch):
+    def create(df, target, table, batch, parallelism):
+        target.frames[table] = df
+
+    monkeypatch.setattr(jdbc, "write_jdbc", create)
+    old = spark.createDataFrame([(0, "old")], "id int, s string")
+    return Served(spark, {"t": old}, POSTGRESQL), spark.range(0, 40, 1, 4).selectExpr("cast(id as int) id", "concat('r', id) s")
+
+
+def test_a_load_is_published_whole(loads):
+    tables, new = loads
+    for name in ("T", "fresh"):
+        tables.replace(name, new)
+        assert sorted(map(tuple, tables.frames[name.lower()].collect())) == sorted(map(tuple, new.collect()))
+    assert sorted(tables.frames) == ["fresh", "t"] and not any("DISTINCT \"load_place\", \"id\"" in q for q in tables.log)
+    at = [q.split(" ")[0] for q in tables.log if q.split(" ")[0] in ("CREATE", "DELETE", "INSERT", "DROP")]
+    assert at == ["CREATE", "DELETE", "INSERT", "DROP"] * 2
+
+
+def test_a_task_that_ran_twice_counts_once(loads):
+    tables, new = loads
+    tables.repeats = True
+    tables.replace("t", new)
+    assert sorted(map(tuple, tables.frames["t"].collect())) == sorted(map(tuple, new.collect()))
+    assert any(f"DISTINCT \"{PLACE}\", \"id\"" in q for q in tables.log)
+
+
+def test_a_load_that_lost_rows_leaves_the_old_table(loads):
+    tables, new = loads
+    tables.loses = 2
+    with pytest.raises(OSError, match="of 40 rows arrived"):
+        tables.replace("t", new)
+    assert [tuple(r) for r in tables.frames["t"].collect()] == [(0, "old")] and sorted(tables.frames) == ["t"]
+    tables.loses = -1
+    tables.replace("t", new.limit(0))
+    assert tables.frames["t"].count() == 0
+
+
+def test_keys_and_largest_values_are_the_databases_own_work(spark):
+    rows = [(1, "a", 10), (1, "b", 11), (2, "a", 99), (None, "a", None), (3, None, 10), (3, None, 10)]
+    frames = {
+        "child": spark.createDataFrame(rows, "id int, s string, parent int"),
+        "parent": spark.createDataFrame([(10,), (11,)], "id int"),
+    }
+    checks = [
+        Constraint("primary key", "CHILD", "p1", ("id",)), Constraint("primary key", "child", "p2", ("id", "s")),
+        Constraint("unique", "child", "u1", ("id",)), Constraint("unique", "child", "u2", ("s", "id")),
+        Constraint("foreign key", "child", "f1", ("parent",), "Parent", ("id",)), Constraint("index", "child", "i1", ("s",)),
+        Constraint("unique", "child", "bad", ("nothing",)),
+    ]
+    served = Served(spark, frames, POSTGRESQL)
+    plain = FrameTables(spark, "shop", frames)
+    got, want = (sorted(map(tuple, run_checks(t, checks).collect())) for t in (served, plain))
+    assert got == want and len([q for q in served.log if "COUNT(*)" in q]) == 6
+    autos = [AutoColumn("child", "parent"), AutoColumn("child", "id", 50), AutoColumn("child", "s"), AutoColumn("x", "id")]
+    got, want = (sorted(map(tuple, sequence_starts(t, autos).collect())) for t in (served, plain))
+    assert got == want and got[1][3] == 100
