@@ -255,6 +255,8 @@ ORACLES = {
     "q_data_only": "select * from supplier",
     "q_clustered": "select * from orders",
     "q_delimited_roundtrip": "select * from pages",
+    "q_clustered_curve": "select * from orders",
+    "q_view_chain": "select o_orderkey, o_totalprice from orders where o_totalprice > 100000",
     "q_delimited_split": "select * from documents",
     "q_diff_rows": """
         with theirs as (

@@ -343,6 +343,14 @@ def cluster(spark, sf_dir):
     return target.read("orders")
 
 
+def cluster_by_curve(spark, sf_dir):
+    """One layout for filters on either of two columns."""
+    target = scratch(spark, "curve")
+    orders = source_of(spark, sf_dir).read("orders")
+    write_clustered(orders, target, "orders", ["o_custkey", "o_orderdate"], files=16, curve=True)
+    return target.read("orders")
+
+
 def _round_trip(spark, df):
     path = new_folder(spark, "delimited")
     return read_delimited(spark, path, df.schema, write_delimited(df, path))
@@ -475,6 +483,22 @@ def view(name, views=VIEWS):
     return query
 
 
+CHAIN = {
+    "v_top": "create view v_top as select * from v_fourth where o_totalprice > 100000",
+    "v_fourth": "create view v_fourth as select o_orderkey, o_totalprice from v_third",
+    "v_third": "create view v_third as select * from v_second where o_custkey in (select o_custkey from v_first)",
+    "v_second": "create view v_second as select f.* from v_first f join (select max(o_orderkey) as m from v_first) x",
+    "v_first": "create view v_first as select * from orders",
+}
+
+
+def view_chain(spark, sf_dir):
+    """Five views, each of which needs the next, listed from the last to the first."""
+    tables = source_of(spark, sf_dir)
+    register_views(tables, CHAIN)
+    return tables.read_view("v_top")
+
+
 def view_outcomes(spark, sf_dir):
     tables = source_of(spark, sf_dir)
     broken = {"view_broken": "CREATE VIEW `view_broken` AS select `x` from `nothing`"}
@@ -697,6 +721,7 @@ QUERIES = {
     "q_overwrite": overwrite,
     "q_data_only": data_only,
     "q_clustered": cluster,
+    "q_clustered_curve": cluster_by_curve,
     "q_delimited_roundtrip": delimited_pages,
     "q_delimited_split": delimited_split,
     "q_delimited_gaps": delimited_gaps,
@@ -713,6 +738,7 @@ QUERIES = {
     "q_view_filter": view("view_clean_documents"),
     "q_view_of_view": view("a_clean_per_lang", {**VIEW_OF_VIEW, **VIEWS}),
     "q_view_outcomes": view_outcomes,
+    "q_view_chain": view_chain,
     "q_view_qualified": qualified_view("view_big_orders"),
     "q_view_columns": qualified_view("view_names"),
     "q_conform_times": conform_times,

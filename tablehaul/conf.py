@@ -16,7 +16,9 @@ class JobConf:
     ``rows_per_task`` rows for each of these readers gets more tasks, which the cluster's cores take one after the
     other; ``max_connections`` merges them to so many.
     ``length_unit`` says whether a VARCHAR length counts characters or bytes.
-    ``cluster_by`` maps a table to the columns its files are sorted by.
+    ``cluster_by`` maps a table to the columns its files are sorted by, ``curve_by`` to the columns that
+    share its layout. A whole run lays a table out by its plain indexes if ``index_layout`` is on and
+    it has no layout yet.
     """
 
     fetchsize: int = 5000
@@ -29,6 +31,8 @@ class JobConf:
     max_connections: int | None = None
     length_unit: str = "char"
     cluster_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    curve_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    index_layout: bool = True
 
     def __post_init__(self) -> None:
         for name in ("fetchsize", "batchsize", "page_size", "table_parallelism",

@@ -92,6 +92,16 @@ def quantiles(df: DataFrame, code: Column, parts: int) -> list[float]:
     return _sketched(df, code, parts)[1]
 
 
+def range_of(code: Column, edges: Sequence[float], first: int = 0) -> Column:
+    """How many edges the code reaches, by halving."""
+    if not edges:
+        return F.lit(first)
+    middle = len(edges) // 2
+    below = range_of(code, edges[:middle], first)
+    above = range_of(code, edges[middle + 1 :], first + middle + 1)
+    return F.when(code < F.lit(edges[middle]), below).otherwise(above)
+
+
 def _bound(digit: Digit, low: float | None, high: float | None) -> Column:
     """The rows between two codes; for a whole-number column in words a file scan understands."""
     holds = F.lit(True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
 
@@ -19,6 +20,7 @@ _HEAD = re.compile(
 _CHECK = re.compile(r"(?i)\s+with\s+(?:(?:cascaded|local)\s+)?check\s+option\s*$")
 _CONVERT = re.compile(r"(?i)\bconvert\s*\(")
 _USING = re.compile(r"(?i)\s+using\s+\w+\s*$")
+_RELATION = re.compile(r"'UnresolvedRelation \[([^\]]*)\]")
 _LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'", re.DOTALL)
 
 
@@ -84,28 +86,66 @@ def _closing(plain: str, position: int) -> int:
     raise ValueError("unbalanced parentheses in view text")
 
 
+def tables_named(target: TableSet, body: str) -> set[str]:
+    """The tables and views a SELECT names, in lower case, as Spark's parser finds them."""
+    parser = target.spark._jsparkSession.sessionState().sqlParser()
+    found = _RELATION.findall(parser.parsePlan(body).treeString())
+    return {parts.split(", ")[-1].lower() for parts in found}
+
+
+def needed_views(target: TableSet, bodies: Mapping[str, str]) -> dict[str, set[str]]:
+    """For each view the others it names. A text that Spark cannot parse names none."""
+    spelled = {name.lower(): name for name in bodies}
+    tables = {t.lower() for t in target.table_names()}
+    needs = {}
+    for name, body in bodies.items():
+        try:
+            named = tables_named(target, body)
+        except Exception:
+            named = set()
+        needs[name] = {spelled[n] for n in named & spelled.keys() if n != name.lower() or n not in tables}
+    return needs
+
+
+def _in_circles(needs: Mapping[str, set[str]]) -> dict[str, list[str]]:
+    """For each view that needs itself in the end, the views of its circle."""
+    reach = {}
+    for name in needs:
+        seen, open_ones = set(), set(needs[name])
+        while open_ones:
+            seen |= open_ones
+            open_ones = set().union(*(needs[n] for n in open_ones)) - seen
+        reach[name] = seen
+    return {n: sorted(m for m in reach[n] if n in reach[m]) for n in needs if n in reach[n]}
+
+
 def register_views(target: TableSet, views: Mapping[str, str], schema: str = "") -> DataFrame:
     """Define the views on the target's tables: ``(view_name, is_success, error)``.
 
-    ``schema`` is the source's name, which its view texts may put before every table.
-    A view may need another one, so those that fail are tried again until a round adds none.
+    ``schema`` is the source's name, which its view texts may put before every table. Each view is
+    defined once, after those it names. Views that need each other are reported with their circle, and a
+    view that needs a failed one with that one's name.
     """
     target.expose_tables("\n".join(views.values()))
-    waiting = dict(views)
     errors: dict[str, str] = {}
-    while waiting:
-        done = []
-        for name, definition in waiting.items():
-            try:
-                target.create_view(name, view_body(definition, schema))
-                done.append(name)
-            except Exception as error:
-                errors[name] = str(error)
-        if not done:
-            break
-        for name in done:
-            del waiting[name]
-    rows = [
-        (name, "N", errors[name]) if name in waiting else (name, "Y", None) for name in views
-    ]
+    bodies: dict[str, str] = {}
+    for name, definition in views.items():
+        try:
+            bodies[name] = view_body(definition, schema)
+        except Exception as error:
+            errors[name] = str(error)
+    needs = needed_views(target, bodies)
+    for name, circle in _in_circles(needs).items():
+        errors[name] = f"views need each other: {', '.join(circle)}"
+    order = TopologicalSorter({n: needs[n] - errors.keys() for n in bodies if n not in errors})
+    for name in order.static_order():
+        lost = sorted(needs[name] & errors.keys())
+        if lost:
+            errors[name] = f"needs {', '.join(lost)}, which failed"
+            continue
+        try:
+            target.create_view(name, bodies[name])
+        except Exception as error:
+            errors[name] = str(error)
+    rows = [(name, "N", errors[name]) if name in errors else (name, "Y", None) for name in views]
     return small_frame(target.spark, rows, OUTCOME_SCHEMA)

@@ -20,7 +20,7 @@ from tablehaul.functions.frames import small_frame
 from tablehaul.functions.keys import PRIMARY, Constraint
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
-from tablehaul.operators.brackets import Digit, column_digits, quantiles
+from tablehaul.operators.brackets import Digit, column_digits, quantiles, range_of
 from tablehaul.plans.compare import _partners
 from tablehaul.shared import stage, unstage
 from tablehaul.sources.tables import TableSet
@@ -87,20 +87,10 @@ def _hash(df: DataFrame, names: Sequence[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *parts)
 
 
-def _range_of(code: Column, edges: Sequence[float], first: int = 0) -> Column:
-    """How many edges the code reaches, by halving."""
-    if not edges:
-        return F.lit(first)
-    middle = len(edges) // 2
-    below = _range_of(code, edges[:middle], first)
-    above = _range_of(code, edges[middle + 1 :], first + middle + 1)
-    return F.when(code < F.lit(edges[middle]), below).otherwise(above)
-
-
 def _marked(sides: Sides, df: DataFrame) -> DataFrame:
     """The rows with ``__range`` and ``__key``, a hash of their key."""
     key = _hash(df, sides.keys, 0)
-    return df.withColumns({"__range": _range_of(sides.digit.code, sides.edges), "__key": key})
+    return df.withColumns({"__range": range_of(sides.digit.code, sides.edges), "__key": key})
 
 
 def _halves(value: Column) -> list[Column]:
@@ -146,7 +136,7 @@ def _of_ranges(sides: Sides, cells: DataFrame) -> Column:
     column = F.col(quoted(sides.keys[0]))
     held = cells.groupBy("range").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("nulls").alias("nulls"))
     if not isinstance(kind, _LITERAL):
-        return _range_of(sides.digit.code, sides.edges).isin([r.range for r in held.select("range").collect()])
+        return range_of(sides.digit.code, sides.edges).isin([r.range for r in held.select("range").collect()])
 
     def within(r) -> Column:
         inside = F.lit(False) if r.lo is None else (column >= F.lit(r.lo).cast(kind)) & (column <= F.lit(r.hi).cast(kind))

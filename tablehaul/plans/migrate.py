@@ -8,7 +8,7 @@ import logging
 import threading
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from tablehaul.conf import JobConf
 from tablehaul.functions.frames import small_frame
-from tablehaul.functions.keys import FOREIGN, AutoColumn, Constraint
+from tablehaul.functions.keys import FOREIGN, INDEX, AutoColumn, Constraint
 from tablehaul.operators.checks import run_checks
-from tablehaul.operators.conform import REJECT_REASON, split_marked, with_reject_reason
+from tablehaul.operators.conform import split_marked, with_reject_reason
 from tablehaul.operators.sequence import sequence_starts
-from tablehaul.operators.sinks import clustered, write_existing
+from tablehaul.operators.sinks import clustered, curved, write_existing
 from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
 from tablehaul.operators.views import register_views
 from tablehaul.plans.summary import migration_summary
-from tablehaul.shared import stage
+from tablehaul.shared import stage, unstage
 from tablehaul.sources.tables import TASK_TABLE, TableSet
 
 TASK_SCHEMA = (
@@ -32,6 +32,9 @@ TASK_SCHEMA = (
     "run_time int, source_table_rows bigint, target_table_rows bigint, is_success string"
 )
 
+#: Columns that share a layout; with more of them none gets narrow ranges.
+MOST_CURVE_COLUMNS = 4
+
 _log = logging.getLogger(__name__)
 
 
@@ -45,10 +48,9 @@ def _copy(
 ) -> tuple[int, int]:
     """Copy one table; ``(source_rows, target_rows)``.
 
-    Rows that fit are written in one pass, and the rest is looked for only if there is any. Source
-    rows are counted in that pass, or without one where that is cheap. If a live source has rows
-    that do not fit, or has to be sorted, its rows are staged and all that is kept comes from
-    that one read.
+    A source that reads the same each time is written in one pass, and rows that do not fit are looked for
+    only if there are any. Source rows are counted in that pass, or without one where that is cheap. A
+    live source is read once: its rows are staged, parted from there, and the staged ones deleted.
     """
     scan = source.scan(table, conf)
     specs = source.columns(table, scan)
@@ -61,50 +63,50 @@ def _copy(
             raise ValueError(f"{table} has no columns {sorted(extra)}")
         specs = [s for s in own if s.column_name.lower() in given]
     marked = with_reject_reason(scan, specs, conf.length_unit)
-    sorted_by = conf.cluster_by.get(table)
+    sorted_by, curve_by = conf.cluster_by.get(table), conf.curve_by.get(table)
 
     def write(rows: DataFrame) -> None:
         good, _ = split_marked(rows, specs)
         if sorted_by:
             good = clustered(good, sorted_by)
+        elif curve_by:
+            good = curved(good, curve_by)
         if data_only:
             write_existing(good, target, table, conf=conf)
         else:
             target.replace(table, good, conf)
 
-    repeats = source.reads_repeat()
-    rows = None
-    if source.cheap_count or (sorted_by and repeats):
+    laid_out = bool(sorted_by or curve_by)
+    if not source.reads_repeat():
+        staged = stage(marked, "live")
+        try:
+            write(staged)
+            return _settled(target, table, staged.count(), split_marked(staged, specs)[1])
+        finally:
+            unstage(staged)
+    if source.cheap_count or laid_out:
         write(marked)
         rows = source.count_frame(table).first()[0]
-    elif not sorted_by:
-        rows, rejected = _write_counted(marked, write)
-        if rejected and not repeats:
-            rows = None
-    if rows is None:
-        marked = stage(marked, "live")
-        write(marked)
-        rows = marked.count()
+    else:
+        rows = _write_counted(marked, write)
+    return _settled(target, table, rows, split_marked(marked, specs)[1])
+
+
+def _settled(target: TableSet, table: str, rows: int, rejected: DataFrame) -> tuple[int, int]:
+    """Keep the rows that did not fit, if any; ``(rows, rows written)``."""
     written = target.count_frame(target.resolve(table)).first()[0]
     if written < rows:
-        target.keep_rejected(table, split_marked(marked, specs)[1])
+        target.keep_rejected(table, rejected)
     else:
         target.clear_rejected(table)
     return rows, written
 
 
-def _write_counted(marked: DataFrame, write: Callable[[DataFrame], None]) -> tuple[int, int]:
-    """Write the rows that fit; ``(rows seen, rows that did not fit)``."""
+def _write_counted(marked: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write the rows that fit; how many rows were seen."""
     seen = Observation()
-    reason = F.col(REJECT_REASON)
-    write(
-        marked.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(reason != "").alias("rejected"),
-        )
-    )
-    return seen.get["rows"], seen.get["rejected"]
+    write(marked.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
 
 
 def migrate(
@@ -172,6 +174,22 @@ class Migration:
     summary: DataFrame
 
 
+def _laid_out(conf: JobConf, source: TableSet, keys: Sequence[Constraint]) -> JobConf:
+    """The settings with a layout for each table that has plain indexes and none yet."""
+    spelled = {name.lower(): name for name in source.all_names()}
+    indexes: dict[str, list[tuple[str, ...]]] = {}
+    for key in keys:
+        table = spelled.get(key.table.lower())
+        if key.kind == INDEX and table and table not in conf.cluster_by and table not in conf.curve_by:
+            indexes.setdefault(table, []).append(key.columns)
+    one = {t: found[0] for t, found in indexes.items() if len(found) == 1}
+    several = {
+        t: tuple(dict.fromkeys(columns[0] for columns in found))[:MOST_CURVE_COLUMNS]
+        for t, found in indexes.items() if len(found) > 1
+    }
+    return replace(conf, cluster_by={**conf.cluster_by, **one}, curve_by={**conf.curve_by, **several})
+
+
 def migrate_database(
     source: TableSet,
     target: TableSet,
@@ -185,9 +203,17 @@ def migrate_database(
 
     Self-numbering columns and keys are those of the source's catalog unless they are given. A
     table list leaves out views and the keys of other tables. ``data_only`` copies rows alone.
+
+    Plain indexes become the layout of a table's files: along its one index, or along a curve through the first
+    columns of up to four. A target without files, or a run without ``index_layout``, has no use
+    for them, and they are left out of checks and summary.
     """
     autos = source.auto_columns() if auto_columns is None else auto_columns
     keys = source.constraints() if constraints is None else constraints
+    if conf.index_layout and target.lays_out and not data_only:
+        conf = _laid_out(conf, source, keys)
+    else:
+        keys = [c for c in keys if c.kind != INDEX]
     lines = None if tables is None else list(tables)
     tasks = migrate(source, target, conf, lines, data_only)
     listed = None if lines is None else {n.lower() for n in table_list(lines)}

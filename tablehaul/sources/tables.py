@@ -29,10 +29,12 @@ ENGINE_TABLES = (REPORT_TABLE, TASK_TABLE, "hg_t_audit_log")
 class TableSet(ABC):
     """Tables and views under one name. Names are matched without regard to case.
 
-    ``cheap_count`` says that a table's size is known without reading its rows.
+    ``cheap_count`` says that a table's size is known without reading its rows, ``lays_out`` that the order of
+    written rows decides what a filter reads.
     """
 
     cheap_count = False
+    lays_out = False
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
@@ -178,6 +180,7 @@ class ParquetTables(TableSet):
 
     SUFFIX = ".parquet"
     cheap_count = True
+    lays_out = True
 
     def __init__(
         self,
@@ -282,6 +285,7 @@ class CatalogTables(TableSet):
     """A database of Spark's catalog; views in it are permanent ones."""
 
     cheap_count = True
+    lays_out = True
 
     def __init__(self, spark: SparkSession, database: str) -> None:
         super().__init__(spark, database)

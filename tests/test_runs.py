@@ -17,11 +17,15 @@ from tablehaul import (
     migrate,
     migrate_database,
     object_totals,
+    register_views,
+    remove_staged,
     sequence_starts,
     store_report,
     table_list,
+    write_clustered,
 )
 from tablehaul.plans.compare import row_counts, shown
+from tablehaul.shared import shared_root
 from tests.conftest import rows
 
 LONG = ColumnSpec("s", "VARCHAR", 3)
@@ -270,3 +274,104 @@ def test_names_that_differ_in_case_are_compared_with_their_own(spark):
     theirs = FrameTables(spark, "theirs", {"X": many, "x": few, "Y": few})
     rows = [(r.source_rows, r.target_rows, r.is_success) for r in compare_counts(ours, theirs).collect()]
     assert sorted(rows) == [(2, 2, "Y"), (2, 2, "Y"), (3, 3, "Y")]
+
+
+def test_a_live_source_is_read_once_and_leaves_nothing_staged(spark, target, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    class Live(FrameTables):
+        def reads_repeat(self):
+            return False
+
+        def scan(self, table, conf):
+            def seen(batches):
+                for batch in batches:
+                    reads.add(batch.num_rows)
+                    yield batch
+
+            return self._frame(table).mapInArrow(seen, self._frame(table).schema)
+
+    remove_staged(spark)
+    texts = spark.range(0, 300, 1, 3).select(F.when(F.col("id") % 100 != 7, F.col("id").cast("string")).otherwise("x").alias("n"))
+    live = Live(spark, "live", {"t": texts}, specs={"t": [ColumnSpec("n", "INT")]})
+    record = migrate(live, target).first()
+    assert (record.source_table_rows, record.target_table_rows, reads.value) == (300, 297, 300)
+    assert target.rejected("t").count() == 3
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tablehaul-{spark.sparkContext.applicationId}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not files.exists(folder) or not files.listStatus(folder)
+
+
+def test_indexes_become_layout(spark, tmp_path):
+    wide = spark.range(0, 20_000, 1, 8).select("id", (F.xxhash64("id") % 1000).alias("a"), (F.xxhash64("id", F.lit(1)) % 1000).alias("b"))
+    source = FrameTables(spark, "s", {"two": wide, "One": wide.limit(50), "none": wide.limit(5)})
+    keys = [
+        Constraint("index", "TWO", "ia", ("a",)), Constraint("index", "two", "ib", ("b", "id")),
+        Constraint("index", "one", "i", ("b", "a")), Constraint("unique", "two", "u", ("id",)),
+    ]
+    seen = {}
+
+    class Files(ParquetTables):
+        def replace(self, table, df, conf=JobConf()):
+            seen[table] = (conf.cluster_by.get(table), conf.curve_by.get(table))
+            super().replace(table, df, conf)
+
+    folder = Files(spark, str(tmp_path / "files"))
+    run = migrate_database(source, folder, constraints=keys)
+    assert seen["two"] == (None, ("a", "b")) and seen["One"] == (("b", "a"), None) and seen["none"] == (None, None)
+    assert {r.kind: r.total for r in run.summary.collect()}["indexes/constraints"] == 4
+    assert rows(folder.read("two")) == rows(wide)
+    run = migrate_database(source, folder, JobConf(index_layout=False), constraints=keys)
+    assert {r.kind: r.total for r in run.summary.collect()}["indexes/constraints"] == 1
+    assert seen["two"] == (None, None)
+
+
+def test_a_curve_serves_a_filter_on_any_of_its_columns(spark, tmp_path):
+    wide = spark.range(0, 64_000, 1, 8).select(
+        "id", (F.xxhash64("id") % 5000).alias("a"), F.format_string("k%05d", F.abs(F.xxhash64("id", F.lit(1))) % 5000).alias("b"),
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("c"),
+    )
+    folder = ParquetTables(spark, str(tmp_path / "curve"))
+    write_clustered(wide, folder, "t", ["a", "b"], files=64, curve=True)
+    kept = folder.read("t")
+    files = kept.select(F.input_file_name()).distinct().count()
+    assert rows(kept) == rows(wide) and files == 64
+    for column, low, high in (("a", 1000, 1100), ("b", "k01000", "k01100")):
+        inside = kept.groupBy(F.input_file_name()).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+        touched = inside.where((F.col("lo") <= high) & (F.col("hi") >= low)).count()
+        assert touched <= files // 3
+    hot = wide.withColumn("a", F.lit(7))
+    write_clustered(hot, folder, "hot", ["a", "c"], files=16, curve=True)
+    sizes = [r["count"] for r in folder.read("hot").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 64_000 // 16
+    write_clustered(wide.limit(0), folder, "empty", ["a", "b"], curve=True)
+    assert folder.read("empty").count() == 0
+
+
+def test_views_are_defined_in_the_order_they_need_each_other(spark, target):
+    target.replace("t", spark.range(3).toDF("id"))
+    tried = []
+
+    class Counting(type(target)):
+        def create_view(self, name, body):
+            tried.append(name)
+            super().create_view(name, body)
+
+    counting = Counting(spark, target.path)
+    views = {
+        "v1": "create view v1 as select id + 1 as id from V2", "v2": "select * from `shop`.`v3` where id in (select id from v5)",
+        "V3": "with w as (select * from v4) select * from w", "v4": "select x.id from t x, (select max(id) m from v5) y",
+        "v5": "select id, 'from v1' as note from t", "a": "select * from b", "b": "select * from c union select * from a",
+        "c": "select exists(select 1 from a) as e", "self": "select * from self", "late": "select * from a join v1",
+        "t2": "select * from nothing", "bad": "select from from", "after_bad": "select * from bad",
+    }
+    got = {r.view_name: r for r in register_views(counting, views, "shop").collect()}
+    assert list(got) == list(views)
+    assert [n for n in views if got[n].is_success == "Y"] == ["v1", "v2", "V3", "v4", "v5"]
+    assert tried.index("v5") < tried.index("v4") < tried.index("V3") < tried.index("v2") < tried.index("v1")
+    assert len(tried) == len(set(tried))
+    for name in "abc":
+        assert got[name].error == "views need each other: a, b, c"
+    assert got["self"].error == "views need each other: self" and got["late"].error == "needs a, which failed"
+    assert got["after_bad"].error == "needs bad, which failed" and "nothing" in got["t2"].error
+    assert rows(counting.read_view("v1").select("id")) == [(1,), (2,), (3,)]
