@@ -357,6 +357,7 @@ ORACLES = {
         "union all select 'missing', cast(null as bigint), cast(null as bigint), 'N'"
     ),
     "q_migrate_lineitem": "select * from lineitem",
+    "q_migrate_resumed": "select * from lineitem",
     "q_migrate_events": "select * from events",
     "q_migrate_rejects": f"select *, {_DOCUMENT_REASON} as reject_reason from documents",
     "q_migrate_data_only": "select p_size, p_name, p_partkey from part",

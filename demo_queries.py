@@ -681,6 +681,32 @@ def migrated_values(spark, sf_dir):
     return compare_values(source, target, KEYS)
 
 
+class Failing(FrameTables):
+    """A live source that goes away once while its pages are read."""
+
+    def reads_repeat(self):
+        return False
+
+    def page_predicates(self, table, conf):
+        return [f"l_orderkey % 4 = {i}" for i in range(4)]
+
+    def read_page(self, table, predicate):
+        if not hasattr(self, "failed") and predicate.endswith("2"):
+            self.failed = True
+            raise OSError("connection lost")
+        return super().read_page(table, predicate)
+
+
+def migrated_after_failure(spark, sf_dir):
+    """The second run reads the page that the first one lacked, and writes the table."""
+    live = Failing(spark, "live", {"lineitem": source_of(spark, sf_dir).read("lineitem")})
+    target = scratch(spark, "resumed")
+    conf = JobConf(resume_dir=new_folder(spark, "pages"))
+    migrate(live, target, conf)
+    migrate(live, target, conf)
+    return target.read("lineitem")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Move two tables, then compare both sides."""
     source = source_of(spark, sf_dir)
@@ -760,4 +786,5 @@ QUERIES = {
     "q_diff_rows": rows_that_differ,
     "q_diff_documents": documents_that_differ,
     "q_migrate_values": migrated_values,
+    "q_migrate_resumed": migrated_after_failure,
 }

@@ -98,14 +98,13 @@ def _halves(value: Column) -> list[Column]:
     return [F.shiftrightunsigned(value, 32), value.bitwiseAND(F.lit((1 << 32) - 1))]
 
 
-def _sums(df: DataFrame, prefix: str) -> list[Column]:
-    """Aggregates that are equal for equal rows in any order: 128 bits of hash, added up."""
-    halves = [h for seed in (1, 2) for h in _halves(F.col(f"__h{seed}"))]
-    parts = [F.sum(h) for h in halves]
-    return [F.struct(F.count(F.lit(1)), *parts).alias(prefix)]
+def content_sums() -> list[Column]:
+    """Aggregates over rows of :func:`hashed` that are equal for equal rows in any order: 128 bits, added up."""
+    return [F.sum(h) for seed in (1, 2) for h in _halves(F.col(f"__h{seed}"))]
 
 
-def _hashed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+def hashed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows with ``__h1`` and ``__h2``, two hashes of the named columns."""
     return df.withColumns({f"__h{seed}": _hash(df, names, seed) for seed in (1, 2)})
 
 
@@ -115,8 +114,8 @@ def _cells(sides: Sides, read: tuple[DataFrame, DataFrame], bits: int) -> DataFr
     first = F.col(quoted(sides.keys[0]))
 
     def summed(df: DataFrame, name: str) -> DataFrame:
-        return _hashed(df, sides.ours.columns).groupBy(F.col("__range").alias("range"), cell.alias("cell")).agg(
-            *_sums(df, name), F.count(F.lit(1)).alias(f"{name}_rows"), F.min(first).alias(f"{name}_lo"),
+        return hashed(df, sides.ours.columns).groupBy(F.col("__range").alias("range"), cell.alias("cell")).agg(
+            F.struct(F.count(F.lit(1)), *content_sums()).alias(name), F.count(F.lit(1)).alias(f"{name}_rows"), F.min(first).alias(f"{name}_lo"),
             F.max(first).alias(f"{name}_hi"), F.count_if(first.isNull()).alias(f"{name}_nulls"),
         )
 
@@ -162,7 +161,7 @@ def _by_key(sides: Sides, read: tuple[DataFrame, DataFrame]) -> DataFrame:
     """One row for each key that is not the same on both sides."""
     names = sides.ours.columns
     values = [n for n in names if n not in sides.keys]
-    ours, theirs = (_hashed(df, names) for df in read)
+    ours, theirs = (hashed(df, names) for df in read)
     both = ours.withColumn("__side", F.lit(0)).unionByName(theirs.withColumn("__side", F.lit(1)))
     aggregates = []
     for side, name in enumerate(("o", "t")):

@@ -9,6 +9,7 @@ import threading
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
@@ -23,6 +24,7 @@ from tablehaul.operators.sequence import sequence_starts
 from tablehaul.operators.sinks import clustered, curved, write_existing
 from tablehaul.operators.views import OUTCOME_SCHEMA as VIEW_SCHEMA
 from tablehaul.operators.views import register_views
+from tablehaul.plans.resume import stage_in_pages
 from tablehaul.plans.summary import migration_summary
 from tablehaul.shared import stage, unstage
 from tablehaul.sources.tables import TASK_TABLE, TableSet
@@ -50,7 +52,8 @@ def _copy(
 
     A source that reads the same each time is written in one pass, and rows that do not fit are looked for
     only if there are any. Source rows are counted in that pass, or without one where that is cheap. A
-    live source is read once: its rows are staged, parted from there, and the staged ones deleted.
+    live source is read once: its rows are staged, parted from there, and the staged ones deleted. With
+    ``resume_dir`` they are staged there in pages, and a run that failed goes on with the pages it lacks.
     """
     scan = source.scan(table, conf)
     specs = source.columns(table, scan)
@@ -78,6 +81,13 @@ def _copy(
 
     laid_out = bool(sorted_by or curve_by)
     if not source.reads_repeat():
+        if conf.resume_dir:
+            mark = partial(with_reject_reason, columns=specs, length_unit=conf.length_unit)
+            staged = stage_in_pages(source, table, conf, mark)
+            write(staged)
+            counts = _settled(target, table, staged.count(), split_marked(staged, specs)[1])
+            unstage(staged)
+            return counts
         staged = stage(marked, "live")
         try:
             write(staged)

@@ -398,30 +398,46 @@ class JdbcTables(TableSet):
 
         return probed_starts(ask, rows, shards)
 
+    def _keysets(self, table: str, keys: Sequence[str], rows: int, parts: int, most: int) -> list[str]:
+        starts = self.shard_starts(table, keys, rows, parts, most)
+        return keyset_predicates(keys, [(None,), *starts], self.dialect)
+
     def _read_keysets(self, table: str, keys: Sequence[str], rows: int, parts: int, conf: JobConf) -> DataFrame:
-        starts = self.shard_starts(table, keys, rows, parts, conf.read_parallelism)
-        df = self._read_ranges(table, keyset_predicates(keys, [(None,), *starts], self.dialect))
+        return self._merged(self._keysets(table, keys, rows, parts, conf.read_parallelism), table, conf)
+
+    def _merged(self, predicates: list[str], table: str, conf: JobConf) -> DataFrame:
+        df = self._read_ranges(table, predicates)
         return df.coalesce(conf.max_connections) if conf.max_connections else df
 
-    def scan(self, table: str, conf: JobConf) -> DataFrame:
-        """The table in ranges of its paging key, or whole without a key or with a single page.
+    def page_predicates(self, table: str, conf: JobConf) -> list[str]:
+        """Ranges of equal row counts of the paging key; one without a key or with a single page.
 
-        A key may have several columns. The database is asked for ranges of equal row counts: a server that
-        numbers rows answers one query, any other is probed along its index.
+        A key may have several columns. A server that numbers rows answers one query, any other is
+        probed along its index.
         """
         table = self.resolve(table)
         found = self.query(self.dialect.key_sql.format(table=self.dialect.literal(table))).collect()
         keys = paging_keys([k.asDict() for k in found])
         if not keys or conf.read_parallelism == 1:
-            return self._frame(table)
+            return ["1 = 1"]
         rows = self.count_frame(table).first()[0]
         parts = reading_shards(rows, conf.page_size, conf.read_parallelism, conf.rows_per_task)
         if parts == 1:
-            return self._frame(table)
+            return ["1 = 1"]
         if self.dialect.has_ntile and len(keys) == 1:
-            df = self._read_shards(table, keys[0], parts)
-            return df.coalesce(conf.max_connections) if conf.max_connections else df
-        return self._read_keysets(table, keys, rows, parts, conf)
+            sql = shard_start_sql(table, keys[0], parts, self.dialect)
+            starts = [r.lo for r in self.query(sql).orderBy("shard").collect()]
+            return shard_predicates(keys[0], starts, self.dialect)
+        return self._keysets(table, keys, rows, parts, conf.read_parallelism)
+
+    def read_page(self, table: str, predicate: str) -> DataFrame:
+        return self._read_ranges(self.resolve(table), [predicate])
+
+    def scan(self, table: str, conf: JobConf) -> DataFrame:
+        """The table in the ranges of :meth:`page_predicates`, each read by a task of its own."""
+        table = self.resolve(table)
+        predicates = self.page_predicates(table, conf)
+        return self._frame(table) if len(predicates) == 1 else self._merged(predicates, table, conf)
 
     def largest(self, table: str, column: str) -> int | None:
         """The database's own answer, mostly from an index."""

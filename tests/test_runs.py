@@ -375,3 +375,54 @@ def test_views_are_defined_in_the_order_they_need_each_other(spark, target):
     assert got["self"].error == "views need each other: self" and got["late"].error == "needs a, which failed"
     assert got["after_bad"].error == "needs bad, which failed" and "nothing" in got["t2"].error
     assert rows(counting.read_view("v1").select("id")) == [(1,), (2,), (3,)]
+
+
+class Paged(FrameTables):
+    """A live source in pages, of which some cannot be read."""
+
+    def __init__(self, *args, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.broken, self.read_pages, self.cuts = set(), [], 5
+
+    def reads_repeat(self):
+        return False
+
+    def scan(self, table, conf):
+        return self.read(table)
+
+    def page_predicates(self, table, conf):
+        return [f"id % {self.cuts} = {i}" for i in range(self.cuts)]
+
+    def read_page(self, table, predicate):
+        self.read_pages.append(predicate)
+        if predicate in self.broken:
+            raise OSError("the server went away")
+        return super().read_page(table, predicate)
+
+
+def test_a_run_goes_on_where_it_failed(spark, target, tmp_path):
+    frame = spark.range(0, 500, 1, 3).select("id", F.when(F.col("id") % 100 != 7, F.col("id").cast("string")).otherwise("x").alias("n"))
+    live = Paged(spark, "li/ve", {"t": frame.where("id % 5 <> 4")}, specs={"t": [ColumnSpec("id", "BIGINT"), ColumnSpec("n", "INT")]})
+    conf = JobConf(resume_dir=str(tmp_path / "pages"), read_parallelism=2)
+    live.broken = {"id % 5 = 1", "id % 5 = 3"}
+    assert migrate(live, target, conf).first().is_success == "N" and "t" not in target.table_names()
+    assert len(live.read_pages) == 5
+    live.broken, live.read_pages, live.cuts = set(), [], 7  # the first run's cuts count
+    damaged = next((tmp_path / "pages").rglob("__page=2/part-*.parquet"))
+    damaged.write_bytes(next((tmp_path / "pages").rglob("__page=0/part-*.parquet")).read_bytes())
+    next(damaged.parent.glob(f".{damaged.name}.crc")).unlink()
+    record = migrate(live, target, conf).first()
+    assert sorted(live.read_pages) == ["id % 5 = 1", "id % 5 = 2", "id % 5 = 3"]
+    assert (record.source_table_rows, record.target_table_rows) == (400, 395)
+    assert rows(target.read("t")) == rows(frame.where("id % 5 <> 4 and n <> 'x'").selectExpr("id", "cast(n as int) n"))
+    assert target.rejected("t").count() == 5
+    assert not list((tmp_path / "pages").rglob("*.parquet"))
+    live.read_pages = []
+    assert migrate(live, target, conf).first().source_table_rows == 400
+    assert len(live.read_pages) == 7
+
+
+def test_pages_of_a_table_that_turned_up_empty(spark, target, tmp_path):
+    live = Paged(spark, "live", {"t": spark.range(0).select("id")})
+    record = migrate(live, target, JobConf(resume_dir=str(tmp_path / "pages"))).first()
+    assert (record.source_table_rows, record.is_success) == (0, "Y") and target.read("t").count() == 0
