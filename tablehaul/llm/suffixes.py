@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.words import mix, slices, span_hashes
+from tablehaul.llm.rows import numbered
+from tablehaul.llm.words import digests, mix, slices, window_hashes
 from tablehaul.shared import stage, unstage
 
 MIN_BYTES, GRAM = 400, 64
@@ -127,7 +128,7 @@ def _segments(length: int, gram: int):
                 if (size < length).all():
                     continue
                 grams = np.arange(len(data) - gram + 1)
-                hashes = span_hashes(data, grams, grams + gram, fold=False)
+                hashes = window_hashes(data, gram)
                 keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | grams.astype(np.uint64)
                 anchor = (_least(keys, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 count = np.maximum(size - length + 1, 0)
@@ -137,7 +138,7 @@ def _segments(length: int, gram: int):
                 first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])]))
                 times = np.diff(np.append(first, len(start)))
                 begin, own, held = start[first], owner[first], anchor[first]
-                stop = begin + times - 1 + length
+                content = digests(data, begin, begin + times - 1 + length)
                 yield pa.record_batch(
                     [
                         batch.column("id").take(pa.array(row + own)),
@@ -145,8 +146,8 @@ def _segments(length: int, gram: int):
                         pa.array(times.astype(np.int32)),
                         pa.array((held - begin).astype(np.int32)),
                         pa.array(hashes[held].view(np.int64)),
-                        pa.array(span_hashes(data, begin, stop, fold=False, seed=1).view(np.int64)),
-                        pa.array(span_hashes(data, begin, stop, fold=False, seed=2).view(np.int64)),
+                        pa.array(content[:, 0].view(np.int64)),
+                        pa.array(content[:, 1].view(np.int64)),
                     ],
                     names=["id", "start", "times", "ahead", "anchor", "c", "d"],
                 )
@@ -188,6 +189,7 @@ def _pieces(length: int):
                 core_to = core_from - (PIECE - 1) + length
                 one, two = start[first], start[last]
                 salt = salt.astype(np.uint64)
+                core = digests(data, core_from, core_to)
                 raw = data.tobytes()
                 left = [raw[a:b] for a, b in zip(one.tolist(), core_from.tolist(), strict=True)]
                 right = [raw[a:b] for a, b in zip(core_to.tolist(), (two + length).tolist(), strict=True)]
@@ -197,8 +199,8 @@ def _pieces(length: int):
                         pa.array(one - np.array(base)[of]),
                         pa.array((two - one + 1).astype(np.int32)),
                         pa.array([copies[o] for o in of.tolist()], pa.int64()),
-                        pa.array(mix(span_hashes(data, core_from, core_to, fold=False, seed=3) + salt).view(np.int64)),
-                        pa.array(mix(span_hashes(data, core_from, core_to, fold=False, seed=4) + salt).view(np.int64)),
+                        pa.array(mix(core[:, 0] + salt).view(np.int64)),
+                        pa.array(mix(core[:, 1] + salt).view(np.int64)),
                         pa.array(left, pa.binary()),
                         pa.array(right, pa.binary()),
                     ],
@@ -382,15 +384,16 @@ def drop_repeats(
     (removed runs, start and end in bytes), kept (what is left, as bytes, since a cut may split a
     character) and kept_sha256.
 
-    A null text counts as an empty one; texts shorter than ``length`` stay whole. Rows with a null
-    id stay whole and are not compared. Rows that share an id are cut alike, so ids should be
-    unique. No rows give none. Only the two columns are read.
+    A null text counts as an empty one; texts shorter than ``length`` stay whole. Every row is
+    scanned and cut by itself, also with a null or repeated id, and ids may be of any type. No rows give
+    none. Only the two columns are read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    found = repeated_spans(docs, id_col, text_col, length)
-    by_doc = found.groupBy("id").agg(F.collect_list(F.struct("start", "times")).alias("found"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(by_doc, "id", "left").mapInArrow(
+    rows = numbered(texts, "id", "row")
+    found = repeated_spans(rows, "row", "text", length)
+    by_doc = found.groupBy(F.col("id").alias("row")).agg(F.collect_list(F.struct("start", "times")).alias("found"))
+    return rows.join(by_doc, "row", "left").drop("row").mapInArrow(
         _cut_out(length),
         f"id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string",
     ).withColumnRenamed("id", id_col)

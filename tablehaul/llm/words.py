@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -10,12 +11,16 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Longer spans are hashed by a library function, one by one.
+_LONG = 256
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Everything between runs of letters, digits and bytes beyond ASCII.
 MARKS = np.ones(256, bool)
 MARKS[48:58] = MARKS[65:91] = MARKS[97:123] = MARKS[128:] = False
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
 _powers: list[np.ndarray] = []
@@ -89,18 +94,47 @@ def word_bounds(
 
 
 def span_hashes(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True, seed: int = 0
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True
 ) -> np.ndarray:
-    """64-bit hashes of the byte runs; with ``fold`` A-Z count as a-z."""
+    """64-bit hashes of the byte runs; with ``fold`` A-Z count as a-z.
+
+    Eight bytes at a time are added and mixed in, so that no arithmetic relation between two runs
+    survives: hashes of different runs agree by chance only.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
+    data = _LOWER[data] if fold else data
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) + _BASE)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+    at = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+    reached = 0
+    while len(at):
+        piece = eights[starts[at] + reached] & _LOW[np.minimum(sizes[at] - reached, 8)]
+        out[at] = mix((out[at] + piece) * _STEP)
+        reached += 8
+        at = at[sizes[at] > reached]
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        out[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128 bits of a library hash of each run of bytes, as two numbers."""
+    raw = memoryview(np.ascontiguousarray(data))
+    spans = zip(starts.tolist(), ends.tolist(), strict=True)
+    found = b"".join([blake2b(raw[s:e], digest_size=16).digest() for s, e in spans])
+    return np.frombuffer(found, "<u8").reshape(-1, 2)
+
+
+def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every window of ``size`` bytes. Related windows may agree: good to choose by, not to tell apart by."""
     up, down = powers(len(data) + 1)
-    table = _BYTE[_LOWER] if fold else _BYTE
-    table = mix(table + np.uint64(seed)) if seed else table
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(table[data] * up[: len(data)], out=total[1:])
-    raw = (total[ends] - total[starts]) * down[starts]
-    return mix(raw + (ends - starts).astype(np.uint64))
+    np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
+    starts = np.arange(max(0, len(data) - size + 1))
+    return mix((total[starts + size] - total[starts]) * down[starts] + np.uint64(size))
 
 
 def shingles(words: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
@@ -110,7 +144,7 @@ def shingles(words: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
     """
     rolled = np.zeros(max(0, len(words) - size + 1), np.uint64)
     for i in range(size):
-        rolled = mix(rolled * np.uint64(0xD6E8FEB86659FD93) + words[i : i + len(rolled)])
+        rolled = mix(rolled * _STEP + words[i : i + len(rolled)])
     found = []
     for first, last in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         if last - first >= size:
@@ -126,7 +160,7 @@ def shingles(words: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
 
 
 def _fold(whole: np.uint64, word: np.uint64) -> np.uint64:
-    return mix(np.array([whole]) * np.uint64(0xD6E8FEB86659FD93) + np.array([word]))[0]
+    return mix(np.array([whole]) * _STEP + np.array([word]))[0]
 
 
 def text_shingles(data: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
