@@ -16,35 +16,24 @@ from tablehaul.llm.minhash import near_duplicates
 from tablehaul.llm.packing import pack
 from tablehaul.llm.quality import quality_scores
 from tablehaul.llm.queries import tokenizer
+from tablehaul.llm.rows import free_name, numbered
 from tablehaul.shared import stage
 
 MIN_SCORE = 0.3
-#: The number a stage gives its rows.
-ROW = "_row"
 #: SQL has no quadratic discriminant, MinHash or tokenizer.
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number of their own: the id if it is a whole number, given and never repeated.
-
-    Otherwise the rows are written once with new numbers, so that these stay.
-    """
-    odd = docs.groupBy("doc_id").count().where("doc_id is null or count > 1")
-    if docs.schema["doc_id"].dataType.simpleString() in ("int", "bigint") and odd.isEmpty():
-        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that score at least 0.3, also of rows with a null or repeated id."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    rows = _numbered(docs)
-    known = labels.where(fold != 0).join(rows.select("doc_id", ROW), "doc_id")
-    scores = quality_scores(rows, known, id_col=ROW)
-    low = scores.where(F.col("score") < MIN_SCORE).select(ROW)
-    return rows.join(low, ROW, "left_anti").select(docs.columns)
+    row = free_name(docs, "row")
+    rows = numbered(docs, "doc_id", row)
+    known = labels.where(fold != 0).join(rows.select("doc_id", row), "doc_id")
+    scores = quality_scores(rows, known, id_col=row)
+    low = scores.where(F.col("score") < MIN_SCORE).select(row)
+    return rows.join(low, row, "left_anti").select(docs.columns)
 
 
 def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,18 +45,20 @@ def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of each group of near-duplicates; null ids come last."""
-    rows = _numbered(docs)
-    groups = near_duplicates(rows, id_col=ROW).select(ROW, "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
-    first = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min_by(ROW, order).alias(ROW))
-    return rows.join(first.select(ROW), ROW, "left_semi").select(docs.columns)
+    row = free_name(docs, "row")
+    rows = numbered(docs, "doc_id", row)
+    groups = near_duplicates(rows, id_col=row).select(row, "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    first = groups.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(F.min_by(row, order).alias(row))
+    return rows.join(first.select(row), row, "left_semi").select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark passage."""
-    rows = _numbered(docs)
-    leaks = benchmark_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
-    return rows.join(leaks.select(ROW).distinct(), ROW, "left_anti").select(docs.columns)
+    row = free_name(docs, "row")
+    rows = numbered(docs, "doc_id", row)
+    leaks = benchmark_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row)
+    return rows.join(leaks.select(row).distinct(), row, "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
