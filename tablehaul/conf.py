@@ -15,6 +15,7 @@ class JobConf:
     ``read_parallelism`` connections and written by ``write_parallelism``. A table of more than
     ``rows_per_task`` rows for each of these readers gets more tasks, which the cluster's cores take one after the
     other; ``max_connections`` merges them to so many.
+    ``database_views`` defines views of a database target in the database instead of with Spark.
     ``resume_dir`` is a folder that outlives the application: rows of a live source are kept there page
     by page until their table is written, so that a run that failed need not read them again.
     ``length_unit`` says whether a VARCHAR length counts characters or bytes.
@@ -31,6 +32,7 @@ class JobConf:
     write_parallelism: int = 4
     rows_per_task: int | None = 5_000_000
     max_connections: int | None = None
+    database_views: bool = False
     resume_dir: str | None = None
     length_unit: str = "char"
     cluster_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablehaul.functions.frames import small_frame
 from tablehaul.functions.keys import FOREIGN, INDEX, PRIMARY, UNIQUE, Constraint
@@ -21,13 +22,66 @@ OUTCOME_SCHEMA = (
     "kind string, table_name string, constraint_name string, violations bigint, is_success string"
 )
 
+#: Bytes of Spark's bitmaps and of a shuffled key, and how many times less bitmaps have to be.
+BITMAP_BYTES, KEY_BYTES, LESS = 4096, 16, 8
+
 _log = logging.getLogger(__name__)
 
 
+def _bucket(key: Column) -> Column:
+    """The stretch of whole numbers a key lies in, one of a bitmap's size each."""
+    return F.bitmap_bucket_number(key)
+
+
+def dense_enough(df: DataFrame, key: str) -> bool:
+    """Whether bitmaps of a whole-number key are much less to shuffle than the key itself.
+
+    A task makes a bitmap for each stretch that its rows touch; lowest and highest key and number of rows of
+    each task bound how many that can be.
+    """
+    k = F.col(quoted(key)).cast("bigint")
+    tasks = df.where(k.isNotNull()).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(_bucket(k)).alias("lo"), F.max(_bucket(k)).alias("hi")
+    )
+    touched = F.least(F.col("n"), F.col("hi") - F.col("lo") + 1)
+    rows, bitmaps = tasks.agg(F.sum("n"), F.sum(touched)).first()
+    return bool(rows) and bitmaps * BITMAP_BYTES * LESS < rows * KEY_BYTES
+
+
+def repeated_stretches(df: DataFrame, key: str) -> DataFrame:
+    """``(bucket)``: the stretches of a whole-number key in which some value occurs again.
+
+    A stretch's bitmap has a bit for each value; it holds fewer bits than there were rows if one came twice.
+    """
+    k = F.col(quoted(key)).cast("bigint")
+    found = df.where(k.isNotNull()).groupBy(_bucket(k).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position(k)).alias("bits")
+    )
+    return found.where(F.col("n") > F.bitmap_count("bits")).select("bucket")
+
+
+def _suspects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows whose key may occur again, and those without one."""
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    keys = df.select(*named(cols))
+    if len(cols) != 1 or not isinstance(kinds[cols[0].lower()], whole) or not dense_enough(keys, cols[0]):
+        return keys
+    k = F.col(quoted(cols[0])).cast("bigint")
+    again = repeated_stretches(keys, cols[0]).withColumnRenamed("bucket", "__bucket")
+    in_doubt = keys.join(again, _bucket(k) == F.col("__bucket"), "left_semi")
+    return in_doubt.unionAll(keys.where(k.isNull()))
+
+
 def check_primary_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once or hold a NULL, with their number of rows."""
+    """Keys that occur more than once or hold a NULL, with their number of rows.
+
+    A key of one whole-number column that lies in its files in order is first looked for in bitmaps, a bit a
+    value; only keys of stretches that hold one twice are then grouped. Any other key is grouped
+    whole. ``df`` may be read three times and must stay the same meanwhile.
+    """
     a_null = reduce(lambda a, b: a | b, [c.isNull() for c in named(cols)])
-    counted = df.groupBy(*named(cols)).agg(F.count(F.lit(1)).alias("dup_count"))
+    counted = _suspects(df, cols).groupBy(*named(cols)).agg(F.count(F.lit(1)).alias("dup_count"))
     return counted.filter((F.col("dup_count") > 1) | a_null)
 
 
@@ -36,9 +90,10 @@ def _all_known(cols: Sequence[str]) -> Column:
 
 
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once. A key with a NULL in it is never a duplicate."""
+    """Keys that occur more than once, found as :func:`check_primary_key` finds them. A key with a NULL in it is
+    never a duplicate."""
     return (
-        df.filter(_all_known(cols))
+        _suspects(df.filter(_all_known(cols)), cols)
         .groupBy(*named(cols))
         .agg(F.count(F.lit(1)).alias("dup_count"))
         .filter(F.col("dup_count") > 1)

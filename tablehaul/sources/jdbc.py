@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -213,6 +214,21 @@ def paging_keys(keys: Sequence[Mapping[str, Any]]) -> tuple[str, ...]:
     return tuple(k["column_name"] for k in sorted(primary, key=lambda k: int(k.get("position") or 0)))
 
 
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|`((?:[^`]|``)+)`", re.DOTALL)
+
+
+def requoted(body: str, dialect: Dialect) -> str:
+    """A view's text with its names in backticks quoted, and folded, as the dialect has them; literals stay."""
+
+    def name(match: re.Match) -> str:
+        if match[1] is None:
+            return match[0]
+        plain = match[1].replace("``", "`")
+        return dialect.name(plain.lower() if dialect.lower_names else plain)
+
+    return _QUOTED.sub(name, body)
+
+
 def violations_sql(constraint: Constraint, dialect: Dialect) -> str | None:
     """A query that counts a key's violations in the database itself, as :func:`run_checks` counts them."""
     name = dialect.name
@@ -308,6 +324,25 @@ class JdbcTables(TableSet):
         """The database's views, and those registered with Spark on its tables."""
         return sorted({*self.view_definitions(), *self._views})
 
+    def create_view(self, name: str, body: str) -> None:
+        """Define a view with Spark, or with ``database_views`` in the database itself, as it spells names."""
+        if not self.conf.database_views:
+            super().create_view(name, body)
+            return
+        text = requoted(body, self.dialect)
+        self.execute([f"CREATE OR REPLACE VIEW {self.dialect.name(self.folded(name))} AS {text}"])
+        self._views[self.folded(name)] = body
+
+    def read_view(self, name: str) -> DataFrame:
+        return self._frame(self.folded(name)) if self.conf.database_views else super().read_view(name)
+
+    def folded(self, name: str) -> str:
+        return name.lower() if self.dialect.lower_names else name
+
+    def expose_tables(self, text: str) -> None:
+        if not self.conf.database_views:
+            super().expose_tables(text)
+
     def columns(self, table: str, df: DataFrame | None = None) -> list[ColumnSpec]:
         if not self.dialect.columns_sql:
             return super().columns(table, df)

@@ -11,6 +11,8 @@ from tablehaul import (
     register_views,
     run_checks,
 )
+from tablehaul.operators import checks
+from tablehaul.operators.checks import dense_enough, repeated_stretches
 from tablehaul.operators.views import view_body
 from tests.conftest import rows
 
@@ -162,3 +164,52 @@ def test_comma_join_becomes_an_equi_join(spark, plan):
     )
     text = plan(tables.read_view("v"))
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def shuffled(spark, df):
+    """Bytes that the plan of a finished query has shuffled."""
+    df.collect()
+    total, open_ones = 0, [df._jdf.queryExecution().executedPlan()]
+    while open_ones:
+        node = open_ones.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            open_ones.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            open_ones.append(node.plan())
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        children = node.children()
+        open_ones += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_unique_keys_in_order_are_not_shuffled(spark, tmp_path, monkeypatch):
+    spark.range(0, 2_000_000, 1, 4).select((F.col("id") - 1_000_000).alias("k"), "id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert dense_enough(df, "k")
+    for check in (check_primary_key, check_unique):
+        checked = check(df, ["K"])
+        less = shuffled(spark, checked)
+        assert checked.count() == 0
+        with monkeypatch.context() as patch:
+            patch.setattr(checks, "LESS", 10**9)
+            whole = check(df, ["k"])
+            assert "bitmap" not in str(whole._jdf.queryExecution().analyzed().toString())
+            assert shuffled(spark, whole) > 10 * less
+
+
+def test_keys_in_bitmaps_that_occur_again(spark, tmp_path):
+    again = [-1_000_000, -32768, -1, 0, 1, 32768, 32769, 5, 5]
+    once = spark.range(0, 400_000, 1, 2).select((F.col("id") - 200_000).cast("int").alias("k"))
+    extra = spark.createDataFrame([(k,) for k in [*again, None, None, 2**31 - 1, -(2**31)]], "k int")
+    df = once.unionAll(extra.coalesce(1))
+    assert not dense_enough(df.repartition(50), "k")
+    for frame in (df, df.repartition(3)):
+        want = {(-32768, 2), (-1, 2), (0, 2), (1, 2), (32768, 2), (32769, 2), (5, 3)}
+        assert set(map(tuple, check_unique(frame, ["k"]).collect())) == want
+        assert set(map(tuple, check_primary_key(frame, ["k"]).collect())) == want | {(None, 2)}
+    stretches = repeated_stretches(df, "k")
+    assert {r.bucket for r in stretches.collect()} == {r[0] for r in df.where("k in (-32768, -1, 0, 1, 5, 32768, 32769)").select(
+        F.bitmap_bucket_number(F.col("k").cast("bigint"))).distinct().collect()}
+    assert check_unique(df.limit(0), ["k"]).count() == 0

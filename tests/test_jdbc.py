@@ -397,3 +397,19 @@ def test_keys_and_largest_values_are_the_databases_own_work(spark):
     autos = [AutoColumn("child", "parent"), AutoColumn("child", "id", 50), AutoColumn("child", "s"), AutoColumn("x", "id")]
     got, want = (sorted(map(tuple, sequence_starts(t, autos).collect())) for t in (served, plain))
     assert got == want and got[1][3] == 100
+
+
+def test_views_in_the_database_itself(spark):
+    tables = Served(spark, {"orders": spark.range(5)}, POSTGRESQL, JobConf(database_views=True))
+    tables.execute = tables.log.extend
+    views = {
+        "V_All": "create view `V_All` as select `o`.`ID` AS `Id`, 'a `b` \\'c' as x from `shop`.`Orders` `o`",
+        "v_two": "create view v_two as select * from `v_all`",
+    }
+    got = register_views(tables, dict(reversed(views.items())), "shop").collect()
+    assert [(r.view_name, r.is_success) for r in got] == [("v_two", "Y"), ("V_All", "Y")]
+    assert [q for q in tables.log if "VIEW" in q] == [
+        'CREATE OR REPLACE VIEW "v_all" AS select "o"."id" AS "id", \'a `b` \\\'c\' as x from "orders" "o"',
+        'CREATE OR REPLACE VIEW "v_two" AS select * from "v_all"',
+    ]
+    assert jdbc.requoted("select `a``b` from `T`", MYSQL) == "select `a``b` from `T`"
