@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from tablehaul.llm.tokens import encoder, with_end
 from tablehaul.llm.words import slices
+from tablehaul.shared import stage
 
 #: Bits between two kept ranks; ids in a shard, after which the next begins; text bytes of a task.
 BLOCK = 512
 SHARD_IDS = 1 << 20
 TASK_BYTES = 32 << 20
+#: Files whose sizes are sent to all tasks, and places that one row asks for.
+FEW_FILES, QUESTIONS = 100_000, 4096
 SHAPE = (
     "part long, shard long, within long, n_ids long, doc_ids binary, doc_sizes binary, named binary, "
     "zeros array<long>, planes array<binary>, ranks array<binary>"
@@ -225,14 +228,19 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """The shards of written files, and before each the number of ids of all shards before it.
 
-    Only the files' sizes are added up and broadcast: two numbers for each file, of which there
-    is one for every 32 MB of text.
+    Files' sizes are added up in groups of a thousand files, then the groups'. There is a file for every 32 MB
+    of text; the sums go to all tasks while there are at most FEW_FILES of them.
     """
     shards = spark.read.schema(SHAPE).parquet(path)
-    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    by_order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(by_order), F.lit(0)).alias("base"))
-    met = shards.join(F.broadcast(parts), "part")
+    sizes = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    sizes = stage(sizes.withColumn("group", F.floor(F.col("part") / 1000)), "sizes")
+    within = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = sizes.groupBy("group").agg(F.sum("n").alias("n"))
+    groups = groups.select("group", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("ahead"))
+    parts = sizes.withColumn("inner", F.coalesce(F.sum("n").over(within), F.lit(0))).join(groups, "group")
+    parts = parts.select("part", (F.col("ahead") + F.col("inner")).alias("base"))
+    met = shards.join(F.broadcast(parts) if sizes.count() <= FEW_FILES else parts, "part")
     return met.withColumn("before", F.col("base") + F.col("within")).drop("base", "within")
 
 
@@ -244,3 +252,85 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return read_shards(spark, path).mapInArrow(
         _decode, "doc_id long, start long, n_tokens long, ids binary"
     )
+
+
+def _accessed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            matrix = _matrix(row)
+            found = [matrix.access(p - row["before"]) for p in row["places"]]
+            yield pa.record_batch([pa.array(row["places"], pa.int64()), pa.array(found, pa.int64())], names=["place", "token"])
+
+
+def tokens_at(spark: SparkSession, path: str, places: DataFrame, place_col: str = "place") -> DataFrame:
+    """``(place, token)``: the ids at the given places of all ids, once for each different place.
+
+    Places that are null, or beyond the ids, have no row. A place finds its shard by an equi-join on
+    stretches of SHARD_IDS places; only bit-planes of shards that are asked are read on, with QUESTIONS places
+    at a time, and the ids come from rank alone.
+    """
+    shards = read_shards(spark, path)
+    stretch = F.explode(F.sequence(
+        F.floor(F.col("before") / SHARD_IDS), F.floor((F.col("before") + F.col("n_ids") - 1) / SHARD_IDS)
+    ))
+    spans = shards.where("n_ids > 0").select("part", "shard", "before", "n_ids", stretch.alias("stretch"))
+    asked = places.select(F.col(place_col).cast("long").alias("place")).where("place >= 0").distinct()
+    asked = asked.withColumn("stretch", F.floor(F.col("place") / SHARD_IDS))
+    met = asked.join(spans, "stretch").where("place >= before and place < before + n_ids")
+    part = F.floor((F.col("place") - F.col("before")) / QUESTIONS)
+    rows = met.groupBy("part", "shard", part.alias("some")).agg(F.collect_list("place").alias("places"))
+    return shards.join(rows, ["part", "shard"]).mapInArrow(_accessed, "place long, token long")
+
+
+def _counted(tokens: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(tokens), np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                matrix = _matrix(batch.slice(i, 1).to_pylist()[0])
+                total += [matrix.count(t) for t in tokens]
+        yield pa.record_batch([pa.array(tokens, pa.int64()), pa.array(total)], names=["token", "n"])
+
+    return run
+
+
+def count_occurrences(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """``(token, n)``: how often each of some ids occurs, from two ranks a plane and shard."""
+    wanted = sorted({int(t) for t in tokens if t is not None and t >= 0})
+    shards = spark.read.schema(SHAPE).parquet(path)
+    return shards.mapInArrow(_counted(wanted), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def _found(tokens: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                matrix = _matrix(row)
+                docs, sizes = np.frombuffer(row["doc_ids"], np.int64), np.frombuffer(row["doc_sizes"], np.int64)
+                named = np.frombuffer(row["named"], np.uint8) == 1
+                ends = np.cumsum(sizes)
+                for token in tokens:
+                    for a in range(0, n := matrix.count(token), QUESTIONS):
+                        at = np.array([matrix.find(token, k) for k in range(a, min(n, a + QUESTIONS))], np.int64)
+                        doc = np.searchsorted(ends, at, "right")
+                        yield pa.record_batch(
+                            [
+                                pa.array(np.full(len(at), token)), pa.array(row["before"] + at),
+                                pa.array(docs[doc], mask=~named[doc]), pa.array(at - (ends - sizes)[doc]),
+                            ],
+                            names=["token", "place", "doc_id", "offset"],
+                        )
+
+    return run
+
+
+def find_occurrences(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """``(token, place, doc_id, offset)``: every occurrence of some ids, by select; no shard is decoded.
+
+    ``place`` counts all ids before, ``offset`` those of the document.
+    """
+    wanted = sorted({int(t) for t in tokens if t is not None and t >= 0})
+    shape = "token long, place long, doc_id long, offset long"
+    return read_shards(spark, path).mapInArrow(_found(wanted), shape)
