@@ -8,6 +8,7 @@ only, until few rows are left, and only these are brought together by key.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,7 +22,7 @@ from tablehaul.functions.keys import PRIMARY, Constraint
 from tablehaul.functions.names import columns as named
 from tablehaul.functions.names import quoted
 from tablehaul.operators.brackets import Digit, column_digits, quantiles, range_of
-from tablehaul.plans.compare import _partners
+from tablehaul.plans.compare import _in_threads, _partners
 from tablehaul.shared import stage, unstage
 from tablehaul.sources.tables import TableSet
 
@@ -31,6 +32,8 @@ RANGES, CELLS = 64, 1 << 16
 #: Rows of differing cells that are brought together without cutting the cells finer.
 FEW_ROWS = 1_000_000
 
+_log = logging.getLogger(__name__)
+
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 _LITERAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.StringType, T.DecimalType)
 
@@ -252,15 +255,20 @@ def compare_values(
     compared, because its columns differ, has NULL counts and ``N``.
     """
     known = primary_keys(source.constraints()) | {t.lower(): tuple(k) for t, k in (keys or {}).items()}
-    lines = []
-    for ours, theirs in sorted(_partners(source.table_names(), target.table_names()).items()):
+
+    def compared(pair: tuple[str, str]) -> tuple:
+        ours, theirs = pair
         try:
             found = diff_rows(source.read(ours), target.read(theirs), known.get(ours.lower(), ()))
-            counts = dict(found.groupBy("change").count().collect())
-            sizes = [counts.get(c, 0) for c in (MISSING, EXTRA, CHANGED)]
-            lines.append((ours, *sizes, "N" if any(sizes) else "Y"))
-        except ValueError:
-            lines.append((ours, None, None, None, "N"))
+        except ValueError as error:
+            _log.error("%s cannot be compared: %s", ours, error)
+            return ours, None, None, None, "N"
+        counts = dict(found.groupBy("change").count().collect())
+        sizes = [counts.get(c, 0) for c in (MISSING, EXTRA, CHANGED)]
+        return ours, *sizes, "N" if any(sizes) else "Y"
+
+    pairs = sorted(_partners(source.table_names(), target.table_names()).items())
+    lines = _in_threads(source.spark, compared, pairs)
     return small_frame(
         source.spark, lines, "table_name string, missing bigint, extra bigint, changed bigint, is_success string"
     )
