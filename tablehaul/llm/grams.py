@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 
 #: Longer runs are looked up one by one.
 _LONG = 128
@@ -23,8 +24,10 @@ _CRC = _crc_table()
 
 
 def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each different key first stands, and for each key the number of its value."""
-    _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    """Where each different key first stands, and for each key the number of its value, in that order."""
+    number, values = pd.factorize(keys)
+    first = np.empty(len(values), np.int64)
+    first[number[::-1]] = np.arange(len(keys) - 1, -1, -1)
     return first, number
 
 

@@ -19,8 +19,10 @@ from tablehaul.shared import stage
 FILTER_BITS = 1 << 25
 #: The first frontier reaches as many pairs of each language as are asked for, times this; so does each next one.
 WIDER = 4
+#: Languages whose rows are sent to every task; with more of them their joins are shuffled.
+FEW_LANGS = 10_000
 SCALE = 1_000_000
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STOP = np.zeros(256, bool)  # between pieces
@@ -52,7 +54,7 @@ def _grams(size: int, filters: list[Broadcast]):
             if len(starts) < size:
                 continue
             number, member = number_runs(data, starts, ends)
-            piece = np.concatenate([[0], np.cumsum(_STOP[data])])[starts]
+            piece = np.cumsum(_STOP[data], dtype=np.int32)[starts]
             owner = np.repeat(np.arange(len(at) - 1), np.diff(first))
             run, one = number, member
             for words in range(2, size + 1):
@@ -70,7 +72,8 @@ def _grams(size: int, filters: list[Broadcast]):
                 one, run = numbered(key)
             times = np.bincount(run)
             if size > 1:
-                kept = np.unique(run[together])
+                kept = np.zeros(len(one), bool)
+                kept[run[together]] = True
                 one, times = one[kept], times[kept]
             text, edge = joined(data, starts, ends, one[:, None] + np.arange(size))
             if not len(one):
@@ -164,6 +167,11 @@ def _least_scores(pairs: DataFrame, reach: int) -> DataFrame:
     )
 
 
+def _of_langs(df: DataFrame, langs: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows joined to a staged table of one row a language, which goes to all tasks while it is short."""
+    return df.join(F.broadcast(langs) if langs.count() <= FEW_LANGS else langs, "lang", how)
+
+
 def _surviving(pairs: DataFrame, triples: DataFrame, percent: int) -> DataFrame:
     """Phrases of at least their language's ``least`` score that no longer candidate stands in for."""
     inside = triples.select("lang", F.col("a").alias("longer"), F.explode(F.array("one", "two")).alias("phrase"))
@@ -215,19 +223,20 @@ def mine_phrases(
     found, left, reach = None, None, top
     while left is None or not left.isEmpty():
         reach *= WIDER
-        own = pairs if left is None else pairs.join(left, "lang", "left_semi")
-        own = own.join(_least_scores(own, reach), "lang")
+        own = pairs if left is None else _of_langs(pairs, left, "left_semi")
+        least = stage(_least_scores(own, reach), "least")
+        own = _of_langs(own, least)
         ahead = _filter(own.where("bound >= least"))
         strong = _filter(own.where("score >= least"))
-        read = texts if left is None else texts.join(left, "lang", "left_semi")
+        read = texts if left is None else _of_langs(texts, left, "left_semi")
         triples = _scored_triples(_count(read, 3, [counted, ahead, strong]).where(frequent), pairs)
-        triples = stage(triples.join(own.select("lang", "least").distinct(), "lang"), "triples")
+        triples = stage(_of_langs(triples, least), "triples")
         alive = stage(_surviving(own, triples, percent), "alive")
         state = alive.groupBy("lang", "least").agg(F.count(F.lit(1)).alias("n"))
         short = state.where((F.col("n") < top) & (F.col("least") > 0)).select("lang")
-        none = own.select("lang", "least").distinct().where("least > 0").join(state, "lang", "left_anti").select("lang")
+        none = least.where("least > 0").join(state, "lang", "left_anti").select("lang")
         left = stage(short.unionByName(none), "left")
-        alive = alive.join(left, "lang", "left_anti")
+        alive = _of_langs(alive, left, "left_anti")
         found = alive if found is None else found.unionByName(alive)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -40,7 +40,9 @@ def feature_buckets(
             places = one[:, None] + np.arange(size)  # a run is spelt by the words where it first stands
         else:
             whole, places = np.ones(len(run), bool), words
-        kept = np.unique(run[whole])
+        held = np.zeros(len(places), bool)
+        held[run[whole]] = True
+        kept = np.flatnonzero(held)
         text, edge = joined(data, starts, ends, places[kept])
         bucket = np.zeros(len(places), np.int64)
         bucket[kept] = crc32s(text, edge[:-1], edge[1:]) % np.uint32(buckets)
