@@ -71,8 +71,10 @@ def column_digits(name: str, kind: T.DataType) -> list[Digit]:
         ]
         most = _BYTES * _DIGITS
         found.append(Digit(F.least(F.octet_length(value), F.lit(most + 1)).cast("double"), most + 1.0))
-    else:
+    elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
         found = [Digit(F.nanvl(value.cast("double"), F.lit(float("inf"))), 0.0)]
+    else:
+        found = [Digit(F.lit(0.0), 0.0)]  # tells nothing: all rows are sorted
     return [Digit(F.coalesce(d.code, F.lit(_NULL)), d.settles, d.name) for d in found]
 
 

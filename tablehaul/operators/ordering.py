@@ -78,23 +78,6 @@ def _ranged(df: DataFrame, columns: Sequence[str], keys_per_range: int) -> DataF
     )
 
 
-def range_ends(
-    df: DataFrame, columns: Sequence[str], keys_per_range: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """``(part, rows, lo, hi)``: the ranges of :func:`key_ranges` without their values, staged.
-
-    ``lo`` and ``hi`` are structs of the lowest and highest values in their sortable form.
-    """
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    place = F.struct(
-        *[sortable(kinds[n], F.col(quoted(n))).alias(f"v{i}") for i, n in enumerate(columns)]
-    )
-    ends = _ranged(df, columns, keys_per_range).groupBy(F.col("__part").alias("part")).agg(
-        F.sum("__count").alias("rows"), F.min(place).alias("lo"), F.max(place).alias("hi")
-    )
-    return stage(ends, "ranges")
-
-
 def key_ranges(
     df: DataFrame, columns: Sequence[str], keys_per_range: int = ROWS_PER_BUCKET
 ) -> KeyRanges:

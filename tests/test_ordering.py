@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul import append_with_sequence, offset_page, page_bounds, seek_page, tag_pages
+from tablehaul.operators.brackets import brackets
 from tablehaul.operators.ordering import key_ranges, number_in_order, sortable
 from tablehaul.operators.sinks import clustered
 
@@ -212,3 +213,45 @@ def test_seek_page_walks_over_repeated_and_null_keys(spark):
         if last is None:
             break
     assert sorted(seen, key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def placed(rows, offset, limit):
+    """The page of a plain sort, NULL first and NaN last."""
+    key = lambda v: (v is not None, v != v if isinstance(v, float) else False, v if v is not None and v == v else 0)
+    return sorted(rows, key=lambda r: [key(v) for v in r[:-1]])[offset : offset + limit]
+
+
+@pytest.mark.parametrize(
+    "shape, values",
+    [
+        ("k double, v long", [None, float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 1.5, 2.5]),
+        ("k long, v long", [None, -(2**63), 2**63 - 1, 2**53, 2**53 + 1, 0, -1]),
+        ("k string, v long", [None, "", "a", "a\0", "prefix of more than twenty-four bytes 1", "prefix of more than twenty-four bytes 2", "é", "日本"]),
+        ("k binary, v long", [None, b"", b"\0", b"\0\0", b"\xff", b"a" * 30, b"a" * 31]),
+        ("k boolean, v long", [None, True, False]),
+        ("k decimal(38,10), v long", [None, Decimal("1.0000000001"), Decimal("1.0000000002"), Decimal(-5), Decimal(10) ** 20]),
+        ("k date, v long", [None, datetime.date(1, 1, 1), datetime.date(2020, 1, 1), datetime.date(9999, 12, 31)]),
+        ("k timestamp, v long", [None, datetime.datetime(1900, 1, 1), datetime.datetime(2020, 1, 1, 1, 2, 3, 4)]),
+    ],
+)
+def test_offset_pages_of_every_type_of_key(spark, shape, values):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(values[: 1 + i % len(values)]), i, i) for i in range(600)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, shape + ", n int").repartition(5)
+    for offset, limit in ((0, 7), (250, 40), (590, 50), (600, 5), (100, 450)):
+        got = [r.n for r in offset_page(df, ["k", "v"], offset, limit, rows_per_bucket=20).collect()]
+        assert got == [r[2] for r in placed(rows, offset, limit)]
+
+
+def test_offset_pages_sort_only_a_bracket(spark):
+    """A frequent first value, a second column of many values, and pages at and across the edges of values."""
+    rnd = random.Random(5)
+    rows = [(rnd.choice([0, 0, 0, 1]), rnd.randrange(1000), i) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int").repartition(4)
+    ordered = sorted(rows)
+    edge = sum(r[0] == 0 for r in rows)
+    for offset in (0, 10_000, edge - 30, edge, len(rows) - 40):
+        parts = brackets(df, ["a", "b", "c"], offset, offset + 60, 500)
+        assert all(df.where(p.inside).count() <= 500 for p in parts)
+        assert [tuple(r) for r in offset_page(df, ["a", "b", "c"], offset, 60, 500).collect()] == ordered[offset : offset + 60]
