@@ -12,11 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.words import MARKS, slices, span_hashes, word_bounds
+from tablehaul.llm.words import MARKS, mix, slices, span_hashes, word_bounds
 from tablehaul.shared import stage
 
 #: Passages searched for in one pass over the documents; dimensions of the latent space.
 BLOCK_ITEMS, RANK, OVERSAMPLE, POWERS = 512, 128, 8, 2
+#: Passages of fewer words are found where they stand word for word.
 MIN_WORDS = 8
 #: Words of passages, or of ranges, that are looked at together.
 HITS = 1 << 19
@@ -61,6 +62,7 @@ class Passages:
     words: list[list[int]]
     answers: list[list[int]]
     vocabulary: np.ndarray
+    short: list[tuple[int, np.ndarray]] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     terms: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
@@ -76,13 +78,14 @@ class Passages:
 
 
 def _gather(rows: list) -> Passages | None:
-    kept = [(r.item, _words_of(r.text), _answer(r.text)) for r in rows]
-    kept = [k for k in kept if len(k[1]) >= MIN_WORDS]
-    if not kept:
+    every = [(r.item, _words_of(r.text), _answer(r.text)) for r in rows]
+    kept = [k for k in every if len(k[1]) >= MIN_WORDS]
+    short = [k[:2] for k in every if 0 < len(k[1]) < MIN_WORDS]
+    if not kept and not short:
         return None
-    vocabulary = np.sort(np.unique(np.concatenate([k[1] for k in kept])))
+    vocabulary = np.unique(np.concatenate([k[1] for k in kept])) if kept else np.zeros(0, np.uint64)
     return Passages(
-        [k[0] for k in kept], [k[1].tolist() for k in kept], [k[2].tolist() for k in kept], vocabulary
+        [k[0] for k in kept], [k[1].tolist() for k in kept], [k[2].tolist() for k in kept], vocabulary, short
     )
 
 
@@ -162,13 +165,48 @@ def _step(size):
     return np.maximum(1, size // 8)
 
 
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """A number for every run of ``size`` words, equal for equal runs."""
+    whole = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for i in range(size):
+        whole = mix(whole * np.uint64(0xD6E8FEB86659FD93) + words[i : i + len(whole)])
+    return whole
+
+
+def _verbatim(short: list[tuple[int, np.ndarray]]):
+    """Finds short passages: text, item and first word of the first place of each in each text."""
+    by_size: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}
+    for item, words in short:
+        key = int(_runs(words, len(words))[0])
+        by_size.setdefault(len(words), {}).setdefault(key, []).append((item, words))
+    keys = {size: np.array(sorted(held), np.uint64) for size, held in by_size.items()}
+
+    def find(hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        for size, held in by_size.items():
+            whole = _runs(hashes, size)
+            own = text[: len(whole)] == text[size - 1 :][: len(whole)]
+            seen = set()
+            for a in np.flatnonzero(own & np.isin(whole, keys[size])).tolist():
+                for item, words in held[int(whole[a])]:
+                    if (text[a], item) not in seen and (hashes[a : a + size] == words).all():
+                        seen.add((text[a], item))
+                        yield int(text[a]), item, int(a - first[text[a]]), size
+
+    return find
+
+
 def _search(block: Passages, least: float, least_with_answer: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = Bounds.of(block, min(least, least_with_answer))
-        terms = np.ascontiguousarray((block.terms * block.weights[:, None]).astype(np.float32))
+        verbatim = _verbatim(block.short)
+        bounds = Bounds.of(block, min(least, least_with_answer)) if block.items else None
+        terms = np.ascontiguousarray((block.terms * block.weights[:, None]).astype(np.float32)) if bounds else None
         for batch in batches:
             out: list[tuple] = []
             for row, hashes, first in text_words(batch.column("text")):
+                out += [(row + t, item, 1.0, True, a, n) for t, item, a, n in verbatim(hashes, first)]
+                if bounds is None:
+                    continue
                 place = block.places(hashes)
                 best: dict[tuple[int, int], tuple] = {}
                 for t, i, a, b, most in _ranked(block, terms, place, _held(bounds, place, first)):
@@ -328,6 +366,21 @@ def _ranked(block, terms, place, held) -> Iterator[tuple[int, int, int, int, flo
             yield int(texts[k]), i, int(starts[k]), int(ends[k]), common[k] / len(block.words[i])
 
 
+def _weigh(texts: DataFrame, part: DataFrame, block: Passages, rank: int) -> None:
+    """Weights of the block's words over all documents, and the latent vectors of its passages."""
+    counted = texts.mapInArrow(_frequencies(block), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    seen, total = np.zeros(len(block.vocabulary)), 0
+    for at, n in counted.collect():
+        if at < 0:
+            total = n
+        else:
+            seen[at] = n
+    block.weights = np.log((total + 1) / (seen + 1)) + 1e-3
+    block.terms = latent_space(part, block, rank)
+    latent = _item_rows(block) @ block.terms
+    block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-300)
+
+
 def benchmark_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -353,8 +406,8 @@ def benchmark_leaks(
     leave out a window that the rule accepts.
 
     Passages are searched for in blocks of ``block_items``, each with two reads of the documents,
-    so what tasks hold does not grow with the benchmark. Passages of fewer than 8 words, null ones
-    and those without an id are never found. A null or empty document has none. Documents with a
+    so what tasks hold does not grow with the benchmark. A passage of fewer than 8 words is found where all its
+    words stand one after the other. Passages without words or id are never found. A null or empty document has none. Documents with a
     null or repeated id are searched like others. Empty tables give no rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -371,17 +424,8 @@ def benchmark_leaks(
         block = _gather(part.collect())
         if block is None:
             continue
-        counted = texts.mapInArrow(_frequencies(block), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-        seen, total = np.zeros(len(block.vocabulary)), 0
-        for at, n in counted.collect():
-            if at < 0:
-                total = n
-            else:
-                seen[at] = n
-        block.weights = np.log((total + 1) / (seen + 1)) + 1e-3
-        block.terms = latent_space(part, block, rank)
-        latent = _item_rows(block) @ block.terms
-        block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-300)
+        if block.items:
+            _weigh(texts, part, block, rank)
         own = texts.mapInArrow(
             _search(block, least, least_with_answer),
             f"id {kind}, item long, share double, answered boolean, first_word long, n_words long",
