@@ -18,28 +18,32 @@ UNIT = 1_000_000
 
 @dataclass(frozen=True)
 class CharClass:
-    """Candidates of a class are its longest runs of at least ``window`` characters."""
+    """Candidates of a class are its longest runs of at least ``window`` characters.
+
+    Candidates without a digit, which names and paths often are, need ``plain_bits``.
+    """
 
     name: str
     pattern: str
     alphabet: str
     window: int
     bits: float
+    plain_bits: float
 
 
 DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 CLASSES = (
-    CharClass("hex_entropy", "[0-9a-fA-F]{24,}", DIGITS + "abcdef", 24, 3.1),
-    CharClass("base64_entropy", "[A-Za-z0-9+/_=-]{24,}", DIGITS + LETTERS.upper() + LETTERS + "+/_=-", 24, 3.9),
+    CharClass("hex_entropy", "[0-9a-fA-F]{24,}", DIGITS + "abcdef", 24, 3.1, 3.1),
+    CharClass("base64_entropy", "[A-Za-z0-9+/_=-]{24,}", DIGITS + LETTERS.upper() + LETTERS + "+/_=-", 24, 3.9, 4.1),
 )
-#: Candidates that are never secrets: words and numbers of one kind, counting runs, placeholders.
+#: Candidates that are never secrets: numbers, and ids of a fixed form.
 ALLOWED = (
-    r"^[A-Za-z_=/+-]*$",
     r"^[0-9-]*$",
-    r"(?i)example|placeholder|dummy|changeme|redacted|x{6,}|0{8,}",
-    r"(?i)0123456789|1234567890|abcdefghij",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
 )
+#: Placeholders and counting runs; windows that touch one do not count, the rest of the candidate does.
+ALLOWED_PARTS = r"(?i)example|placeholder|dummy|changeme|redacted|x{6,}|0{8,}|0123456789|1234567890|abcdefghij"
+PLAIN = "^[A-Za-z_=/+-]*$"
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -60,6 +64,26 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.aggregate(parts, first, add, lambda s: s["spans"])
 
 
+def _unlisted(own: Column) -> Column:
+    """The parts of a candidate around its placeholders: where each starts in it, and its text."""
+    parts = F.arrays_zip(
+        F.split(own, ALLOWED_PARTS, -1).alias("gap"),
+        F.regexp_extract_all(own, F.lit(ALLOWED_PARTS), F.lit(0)).alias("part"),
+    )
+    none = F.array().cast("array<struct<start:int,own:string>>")
+
+    def add(state: Column, z: Column) -> Column:
+        after = state["at"] + F.length(z["gap"]) + F.coalesce(F.length(z["part"]), F.lit(0))
+        piece = F.struct(state["at"].alias("start"), z["gap"].alias("own"))
+        return F.struct(after.alias("at"), F.concat(state["pieces"], F.array(piece)).alias("pieces"))
+
+    first = F.struct(F.lit(0).alias("at"), none.alias("pieces"))
+    cut = F.aggregate(parts, first, add, lambda s: s["pieces"])
+    return F.when(own.rlike(ALLOWED_PARTS), cut).otherwise(
+        F.array(F.struct(F.lit(0).alias("start"), own.alias("own")))
+    )
+
+
 def _rich(text: Column, kind: CharClass) -> Column:
     """Runs of windows of a candidate whose entropy reaches the class's, as offsets in it.
 
@@ -68,7 +92,8 @@ def _rich(text: Column, kind: CharClass) -> Column:
     """
     w = kind.window
     sums = F.array(*[F.lit(round(n * math.log2(n) * UNIT) if n else 0).cast("bigint") for n in range(w + 1)])
-    most = math.floor(w * (math.log2(w) - kind.bits) * UNIT)
+    most, plain = (math.floor(w * (math.log2(w) - b) * UNIT) for b in (kind.bits, kind.plain_bits))
+    most = F.lit(most) if most == plain else F.when(text.rlike(PLAIN), plain).otherwise(most)
     fold = F.lower(text) if kind.alphabet == kind.alphabet.lower() else text
     places = F.transform(F.split(fold, ""), lambda c: F.instr(F.lit(kind.alphabet), c) - 1)
     spans = F.array().cast("array<struct<start:int,end:int>>")
@@ -98,13 +123,15 @@ def _rich(text: Column, kind: CharClass) -> Column:
             state["places"].alias("places"),
             counts.alias("counts"),
             total.alias("sum"),
-            F.when((i >= w - 1) & (total <= most), more).otherwise(state["spans"]).alias("spans"),
+            state["most"].alias("most"),
+            F.when((i >= w - 1) & (total <= state["most"]), more).otherwise(state["spans"]).alias("spans"),
         )
 
     first = F.struct(
         places.alias("places"),
         F.array_repeat(F.lit(0), len(kind.alphabet)).alias("counts"),
         F.lit(0).cast("bigint").alias("sum"),
+        most.cast("bigint").alias("most"),
         spans.alias("spans"),
     )
     return F.aggregate(F.sequence(F.lit(0), F.length(text) - 1), first, step, lambda s: s["spans"])
@@ -123,12 +150,21 @@ def _named(spans: Column, kind: str, rank: int) -> Column:
 def _entropy(text: Column, kind: CharClass, rank: int) -> Column:
     allowed = "|".join(f"(?:{a})" for a in ALLOWED)
     candidates = F.filter(_matches(text, kind.pattern), lambda m: ~m["own"].rlike(allowed))
-    found = F.flatten(
+    pieces = F.flatten(
         F.transform(
             candidates,
             lambda m: F.transform(
-                _rich(m["own"], kind),
-                lambda s: F.struct((m["start"] + s["start"]).alias("start"), (m["start"] + s["end"]).alias("end")),
+                F.filter(_unlisted(m["own"]), lambda p: F.length(p["own"]) >= kind.window),
+                lambda p: F.struct((m["start"] + p["start"]).alias("start"), p["own"].alias("own")),
+            ),
+        )
+    )
+    found = F.flatten(
+        F.transform(
+            pieces,
+            lambda p: F.transform(
+                _rich(p["own"], kind),
+                lambda s: F.struct((p["start"] + s["start"]).alias("start"), (p["start"] + s["end"]).alias("end")),
             ),
         )
     )
@@ -146,8 +182,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Offsets count code points, ends are exclusive, arrays are ordered by start, then kind. ``base``
     has assignments of a value of 8 characters or more to a name such as password, access keys,
     and runs of 32 or more lower-case hex digits. ``entropy`` has the runs of characters of one
-    class whose sliding windows reach the class's bits a character, unless the candidate is
-    on the allow list; base spans are never suppressed.
+    class whose sliding windows reach the class's bits a character; windows that touch a placeholder of the
+    allow list do not count, nor do candidates that are numbers or ids of a fixed form. Base spans are never
+    suppressed.
 
     A null text counts as an empty one, without spans. Every row is kept, also with a null or
     repeated id. Only the two columns are read.

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablehaul.llm import leaks, licenses, lines, minhash, packing, quality, secrets, suffixes, vectors, wavelet
+from tablehaul.llm import leaks, licenses, lines, minhash, packing, quality, secrets, suffixes, vectors, wavelet, words
 from tablehaul.llm.queries import tokenizer
 from tablehaul.llm.tokens import Encoder, split
 from tablehaul.llm.words import slices
@@ -126,9 +126,27 @@ def test_token_files(spark, docs, empty):
         ids = [*whole.encode(row.text or "", add_special_tokens=False).ids, 2]
         assert (r.doc_id, r.start, np.frombuffer(r.ids, "<u4").tolist()) == (row.doc_id, start, ids)
         start += len(ids)
+    every = np.concatenate([np.frombuffer(r.ids, "<u4") for r in got])
+    rnd = random.Random(6)
+    asked = [0, len(every) - 1, len(every), -1, None, *(rnd.randrange(len(every)) for _ in range(300))]
+    places = spark.createDataFrame([(p, 1) for p in asked], "place long, part int")
+    want = {p: int(every[p]) for p in asked if p is not None and 0 <= p < len(every)}
+    assert sorted(map(tuple, wavelet.tokens_at(spark, path, places).collect())) == sorted(want.items())
+    tokens = [2, int(every[0]), int(every[50]), 49000, 70000, 2]
+    counts = dict(wavelet.count_occurrences(spark, path, [*tokens, None]).collect())
+    assert counts == {t: int((every == t).sum()) for t in tokens}
+    found = sorted(map(tuple, wavelet.find_occurrences(spark, path, tokens).collect()), key=repr)
+    ends = np.cumsum([r.n_tokens for r in got])
+    doc = lambda p: int(np.searchsorted(ends, p, "right"))
+    want = [
+        (t, int(p), got[doc(p)].doc_id, int(p - got[doc(p)].start)) for t in set(tokens) for p in np.flatnonzero(every == t)
+    ]
+    assert found == sorted(want, key=repr)
     path = new_folder(spark, "tokens")
     wavelet.write_tokens(empty, path, tokenizer("word_bpe_49k.json"), end_id=2)
     assert wavelet.read_tokens(spark, path).count() == 0
+    assert wavelet.tokens_at(spark, path, places).count() == wavelet.find_occurrences(spark, path, [2]).count() == 0
+    assert [tuple(r) for r in wavelet.count_occurrences(spark, path, [2]).collect()] in ([], [(2, 0)])
 
 
 def test_wavelet_matrix():
@@ -159,10 +177,15 @@ def plain_secrets(t):
             if any(re.search(a, m[0]) for a in secrets.ALLOWED):
                 continue
             s, spans = m[0] if rank else m[0].lower(), []
+            listed = [(p.start(), p.end()) for p in re.finditer(secrets.ALLOWED_PARTS, m[0])]
+            edges = [0, *(e for p in listed for e in p), len(s)]
+            plain = [e for a, b in zip(edges[::2], edges[1::2]) if re.search(secrets.PLAIN, m[0][a:b]) for e in range(a, b)]
             for i in range(len(s) - kind.window + 1):
+                if any(a < i + kind.window and i < b for a, b in listed):
+                    continue
                 counts = Counter(s[i : i + kind.window]).values()
                 bits = math.log2(kind.window) - sum(n * math.log2(n) for n in counts) / kind.window
-                if bits >= kind.bits:
+                if bits >= (kind.plain_bits if i in plain else kind.bits):
                     if spans and spans[-1][1] >= i:
                         spans[-1][1] = i + kind.window
                     else:
@@ -176,6 +199,7 @@ def test_secrets(spark, docs, empty, plan):
     rnd = random.Random(3)
     parts = ["token", "secret", "=", ":", " ", '"', "AKIA", "ABCD1234EFGH5678", "é", "日", "0123456789abcdef" * 2, "deadbeef",
              "API_KEY", "password = ", "Zx8/+kQ9", "aB3dE5gH7jK9", "\n", "hunter2hunter2", "example"]
+    parts += ["qWzKpLvTnBxRmJcH", "DfGsYuOaEiQwXz", "/Example/", "00000000", "changeme", "1234567890", "some/path/to/a/file"]
     rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 20)))) for i in range(400)] + [(400, None)]
     made = spark.createDataFrame(rows, "doc_id long, text string")
     found = secrets.secret_digest(secrets.find_secrets(made))
@@ -379,3 +403,86 @@ def test_quality(spark, docs, empty):
     assert len(scored) == docs.count() and all(0 <= r.score <= 1 for r in scored)
     assert {r.score for r in quality.quality_scores(made, labels.where("false")).collect()} == {0.5}
     assert quality.quality_scores(empty, labels).count() == 0
+
+
+def thue_morse(n):
+    one = np.array([bin(i).count("1") % 2 for i in range(n)])
+    return "".join("ab"[b] for b in one), "".join("ba"[b] for b in one)
+
+
+@pytest.mark.parametrize("n", [64, 256, 1024, 4096])
+def test_words_that_differ_in_a_regular_way_have_different_hashes(n):
+    one, two = (np.frombuffer(t.encode(), np.uint8) for t in thue_morse(n))
+    at, end = np.array([0]), np.array([n])
+    assert words.span_hashes(one, at, end)[0] != words.span_hashes(two, at, end)[0]
+    assert (words.digests(one, at, end) != words.digests(two, at, end)).any()
+
+
+def test_span_hashes_depend_on_bytes_and_length_only():
+    rnd = random.Random(3)
+    spans = [bytes(rnd.choice(b"ab\0") for _ in range(n)) for n in [*range(0, 40), 255, 256, 257, 1000] for _ in range(3)]
+    data = np.frombuffer(b"".join(spans + spans[::-1]), np.uint8)
+    ends = np.cumsum([len(s) for s in spans + spans[::-1]])
+    starts = ends - [len(s) for s in spans + spans[::-1]]
+    got = words.span_hashes(data, starts, ends)
+    assert got[: len(spans)].tolist() == got[len(spans) :][::-1].tolist()
+    assert len(set(got.tolist())) == len(set(spans))
+    upper = np.frombuffer(b"AbC abc", np.uint8)
+    folded = words.span_hashes(upper, np.array([0, 4]), np.array([3, 7]))
+    plain = words.span_hashes(upper, np.array([0, 4]), np.array([3, 7]), fold=False)
+    assert folded[0] == folded[1] and plain[0] != plain[1]
+
+
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_regular_pieces_keep_their_own_ids(name, spaced):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rows = list(thue_morse(1024)) + list(thue_morse(64))
+    whole, own, got = Tokenizer.from_file(tokenizer(name)), Encoder(tokenizer(name), spaced), []
+    for _, data, at in slices(pa.array(rows)):
+        got += [x.tolist() for x in split(*own.encode(data, at))]
+    assert got == [whole.encode(r, add_special_tokens=False).ids for r in rows]
+
+
+def test_regular_texts_are_no_copies(spark):
+    docs = spark.createDataFrame(list(enumerate(thue_morse(1024))), "doc_id long, text string")
+    assert [r.kept for r in minhash.near_duplicates(docs).collect()] == [True, True]
+    assert {len(r.spans) for r in suffixes.drop_repeats(docs, length=400).collect()} == {1}  # each holds runs of the other
+
+
+def test_repeats_of_rows_without_an_id_of_their_own(spark):
+    rnd = random.Random(9)
+    own = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = own(600)
+    rows = [(1, shared + own(300)), (2, own(900)), (1, own(900)), (None, own(50) + shared), (None, own(700)), (3, None)]
+    rows += [(5, own(800))] * 2
+    got = suffixes.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = sorted(((r.doc_id, bytes(r.kept).decode()) for r in got), key=repr)
+    cut = lambda t: t.replace(shared, "")
+    want = [(i, cut(t or "") if i != 5 else "") for i, t in rows]
+    assert [i for i, _ in left] == [i for i, _ in sorted(want, key=repr)]
+    sizes = sorted(len(t) for _, t in left)
+    assert all(abs(a - b) <= 8 for a, b in zip(sizes, sorted(len(t) for _, t in want), strict=True))
+    named = spark.createDataFrame([(str(i), t) for i, t in rows], "doc_id string, text string")
+    again = sorted(len(r.kept) for r in suffixes.drop_repeats(named).collect())
+    assert again == sizes
+
+
+def test_short_passages_are_found_word_for_word(spark):
+    filler = "some other words of a longer text that is about nothing much at all"
+    items = [(1, "What is the capital of France? Paris."), (2, "Paris"), (3, "the the"), (4, " .,"), (5, None), (None, "Rome")]
+    items += [(6, "what is the capital of france paris"), (7, filler)]
+    rows = [
+        (1, f"{filler}; WHAT is the capital -- of france: paris!"), (2, "What is the capital of Spain? Paris."), (3, "the"),
+        (4, "x the the the y the the"), (5, "Rome the"), (5, "the Paris"), (None, "capital of France? Paris."), (6, None), (7, ""),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(1, 1), (1, 6), (1, 2), (1, 7), (2, 2), (4, 3), (5, 2), (None, 2)}
+    for size in (512, 2):
+        got = leaks.benchmark_leaks(docs, bench, block_items=size).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+        assert {r.first_word for r in got if r.item_id == 3} == {1} and {r.n_words for r in got if r.item_id == 1} == {7}
+    only = leaks.benchmark_leaks(docs, bench.where("item_id = 2")).collect()
+    assert {r.doc_id for r in only} == {1, 2, 5, None}
