@@ -10,7 +10,7 @@ from functools import reduce
 from itertools import chain
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul.functions.frames import small_frame
@@ -20,9 +20,10 @@ NO_TABLE = "TABLE NOT EXIST"
 NO_VIEW = "NOT EXISTS VIEW"
 MISSING_ROWS = -1
 TABLE, VIEW = "TABLE", "VIEW"
-REPORT_COLUMNS = (
-    "id", "source_db_name", "source_table_name", "source_rows", "db_type",
-    "target_table_name", "target_rows", "is_success", "compare_time",
+
+_REPORT = (
+    "id int, source_db_name string, source_table_name string, source_rows bigint, db_type string, "
+    "target_table_name string, target_rows bigint, is_success string"
 )
 
 PLANNING_THREADS = 8
@@ -37,8 +38,8 @@ def _in_threads(spark: SparkSession, function: Callable, items: Sequence) -> lis
         return list(pool.map(inheritable_thread_target(spark)(function), items))
 
 
-def row_counts(tables: TableSet) -> DataFrame:
-    """``(name, rows)`` of every table; ``rows`` is -1 where counting failed.
+def _counted(tables: TableSet) -> list[tuple[str, int]]:
+    """Name and rows of every table; -1 where counting failed.
 
     Many tables are counted by one job. Only if that fails are its tables counted one by one, so
     that an unreadable table costs its own verdict and no other.
@@ -69,8 +70,12 @@ def row_counts(tables: TableSet) -> DataFrame:
 
     names = tables.table_names()
     batches = [names[i : i + TABLES_PER_JOB] for i in range(0, len(names), TABLES_PER_JOB)]
-    rows = chain.from_iterable(_in_threads(tables.spark, counted_together, batches))
-    return small_frame(tables.spark, rows, "name string, rows bigint")
+    return list(chain.from_iterable(_in_threads(tables.spark, counted_together, batches)))
+
+
+def row_counts(tables: TableSet) -> DataFrame:
+    """``(name, rows)`` of every table; ``rows`` is -1 where counting failed."""
+    return small_frame(tables.spark, _counted(tables), "name string, rows bigint")
 
 
 def _require(source: TableSet, target: TableSet) -> None:
@@ -79,16 +84,13 @@ def _require(source: TableSet, target: TableSet) -> None:
             raise ValueError(f"{side} {tables.name!r} does not exist")
 
 
-def _numbered(report: DataFrame, source: TableSet, after: int) -> DataFrame:
-    """The report's columns in order, ids following the names. One row per catalog object."""
-    order = Window.orderBy("source_table_name")
-    return report.select(
-        (F.row_number().over(order) + F.lit(after)).cast("int").alias("id"),
-        F.lit(source.name.upper()).alias("source_db_name"),
-        "source_table_name", "source_rows", "db_type", "target_table_name", "target_rows",
-        "is_success",
-        F.current_timestamp().alias("compare_time"),
-    )
+def _report(source: TableSet, lines: list[tuple], after: int) -> DataFrame:
+    """Lines without id and source name, one for each catalog object, as a report; ids follow the names."""
+    numbered = [
+        (after + i, source.name.upper(), *line)
+        for i, line in enumerate(sorted(lines, key=lambda line: line[0]), 1)
+    ]
+    return small_frame(source.spark, numbered, _REPORT).withColumn("compare_time", F.current_timestamp())
 
 
 def _partners(ours: list[str], theirs: list[str]) -> dict[str, str]:
@@ -110,53 +112,30 @@ def _partners(ours: list[str], theirs: list[str]) -> dict[str, str]:
 def compare_counts(source: TableSet, target: TableSet) -> DataFrame:
     """A verdict for every source table: ``Y`` if the target has it with as many rows."""
     _require(source, target)
-    counted = _in_threads(source.spark, row_counts, [source, target])
-    pairs = small_frame(
-        source.spark,
-        list(_partners(source.table_names(), target.table_names()).items()),
-        "name string, partner string",
-    )
-    ours = counted[0].join(pairs, "name", "left").select(
-        F.upper("name").alias("source_table_name"), F.col("rows").alias("source_rows"), "partner"
-    )
-    theirs = counted[1].select(
-        F.col("name").alias("theirs"), F.upper("name").alias("found"), F.col("rows").alias("found_rows")
-    )
-    is_same = F.col("found").isNotNull() & (F.col("found_rows") == F.col("source_rows"))
-    is_known = F.col("source_rows") != MISSING_ROWS
-    joined = ours.join(theirs, F.col("partner") == F.col("theirs"), "left")
-    report = joined.select(
-        "source_table_name",
-        "source_rows",
-        F.lit(TABLE).alias("db_type"),
-        F.coalesce("found", F.lit(NO_TABLE)).alias("target_table_name"),
-        F.coalesce("found_rows", F.lit(MISSING_ROWS).cast("bigint")).alias("target_rows"),
-        F.when(is_same & is_known, "Y").otherwise("N").alias("is_success"),
-    )
-    return _numbered(report, source, 0)
-
-
-def _view_frame(tables: TableSet) -> DataFrame:
-    names = [(n.upper(),) for n in tables.view_names()]
-    return small_frame(tables.spark, names, "name string")
+    ours, theirs = _in_threads(source.spark, _counted, [source, target])
+    found = dict(theirs)
+    partners = _partners(source.table_names(), target.table_names())
+    lines = []
+    for name, rows in ours:
+        partner = partners.get(name)
+        there = partner in found
+        known, same = rows != MISSING_ROWS, there and found[partner] == rows
+        lines.append((
+            name.upper(), rows, TABLE, partner.upper() if there else NO_TABLE,
+            found[partner] if there else MISSING_ROWS, "Y" if known and same else "N",
+        ))
+    return _report(source, lines, 0)
 
 
 def compare_views(source: TableSet, target: TableSet) -> DataFrame:
     """A verdict for every source view: ``Y`` if the target has it. Ids follow the tables'."""
     _require(source, target)
-    ours = _view_frame(source).withColumnRenamed("name", "source_table_name")
-    theirs = _view_frame(target).withColumnRenamed("name", "found")
-    joined = ours.join(theirs, F.col("source_table_name") == F.col("found"), "left")
-    none = F.lit(0).cast("bigint")
-    report = joined.select(
-        "source_table_name",
-        none.alias("source_rows"),
-        F.lit(VIEW).alias("db_type"),
-        F.coalesce("found", F.lit(NO_VIEW)).alias("target_table_name"),
-        none.alias("target_rows"),
-        F.when(F.col("found").isNotNull(), "Y").otherwise("N").alias("is_success"),
-    )
-    return _numbered(report, source, len(source.table_names()))
+    theirs = {n.upper() for n in target.view_names()}
+    lines = [
+        (n, 0, VIEW, n if n in theirs else NO_VIEW, 0, "Y" if n in theirs else "N")
+        for n in (name.upper() for name in source.view_names())
+    ]
+    return _report(source, lines, len(source.table_names()))
 
 
 def compare(source: TableSet, target: TableSet) -> DataFrame:
