@@ -13,7 +13,7 @@ class JobConf:
     ``fetchsize`` and ``batchsize`` are rows per JDBC round trip, ``page_size`` rows per page of a
     keyed read. ``table_parallelism`` tables are moved at a time, each read by
     ``read_parallelism`` connections and written by ``write_parallelism``. A table of more than
-    ``rows_per_task`` rows for each of these readers gets more tasks, which the cluster's cores take one after the
+    ``rows_per_task`` rows for each of these gets more tasks, which the cluster's cores take one after the
     other; ``max_connections`` merges them to so many.
     ``database_views`` defines views of a database target in the database instead of with Spark.
     ``resume_dir`` is a folder that outlives the application: rows of a live source are kept there page

@@ -183,6 +183,12 @@ def reading_shards(
     return max(1, min(wanted, pages))
 
 
+def writing_tasks(rows: int, conf: JobConf) -> int:
+    """How many tasks write a table: ``write_parallelism`` or, of a large one, as many as its rows ask for."""
+    wanted = max(conf.write_parallelism, -(-rows // conf.rows_per_task) if conf.rows_per_task else 1)
+    return min(wanted, conf.max_connections or wanted)
+
+
 def shard_start_sql(table: str, key: str, shards: int, dialect: Dialect) -> str:
     """A query the database answers with the lowest key of each of ``shards`` equal parts.
 
@@ -518,8 +524,8 @@ class JdbcTables(TableSet):
         self.all_names()
         return table in (self._names or ())
 
-    def _append(self, df: DataFrame, table: str, conf: JobConf) -> None:
-        options = self.write_options(conf.batchsize, conf.write_parallelism)
+    def _append(self, df: DataFrame, table: str, conf: JobConf, tasks: int) -> None:
+        options = self.write_options(conf.batchsize, tasks)
         (
             df.write.format("jdbc").options(**options)
             .option("dbtable", self.dialect.name(table)).mode("append").save()
@@ -547,7 +553,7 @@ class JdbcTables(TableSet):
         self.execute([f"CREATE TABLE {name(loading)} AS {none}"])
         self._names = None
         try:
-            self._append(staged, loading, conf)
+            self._append(staged, loading, conf, writing_tasks(expected, conf))
             counts = self.query(
                 f"SELECT COUNT(*) AS held, COUNT(DISTINCT {place}) AS arrived FROM {name(loading)}"
             ).first()

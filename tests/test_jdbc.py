@@ -33,6 +33,7 @@ from tablehaul.sources.jdbc import (
     reading_shards,
     shard_predicates,
     shard_start_sql,
+    writing_tasks,
 )
 from tablehaul.sources.keysets import keyset_predicates, places, probed_starts
 
@@ -119,6 +120,9 @@ def test_large_tables_get_as_many_tasks_as_their_rows_ask_for():
     assert reading_shards(10**9, 5000, 4, 5_000_000) == 200
     assert reading_shards(10**6, 5000, 4, 5_000_000) == 4
     assert reading_shards(9, 5, 4, 1) == 2
+    assert writing_tasks(10**9, JobConf()) == 200 and writing_tasks(0, JobConf()) == 4
+    assert writing_tasks(10**9, JobConf(max_connections=30)) == 30
+    assert writing_tasks(10**9, JobConf(rows_per_task=None)) == 4
     with pytest.raises(ValueError, match="max_connections"):
         JobConf(max_connections=0)
 
@@ -295,7 +299,8 @@ class Served(JdbcTables):
                 after[words[2]] = self.spark.createDataFrame(self.query(sql[sql.index("SELECT") :]).collect(), shape)
         self.frames = after
 
-    def _append(self, df, table, conf):
+    def _append(self, df, table, conf, tasks):
+        self.tasks = tasks
         again = df.where(F.spark_partition_id() == 1) if self.repeats else df.limit(0)
         lost = df.where(F.spark_partition_id() != self.loses)
         self.frames[table] = self.spark.createDataFrame(lost.unionAll(again).collect(), df.schema)
