@@ -684,9 +684,6 @@ def migrated_values(spark, sf_dir):
 class Failing(FrameTables):
     """A live source that goes away once while its pages are read."""
 
-    def reads_repeat(self):
-        return False
-
     def page_predicates(self, table, conf):
         return [f"l_orderkey % 4 = {i}" for i in range(4)]
 
@@ -699,7 +696,7 @@ class Failing(FrameTables):
 
 def migrated_after_failure(spark, sf_dir):
     """The second run reads the page that the first one lacked, and writes the table."""
-    live = Failing(spark, "live", {"lineitem": source_of(spark, sf_dir).read("lineitem")})
+    live = Failing(spark, "live", {"lineitem": source_of(spark, sf_dir).read("lineitem")}, live=True)
     target = scratch(spark, "resumed")
     conf = JobConf(resume_dir=new_folder(spark, "pages"))
     migrate(live, target, conf)

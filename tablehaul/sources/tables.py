@@ -154,7 +154,7 @@ class TableSet(ABC):
 
 
 class FrameTables(TableSet):
-    """Tables given as DataFrames."""
+    """Tables given as DataFrames; ``live`` ones may have other rows at each read."""
 
     def __init__(
         self,
@@ -163,8 +163,10 @@ class FrameTables(TableSet):
         frames: Mapping[str, DataFrame],
         views: Mapping[str, str] | None = None,
         specs: Mapping[str, Sequence[ColumnSpec]] | None = None,
+        live: bool = False,
     ) -> None:
         super().__init__(spark, name)
+        self._live = live
         self._frames = dict(frames)
         self._views.update(views or {})
         self._specs = {k.lower(): list(v) for k, v in (specs or {}).items()}
@@ -172,6 +174,9 @@ class FrameTables(TableSet):
     def all_names(self) -> list[str]:
         return sorted(self._frames)
 
+    def reads_repeat(self) -> bool:
+        return not self._live
+
     def _frame(self, name: str) -> DataFrame:
         return self._frames[name]
 

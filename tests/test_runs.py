@@ -426,3 +426,10 @@ def test_pages_of_a_table_that_turned_up_empty(spark, target, tmp_path):
     live = Paged(spark, "live", {"t": spark.range(0).select("id")})
     record = migrate(live, target, JobConf(resume_dir=str(tmp_path / "pages"))).first()
     assert (record.source_table_rows, record.is_success) == (0, "Y") and target.read("t").count() == 0
+
+
+def test_frames_that_change_between_reads(spark, target):
+    changing = spark.range(0, 200, 1, 4).select(F.when(F.rand() < 0.5, F.lit("toolong")).otherwise(F.lit("a")).alias("s"))
+    live = FrameTables(spark, "live", {"t": changing}, specs={"t": [LONG]}, live=True)
+    record = migrate(live, target).first()
+    assert record.target_table_rows + target.rejected("t").count() == record.source_table_rows == 200
