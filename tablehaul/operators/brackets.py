@@ -8,7 +8,7 @@ are left to sort. Where a frequent value holds the place, the next column is ske
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 from tablehaul.functions.names import quoted
 from tablehaul.operators.ordering import sortable
 
-#: Size of a sketch; its ranks are off by less than a thousandth.
-SKETCH_K = 4096
+#: Size of a sketch, and rows that go into it at most; its ranks are off by less than a thousandth. Counts are
+#: of all rows, so a sketch decides only how many are sorted.
+SKETCH_K, SAMPLE = 4096, 2_000_000
 _STEPS = 1000
 _AROUND = 3
 _BYTES, _DIGITS = 6, 4
@@ -31,23 +32,39 @@ class Digit:
     """A number that rises with a column, though not strictly; NULL has the lowest.
 
     Values that agree in all digits of a column are equal if the last one is smaller than
-    ``settles``. ``name`` is set for whole-number columns, which are their own digit.
+    ``settles``. ``name`` is set for whole-number columns, which are their own digit, ``head`` for the first
+    digit of texts, as their bytes.
     """
 
     code: Column
     settles: float = float("inf")
     name: str | None = None
+    head: Column | None = None
 
     def tells(self, value: float) -> bool:
         return abs(value) < self.settles or (value == _NULL and self.settles > 0)
 
+    def reaches(self, value: float) -> Column:
+        """Whether the code is at least the value; of texts their first bytes say the same at less cost."""
+        if self.head is None or value == _NULL:
+            return self.code >= F.lit(value)
+        first = int(value).to_bytes(_BYTES + 1, "big")
+        if first[0]:
+            return F.lit(False)
+        return F.coalesce(self.head >= F.lit(bytearray(first[1:].rstrip(b"\0"))), F.lit(False))
+
+    def exceeds(self, value: float) -> Column:
+        """Whether the code is more than the value."""
+        return self.reaches(value + 1) if self.head is not None and value != _NULL else self.code > F.lit(value)
+
 
 @dataclass(frozen=True)
 class Bracket:
-    """Rows that hold places ``first`` to ``end`` of an order; ``before`` rows are smaller than all of them."""
+    """``rows`` rows that hold places ``first`` to ``end`` of an order; ``before`` others are smaller than all of them."""
 
     inside: Column
     before: int
+    rows: int
     first: int
     end: int
 
@@ -71,11 +88,12 @@ def column_digits(name: str, kind: T.DataType) -> list[Digit]:
         ]
         most = _BYTES * _DIGITS
         found.append(Digit(F.least(F.octet_length(value), F.lit(most + 1)).cast("double"), most + 1.0))
+        found[0] = Digit(found[0].code, head=value.cast("binary"))
     elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
         found = [Digit(F.nanvl(value.cast("double"), F.lit(float("inf"))), 0.0)]
     else:
         found = [Digit(F.lit(0.0), 0.0)]  # tells nothing: all rows are sorted
-    return [Digit(F.coalesce(d.code, F.lit(_NULL)), d.settles, d.name) for d in found]
+    return [replace(d, code=F.coalesce(d.code, F.lit(_NULL))) for d in found]
 
 
 def _sketched(df: DataFrame, code: Column, parts: int = _STEPS) -> tuple[int, list[float]]:
@@ -110,38 +128,40 @@ def _bound(digit: Digit, low: float | None, high: float | None) -> Column:
     plain = F.col(quoted(digit.name)) if digit.name else None
     if low is not None and low != _NULL:
         narrow = plain is not None and digit.tells(low)
-        holds &= plain >= F.lit(int(low)) if narrow else digit.code >= F.lit(low)
+        holds &= plain >= F.lit(int(low)) if narrow else digit.reaches(low)
     if high is not None:
         narrow = plain is not None and digit.tells(high) and high != _NULL
-        holds &= plain.isNull() | (plain <= F.lit(int(high))) if narrow else digit.code <= F.lit(high)
+        holds &= plain.isNull() | (plain <= F.lit(int(high))) if narrow else ~digit.exceeds(high)
     return holds
 
 
 def _split(
     df: DataFrame, digits: list[list[Digit]], at: tuple[int, int], wanted: Bracket, enough: int
 ) -> Iterator[Bracket]:
-    digit = digits[at[0]][at[1]]
-    rows = df.where(wanted.inside)
-    n, points = _sketched(rows, digit.code)
+    digit, n = digits[at[0]][at[1]], wanted.rows
     first, end = wanted.first - wanted.before, min(wanted.end - wanted.before, n)
     if end <= first:
         return
-    whole = Bracket(wanted.inside, wanted.before, wanted.first, wanted.before + end)
+    whole = replace(wanted, end=wanted.before + end)
     if n <= max(enough, 4 * (end - first)):
         yield whole
         return
+    rows = df.where(wanted.inside)
+    some = rows.sample(SAMPLE / n, seed=7) if n > 2 * SAMPLE else rows
+    points = _sketched(some, digit.code)[1]
     near = {place * _STEPS // n + step for place in (first, end - 1) for step in range(-_AROUND, _AROUND + 2)}
     values = sorted({points[i] for i in near if 0 <= i <= _STEPS})
-    code = F.col("code")
-    counts = rows.select(digit.code.alias("code")).agg(
-        *[F.count_if(code < F.lit(v)) for v in values], *[F.count_if(code <= F.lit(v)) for v in values]
+    counts = rows.agg(
+        *[F.count_if(~digit.reaches(v)) for v in values], *[F.count_if(~digit.exceeds(v)) for v in values]
     ).first()
     below, upto = counts[: len(values)], counts[len(values) :]
     low = max((i for i, c in enumerate(below) if c <= first), default=None)
     high = min((i for i, c in enumerate(upto) if c >= end), default=None)
     start, stop = (0 if low is None else below[low]), (n if high is None else upto[high])
     lowest, highest = (None if low is None else values[low]), (None if high is None else values[high])
-    inner = Bracket(wanted.inside & _bound(digit, lowest, highest), wanted.before + start, whole.first, whole.end)
+    inner = Bracket(
+        wanted.inside & _bound(digit, lowest, highest), wanted.before + start, stop - start, whole.first, whole.end
+    )
     if stop - start <= max(enough, 4 * (end - first)):
         yield inner
     elif low is not None and low == high:
@@ -155,11 +175,11 @@ def _split(
         yield from _split(df, digits, at, inner, enough)
     elif low is not None and upto[low] > first:
         # The page begins inside a frequent value and ends behind it.
-        edge = wanted.before + upto[low]
-        held = Bracket(wanted.inside & (digit.code == F.lit(lowest)), inner.before, inner.first, edge)
-        rest = Bracket(wanted.inside & (digit.code > F.lit(lowest)), edge, edge, inner.end)
-        yield from _split(df, digits, at, held, enough)
-        yield from _split(df, digits, at, rest, enough)
+        edge, held = wanted.before + upto[low], upto[low] - below[low]
+        same = wanted.inside & digit.reaches(lowest) & ~digit.exceeds(lowest)
+        more = wanted.inside & digit.exceeds(lowest)
+        yield from _split(df, digits, at, Bracket(same, inner.before, held, inner.first, edge), enough)
+        yield from _split(df, digits, at, Bracket(more, edge, n - upto[low], edge, inner.end), enough)
     else:
         yield inner
 
@@ -171,4 +191,4 @@ def brackets(df: DataFrame, order_by: Sequence[str], first: int, end: int, enoug
     values cannot be told apart: texts that agree in 24 bytes, fractions beyond 53 bits, equal rows.
     """
     digits = [column_digits(name, df.schema[name].dataType) for name in order_by]
-    return list(_split(df, digits, (0, 0), Bracket(F.lit(True), 0, first, end), enough))
+    return list(_split(df, digits, (0, 0), Bracket(F.lit(True), 0, df.count(), first, end), enough))

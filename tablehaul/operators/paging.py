@@ -116,16 +116,18 @@ def offset_page(
     """Rows ``offset`` to ``offset + limit`` of the given ascending order, NULL first.
 
     The page's place is found at any depth by sketches and exact counts (:mod:`brackets`), and only the
-    rows of a bracket around it are sorted, about ``rows_per_bucket`` at most. Rows that tie are numbered by
-    their input partition, so a frequent value spreads over many tasks. ``df`` is read several times
+    rows of a bracket around it are sorted, about ``rows_per_bucket`` at most. Rows that tie keep the order of
+    the input, so a frequent value spreads over many tasks. ``df`` is read several times
     and must stay the same meanwhile. :func:`seek_page` needs no such search.
     """
     held = brackets(df, order_by, offset, offset + limit, rows_per_bucket) if limit > 0 else []
     if not held:
         return df.limit(0)
-    number = "__number"
+    number, at = "__number", "__at"
     parts = []
     for part in held:
-        numbered = number_in_order(df.filter(part.inside), named(order_by), number, part.before)
+        # Few rows, which numbering reads twice; ties keep the order of the input.
+        inside = stage(df.filter(part.inside).withColumn(at, F.monotonically_increasing_id()), "bracket")
+        numbered = number_in_order(inside, [*named(order_by), F.col(at)], number, part.before)
         parts.append(numbered.filter((F.col(number) >= part.first) & (F.col(number) < part.end)))
-    return reduce(DataFrame.unionAll, parts).orderBy(number).drop(number)
+    return reduce(DataFrame.unionAll, parts).orderBy(number).drop(number, at)
