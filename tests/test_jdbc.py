@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from demo_queries import SparkServer
 from tablehaul import (
     MYSQL,
     MYSQL_57,
@@ -35,7 +36,7 @@ from tablehaul.sources.jdbc import (
     shard_start_sql,
     writing_tasks,
 )
-from tablehaul.sources.keysets import keyset_predicates, places, probed_starts
+from tablehaul.sources.keysets import keyset_predicates, places, probe_sql, probed_starts
 
 
 def _each_row_once(df, predicates):
@@ -418,3 +419,14 @@ def test_views_in_the_database_itself(spark):
         'CREATE OR REPLACE VIEW "v_two" AS select * from "v_all"',
     ]
     assert jdbc.requoted("select `a``b` from `T`", MYSQL) == "select `a``b` from `T`"
+
+
+def test_probes_answered_by_spark_take_no_rows_to_the_driver(spark, plan):
+    pairs = [(k // 4, k % 4) for k in range(2000)]
+    df = spark.createDataFrame(pairs, "a long, b long").repartition(4)
+    server = SparkServer(FrameTables(spark, "db", {"t": df}), 4)
+    for low, skip in ((None, 0), (None, 1203), ((250, 1), 700), ((250, 1), 999), ((250, 1), 5000)):
+        found = server.query(probe_sql("t", ["a", "b"], low, skip, MYSQL_57))
+        assert "TakeOrdered" not in plan(found) and "Limit" not in plan(found)
+        left = [p for p in pairs if low is None or p >= low]
+        assert [tuple(r) for r in found.collect()] == left[skip : skip + 1]
