@@ -15,6 +15,9 @@ from tablehaul.operators.brackets import brackets
 from tablehaul.operators.ordering import ROWS_PER_BUCKET, key_ranges, number_in_order, sortable
 from tablehaul.shared import stage
 
+#: Places up to which Spark's own OFFSET is used, which takes that many rows of every task to the driver.
+NEAR = 10_000
+
 
 def _key_pages(df: DataFrame, key: str, page_size: int, rows_per_bucket: int) -> DataFrame:
     """``(k, c, page)``: each distinct key, its rows, and the page its first row falls on.
@@ -90,15 +93,17 @@ def seek_page(df: DataFrame, key: str, after: Any, limit: int) -> DataFrame:
 
     All rows of the last key are returned, so that a walk from last key to last key sees every
     row once; a page can be longer than ``limit`` by them. NULL keys come last, all on the last
-    page: a walk ends at a page without rows or whose last key is NULL.
+    page: a walk ends at a page without rows or whose last key is NULL. The last key of a long page is found
+    as by :func:`offset_page`, which reads the keys several times.
     """
     k = F.col(quoted(key))
     rest = df if after is None else df.filter((k > F.lit(after)) | k.isNull())
     place = sortable(df.schema[key].dataType, k)
-    last = (
-        rest.select(place.alias("k")).orderBy(F.col("k").asc_nulls_last())
-        .offset(max(limit, 1) - 1).limit(1).first()
-    )
+    keys, skip = rest.select(place.alias("k")), max(limit, 1) - 1
+    if skip <= NEAR:
+        last = keys.orderBy(F.col("k").asc_nulls_last()).offset(skip).limit(1).first()
+    else:
+        last = offset_page(keys.where("k is not null"), ["k"], skip, 1).first()
     if limit < 1:
         rest = rest.limit(0)
     elif last is not None and last.k is not None:

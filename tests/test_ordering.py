@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul import append_with_sequence, offset_page, page_bounds, seek_page, tag_pages
+from tablehaul.operators import paging
 from tablehaul.operators.brackets import brackets
 from tablehaul.operators.ordering import key_ranges, number_in_order, sortable
 from tablehaul.operators.sinks import clustered
@@ -215,6 +216,26 @@ def test_seek_page_walks_over_repeated_and_null_keys(spark):
     assert sorted(seen, key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+@pytest.mark.parametrize("shape", ["long", "text", "instant", "bytes"])
+def test_long_pages_take_no_rows_to_the_driver(spark, monkeypatch, shape):
+    kind, make = SHAPES.get(shape, (T.BinaryType(), lambda i: str(i).encode()))
+    monkeypatch.setattr(paging, "NEAR", 50)
+    frame, skipped = type(spark.range(1)), []
+    plain = frame.offset
+    monkeypatch.setattr(frame, "offset", lambda self, n: skipped.append(n) or plain(self, n))
+    keys = _mixed(make, 600, 0.3, 40, 5)
+    df = _frame(spark, keys, kind).repartition(3).cache()
+    ordered = sorted(k for k in keys if k is not None)
+    for limit in (30, 200, 600, 601, 5000):
+        page = [r.k for r in seek_page(df, "k", None, limit).collect()]
+        whole = [None] * 40 if limit > len(ordered) else []
+        assert page == [k for k in ordered if limit > len(ordered) or k <= ordered[limit - 1]] + whole
+    after = ordered[100]
+    rest = [k for k in ordered if k > after]
+    assert [r.k for r in seek_page(df, "k", after, 120).collect()] == [k for k in rest if k <= rest[119]]
+    assert max(skipped) <= 50
+
+
 def placed(rows, offset, limit):
     """The page of a plain sort, NULL first and NaN last."""
     key = lambda v: (v is not None, v != v if isinstance(v, float) else False, v if v is not None and v == v else 0)
