@@ -60,6 +60,8 @@ TABLES = (
 )
 # Small buckets, so that ranking is spread over several of them at every scale of the test data.
 ROWS_PER_BUCKET = 1000
+# Of a table, so that its delimited text is larger than a block of the file system.
+BYTES_PER_FILE = 1 << 27
 
 CUSTOMER_SPECS = [
     ColumnSpec("c_custkey", "MEDIUMINT", is_nullable=False),
@@ -378,10 +380,15 @@ def delimited_gaps(spark, sf_dir):
 
 
 def delimited_split(spark, sf_dir):
-    """Texts with line ends in one large file, cut into blocks of the file and those into records."""
-    documents = source_of(spark, sf_dir).read("documents")
+    """Texts with line ends in large files, cut into blocks of the files and those into records.
+
+    One file holds as much as one task should write.
+    """
+    source = source_of(spark, sf_dir)
+    documents = source.read("documents")
+    files = max(1, -(-source.size_hint("documents") // BYTES_PER_FILE))
     path = new_folder(spark, "delimited")
-    used = write_delimited(documents.coalesce(1), path, max_records_per_file=0)
+    used = write_delimited(documents.coalesce(files), path, max_records_per_file=0)
     return read_delimited(spark, path, documents.schema, used, split=True)
 
 
