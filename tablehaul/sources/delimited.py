@@ -15,6 +15,8 @@ from tablehaul.shared import stage
 
 MAX_RECORDS_PER_FILE = 1_000_000
 _MARKERS_PER_PASS = 8
+#: Lines that are brought together at once, as a power of two.
+_LINE_BITS = 10
 
 
 @dataclass(frozen=True)
@@ -101,15 +103,16 @@ def write_delimited(
 
 
 def _blocks(spark: SparkSession, path: str, quote: str) -> DataFrame:
-    """Lines as the file system's blocks hold them: file (a hash of its path), block, place in it, and whether
-    its quotes do not pair up."""
+    """Lines as the file system's blocks hold them: file (a hash of its path), block, part of it (1,024 lines at
+    most), place in it, and whether its quotes do not pair up."""
     lines = spark.read.option("lineSep", "\n").text(path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
-    return lines.select(
+    placed = lines.select(
         "value", F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
         (quotes % 2).alias("odd"),
     )
+    return placed.withColumn("part", F.shiftright("at", _LINE_BITS))
 
 
 def _in_order(parts: Column, value: str = "value") -> Column:
@@ -118,49 +121,50 @@ def _in_order(parts: Column, value: str = "value") -> Column:
 
 
 def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
-    """``(file, block, number, record)``: the records of quoted text, line ends inside quotes and all.
+    """``(file, block, part, number, record)``: the records of quoted text, line ends inside quotes and all.
 
     A line begins a record if an even number of quotes lies before it in its file. Quotes are counted for each
-    block of the files; sums over a file's blocks tell for each of them whether it begins inside a value,
-    which needs one row a block. A block that does gives its first lines, up to the one that closes the
-    value, to the block where the record began, however many blocks before. All other lines are
-    cut into records block by block: a task sorts the lines of a block, as it would read them.
+    part of the files' blocks; sums over a file's parts tell for each of them whether it begins inside a value,
+    which needs one row a part. A part that does gives its first lines, up to the one that closes the
+    value, to the part where the record began, however many parts before. All other lines are
+    cut into records part by part: a task sorts the lines of some parts, however large blocks and files are.
     """
     lines = _blocks(spark, path, quote)
-    blocks = lines.groupBy("file", "block").agg(
+    own = ["file", "block", "part"]
+    parts = lines.groupBy(*own).agg(
         (F.sum("odd") % 2).alias("odd"), F.min(F.when(F.col("odd") == 1, F.col("at"))).alias("closes"),
         F.max("at").alias("last"),
     )
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.partitionBy("file").orderBy("block", "part")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
-    blocks = blocks.withColumn("inside", inside)
-    # A record begins in a block that is not wholly inside a value.
+    parts = parts.withColumn("inside", inside)
+    # A record begins in a part that is not wholly inside a value.
     begins = (F.col("inside") == 0) | F.col("closes").isNotNull() & (F.col("closes") < F.col("last"))
-    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    owner = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(upto)
-    blocks = stage(blocks.withColumn("owner", owner), "blocks")
-
-    known = blocks.where("inside = 1").select("file", "block", "closes", "owner")
-    heads = lines.join(known, ["file", "block"]).where(F.col("closes").isNull() | (F.col("at") <= F.col("closes")))
-    place = F.struct("block", "at", "value")
-    tails = heads.groupBy("file", F.col("owner").alias("block")).agg(_in_order(F.collect_list(place)).alias("tail"))
-
-    opened = blocks.select("file", "block", "inside", "closes")
-    body = lines.join(opened, ["file", "block"]).where(
-        (F.col("inside") == 0) | (F.col("at") > F.col("closes"))
+    owner = F.last(F.when(begins, F.struct("block", "part")), ignorenulls=True).over(before)
+    parts = stage(parts.withColumn("owner", owner), "parts")
+
+    known = parts.where("inside = 1").select(*own, "closes", "owner")
+    heads = lines.join(known, own).where(F.col("closes").isNull() | (F.col("at") <= F.col("closes")))
+    place = F.struct("block", "part", "at", "value")
+    tails = heads.groupBy("file", F.col("owner.block").alias("block"), F.col("owner.part").alias("part")).agg(
+        _in_order(F.collect_list(place)).alias("tail")
     )
-    within = Window.partitionBy("file", "block").orderBy("at")
+
+    opened = parts.select(*own, "inside", "closes")
+    body = lines.join(opened, own).where((F.col("inside") == 0) | (F.col("at") > F.col("closes")))
+    within = Window.partitionBy(*own).orderBy("at")
     pairs = F.coalesce(F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     body = body.withColumn("begins", (pairs % 2 == 0).cast("bigint"))
     upto_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     body = body.withColumn("number", F.sum("begins").over(upto_here))
-    found = body.groupBy("file", "block", "number").agg(
+    found = body.groupBy(*own, "number").agg(
         _in_order(F.collect_list(F.struct("at", "value"))).alias("record")
     )
-    last = F.max("number").over(Window.partitionBy("file", "block"))
-    found = found.withColumn("last", last).join(tails, ["file", "block"], "left")
+    last = F.max("number").over(Window.partitionBy(*own))
+    found = found.withColumn("last", last).join(tails, own, "left")
     whole = F.when(F.col("number") == F.col("last"), F.concat_ws("\n", "record", "tail")).otherwise(F.col("record"))
-    return found.select("file", "block", "number", whole.alias("record"))
+    return found.select(*own, "number", whole.alias("record"))
 
 
 def _largest_file(spark: SparkSession, path: str) -> int:

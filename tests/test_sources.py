@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import demo_queries
 from tablehaul import (
     CatalogTables,
     ColumnSpec,
@@ -18,6 +19,7 @@ from tablehaul import (
     write_existing,
     write_table,
 )
+from tablehaul.sources.delimited import records
 from tests.conftest import rows
 
 CELLS = [
@@ -278,3 +280,33 @@ def test_a_bad_record_of_split_text_raises(spark, tmp_path):
     shape = spark.createDataFrame([], "i int, s string").schema
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
         read_delimited(spark, str(tmp_path / "bad.csv"), shape, split=True).collect()
+
+
+def test_parts_of_a_block_are_cut_apart(spark, tmp_path):
+    cells = [(i, "line\n" * (i % 7) + '"' * (i % 3), None if i % 5 == 0 else "x") for i in range(1500)]
+    cells[700] = (700, "y\n" * 3000, '"\n"')  # over more than two parts
+    df = spark.createDataFrame(cells, "i int, a string, b string").coalesce(1)
+    path = str(tmp_path / "t")
+    used = write_delimited(df, path)
+    found = records(spark, path)
+    assert found.select("file", "block").distinct().count() == 1
+    assert found.groupBy("file", "block", "part").count().count() >= 5
+    got = read_delimited(spark, path, df.schema, used, split=True)
+    assert sorted(map(tuple, got.collect())) == cells
+
+
+def test_large_texts_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    shape = "doc_id long, text string"
+    docs = spark.createDataFrame([(i, f"{i}\n" * 20) for i in range(800)], shape)
+    docs.repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    tasks, write = [], demo_queries.write_delimited
+    monkeypatch.setattr(demo_queries, "write_delimited", lambda df, *a, **k: tasks.append(df.rdd.getNumPartitions()) or write(df, *a, **k))
+    monkeypatch.setattr(demo_queries, "BYTES_PER_FILE", 6000, raising=False)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = demo_queries.delimited_split(spark, str(tmp_path))
+        assert rows(got) == rows(docs) and tasks[0] > 1
+        monkeypatch.setattr(demo_queries, "BYTES_PER_FILE", 1 << 27)
+        assert rows(demo_queries.delimited_split(spark, str(tmp_path))) == rows(docs) and tasks[1] == 1
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
