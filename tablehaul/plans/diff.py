@@ -3,7 +3,7 @@
 Both sides are read once and reduced to sums of row hashes, which do not depend on the order of rows: a tree
 of ranges of the first key column, and of cells of the key's hash inside them. Where the sums of
 a cell agree its rows are never looked at again. Cells that differ are cut finer, from reads of their ranges
-only, until few rows are left, and only these are brought together by key.
+only, until few rows are left or a cell is a key, and only these are brought together by key.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ MISSING, EXTRA, CHANGED = "missing", "extra", "changed"
 RANGES, CELLS = 64, 1 << 16
 #: Rows of differing cells that are brought together without cutting the cells finer.
 FEW_ROWS = 1_000_000
+#: Bits of a cell that holds one key, and cells that are sent to all tasks to find their rows.
+KEY_BITS, SENT_CELLS = 60, 1_000_000
 
 _log = logging.getLogger(__name__)
 
@@ -92,8 +94,8 @@ def _hash(df: DataFrame, names: Sequence[str], seed: int) -> Column:
 
 def _marked(sides: Sides, df: DataFrame) -> DataFrame:
     """The rows with ``__range`` and ``__key``, a hash of their key."""
-    key = _hash(df, sides.keys, 0)
-    return df.withColumns({"__range": range_of(sides.digit.code, sides.edges), "__key": key})
+    coded = df.withColumns({"__code": sides.digit.code, "__key": _hash(df, sides.keys, 0)})
+    return coded.withColumn("__range", range_of(F.col("__code"), sides.edges)).drop("__code")
 
 
 def _halves(value: Column) -> list[Column]:
@@ -112,50 +114,71 @@ def hashed(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _cells(sides: Sides, read: tuple[DataFrame, DataFrame], bits: int) -> DataFrame:
-    """``(range, cell, rows, lo, hi)`` of the cells whose sums differ, staged."""
+    """``(range, cell, rows, lo, hi, nulls)`` of the cells whose sums differ, staged.
+
+    Ours are added and theirs taken away. Cells of one key are summed behind a shuffle of their rows' hashes.
+    """
     cell = F.col("__key").bitwiseAND(F.lit((1 << bits) - 1))
     first = F.col(quoted(sides.keys[0]))
 
-    def summed(df: DataFrame, name: str) -> DataFrame:
-        return hashed(df, sides.ours.columns).groupBy(F.col("__range").alias("range"), cell.alias("cell")).agg(
-            F.struct(F.count(F.lit(1)), *content_sums()).alias(name), F.count(F.lit(1)).alias(f"{name}_rows"), F.min(first).alias(f"{name}_lo"),
-            F.max(first).alias(f"{name}_hi"), F.count_if(first.isNull()).alias(f"{name}_nulls"),
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        return hashed(df, sides.ours.columns).select(
+            F.col("__range").alias("range"), cell.alias("cell"), first.alias("first"),
+            F.lit(sign).cast("bigint").alias("sign"), "__h1", "__h2",
         )
 
-    met = summed(read[0], "o").join(summed(read[1], "t"), ["range", "cell"], "full")
-    rows = F.coalesce("o_rows", F.lit(0)) + F.coalesce("t_rows", F.lit(0))
-    nulls = F.coalesce("o_nulls", F.lit(0)) + F.coalesce("t_nulls", F.lit(0))
-    differing = met.where(~F.col("o").eqNullSafe(F.col("t"))).select(
-        "range", "cell", rows.alias("rows"), F.least("o_lo", "t_lo").alias("lo"),
-        F.greatest("o_hi", "t_hi").alias("hi"), nulls.alias("nulls"),
+    both = signed(read[0], 1).unionAll(signed(read[1], -1))
+    if bits == KEY_BITS:
+        both = both.repartition("range", "cell")
+    halves = [F.col("sign") * h for seed in (1, 2) for h in _halves(F.col(f"__h{seed}"))]
+    sums = [F.sum(value).alias(f"s{i}") for i, value in enumerate([F.col("sign"), *halves])]
+    met = both.groupBy("range", "cell").agg(
+        *sums, F.count(F.lit(1)).alias("rows"), F.min("first").alias("lo"), F.max("first").alias("hi"),
+        F.count_if(F.col("first").isNull()).alias("nulls"),
     )
-    return stage(differing, "cells")
+    differs = reduce(Column.__or__, [F.col(f"s{i}") != 0 for i in range(len(sums))])
+    return stage(met.where(differs).select("range", "cell", "rows", "lo", "hi", "nulls"), "cells")
 
 
 def _of_ranges(sides: Sides, cells: DataFrame) -> Column:
-    """The rows of the ranges that hold differing cells, in words that a scan can use to skip files."""
+    """The rows of the ranges that hold differing cells, in words that a scan can use to skip files.
+
+    Neighbours are named together, which keeps the condition short.
+    """
     kind = sides.ours.schema[sides.keys[0]].dataType
     column = F.col(quoted(sides.keys[0]))
     held = cells.groupBy("range").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("nulls").alias("nulls"))
     if not isinstance(kind, _LITERAL):
         return range_of(sides.digit.code, sides.edges).isin([r.range for r in held.select("range").collect()])
 
-    def within(r) -> Column:
-        inside = F.lit(False) if r.lo is None else (column >= F.lit(r.lo).cast(kind)) & (column <= F.lit(r.hi).cast(kind))
-        return inside | column.isNull() if r.nulls else inside
+    runs: list[dict] = []
+    for r in sorted(held.collect(), key=lambda r: r.range):
+        if runs and runs[-1]["range"] == r.range - 1:
+            last = runs[-1]
+            lo, hi = r.lo if last["lo"] is None else last["lo"], last["hi"] if r.hi is None else r.hi
+            runs[-1] = {"range": r.range, "lo": lo, "hi": hi, "nulls": last["nulls"] + r.nulls}
+        else:
+            runs.append(r.asDict())
+
+    def within(r: dict) -> Column:
+        lo, hi = r["lo"], r["hi"]
+        inside = F.lit(False) if lo is None else (column >= F.lit(lo).cast(kind)) & (column <= F.lit(hi).cast(kind))
+        return inside | column.isNull() if r["nulls"] else inside
 
-    return reduce(Column.__or__, [within(r) for r in held.collect()])
+    return reduce(Column.__or__, [within(r) for r in runs])
 
 
-def _suspects(sides: Sides, cells: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides' rows of the differing cells; no range without one is read."""
+def _suspects(sides: Sides, cells: DataFrame, number: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides' rows of the differing cells, so many; no range without one is read."""
     inside = _of_ranges(sides, cells)
-    wanted = cells.select(F.col("range").alias("__range"), F.col("cell").alias("__cell"))
+    by = ["__cell"] if bits == KEY_BITS else ["__range", "__cell"]
+    wanted = cells.select(F.col("range").alias("__range"), F.col("cell").alias("__cell")).select(*by)
+    wanted = F.broadcast(wanted) if number <= SENT_CELLS else wanted
     cell = F.col("__key").bitwiseAND(F.lit((1 << bits) - 1))
 
     def of(df: DataFrame) -> DataFrame:
         marked = _marked(sides, df.where(inside)).withColumn("__cell", cell)
-        return marked.join(wanted, ["__range", "__cell"], "left_semi").drop("__cell")
+        return marked.join(wanted, by, "left_semi").drop("__cell")
 
     return of(sides.ours), of(sides.theirs)
 
@@ -207,8 +230,9 @@ def diff_rows(
     rows are told by 128 bits of hash.
 
     Both sides are read once whole, and shuffle ``cells`` sums a task at most. After that only ranges that
-    hold a difference are read, which Parquet and JDBC scans are told as bounds on the first key. The
-    sides must stay the same meanwhile.
+    hold a difference are read, which Parquet and JDBC scans are told as bounds on the first key. If
+    differences lie in most cells and more than ``few_rows`` rows with them, the hashes of these rows are shuffled once,
+    to find the keys that differ; of other keys no values are shuffled. The sides must stay the same meanwhile.
     """
     ours, theirs = _aligned(ours, theirs)
     spelled = {c.lower(): c for c in ours.columns}
@@ -222,17 +246,18 @@ def diff_rows(
     bits = max(0, (cells // (len(edges) + 1)).bit_length() - 1)
     differing = _cells(sides, tuple(_marked(sides, df) for df in sides.both()), bits)
     left, number = _size(differing)
-    while left > few_rows and bits < 60:
-        finer = min(60, bits + max(1, (cells // number).bit_length() - 1))
-        next_cells = _cells(sides, _suspects(sides, differing, bits), finer)
+    before = None
+    while left > few_rows and bits < KEY_BITS:
+        gained = (cells // number).bit_length() - 1
+        parted = before is None or left <= before // 2
+        finer = min(KEY_BITS, bits + gained) if gained > 0 and parted else KEY_BITS
+        next_cells = _cells(sides, _suspects(sides, differing, number, bits), finer)
         unstage(differing)
         differing, bits, before = next_cells, finer, left
         left, number = _size(differing)
-        if left > before // 2:
-            break  # most rows do differ
     if not left:
         return _by_key(sides, tuple(_marked(sides, df).limit(0) for df in sides.both()))
-    return _by_key(sides, _suspects(sides, differing, bits))
+    return _by_key(sides, _suspects(sides, differing, number, bits))
 
 
 def _size(cells: DataFrame) -> tuple[int, int]:
