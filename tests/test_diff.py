@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import demo_queries
 from tablehaul import FrameTables, ParquetTables, compare_values, diff_rows
 from tablehaul.plans import diff
 
@@ -119,3 +120,31 @@ def test_values_of_all_tables(spark, tmp_path):
     folder = ParquetTables(spark, str(tmp_path))
     folder.replace("c", c)
     assert compare_values(ours, folder).first().is_success == "Y"
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_only_keys_that_differ_are_brought_together(spark, monkeypatch, sent):
+    a = spark.range(20_000).select(F.nullif(F.col("id") % 4000, F.lit(7)).alias("k"), "id", F.lit("v").alias("v"))
+    changed = F.when(F.col("id") % 100 == 3, "w").otherwise(F.col("v"))
+    b = a.where("id <> 5000").withColumn("v", changed).repartition(3)
+    met, by_key = [], diff._by_key
+    monkeypatch.setattr(diff, "SENT_CELLS", sent, raising=False)
+    monkeypatch.setattr(diff, "_by_key", lambda sides, read: met.append([df.count() for df in read]) or by_key(sides, read))
+    got = {(r.k, r.id): r.change for r in diff_rows(a, b, ["k", "id"], few_rows=10, cells=64).collect()}
+    of = lambda i: None if i % 4000 == 7 else i % 4000
+    assert got == {(of(i), i): "missing" if i == 5000 else "changed" for i in [*range(3, 20_000, 100), 5000]}
+    assert met == [[201, 200]]
+
+
+def test_a_copy_of_documents_is_dealt_by_more_than_a_language(spark, tmp_path, monkeypatch):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("MIT License").alias("text"), F.lit("en").alias("lang"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    sides = []
+    monkeypatch.setattr(demo_queries, "diff_rows", lambda *a: sides.append(a[1]) or diff_rows(*a))
+    assert demo_queries.documents_that_differ(spark, str(tmp_path)).count() == 2000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shares = [r["count"] for r in sides[0].groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(shares) == 1960 and max(shares) < 980
